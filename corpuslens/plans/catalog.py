@@ -8,6 +8,8 @@ from corpuslens.plans import registry
 
 _MODULES = [
     "corpuslens.plans.evaluation",
+    "corpuslens.plans.text_ops",
+    "corpuslens.plans.eda",
 ]
 
 
