@@ -29,12 +29,10 @@ def easy_words(docs: DataFrame, text_col: str = "text", key: str = "doc_id") ->
     independent of the number of documents.  That bound is what makes the
     broadcast in ``difficult_counts`` safe.
     """
-    n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
     doc_words = docs.select(key, F.explode(F.array_distinct(segment.words(text_col))).alias("word"))
     df = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return (df.crossJoin(F.broadcast(n_docs))
-            .where(F.col("doc_freq") * F.lit(EASY_DOC_SHARE_DENOMINATOR) >= F.col("_n"))
-            .select("word"))
+    return df.where(F.col("doc_freq") * F.lit(EASY_DOC_SHARE_DENOMINATOR) >= n_docs).select("word")
 
 
 def difficult_counts(rows: DataFrame, key: str, text_col: str, easy: DataFrame) -> DataFrame:

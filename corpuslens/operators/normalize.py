@@ -1,9 +1,9 @@
 """Min-max normalization, row means and category scores of metric tables.
 
-Column ranges are computed by ONE aggregate and attached to every row with a
-broadcast of that single-row result (or a keyed join when ranges are taken
-per group).  No un-partitioned window is used, so no task ever has to hold
-the whole table.
+Column ranges are computed by ONE aggregate.  Without groups it is planned
+as a single scalar subquery (one struct of all minima and maxima, evaluated
+once and inlined as a value); with groups it is a keyed join.  No
+un-partitioned window is used, so no task ever has to hold the whole table.
 """
 
 from __future__ import annotations
@@ -54,13 +54,19 @@ def minmax_normalize(df: DataFrame, cols: Sequence[str], lower_is_better: Sequen
     ranges = metric_ranges(df, present, partition_by)
     if partition_by:
         joined = df.join(ranges, list(partition_by), "left")
+
+        def bound(c, s):
+            return F.col(f"{c}__{s}")
     else:
-        # a single row: its size is fixed, so broadcasting it is always safe
-        joined = df.crossJoin(F.broadcast(ranges))
+        packed = ranges.select(F.struct(*ranges.columns).alias("r")).scalar()
+        joined = df
+
+        def bound(c, s):
+            return packed.getField(f"{c}__{s}")
     lower = set(lower_is_better)
     exprs = {}
     for c in present:
-        x, lo, hi = F.col(f"`{c}`"), F.col(f"{c}__min"), F.col(f"{c}__max")
+        x, lo, hi = F.col(f"`{c}`"), bound(c, "min"), bound(c, "max")
         rng = hi - lo
         down = c in lower and not flip_after
         scaled = F.try_divide(hi - x, rng) if down else F.try_divide(x - lo, rng)
@@ -74,7 +80,9 @@ def minmax_normalize(df: DataFrame, cols: Sequence[str], lower_is_better: Sequen
             val = F.lit(1.0) - val
         exprs[c] = val
     out = joined.withColumns(exprs)
-    return out.drop(*[f"{c}__{s}" for c in present for s in ("min", "max")])
+    if partition_by:
+        out = out.drop(*[f"{c}__{s}" for c in present for s in ("min", "max")])
+    return out
 
 
 def row_mean(cols: Sequence[str]) -> Column:

@@ -7,7 +7,7 @@ Scale notes
   are read off cumulative counts of that histogram.  For integer-valued
   inputs (token/sentence counts) the histogram size is bounded by the value
   range, not by the number of rows, so a hot group stays small.
-* Histograms use one global min/max row, broadcast (size 1).
+* Histograms take the global min/max as one scalar subquery.
 * Frequencies aggregate with partial (map-side) combining; a hot word sends
   one row per map task.
 """
@@ -77,16 +77,16 @@ def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 def common_bins(df: DataFrame, value_col: str, bins: int = 20) -> DataFrame:
     """Attach ``bucket`` in 1..bins over the global [min, max] of the column."""
-    rng = df.agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
+    rng = df.select(F.struct(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     x = F.col(value_col)
-    width = F.col("_hi") - F.col("_lo")
-    raw = F.floor(F.try_divide(x - F.col("_lo"), width) * F.lit(float(bins))).cast("bigint") + 1
+    width = hi - lo
+    raw = F.floor(F.try_divide(x - lo, width) * F.lit(float(bins))).cast("bigint") + 1
     bucket = F.when(width == 0, F.lit(1).cast("bigint")).otherwise(F.least(raw, F.lit(bins).cast("bigint")))
-    return (df.where(x.isNotNull()).crossJoin(F.broadcast(rng))
+    return (df.where(x.isNotNull())
             .withColumn("bucket", bucket)
-            .withColumn("bin_low", F.col("_lo") + (F.col("bucket") - 1) * width / F.lit(float(bins)))
-            .withColumn("bin_high", F.col("_lo") + F.col("bucket") * width / F.lit(float(bins)))
-            .drop("_lo", "_hi"))
+            .withColumn("bin_low", lo + (F.col("bucket") - 1) * width / F.lit(float(bins)))
+            .withColumn("bin_high", lo + F.col("bucket") * width / F.lit(float(bins))))
 
 
 def histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, bins: int = 20) -> DataFrame:

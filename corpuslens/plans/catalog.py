@@ -10,6 +10,7 @@ _MODULES = [
     "corpuslens.plans.evaluation",
     "corpuslens.plans.text_ops",
     "corpuslens.plans.eda",
+    "corpuslens.plans.evaltables",
 ]
 
 

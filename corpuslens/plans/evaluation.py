@@ -20,20 +20,37 @@ from corpuslens.sources.tables import read_table
 LEAD_SENTENCES = 3
 
 
-def generation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return docs.select(
-        "doc_id",
-        F.col("source").alias("model"),
-        text.abstract_of("text").alias("reference"),
-        segment.lead(text.body_of("text"), LEAD_SENTENCES).alias("generated"),
-    )
-
-
-def corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def generation_pairs(spark: SparkSession, sf_dir: str, ks=(LEAD_SENTENCES,),
+                     naming: str = "source") -> DataFrame:
+    """(pid, model, reference, generated) for lead-k summaries of the corpus.
+
+    naming "source": model = source, pid = doc_id (one k only);
+    "run": model = lead_<source>_<k>; "method": model = lead_<k>; for these
+    pid = '<doc_id>#<k>' so that several k are evaluated in one job.
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    if naming == "source":
+        if len(ks) != 1:
+            raise ValueError("naming='source' takes exactly one k")
+        return docs.select(F.col("doc_id").alias("pid"), F.col("source").alias("model"),
+                           text.abstract_of("text").alias("reference"),
+                           segment.lead(text.body_of("text"), ks[0]).alias("generated"))
+    # one row per (document, k): the texts are split once, then sliced per k
+    base = docs.select("doc_id", "source", text.abstract_of("text").alias("reference"),
+                       segment.sentences(text.body_of("text")).alias("_sents"))
+    ks_col = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
+    runs = base.select("*", ks_col)
+    model = (F.concat(F.lit("lead_"), F.col("source"), F.lit("_"), F.col("k").cast("string"))
+             if naming == "run" else F.concat(F.lit("lead_"), F.col("k").cast("string")))
+    return runs.select(F.concat(F.col("doc_id").cast("string"), F.lit("#"), F.col("k").cast("string")).alias("pid"),
+                       model.alias("model"), "reference",
+                       F.array_join(F.slice("_sents", F.lit(1), F.col("k")), " ").alias("generated"))
+
+
+def corpus_report(spark: SparkSession, sf_dir: str, ks=(LEAD_SENTENCES,), naming: str = "source") -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     easy = evaluate.easy_words(docs.select("doc_id", "text"))
-    return evaluate.eval_report(generation_pairs(spark, sf_dir), easy)
+    return evaluate.eval_report(generation_pairs(spark, sf_dir, ks, naming), easy, key="pid")
 
 
 def _round_doubles(df: DataFrame) -> DataFrame:
@@ -44,26 +61,42 @@ def _round_doubles(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # SQL oracle pieces
 # --------------------------------------------------------------------------
-def _sql_pairs() -> str:
-    return (f"pairs as (select doc_id, source as model, {q.abstract('text')} as reference, "
-            f"{q.lead(q.body('text'), LEAD_SENTENCES)} as generated from documents), "
-            f"pw as (select doc_id, model, generated, {q.words('generated')} as gw, "
+def sql_pairs_select(k: int = LEAD_SENTENCES, naming: str = "source") -> str:
+    """SELECT (pid, model, reference, generated) for lead-``k`` summaries.
+
+    naming: "source" (model = source, pid = doc_id), "run" (model =
+    lead_<source>_<k>) or "method" (model = lead_<k>); the last two key pairs
+    by '<doc_id>#<k>' so several k can be unioned.
+    """
+    if naming == "source":
+        pid, model = "doc_id", "source"
+    elif naming == "run":
+        pid, model = f"cast(doc_id as varchar) || '#{k}'", f"'lead_' || source || '_{k}'"
+    else:
+        pid, model = f"cast(doc_id as varchar) || '#{k}'", f"'lead_{k}'"
+    return (f"select {pid} as pid, {model} as model, {q.abstract('text')} as reference, "
+            f"{q.lead(q.body('text'), k)} as generated from documents")
+
+
+def _sql_pairs(pairs_sql: str) -> str:
+    return (f"pairs as ({pairs_sql}), "
+            f"pw as (select pid, model, generated, {q.words('generated')} as gw, "
             f"{q.words('reference')} as rw from pairs)")
 
 
 def _sql_overlap(ns=(1, 2, 3, 4)) -> str:
     grams = " union all ".join(
-        f"select doc_id, {n} as n, unnest({q.ngrams(w, n)}) as gram, {side} as side from pw"
+        f"select pid, {n} as n, unnest({q.ngrams(w, n)}) as gram, {side} as side from pw"
         for n in ns for side, w in ((0, "gw"), (1, "rw")))
     nlist = ", ".join(str(n) for n in ns)
     return (f"grams as ({grams}), "
-            f"gcnt as (select doc_id, n, gram, sum(case when side = 0 then 1 else 0 end) as c_gen, "
-            f"sum(case when side = 1 then 1 else 0 end) as c_ref from grams group by doc_id, n, gram), "
-            f"gm as (select doc_id, n, sum(least(c_gen, c_ref)) as matched from gcnt group by doc_id, n), "
-            f"ov as (select pw.doc_id, pw.model, ns.n, coalesce(gm.matched, 0) as matched, "
+            f"gcnt as (select pid, n, gram, sum(case when side = 0 then 1 else 0 end) as c_gen, "
+            f"sum(case when side = 1 then 1 else 0 end) as c_ref from grams group by pid, n, gram), "
+            f"gm as (select pid, n, sum(least(c_gen, c_ref)) as matched from gcnt group by pid, n), "
+            f"ov as (select pw.pid, pw.model, ns.n, coalesce(gm.matched, 0) as matched, "
             f"greatest(len(gw) - ns.n + 1, 0) as gen_total, greatest(len(rw) - ns.n + 1, 0) as ref_total "
             f"from pw cross join (select unnest([{nlist}]) as n) ns "
-            f"left join gm on gm.doc_id = pw.doc_id and gm.n = ns.n)")
+            f"left join gm on gm.pid = pw.pid and gm.n = ns.n)")
 
 
 def _sql_f1(n: int) -> str:
@@ -71,26 +104,28 @@ def _sql_f1(n: int) -> str:
             f"else 2.0 * matched / (gen_total + ref_total) end) end)")
 
 
-def _sql_report() -> str:
+def _sql_report(pairs_sql: str | None = None) -> str:
+    """``with ... report as (...)``: the ten-metric report per model."""
+    pairs_sql = pairs_sql or sql_pairs_select()
     return (
-        "with " + _sql_pairs() + ", " + _sql_overlap() + ", "
-        f"rg as (select doc_id, {_sql_f1(1)} as rouge1, {_sql_f1(2)} as rouge2 from ov group by doc_id), "
-        f"cnt as (select doc_id, model, len(gw) as w, len({q.sentences('generated')}) as s, "
+        "with " + _sql_pairs(pairs_sql) + ", " + _sql_overlap() + ", "
+        f"rg as (select pid, {_sql_f1(1)} as rouge1, {_sql_f1(2)} as rouge2 from ov group by pid), "
+        f"cnt as (select pid, model, len(gw) as w, len({q.sentences('generated')}) as s, "
         f"greatest({q.vowel_groups('generated')}, len(gw)) as y, "
         f"length(array_to_string(gw, '')) as l from pw), "
         f"dw as (select distinct doc_id, unnest({q.words('text')}) as word from documents), "
         f"easy as (select word from dw group by word "
         f"having count(*) * 20 >= (select count(*) from documents)), "
-        f"gwords as (select doc_id, unnest(gw) as word from pw), "
-        f"hard as (select g.doc_id, sum(case when e.word is null then 1 else 0 end) as d "
-        f"from gwords g left join easy e on g.word = e.word group by g.doc_id), "
-        f"per_doc as (select c.doc_id, c.model, {q.row_mean(['rg.rouge1', 'rg.rouge2'])} as rouge, "
+        f"gwords as (select pid, unnest(gw) as word from pw), "
+        f"hard as (select g.pid, sum(case when e.word is null then 1 else 0 end) as d "
+        f"from gwords g left join easy e on g.word = e.word group by g.pid), "
+        f"per_doc as (select c.pid, c.model, {q.row_mean(['rg.rouge1', 'rg.rouge2'])} as rouge, "
         f"case when w > 0 then 0.39 * (w / nullif(s, 0)) + 11.8 * (y / w) - 15.59 end as fkgl, "
         f"case when w > 0 then (case when (h.d / w) * 100.0 > 5.0 "
         f"then 0.1579 * ((h.d / w) * 100.0) + 0.0496 * (w / nullif(s, 0)) + 3.6365 "
         f"else 0.1579 * ((h.d / w) * 100.0) + 0.0496 * (w / nullif(s, 0)) end) end as dcrs, "
         f"case when w > 0 then 0.0588 * ((l / w) * 100.0) - 0.296 * ((s / w) * 100.0) - 15.8 end as cli "
-        f"from cnt c left join rg on rg.doc_id = c.doc_id left join hard h on h.doc_id = c.doc_id), "
+        f"from cnt c left join rg on rg.pid = c.pid left join hard h on h.pid = c.pid), "
         f"means as (select model, avg(rouge) as ROUGE, avg(fkgl) as FKGL, avg(dcrs) as DCRS, "
         f"avg(cli) as CLI from per_doc group by model), "
         f"bs as (select model, "
