@@ -11,6 +11,7 @@ _MODULES = [
     "corpuslens.plans.text_ops",
     "corpuslens.plans.eda",
     "corpuslens.plans.evaltables",
+    "corpuslens.plans.extract",
 ]
 
 

@@ -185,7 +185,6 @@ def q_leaderboard_scan(spark, sf_dir):
 
 
 def _sql_lb_rank() -> str:
-    scores = [_qi(c) for c in schema.LEADERBOARD_SCORES]
     cols = []
     for c in schema.LEADERBOARD_SCORES:
         x = _qi(c)
@@ -197,7 +196,6 @@ def _sql_lb_rank() -> str:
     rel = q.row_mean([_qi(c) for c in schema.LEADERBOARD_RELEVANCE])
     rea = q.row_mean([_qi(c) for c in schema.LEADERBOARD_READABILITY])
     fac = q.row_mean([_qi(c) for c in schema.LEADERBOARD_FACTUALITY])
-    del scores
     return (f", sub as (select * from board where {_qi('Select Task')} = '{schema.LEADERBOARD_TASK}'), "
             f"lbn as (select {_qi('Participant')}, {', '.join(cols)} from sub), "
             f"lbc as (select *, {rel} as Relevance, {rea} as Readability, {fac} as Factuality from lbn), "
