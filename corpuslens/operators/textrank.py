@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.session import cut_lineage
+
 # Algorithm parameters.
 TEXTRANK_WORD_PATTERN = r"\p{L}{3,}"
 DAMPING = 0.85
@@ -87,8 +89,8 @@ def word_pagerank(edges: DataFrame, key: str, iterations: int = ITERATIONS,
              .select(key, "a", "b", (F.col("weight") / F.col("out_w")).alias("p")))
     n = out_w.groupBy(key).agg(F.count(F.lit(1)).cast("double").alias("n"))
     # cut the lineage once: every iteration re-reads the transition table
-    trans = trans.checkpoint()
-    n = n.checkpoint()
+    trans = cut_lineage(trans)
+    n = cut_lineage(n)
     ranks = out_w.select(key, F.col("a").alias("word")).join(n, key) \
         .select(key, "word", (F.lit(1.0) / F.col("n")).alias("r"))
     for _ in range(iterations):

@@ -12,6 +12,9 @@ _MODULES = [
     "corpuslens.plans.eda",
     "corpuslens.plans.evaltables",
     "corpuslens.plans.extract",
+    "corpuslens.plans.metrics",
+    "corpuslens.plans.prompt_queries",
+    "corpuslens.plans.generation",
 ]
 
 

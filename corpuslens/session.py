@@ -61,3 +61,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     # Spark's writers create the folder; nothing is made here.
     return root.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Materialise ``df`` into the shared checkpoint folder (reliable, eager).
+
+    The result survives executor loss (it is re-read from the shared folder,
+    not recomputed) and keeps its partitioning and in-partition order.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
