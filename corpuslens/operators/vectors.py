@@ -78,3 +78,16 @@ def pandas_encoder(fn: Callable, dim: int | None = None):
         return pd.Series(list(fn(texts.fillna("").tolist())))
 
     return encode
+
+
+def group_centroids(vectors: DataFrame, group_col: str, vec_col: str) -> DataFrame:
+    """(group, centroid array<double>): the mean vector of every group.
+
+    Components are averaged as (group, index) aggregates with map-side
+    combining, then re-assembled per group (one row per group, dimension
+    bounded by the vector length).
+    """
+    comp = vectors.select(group_col, F.posexplode(vec_col).alias("i", "v"))
+    means = comp.groupBy(group_col, "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    return means.groupBy(group_col).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s.getField("m")).alias("centroid"))

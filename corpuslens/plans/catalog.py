@@ -15,6 +15,7 @@ _MODULES = [
     "corpuslens.plans.metrics",
     "corpuslens.plans.prompt_queries",
     "corpuslens.plans.generation",
+    "corpuslens.plans.stream_vectors",
 ]
 
 
