@@ -72,8 +72,13 @@ def rank_sentences(cands: DataFrame, cos: DataFrame, key: str) -> DataFrame:
 
 def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
                      stop_k: int = textrank.STOP_WORDS_K) -> DataFrame:
-    """Full extract-and-rank for (key, text_col) rows."""
-    docs = docs.select(key, text_col)
+    """Full extract-and-rank for (key, text_col) rows.
+
+    The documents are hash-partitioned by key once (one shuffle of the texts);
+    every later per-document aggregation, window and (document, x) join can
+    reuse that partitioning instead of shuffling exploded sentence/term rows.
+    """
+    docs = docs.select(key, text_col).repartition(key)
     sents = sentence_rows(docs, key, text_col)
     if use_textrank:
         stop = textrank.stop_words(docs, key, text_col, stop_k)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens import schema
+from corpuslens.session import cut_lineage
 
 ON_CONSTANT = ("null", "zero", "half")
 
@@ -36,7 +37,7 @@ def metric_ranges(df: DataFrame, cols: Sequence[str],
 
 def minmax_normalize(df: DataFrame, cols: Sequence[str], lower_is_better: Sequence[str] = (),
                      on_constant: str = "null", flip_after: bool = False,
-                     partition_by: Sequence[str] = ()) -> DataFrame:
+                     partition_by: Sequence[str] = (), materialize: bool = True) -> DataFrame:
     """Scale every column of ``cols`` present in ``df`` to [0, 1].
 
     on_constant: what a zero range (max == min) yields --
@@ -46,11 +47,18 @@ def minmax_normalize(df: DataFrame, cols: Sequence[str], lower_is_better: Sequen
     Direction: with ``flip_after=False`` lower-is-better columns are scaled as
     ``(max - x) / range``; with ``flip_after=True`` every column is scaled
     upward first and lower-is-better columns become ``1 - x`` afterwards.
+
+    Normalizing reads its input twice (ranges, then values).  With
+    ``materialize`` the input is written once to the shared checkpoint
+    folder, so an expensive upstream job (e.g. a corpus evaluation) is not
+    run twice; metric tables are one row per model, so this is small.
     """
     if on_constant not in ON_CONSTANT:
         raise ValueError(f"on_constant must be one of {ON_CONSTANT}")
     present = [c for c in cols if c in df.columns]
     df = nan_to_null(df, present)
+    if materialize:
+        df = cut_lineage(df)
     ranges = metric_ranges(df, present, partition_by)
     if partition_by:
         joined = df.join(ranges, list(partition_by), "left")

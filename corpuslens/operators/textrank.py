@@ -14,12 +14,20 @@ sentences that reach the vector ranking):
   are kept; documents with at most ``limit`` sentences keep all of them,
   so the graph is only built for long documents.
 
-Every step is keyed by the document id, so work for one document never
-leaves its partition once the edges are partitioned on that key.
+Two executions of the same definition:
+
+* ``cooccurrence_edges`` + ``word_pagerank``: edges as rows and PageRank as
+  unrolled join/aggregate iterations -- general, works for any edge table.
+* ``doc_word_ranks``: each document's graph is independent and bounded by
+  the document's length, so the graph is built and iterated inside one row
+  (numpy, via ``mapInPandas``); no shuffle at all.  This is what the
+  extraction pipeline uses.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,6 +110,58 @@ def word_pagerank(edges: DataFrame, key: str, iterations: int = ITERATIONS,
     return ranks.withColumnRenamed("r", "rank")
 
 
+def _graph_ranks(words, lookback: int, iterations: int, damping: float):
+    """PageRank of one document's co-occurrence graph: (words, ranks)."""
+    if len(words) < 2:
+        return [], []
+    vocab, codes = np.unique(np.asarray(words, dtype=object), return_inverse=True)
+    src, dst = [], []
+    for d in range(1, lookback + 1):
+        a, b = codes[:-d], codes[d:]
+        keep = a != b
+        src.append(a[keep])
+        dst.append(b[keep])
+    a = np.concatenate(src + dst).astype(np.int64)
+    b = np.concatenate(dst + src).astype(np.int64)
+    if a.size == 0:
+        return [], []
+    v = len(vocab)
+    pairs, weight = np.unique(a * v + b, return_counts=True)
+    a, b = pairs // v, pairs % v
+    p = weight / np.bincount(a, weights=weight, minlength=v)[a]
+    nodes = np.unique(a)
+    n = float(len(nodes))
+    r = np.zeros(v)
+    r[nodes] = 1.0 / n
+    for _ in range(iterations):
+        s = np.bincount(b, weights=p * r[a], minlength=v)
+        nxt = np.zeros(v)
+        nxt[nodes] = (1.0 - damping) / n + damping * s[nodes]
+        r = nxt
+    return vocab[nodes].tolist(), r[nodes].tolist()
+
+
+def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
+                   lookback: int = LOOKBACK, iterations: int = ITERATIONS,
+                   damping: float = DAMPING) -> DataFrame:
+    """(key, word, rank) computed per document row, without any shuffle."""
+    fw = _filtered_words(docs, [key], text_col, stop)
+    key_type = fw.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            keys, words, ranks = [], [], []
+            for k, w in zip(pdf[key].to_numpy(), pdf["words"]):
+                ws, rs = _graph_ranks(list(w) if w is not None else [], lookback, iterations, damping)
+                keys += [k] * len(ws)
+                words += ws
+                ranks += rs
+            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "word": words,
+                                "rank": pd.Series(ranks, dtype="float64")})
+
+    return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
+
+
 def sentence_scores(sents: DataFrame, key: str, ranks: DataFrame, stop: DataFrame) -> DataFrame:
     """(key, pos, score): sum of ranks of the distinct words of each sentence."""
     sw = _filtered_words(sents, [key, "pos"], "sentence", stop, distinct=True)
@@ -122,7 +182,7 @@ def candidates(sents: DataFrame, key: str, text_col_docs: DataFrame, text_col: s
     long_docs = text_col_docs.join(long_keys, key, "left_semi")
     long_sents = sents.join(long_keys, key, "left_semi")
     short_sents = sents.join(long_keys, key, "left_anti")
-    ranks = word_pagerank(cooccurrence_edges(long_docs, key, text_col, stop), key)
+    ranks = doc_word_ranks(long_docs, key, text_col, stop)
     scores = sentence_scores(long_sents, key, ranks, stop)
     w = Window.partitionBy(key).orderBy(F.round("score", SCORE_DIGITS).desc(), F.col("pos").asc())
     kept = (long_sents.join(scores, [key, "pos"], "left")

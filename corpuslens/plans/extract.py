@@ -205,7 +205,7 @@ def q_cooccurrence_edges(spark, sf_dir):
 def q_word_pagerank(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     stop = TR.stop_words(docs, "doc_id", "text")
-    ranks = TR.word_pagerank(TR.cooccurrence_edges(docs, "doc_id", "text", stop), "doc_id")
+    ranks = TR.doc_word_ranks(docs, "doc_id", "text", stop)
     return ranks.select("doc_id", "word", r6("rank").alias("rank"))
 
 
