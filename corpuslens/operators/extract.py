@@ -30,27 +30,33 @@ def ranking_input(article_col: str, opts: TransformOptions):
     return text.preprocess_text(src) if opts.preprocess else src
 
 
+def guarded_sentences(text_col: str):
+    """Sentence array of a text; blank or null text gives an empty array."""
+    return F.when(text.is_blank(text_col), F.array().cast("array<string>")).otherwise(
+        segment.sentences(text_col))
+
+
 def sentence_rows(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """(key, pos, sentence) with 1-based positions; blank texts give none."""
-    guarded = F.when(text.is_blank(text_col), F.array().cast("array<string>")).otherwise(
-        segment.sentences(text_col))
-    ex = docs.select(key, F.posexplode(guarded).alias("pos", "sentence"))
+    ex = docs.select(key, F.posexplode(guarded_sentences(text_col)).alias("pos", "sentence"))
     return ex.select(key, (F.col("pos") + 1).alias("pos"), "sentence")
 
 
-def tfidf_terms(docs: DataFrame, sents: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Sentence term counts and document term weights.
+def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, term, tf, idf, w) of every document.
 
-    Returns (sent_tf: key, pos, term, tf) and
-    (doc_terms: key, term, tf, idf, w).  Document counts are the sums of
-    the sentence counts (no second pass over the text).
+    Words never cross a sentence boundary, so the document's counts are the
+    counts of its whole text (blank texts have no words either way).
     """
-    sent_tf = vectors.term_counts(sents, [key, "pos"], "sentence")
-    doc_tf = sent_tf.groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    doc_tf = vectors.term_counts(docs, [key], text_col)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     idf = vectors.idf_table(doc_tf, key, n_docs)
-    doc_terms = doc_tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    return sent_tf, doc_terms
+    return doc_tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
+
+
+def tfidf_terms(docs: DataFrame, sents: DataFrame, key: str, text_col: str = "text"):
+    """Sentence term counts (key, pos, term, tf) and document term weights."""
+    return vectors.term_counts(sents, [key, "pos"], "sentence"), document_terms(docs, key, text_col)
 
 
 def sentence_cosines(sent_tf: DataFrame, doc_terms: DataFrame, key: str) -> DataFrame:
@@ -78,15 +84,15 @@ def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: boo
     every later per-document aggregation, window and (document, x) join can
     reuse that partitioning instead of shuffling exploded sentence/term rows.
     """
-    docs = docs.select(key, text_col).repartition(key)
-    sents = sentence_rows(docs, key, text_col)
+    docs = docs.select(key, text_col)
     if use_textrank:
         stop = textrank.stop_words(docs, key, text_col, stop_k)
-        cands = textrank.candidates(sents, key, docs, text_col, stop)
+        with_sents = docs.select(key, text_col, guarded_sentences(text_col).alias("sents"))
+        cands = textrank.candidates(with_sents, key, text_col, stop)
     else:
-        cands = sents
-    sent_tf, doc_terms = tfidf_terms(docs, sents, key)
-    cand_tf = sent_tf.join(cands.select(key, "pos"), [key, "pos"], "left_semi")
+        cands = sentence_rows(docs, key, text_col)
+    doc_terms = document_terms(docs, key, text_col)
+    cand_tf = vectors.term_counts(cands, [key, "pos"], "sentence")
     return rank_sentences(cands, sentence_cosines(cand_tf, doc_terms, key), key)
 
 

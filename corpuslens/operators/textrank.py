@@ -162,32 +162,51 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
     return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
 
 
-def sentence_scores(sents: DataFrame, key: str, ranks: DataFrame, stop: DataFrame) -> DataFrame:
-    """(key, pos, score): sum of ranks of the distinct words of each sentence."""
-    sw = _filtered_words(sents, [key, "pos"], "sentence", stop, distinct=True)
-    words = sw.select(key, "pos", F.explode("words").alias("word"))
-    scored = words.join(ranks, [key, "word"], "left")
-    return scored.groupBy(key, "pos").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("score"))
+def _kept_positions(words, sent_words, limit: int, lookback: int, iterations: int,
+                    damping: float) -> list[int]:
+    """1-based positions of the ``limit`` best sentences of one document."""
+    vocab, ranks = _graph_ranks(words, lookback, iterations, damping)
+    rank_of = dict(zip(vocab, ranks))
+    scores = [round(sum(rank_of.get(w, 0.0) for w in ws), SCORE_DIGITS) for ws in sent_words]
+    order = sorted(range(len(scores)), key=lambda i: (-scores[i], i))
+    return [i + 1 for i in order[:limit]]
+
+
+def candidates(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
+               limit: int = CANDIDATE_LIMIT, lookback: int = LOOKBACK,
+               iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+    """Candidate sentences (key, pos, sentence) of every document.
+
+    ``docs`` holds (key, text_col, sents) with ``sents`` the sentence array.
+    Documents with at most ``limit`` sentences keep all of them (plain
+    explode); longer ones go through the per-document kernel, which returns
+    their kept sentences directly -- no join, no shuffle.
+    """
+    n = F.size("sents")
+    short = docs.where(n <= limit).select(key, F.posexplode("sents").alias("pos", "sentence")) \
+        .select(key, (F.col("pos") + 1).alias("pos"), "sentence")
+    stop_arr = stop.select(F.collect_list("word")).scalar()
+    long_docs = docs.where(n > limit).select(key, textrank_words(text_col).alias("_w"), "sents",
+                                            stop_arr.alias("_stop"))
 
+    def drop_stop(arr):
+        return F.filter(arr, lambda x: ~F.array_contains(F.col("_stop"), x))
 
-def candidates(sents: DataFrame, key: str, text_col_docs: DataFrame, text_col: str,
-               stop: DataFrame, limit: int = CANDIDATE_LIMIT) -> DataFrame:
-    """Sentences (key, pos, sentence) kept as ranking candidates.
+    long_in = long_docs.select(
+        key, drop_stop(F.col("_w")).alias("words"), "sents",
+        F.transform("sents", lambda s: drop_stop(F.array_distinct(textrank_words(s)))).alias("sent_words"))
+    key_type = long_in.schema[key].dataType.simpleString()
 
-    ``sents`` holds every sentence with its 1-based ``pos``;
-    ``text_col_docs`` holds (key, text_col) for the same documents.
-    """
-    n_sents = sents.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = n_sents.where(F.col("_n") > limit).select(key)
-    long_docs = text_col_docs.join(long_keys, key, "left_semi")
-    long_sents = sents.join(long_keys, key, "left_semi")
-    short_sents = sents.join(long_keys, key, "left_anti")
-    ranks = doc_word_ranks(long_docs, key, text_col, stop)
-    scores = sentence_scores(long_sents, key, ranks, stop)
-    w = Window.partitionBy(key).orderBy(F.round("score", SCORE_DIGITS).desc(), F.col("pos").asc())
-    kept = (long_sents.join(scores, [key, "pos"], "left")
-            .withColumn("score", F.coalesce("score", F.lit(0.0)))
-            .withColumn("_rk", F.row_number().over(w))
-            .where(F.col("_rk") <= limit)
-            .select(key, "pos", "sentence"))
-    return short_sents.select(key, "pos", "sentence").unionByName(kept)
+    def run(batches):
+        for pdf in batches:
+            keys, poss, sents = [], [], []
+            for k, w, ss, sw in zip(pdf[key].to_numpy(), pdf["words"], pdf["sents"], pdf["sent_words"]):
+                kept = _kept_positions(list(w), [list(x) for x in sw], limit, lookback, iterations, damping)
+                keys += [k] * len(kept)
+                poss += kept
+                sents += [ss[p - 1] for p in kept]
+            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
+                                "pos": pd.Series(poss, dtype="int32"), "sentence": sents})
+
+    kept = long_in.mapInPandas(run, f"{key} {key_type}, pos int, sentence string")
+    return short.unionByName(kept)

@@ -44,11 +44,14 @@ def sparse_cosine(left: DataFrame, right: DataFrame, join_keys: Sequence[str],
     vector: (left_keys, cosine), null when either vector is zero.
     """
     jk, lk = list(join_keys), list(left_keys)
-    dot = (left.alias("l").join(right.alias("r"), jk + ["term"])
-           .groupBy(*lk).agg(F.sum(F.col("l.w") * F.col("r.w")).alias("dot")))
-    lnorm = left.groupBy(*lk).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("ln"))
+    # every left term exists on the right when the left vectors are parts of
+    # the right ones (sentences of a document); a left join keeps the rest
+    both = left.alias("l").join(right.alias("r"), jk + ["term"], "left")
+    per_left = both.groupBy(*lk).agg(
+        F.sum(F.coalesce(F.col("l.w") * F.col("r.w"), F.lit(0.0))).alias("dot"),
+        F.sqrt(F.sum(F.col("l.w") * F.col("l.w"))).alias("ln"))
     rnorm = right.groupBy(*jk).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("rn"))
-    out = lnorm.join(dot, lk, "left").join(rnorm, jk, "left")
+    out = per_left.join(rnorm, jk, "left")
     cos = F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)), F.col("ln") * F.col("rn"))
     return out.select(*lk, F.when((F.col("ln") > 0) & (F.col("rn") > 0), cos).alias("cosine"))
 

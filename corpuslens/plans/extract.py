@@ -212,9 +212,9 @@ def q_word_pagerank(spark, sf_dir):
 @query("textrank_top80", sql_ranked(TransformOptions()) + " select doc_id, cast(pos as bigint) as pos from cands")
 def q_textrank_top80(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    sents = extract.sentence_rows(docs, "doc_id", "text")
     stop = TR.stop_words(docs, "doc_id", "text")
-    cands = TR.candidates(sents, "doc_id", docs, "text", stop)
+    with_sents = docs.select("doc_id", "text", extract.guarded_sentences("text").alias("sents"))
+    cands = TR.candidates(with_sents, "doc_id", "text", stop)
     return cands.select("doc_id", F.col("pos").cast("bigint").alias("pos"))
 
 

@@ -32,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(_DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM
+        conf["spark.driver.memory"] = "12g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
