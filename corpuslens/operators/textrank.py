@@ -156,8 +156,9 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
                 keys += [k] * len(ws)
                 words += ws
                 ranks += rs
-            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "word": words,
-                                "rank": pd.Series(ranks, dtype="float64")})
+            if keys:  # an empty object column does not convert to an Arrow string array
+                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "word": words,
+                                    "rank": pd.Series(ranks, dtype="float64")})
 
     return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
 
@@ -205,8 +206,9 @@ def candidates(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
                 keys += [k] * len(kept)
                 poss += kept
                 sents += [ss[p - 1] for p in kept]
-            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
-                                "pos": pd.Series(poss, dtype="int32"), "sentence": sents})
+            if keys:
+                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
+                                    "pos": pd.Series(poss, dtype="int32"), "sentence": sents})
 
     kept = long_in.mapInPandas(run, f"{key} {key_type}, pos int, sentence string")
     return short.unionByName(kept)
