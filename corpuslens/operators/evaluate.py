@@ -16,6 +16,7 @@ from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
 from corpuslens.operators.normalize import row_mean
 from corpuslens.operators.overlap import bleu_from_overlap, ngram_overlap
+from corpuslens.session import cut_lineage
 
 # Fixed value: a word is "easy" when it occurs in at least 1/20 of documents.
 EASY_DOC_SHARE_DENOMINATOR = 20
@@ -46,8 +47,19 @@ def difficult_counts(rows: DataFrame, key: str, text_col: str, easy: DataFrame)
 def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
                 gen_col: str = "generated", ref_col: str = "reference",
                 model_col: str = "model") -> tuple[DataFrame, DataFrame]:
-    """Per-pair lexical metrics and the n-gram overlap rows (n = 1..4)."""
-    ov = ngram_overlap(pairs, key, gen_col, ref_col, (1, 2, 3, 4))
+    """Per-pair lexical metrics and the n-gram overlap rows (n = 1..4).
+
+    The pairs are hash-partitioned by key once and written to the shared
+    checkpoint folder (a checkpoint keeps its partitioning): the overlap
+    aggregation, the difficult-word count (broadcast join against the
+    bounded easy list) and the joins between them all read that one copy
+    without further shuffles, and the model column is carried through
+    instead of being joined back.  Without it each branch would re-read the
+    documents and re-split the text (differently pruned subtrees defeat
+    exchange reuse).
+    """
+    pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col).repartition(key))
+    ov = ngram_overlap(pairs, key, gen_col, ref_col, (1, 2, 3, 4), carry=[model_col], prepartitioned=True)
     f1 = F.try_divide(2.0 * F.col("matched").cast("double"),
                       (F.col("gen_total") + F.col("ref_total")).cast("double"))
     rouge = (ov.where(F.col("n") <= 2)
@@ -62,8 +74,7 @@ def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
                        rd.flesch_kincaid_grade("n_words", "n_sents", "n_syll").alias("FKGL"),
                        rd.dale_chall("n_words", "n_sents", "n_difficult").alias("DCRS"),
                        rd.coleman_liau("n_words", "n_sents", "n_letters").alias("CLI")))
-    ov_model = ov.join(pairs.select(key, model_col), key)
-    return per_doc, ov_model
+    return per_doc, ov
 
 
 def eval_report(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",

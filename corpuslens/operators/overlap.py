@@ -31,18 +31,26 @@ def _grams(words_col: str, ns: Sequence[int], side: int):
 
 
 def ngram_overlap(pairs: DataFrame, key: str, gen_col: str, ref_col: str,
-                  ns: Sequence[int] = (1, 2), num_partitions: int | None = None) -> DataFrame:
-    """(key, n, matched, gen_total, ref_total) for every pair and n in ``ns``."""
-    base = pairs.select(key, segment.words(gen_col).alias("_gw"), segment.words(ref_col).alias("_rw"))
-    base = base.repartition(num_partitions, key) if num_partitions else base.repartition(key)
+                  ns: Sequence[int] = (1, 2), num_partitions: int | None = None,
+                  carry: Sequence[str] = (), prepartitioned: bool = False) -> DataFrame:
+    """(key, carry..., n, matched, gen_total, ref_total) per pair and n in ``ns``.
+
+    ``carry`` columns (functionally dependent on the key, e.g. the model)
+    ride along the grouping so callers need no join back.  Pass
+    ``prepartitioned=True`` when ``pairs`` is already hash-partitioned by key.
+    """
+    keys = [key, *carry]
+    base = pairs.select(*keys, segment.words(gen_col).alias("_gw"), segment.words(ref_col).alias("_rw"))
+    if not prepartitioned:
+        base = base.repartition(num_partitions, key) if num_partitions else base.repartition(key)
     gen_parts, sentinels = _grams("_gw", ns, 0)
     ref_parts, _ = _grams("_rw", ns, 1)
-    exploded = base.select(key, F.explode(F.concat(*gen_parts, *ref_parts, F.array(*sentinels))).alias("g"))
+    exploded = base.select(*keys, F.explode(F.concat(*gen_parts, *ref_parts, F.array(*sentinels))).alias("g"))
     per_gram = (exploded
-                .groupBy(key, F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
+                .groupBy(*keys, F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
                 .agg(F.sum((F.col("g.side") == 0).cast("long")).alias("c_gen"),
                      F.sum((F.col("g.side") == 1).cast("long")).alias("c_ref")))
-    return (per_gram.groupBy(key, "n")
+    return (per_gram.groupBy(*keys, "n")
             .agg(F.sum(F.least("c_gen", "c_ref")).alias("matched"),
                  F.sum("c_gen").alias("gen_total"),
                  F.sum("c_ref").alias("ref_total")))
