@@ -84,7 +84,10 @@ def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: boo
     every later per-document aggregation, window and (document, x) join can
     reuse that partitioning instead of shuffling exploded sentence/term rows.
     """
-    docs = docs.select(key, text_col)
+    # One shuffle of the texts: every branch below (stop words, TextRank,
+    # document terms, sentences) reuses this exchange, gets as many tasks as
+    # there are shuffle partitions, and has the rows keyed by document.
+    docs = docs.select(key, text_col).repartition(key)
     if use_textrank:
         stop = textrank.stop_words(docs, key, text_col, stop_k)
         with_sents = docs.select(key, text_col, guarded_sentences(text_col).alias("sents"))
