@@ -23,7 +23,6 @@ SPACES_AROUND_PUNCT = r"(?U)\s*([^\w\s])\s*"
 SENTENCE_END_NO_DIGIT = r"(?U)(?<!\d)([.!?])(?!\d)(?=\S)"
 CLAUSE_MARK = r"(?U)([,;:%])(?=\S)"
 WHITESPACE_RUN = r"(?U)\s+"
-EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
 # The characters Java's (?U)\s matches (Unicode White_Space), for trim().
 UNICODE_WHITESPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
                       "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")

@@ -171,8 +171,7 @@ EXTRACT = TransformOptions(extract=True)
        + f" select doc_id, term, cast(tf as bigint) as tf, {q.r6('w')} as w from dw")
 def q_tfidf_vectors(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    sents = extract.sentence_rows(docs, "doc_id", "text")
-    _, doc_terms = extract.tfidf_terms(docs, sents, "doc_id")
+    doc_terms = extract.document_terms(docs, "doc_id", "text")
     return doc_terms.select("doc_id", "term", F.col("tf").cast("bigint").alias("tf"), r6("w").alias("w"))
 
 
