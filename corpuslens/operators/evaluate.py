@@ -58,7 +58,10 @@ def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
     documents and re-split the text (differently pruned subtrees defeat
     exchange reuse).
     """
-    pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col).repartition(key))
+    # an explicit partition count: AQE would otherwise coalesce these short
+    # texts into a few partitions, starving the n-gram explode that follows
+    n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col).repartition(n_parts, key))
     ov = ngram_overlap(pairs, key, gen_col, ref_col, (1, 2, 3, 4), carry=[model_col], prepartitioned=True)
     f1 = F.try_divide(2.0 * F.col("matched").cast("double"),
                       (F.col("gen_total") + F.col("ref_total")).cast("double"))
