@@ -34,11 +34,14 @@ def epoch_schedule(data_split: float, epochs: int = 1, mode: str = "compat") ->
         end = int(min(begin + data_split * 100, 100))
         out.append((trained + 1, begin, end))
     if mode == "exact":
-        fixed = []
-        for i, (e, b, _) in enumerate(out):
-            nxt = out[i + 1][1] if i + 1 < len(out) and out[i + 1][1] > b else 100
-            fixed.append((e, b, nxt))
-        out = fixed
+        # slice i of a cycle is [b(i), b(i + 1)), the last one ends at 100;
+        # b(i) drops float noise (29 * 0.01 * 100 is 28.999...) before flooring
+        def b(i):
+            return min(int(math.floor(i * data_split * 100 + 1e-9)), 100)
+        out = []
+        for trained in range(needed):
+            i = trained % split_epochs
+            out.append((trained + 1, b(i), 100 if i == split_epochs - 1 else b(i + 1)))
     elif mode != "compat":
         raise ValueError("mode must be 'compat' or 'exact'")
     return out
