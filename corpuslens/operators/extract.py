@@ -67,13 +67,27 @@ def sentence_cosines(sent_tf: DataFrame, doc_terms: DataFrame, key: str) -> Data
     return vectors.sparse_cosine(sv, dv, [key], [key, "pos"])
 
 
-def rank_sentences(cands: DataFrame, cos: DataFrame, key: str) -> DataFrame:
-    """(key, rank, pos, sentence, cosine): best first, ties by sentence text desc."""
+def rank_sentences_by_terms(cands: DataFrame, doc_terms: DataFrame, key: str) -> DataFrame:
+    """Cosine ranking that consumes the candidate table exactly once.
+
+    The sentence text rides along the term aggregation, so the candidates
+    (which may come from a Python kernel) are not read by two branches;
+    ``explode_outer`` keeps sentences without words (their cosine is null).
+    """
+    terms = cands.select(key, "pos", "sentence", F.explode_outer(segment.words("sentence")).alias("term"))
+    tf = terms.groupBy(key, "pos", "sentence", "term").agg(F.count("term").alias("tf"))
+    dt = doc_terms.select(key, "term", "idf", F.col("w").alias("wd"))
+    ws = F.col("tf") * F.col("idf")
+    per = (tf.join(dt, [key, "term"], "left")
+           .groupBy(key, "pos", "sentence")
+           .agg(F.sum(F.coalesce(ws * F.col("wd"), F.lit(0.0))).alias("dot"),
+                F.sqrt(F.sum(ws * ws)).alias("ln")))
+    dnorm = doc_terms.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("rn"))
+    cos = F.when((F.col("ln") > 0) & (F.col("rn") > 0), F.try_divide(F.col("dot"), F.col("ln") * F.col("rn")))
+    scored = per.join(dnorm, key, "left").select(key, "pos", "sentence", cos.alias("cosine"))
     w = Window.partitionBy(key).orderBy(F.round("cosine", COSINE_DIGITS).desc_nulls_last(),
                                         F.col("sentence").desc(), F.col("pos").asc())
-    return (cands.join(cos, [key, "pos"], "left")
-            .withColumn("rank", F.row_number().over(w))
-            .select(key, "rank", "pos", "sentence", "cosine"))
+    return scored.withColumn("rank", F.row_number().over(w)).select(key, "rank", "pos", "sentence", "cosine")
 
 
 def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
@@ -95,8 +109,7 @@ def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: boo
     else:
         cands = sentence_rows(docs, key, text_col)
     doc_terms = document_terms(docs, key, text_col)
-    cand_tf = vectors.term_counts(cands, [key, "pos"], "sentence")
-    return rank_sentences(cands, sentence_cosines(cand_tf, doc_terms, key), key)
+    return rank_sentences_by_terms(cands, doc_terms, key)
 
 
 def ranked_lists(docs: DataFrame, ranked: DataFrame, key: str) -> DataFrame:

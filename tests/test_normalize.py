@@ -56,3 +56,11 @@ def test_tie_verdict(spark):
     a = spark.createDataFrame([("BLEU", 8.0)], "metric string, a double")
     b = spark.createDataFrame([("BLEU", 8.0)], "metric string, b double")
     assert compare.pairwise_wins(a, b, [], "A", "B").first().verdict == "Tie"
+
+
+def test_ranges_per_group(spark):
+    df = spark.createDataFrame([("a", "train", 1.0), ("b", "train", 3.0), ("c", "valid", 10.0), ("d", "valid", 20.0)],
+                               "model string, split string, X double")
+    out = normalize.minmax_normalize(df, ["X"], [], "null", partition_by=["split"])
+    got = {r.model: r.X for r in out.collect()}
+    assert got == {"a": 0.0, "b": 1.0, "c": 0.0, "d": 1.0}

@@ -38,3 +38,9 @@ def test_no_python_in_expression_queries(spark, key):
 def test_word_frequencies_is_distributed_top_k(spark):
     plan = _plan(E.queries()["word_frequencies"](spark, SMALL_SF))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_four_lengths_share_one_ranking(spark):
+    plan = _plan(E.queries()["extract_wide"](spark, SMALL_SF))
+    assert plan.count("Window [row_number()") == 1
+    assert plan.count("MapInPandas") <= 1     # the kernel output is materialised once
