@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,7 +75,6 @@ def pandas_encoder(fn: Callable, dim: int | None = None):
     The model is created lazily inside ``fn`` on each executor; Spark sends
     text in Arrow batches, never row by row.
     """
-    import pandas as pd
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(texts: pd.Series) -> pd.Series:

@@ -52,3 +52,25 @@ def test_variant_names():
     assert variant_name("plos", "test", TransformOptions(extract=True, exclude_abstract=True,
                                                          concat_abstract=True, preprocess=True), 20) == \
         "plos_test_extractive_20_exclude_abstract_concat_abstract_preprocessed"
+
+
+def test_pluggable_dense_encoder(spark):
+    import numpy as np
+
+    from corpuslens.operators import vectors
+
+    def encode(texts):  # a stand-in model: letter histogram per text
+        out = []
+        for t in texts:
+            v = np.zeros(26, dtype=np.float32)
+            for ch in t.lower():
+                if "a" <= ch <= "z":
+                    v[ord(ch) - 97] += 1
+            out.append(v.tolist())
+        return out
+
+    enc = vectors.pandas_encoder(encode)
+    df = spark.createDataFrame([(1, "abc abc", "abc"), (2, "xyz", "abc"), (3, "", "abc")],
+                               "id int, s string, d string")
+    got = {r.id: r.c for r in df.select("id", vectors.dense_cosine(enc("s"), enc("d")).alias("c")).collect()}
+    assert got[1] == pytest.approx(1.0) and got[2] == pytest.approx(0.0) and got[3] is None
