@@ -16,7 +16,7 @@ from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
 from corpuslens.operators.normalize import row_mean
 from corpuslens.operators.overlap import bleu_from_overlap, ngram_overlap
-from corpuslens.session import cut_lineage
+from corpuslens.session import bucketed_copy
 
 # Fixed value: a word is "easy" when it occurs in at least 1/20 of documents.
 EASY_DOC_SHARE_DENOMINATOR = 20
@@ -49,19 +49,13 @@ def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
                 model_col: str = "model") -> tuple[DataFrame, DataFrame]:
     """Per-pair lexical metrics and the n-gram overlap rows (n = 1..4).
 
-    The pairs are hash-partitioned by key once and written to the shared
-    checkpoint folder (a checkpoint keeps its partitioning): the overlap
-    aggregation, the difficult-word count (broadcast join against the
-    bounded easy list) and the joins between them all read that one copy
-    without further shuffles, and the model column is carried through
-    instead of being joined back.  Without it each branch would re-read the
-    documents and re-split the text (differently pruned subtrees defeat
-    exchange reuse).
+    The pairs are written once as a table bucketed by key in the shared
+    folder: the overlap aggregation, the difficult-word count (broadcast join
+    against the bounded easy list) and the joins between them all read that
+    one copy without further shuffles, and the model column is carried
+    through instead of being joined back.
     """
-    # an explicit partition count: AQE would otherwise coalesce these short
-    # texts into a few partitions, starving the n-gram explode that follows
-    n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col).repartition(n_parts, key))
+    pairs = bucketed_copy(pairs.select(key, model_col, gen_col, ref_col), key, "eval_pairs")
     ov = ngram_overlap(pairs, key, gen_col, ref_col, (1, 2, 3, 4), carry=[model_col], prepartitioned=True)
     f1 = F.try_divide(2.0 * F.col("matched").cast("double"),
                       (F.col("gen_total") + F.col("ref_total")).cast("double"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import segment, text
 from corpuslens.operators import textrank, vectors
 from corpuslens.options import SUMMARY_LENGTHS, TransformOptions
+from corpuslens.session import bucketed_copy
 
 # Fixed value: similarity digits kept before ranking, so ties break on the
 # sentence text identically in every engine despite summation order.
@@ -98,10 +99,13 @@ def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: boo
     every later per-document aggregation, window and (document, x) join can
     reuse that partitioning instead of shuffling exploded sentence/term rows.
     """
-    # One shuffle of the texts: every branch below (stop words, TextRank,
-    # document terms, sentences) reuses this exchange, gets as many tasks as
-    # there are shuffle partitions, and has the rows keyed by document.
-    docs = docs.select(key, text_col).repartition(key)
+    # One shuffle of the texts, written once as a table bucketed by document
+    # in the shared folder: every branch below (stop words, TextRank,
+    # document terms, sentences) reads that copy, and per-document
+    # aggregations on it need no further shuffle.  (A plain repartition is
+    # not reused across branches: inferred not-null filters are pushed below
+    # it differently per branch, so each branch would shuffle the text again.)
+    docs = bucketed_copy(docs.select(key, text_col), key, "rank_docs")
     if use_textrank:
         stop = textrank.stop_words(docs, key, text_col, stop_k)
         with_sents = docs.select(key, text_col, guarded_sentences(text_col).alias("sents"))

@@ -72,7 +72,30 @@ def cut_lineage(df):
     """Materialise ``df`` into the shared checkpoint folder (reliable, eager).
 
     The result survives executor loss (it is re-read from the shared folder,
-    not recomputed) and keeps its partitioning and in-partition order.
+    not recomputed) and keeps its physical partitions and in-partition order.
+    The planner does not see a hash partitioning on it; use ``bucketed_copy``
+    when later stages should reuse a partitioning by key.
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def bucketed_copy(df, key: str, name: str, buckets: int | None = None):
+    """Write ``df`` once as a table bucketed by ``key`` in the shared folder.
+
+    Reading it back, the planner knows every row of a key sits in one
+    bucket, so later aggregations, windows and joins keyed by ``key`` (or by
+    ``key`` plus more columns) run without another shuffle -- unlike a
+    checkpoint, whose partitioning the planner does not see.  Falls back to
+    a checkpoint when the session catalog cannot hold bucketed tables.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, name)
+    table = f"corpuslens_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
+    try:
+        (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key)
+         .option("path", path).saveAsTable(table))
+    except Exception:  # e.g. a catalog without bucketing support
+        return cut_lineage(df.repartition(n, key))
+    return spark.table(table)
