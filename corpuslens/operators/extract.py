@@ -91,29 +91,74 @@ def rank_sentences_by_terms(cands: DataFrame, doc_terms: DataFrame, key: str) ->
     return scored.withColumn("rank", F.row_number().over(w)).select(key, "rank", "pos", "sentence", "cosine")
 
 
-def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
-                     stop_k: int = textrank.STOP_WORDS_K) -> DataFrame:
-    """Full extract-and-rank for (key, text_col) rows.
+def sentence_term_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, pos, term, tf) of every sentence; a sentence without words keeps
+    one row with a null term, so every sentence gets a (null) cosine."""
+    sents = docs.select(key, F.posexplode(guarded_sentences(text_col)).alias("_p", "sentence"))
+    terms = sents.select(key, (F.col("_p") + 1).alias("pos"), F.explode_outer(segment.words("sentence")).alias("term"))
+    return terms.groupBy(key, "pos", "term").agg(F.count("term").alias("tf"))
+
+
+def cosine_lists(docs: DataFrame, st: DataFrame, key: str) -> DataFrame:
+    """(key, cos_by_pos: array<struct<pos, cosine>>) sorted by position.
 
-    The documents are hash-partitioned by key once (one shuffle of the texts);
-    every later per-document aggregation, window and (document, x) join can
-    reuse that partitioning instead of shuffling exploded sentence/term rows.
+    TF-IDF cosine of each sentence to its document.  Only numbers and terms
+    are shuffled here; sentence text stays in the document table.
     """
-    # One shuffle of the texts, written once as a table bucketed by document
-    # in the shared folder: every branch below (stop words, TextRank,
-    # document terms, sentences) reads that copy, and per-document
-    # aggregations on it need no further shuffle.  (A plain repartition is
-    # not reused across branches: inferred not-null filters are pushed below
-    # it differently per branch, so each branch would shuffle the text again.)
-    docs = bucketed_copy(docs.select(key, text_col), key, "rank_docs")
+    doc_tf = st.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    idf = vectors.idf_table(doc_tf, key, n_docs)
+    dt = doc_tf.join(idf, "term").select(key, "term", "idf", (F.col("tf") * F.col("idf")).alias("wd"))
+    ws = F.col("tf") * F.col("idf")
+    per = (st.join(dt, [key, "term"], "left").groupBy(key, "pos")
+           .agg(F.sum(F.coalesce(ws * F.col("wd"), F.lit(0.0))).alias("dot"), F.sqrt(F.sum(ws * ws)).alias("ln")))
+    dnorm = dt.groupBy(key).agg(F.sqrt(F.sum(F.col("wd") * F.col("wd"))).alias("rn"))
+    cos = F.when((F.col("ln") > 0) & (F.col("rn") > 0), F.try_divide(F.col("dot"), F.col("ln") * F.col("rn")))
+    scored = per.join(dnorm, key, "left").select(key, "pos", cos.alias("cosine"))
+    return scored.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "cosine"))).alias("cos_by_pos"))
+
+
+def ranked_documents(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
+                     stop_k: int = textrank.STOP_WORDS_K, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry..., ranked: array<struct<c9, sentence, negpos, cosine>>), best first.
+
+    The documents are written once as a table bucketed by key in the shared
+    folder (the only shuffle of text).  Cosines and TextRank positions are
+    computed as number/term rows and joined back per document; the final
+    ordering -- rounded cosine desc, sentence text desc, position asc -- is a
+    sort of each document's own sentence array, in the row.  A document's
+    arrays are bounded by its length.  (A plain repartition would not be
+    reused across branches: inferred not-null filters are pushed below it
+    differently per branch.)
+    """
+    docs = bucketed_copy(docs.select(key, text_col, *carry), key, "rank_docs")
+    st = sentence_term_counts(docs, key, text_col)
+    joined = docs.join(cosine_lists(docs, st, key), key, "left")
     if use_textrank:
         stop = textrank.stop_words(docs, key, text_col, stop_k)
         with_sents = docs.select(key, text_col, guarded_sentences(text_col).alias("sents"))
-        cands = textrank.candidates(with_sents, key, text_col, stop)
+        joined = joined.join(textrank.kept_position_lists(with_sents, key, text_col, stop), key, "left")
     else:
-        cands = sentence_rows(docs, key, text_col)
-    doc_terms = document_terms(docs, key, text_col)
-    return rank_sentences_by_terms(cands, doc_terms, key)
+        joined = joined.withColumn("keep", F.lit(None).cast("array<int>"))
+
+    def item(s, i):
+        c = F.try_element_at(F.col("cos_by_pos"), i + 1).getField("cosine")
+        return F.struct(F.round(c, COSINE_DIGITS).alias("c9"), s.alias("sentence"), (-(i + 1)).alias("negpos"),
+                        c.alias("cosine"))
+
+    items = F.transform(guarded_sentences(text_col), item)
+    kept = F.when(F.col("keep").isNull(), items).otherwise(
+        F.filter(items, lambda x: F.array_contains(F.col("keep"), -x.getField("negpos"))))
+    return joined.select(key, *carry, F.sort_array(kept, asc=False).alias("ranked"))
+
+
+def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
+                     stop_k: int = textrank.STOP_WORDS_K) -> DataFrame:
+    """(key, rank, pos, sentence, cosine) rows of the ranking."""
+    r = ranked_documents(docs, key, text_col, use_textrank, stop_k)
+    ex = r.select(key, F.posexplode("ranked").alias("_i", "_x"))
+    return ex.select(key, (F.col("_i") + 1).alias("rank"), (-F.col("_x.negpos")).alias("pos"),
+                     F.col("_x.sentence").alias("sentence"), F.col("_x.cosine").alias("cosine"))
 
 
 def ranked_lists(docs: DataFrame, ranked: DataFrame, key: str) -> DataFrame:
@@ -133,15 +178,15 @@ def summary_of(ranked_col: str, n: int, abstract_col: str | None = None):
 
 def extract_wide(corpus: DataFrame, opts: TransformOptions, key: str = "doc_id",
                  lengths: Sequence[int] = SUMMARY_LENGTHS, use_textrank: bool = True) -> DataFrame:
-    """(key, article, summary, extracted_summary_<n> for each n)."""
-    inp = corpus.select(key, ranking_input("article", opts).alias("_input"))
-    ranked = ranked_sentences(inp, key, "_input", use_textrank)
-    lists = ranked_lists(inp, ranked, key)
-    base = corpus.select(key, "article", "summary", text.abstract_of("article").alias("_abstract"))
-    joined = base.join(lists, key, "left")
+    """(key, article, summary, extracted_summary_<n> for each n): one ranking,
+    every length sliced from it in the same projection."""
+    inp = corpus.select(key, ranking_input("article", opts).alias("_input"), "article", "summary")
+    r = ranked_documents(inp, key, "_input", use_textrank, carry=["article", "summary"])
+    lists = F.transform("ranked", lambda x: x.getField("sentence"))
+    out = r.select(key, "article", "summary", text.abstract_of("article").alias("_abstract"), lists.alias("_r"))
     abstract = "_abstract" if opts.concat_abstract else None
-    return joined.select(key, "article", "summary",
-                         *[summary_of("ranked", n, abstract).alias(f"extracted_summary_{n}") for n in lengths])
+    return out.select(key, "article", "summary",
+                      *[summary_of("_r", n, abstract).alias(f"extracted_summary_{n}") for n in lengths])
 
 
 def extract_long(wide: DataFrame, key: str = "doc_id", lengths: Sequence[int] = SUMMARY_LENGTHS) -> DataFrame:

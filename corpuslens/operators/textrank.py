@@ -212,3 +212,37 @@ def candidates(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
 
     kept = long_in.mapInPandas(run, f"{key} {key_type}, pos int, sentence string")
     return short.unionByName(kept)
+
+
+def kept_position_lists(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
+                        limit: int = CANDIDATE_LIMIT, lookback: int = LOOKBACK,
+                        iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
+    """(key, keep: array<int>) -- kept sentence positions of long documents.
+
+    ``docs`` holds (key, text_col, sents).  Only documents with more than
+    ``limit`` sentences appear; only word lists go to the kernel and only
+    positions come back, so no sentence text travels anywhere.
+    """
+    stop_arr = stop.select(F.collect_list("word")).scalar()
+    long_docs = docs.where(F.size("sents") > limit).select(
+        key, textrank_words(text_col).alias("_w"), "sents", stop_arr.alias("_stop"))
+
+    def drop_stop(arr):
+        return F.filter(arr, lambda x: ~F.array_contains(F.col("_stop"), x))
+
+    long_in = long_docs.select(
+        key, drop_stop(F.col("_w")).alias("words"),
+        F.transform("sents", lambda t: drop_stop(F.array_distinct(textrank_words(t)))).alias("sent_words"))
+    key_type = long_in.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            keys, keeps = [], []
+            for k, w, sw in zip(pdf[key].to_numpy(), pdf["words"], pdf["sent_words"]):
+                keys.append(k)
+                keeps.append(_kept_positions(list(w), [list(x) for x in sw], limit, lookback, iterations, damping))
+            if keys:
+                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "keep": keeps})
+
+    return long_in.mapInPandas(run, f"{key} {key_type}, keep array<int>")
+
