@@ -179,39 +179,14 @@ def candidates(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
     """Candidate sentences (key, pos, sentence) of every document.
 
     ``docs`` holds (key, text_col, sents) with ``sents`` the sentence array.
-    Documents with at most ``limit`` sentences keep all of them (plain
-    explode); longer ones go through the per-document kernel, which returns
-    their kept sentences directly -- no join, no shuffle.
+    Documents with at most ``limit`` sentences keep all of them; longer ones
+    keep the positions the per-document kernel returns.
     """
-    n = F.size("sents")
-    short = docs.where(n <= limit).select(key, F.posexplode("sents").alias("pos", "sentence")) \
-        .select(key, (F.col("pos") + 1).alias("pos"), "sentence")
-    stop_arr = stop.select(F.collect_list("word")).scalar()
-    long_docs = docs.where(n > limit).select(key, textrank_words(text_col).alias("_w"), "sents",
-                                            stop_arr.alias("_stop"))
-
-    def drop_stop(arr):
-        return F.filter(arr, lambda x: ~F.array_contains(F.col("_stop"), x))
-
-    long_in = long_docs.select(
-        key, drop_stop(F.col("_w")).alias("words"), "sents",
-        F.transform("sents", lambda s: drop_stop(F.array_distinct(textrank_words(s)))).alias("sent_words"))
-    key_type = long_in.schema[key].dataType.simpleString()
-
-    def run(batches):
-        for pdf in batches:
-            keys, poss, sents = [], [], []
-            for k, w, ss, sw in zip(pdf[key].to_numpy(), pdf["words"], pdf["sents"], pdf["sent_words"]):
-                kept = _kept_positions(list(w), [list(x) for x in sw], limit, lookback, iterations, damping)
-                keys += [k] * len(kept)
-                poss += kept
-                sents += [ss[p - 1] for p in kept]
-            if keys:
-                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype),
-                                    "pos": pd.Series(poss, dtype="int32"), "sentence": sents})
-
-    kept = long_in.mapInPandas(run, f"{key} {key_type}, pos int, sentence string")
-    return short.unionByName(kept)
+    keep = kept_position_lists(docs, key, text_col, stop, limit, lookback, iterations, damping)
+    ex = docs.join(keep, key, "left").select(key, "keep", F.posexplode("sents").alias("_p", "sentence"))
+    ex = ex.select(key, (F.col("_p") + 1).alias("pos"), "sentence", "keep")
+    return ex.where(F.col("keep").isNull() | F.array_contains(F.col("keep"), F.col("pos"))) \
+        .select(key, "pos", "sentence")
 
 
 def kept_position_lists(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
