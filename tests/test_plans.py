@@ -45,3 +45,17 @@ def test_four_lengths_share_one_ranking(spark):
     assert plan.count("sort_array(") == 1      # one ranking, sorted inside each document row
     assert "Window" not in plan
     assert plan.count("MapInPandas") <= 1      # the TextRank kernel runs once per long document
+
+
+def test_ranking_never_shuffles_sentence_text(spark):
+    df = E.queries()["extract_wide"](spark, SMALL_SF)
+    exchanges = []
+    node = df._jdf.queryExecution().executedPlan()
+    plan = node.toString()
+    for line in plan.split("\n"):
+        if "Exchange hashpartitioning" in line:
+            exchanges.append(line)
+    assert exchanges, "expected the term-frequency exchanges"
+    assert not any("sentence" in e for e in exchanges), exchanges
+    # the shuffled keys are terms or words only (documents come from one bucketed table)
+    assert all("term" in e or "word" in e for e in exchanges), exchanges
