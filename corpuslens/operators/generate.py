@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from corpuslens.functions import text
+from corpuslens.session import ship_package
 
 # Default batch size of generation and the same sentence
 # pattern as functions.segment, for the Python default model.
@@ -44,6 +45,7 @@ def generate(df: DataFrame, fn: Callable[[list[str]], list[str]], key: str = "do
              input_col: str = "prompt", output_col: str = "summary",
              batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
     """(key, output_col) for every row, outputs stripped of edge whitespace."""
+    ship_package(df.sparkSession)
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.session import cut_lineage
+from corpuslens.session import cut_lineage, ship_package
 
 # Algorithm parameters.
 TEXTRANK_WORD_PATTERN = r"\p{L}{3,}"
@@ -145,6 +145,7 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
                    lookback: int = LOOKBACK, iterations: int = ITERATIONS,
                    damping: float = DAMPING) -> DataFrame:
     """(key, word, rank) computed per document row, without any shuffle."""
+    ship_package(docs.sparkSession)
     fw = _filtered_words(docs, [key], text_col, stop)
     key_type = fw.schema[key].dataType.simpleString()
 
@@ -198,6 +199,7 @@ def kept_position_lists(docs: DataFrame, key: str, text_col: str, stop: DataFram
     ``limit`` sentences appear; only word lists go to the kernel and only
     positions come back, so no sentence text travels anywhere.
     """
+    ship_package(docs.sparkSession)
     stop_arr = stop.select(F.collect_list("word")).scalar()
     long_docs = docs.where(F.size("sents") > limit).select(
         key, textrank_words(text_col).alias("_w"), "sents", stop_arr.alias("_stop"))

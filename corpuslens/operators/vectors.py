@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions import segment
+from corpuslens.session import ship_package
 
 
 def term_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
@@ -75,6 +76,11 @@ def pandas_encoder(fn: Callable, dim: int | None = None):
     The model is created lazily inside ``fn`` on each executor; Spark sends
     text in Arrow batches, never row by row.
     """
+    from pyspark.sql import SparkSession
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(texts: pd.Series) -> pd.Series:

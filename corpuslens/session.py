@@ -99,3 +99,36 @@ def bucketed_copy(df, key: str, name: str, buckets: int | None = None):
     except Exception:  # e.g. a catalog without bucketing support
         return cut_lineage(df.repartition(n, key))
     return spark.table(table)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpuslens`` importable in Python workers, like ``--py-files``.
+
+    Functions run by ``mapInPandas`` / pandas UDFs refer to this package's
+    helpers by module name, so executors must be able to import it.  The
+    package sources are zipped once per application and added with
+    ``addPyFile``; Spark distributes the file to every executor.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import corpuslens
+    pkg_dir = os.path.dirname(os.path.abspath(corpuslens.__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="corpuslens-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, files in os.walk(pkg_dir):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
