@@ -20,13 +20,14 @@ FAST = ["preprocess_text", "remove_brackets", "remove_cutoff", "postprocess", "s
         "percent_slice", "slice_schedule", "slice_assign", "variant_name", "variant_fulltext",
         "inline_json_records", "embedding_cosine_topk", "extract_top10", "textrank_top80"]
 
-KEYS = sorted(E.queries()) if os.environ.get("CORPUSLENS_FULL_ORACLE") else FAST
+KEYS = sorted(E.catalog.queries()) if os.environ.get("CORPUSLENS_FULL_ORACLE") else FAST
 
 
 def test_every_query_has_an_oracle_or_is_listed():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
-    assert set(qs) - set(orc) == set()
+    core = set(E.catalog.queries())
+    assert core - set(orc) == set()
 
 
 @pytest.mark.parametrize("key", KEYS)
