@@ -44,6 +44,16 @@ def saved(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+#: a table is broadcast only if its counted rows stay below this
+BROADCAST_BYTES = 16 << 20
+
+
+def sized(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` (a checkpoint) with a broadcast hint if its counted size is
+    small; else as it is, for a shuffled join that AQE can split."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning stars of the links a[i]-b[i]: (node, smallest node of its part).
 

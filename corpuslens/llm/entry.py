@@ -6,7 +6,7 @@ import importlib
 
 from corpuslens.llm import common
 
-_MODULES = ["mixing", "chat"]
+_MODULES = ["mixing", "chat", "exact", "sharding", "simhash"]
 
 
 def _load():
