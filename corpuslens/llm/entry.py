@@ -6,7 +6,7 @@ import importlib
 
 from corpuslens.llm import common
 
-_MODULES = ["mixing", "chat", "exact", "sharding", "simhash"]
+_MODULES = ["mixing", "chat", "exact", "sharding", "simhash", "packing"]
 
 
 def _load():
