@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +52,16 @@ def sized(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` as one struct ``_row``, so that no helper
+    column can clash with them; ``unboxed`` gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def unboxed(df: DataFrame, *more):
+    return df.select("_row.*", *more)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning stars of the links a[i]-b[i]: (node, smallest node of its part).
 
@@ -92,6 +100,3 @@ def runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def empty_if_null(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
-
-
-Batches = Iterator

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import SPACE, empty_if_null, prepared, query, saved, sized, table
+from corpuslens.llm.common import SPACE, boxed, empty_if_null, prepared, query, saved, sized, table, unboxed
 
 #: bytes that a task's trie may hold before it spills a subtree
 TRIE_BYTES = 48 << 20
@@ -192,8 +192,10 @@ def _own(batches):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = empty_if_null()
-    return docs.withColumns({"_norm": F.translate(text, SPACE, ""), "_chars": F.length(text).cast("long")})
+    text = empty_if_null("_row.text")
+    return boxed(docs).withColumns({
+        "doc_id": F.col("_row.doc_id").cast("long"), "chars": F.length(text).cast("long"),
+        "norm": F.translate(text, SPACE, "")})
 
 
 def owner_classes(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
@@ -201,29 +203,26 @@ def owner_classes(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     doc_id and code points, rows, and rows that equal the owner."""
     n = prepared(docs.sparkSession)
     parts = (_keyed(docs)
-             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_chars").alias("chars"),
-                     F.xxhash64("_norm").alias("hash"), F.col("_norm").cast("binary").alias("body"))
+             .select("doc_id", "chars", F.xxhash64("norm").alias("hash"), F.col("norm").cast("binary").alias("body"))
              .mapInArrow(_combine(trie_bytes), _PART))
     return (parts.repartition(n, "n_bytes", "hash").sortWithinPartitions("n_bytes", "hash")
             .mapInArrow(_own, _CLASS))
 
 
 def _with_class(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    keyed = _keyed(docs).withColumn("_sha", F.sha2("_norm", 256)).drop("_norm")
-    c = classes.select(*[F.col(x).alias(f"_c_{x}") for x in classes.columns])
-    owner = (F.col("_c_keep_id").eqNullSafe(F.col("doc_id"))) & (F.col("_c_keep_chars") == F.col("_chars"))
-    return (keyed.join(sized(c, 160), F.col("_sha") == F.col("_c_sha"), "left")
-            .withColumns({"_single": F.col("_c_sha").isNull(), "_owner": F.col("_c_sha").isNotNull() & owner}))
+    keyed = _keyed(docs).withColumn("text_sha256", F.sha2("norm", 256)).drop("norm")
+    owner = F.col("keep_id").eqNullSafe(F.col("doc_id")) & (F.col("keep_chars") == F.col("chars"))
+    return (keyed.join(sized(classes, 160), F.col("text_sha256") == F.col("sha"), "left")
+            .withColumn("kept", F.col("sha").isNull() | owner))
 
 
 def exact_groups(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
     classes = saved(owner_classes(docs, trie_bytes))
     rows = saved(_with_class(docs.select("doc_id", "text"), classes).select(
-        "doc_id", F.when(F.col("_single"), F.col("doc_id")).otherwise(F.col("_c_keep_id")).alias("keep_id"),
-        F.coalesce("_c_group_size", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("_single") | F.col("_owner")).alias("kept"),
-        F.col("_sha").alias("text_sha256"), (F.coalesce("_c_ties", F.lit(1)) > 1).alias("tied")))
+        "doc_id", F.when(F.col("sha").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "kept", "text_sha256",
+        (F.coalesce("ties", F.lit(1)) > 1).alias("tied")))
     twice = F.col("kept") & F.col("tied")
     plain = rows.filter(~twice).drop("tied")
     # rows that repeat the owner: count them, then one of them stays
@@ -236,12 +235,12 @@ def exact_groups(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
 def keep_owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     classes = saved(owner_classes(docs, trie_bytes))
-    rows = _with_class(docs, classes).filter("_single or _owner")
+    rows = _with_class(docs, classes).filter("kept")
     if classes.filter("ties > 1").isEmpty():
-        return rows.select(*docs.columns)
-    tied = F.coalesce("_c_ties", F.lit(1)) > 1
-    return (rows.filter(~tied).unionByName(rows.filter(tied).dropDuplicates(["doc_id", "_sha"]))
-            .select(*docs.columns))
+        return unboxed(rows)
+    tied = F.coalesce("ties", F.lit(1)) > 1
+    # rows that repeat the owner: one of them stays
+    return unboxed(rows.filter(~tied).unionByName(rows.filter(tied).dropDuplicates(["doc_id", "text_sha256"])))
 
 
 DEDUP_SQL = r"""

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import WORD_PATTERN, empty_if_null, query, saved, table
+from corpuslens.llm.common import WORD_PATTERN, boxed, empty_if_null, query, saved, table, unboxed
 
 #: fixed values of the contract: weights by the sources' code point order
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -67,11 +67,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EP
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED,
         budget: float | None = None) -> DataFrame:
     """``docs`` plus _size, _source_size, _target, _repeats (times taken)."""
-    hashed = docs.withColumns({
-        "_size": word_count(),
-        "_hash": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
+    hashed = boxed(docs).withColumns({
+        "source": F.col("_row.source"), "_size": word_count("_row.text"),
+        "_hash": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("")))),
     })
-    narrow = saved(hashed.select("source", F.col("_size"), F.col("_hash")))
+    narrow = saved(hashed.select("source", "_size", "_hash"))
     bucket = F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")
     buckets = saved(narrow.groupBy("source", bucket).agg(F.sum("_size").alias("b_size")))
     targets = saved(source_targets(buckets.groupBy("source").agg(F.sum("b_size").alias("source_size")),
@@ -111,17 +111,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed:
                 # nothing taken inside the bucket: all hashes below it
                 F.coalesce("cut", "e_bucket", F.lit("")).alias("cut")))
     picked = hashed.join(plan, F.col("source").eqNullSafe(F.col("t_source")))
-    return picked.withColumns({
-        "_repeats": F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long"),
-        "_source_size": F.col("source_size"), "_target": F.col("target"),
-    }).select(*[docs[c] for c in docs.columns], "_size", "_source_size", "_target", "_repeats")
+    return unboxed(picked, "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+                   (F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long")).alias("_repeats"))
 
 
-def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    return (mixed.filter("_repeats > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats").cast("int"))))
-            .select(*columns))
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    mixed = mix(docs, **options)
+    return (boxed(mixed).filter("_row._repeats > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_row._repeats").cast("int"))))
+            .select("_row.*").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 MIX_SQL = r"""

@@ -10,8 +10,8 @@ once, to its place.
 
 Law ``bytes``: shard i ends as near as its keys allow to i/n of all bytes.  A
 group of equal texts stays whole if it holds at most ``group_share`` of a
-shard; a larger one is split by doc_id, so that a text which fills a third of
-the table can't unbalance the shards.
+shard, or no more than the largest document; a larger one is split by doc_id,
+so that a text which fills a third of the table can't unbalance the shards.
 
 Besides the shards' own boundaries the same search sets finer ones, so that
 each exchange partition holds about as much as its neighbours whatever the
@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import empty_if_null, prepared, query, saved, table
+from corpuslens.llm.common import boxed, empty_if_null, prepared, query, saved, table, unboxed
 
 SHARDS = 16
 #: a boundary may miss its target by this share of a shard before it is refined
 TOLERANCE = 0.001
 #: the same for boundaries inside a shard, which only divide the work
 INNER_TOLERANCE = 0.2
-GROUP_SHARE = 0.02
+GROUP_SHARE = 0.05
 PROBES = 16
 LOWEST = -(1 << 63)
 
@@ -114,7 +114,7 @@ class _Span:
 
 
 def split(narrow: DataFrame, shards: int, parts: int, tolerance=TOLERANCE, group_share=GROUP_SHARE):
-    """Boundaries over ``narrow(h, d, size)``: per exchange part its first
+    """Boundaries over ``narrow(_h, _d, _size)``: per exchange part its first
     key, the shard it belongs to and the number of rows of that shard before
     it."""
     found = count_between(narrow, [])
@@ -124,6 +124,7 @@ def split(narrow: DataFrame, shards: int, parts: int, tolerance=TOLERANCE, group
     total = spans[0].bytes
     inner = max(1, parts // shards)
     shard_bytes = total / shards
+    whole = max(shard_bytes * group_share, narrow.agg(F.max("_size")).first()[0])
     wanted = [(total * i / (shards * inner), i % inner == 0) for i in range(1, shards * inner)]
     while True:
         starts = [s.below for s in spans]
@@ -133,8 +134,7 @@ def split(narrow: DataFrame, shards: int, parts: int, tolerance=TOLERANCE, group
             miss = min(target - s.below, s.below + s.bytes - target)
             allowed = shard_bytes * (tolerance if outer else INNER_TOLERANCE / inner)
             if miss > allowed:
-                big = s.bytes > shard_bytes * group_share
-                probes.update(s.probes(split_groups=outer and big or s.bytes > shard_bytes / inner))
+                probes.update(s.probes(split_groups=s.bytes > (whole if outer else shard_bytes / inner)))
         if not probes:
             break
         keys = sorted({s.key for s in spans[1:]} | probes)
@@ -166,13 +166,14 @@ def split(narrow: DataFrame, shards: int, parts: int, tolerance=TOLERANCE, group
 def shard_rows(docs: DataFrame, shards: int = SHARDS, parts: int | None = None) -> DataFrame:
     """``docs`` with _size, _shard and _slot, exchanged once into place."""
     n = prepared(docs.sparkSession)
-    keyed = docs.withColumns({
-        "_h": F.xxhash64(empty_if_null()), "_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)),
-        "_size": F.octet_length(empty_if_null()).cast("long") + 1})
+    text = empty_if_null("_row.text")
+    keyed = boxed(docs).withColumns({
+        "_h": F.xxhash64(text), "_d": F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(LOWEST)),
+        "_size": F.octet_length(text).cast("long") + 1})
     parts = shards * -(-max(parts or n, 1) // shards)
     plan = split(saved(keyed.select("_h", "_d", "_size")), shards, parts)
     if not plan:
-        return keyed.select(*docs.columns, "_size", F.lit(0).alias("_shard"), F.lit(0).cast("long").alias("_slot"))
+        return unboxed(keyed, "_size", F.lit(0).alias("_shard"), F.lit(0).cast("long").alias("_slot"))
     keys = [k for k, _, _ in plan[1:]]
 
     @F.pandas_udf("int")
@@ -185,8 +186,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, parts: int | None = None)
     before = F.element_at(F.array(*[F.lit(b).cast("long") for _, _, b in plan]), F.col("_part") + 1)
     # one part is one sorted partition: the low 33 bits count its rows
     position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return (placed.withColumn("_position", position)
-            .select(*docs.columns, "_size", shard_of.alias("_shard"), (before + F.col("_position")).alias("_slot")))
+    return unboxed(placed.withColumn("_position", position), "_size", shard_of.alias("_shard"),
+                   (before + F.col("_position")).alias("_slot"))
 
 
 @query("op9_histogram_shards")

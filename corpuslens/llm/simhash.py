@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import empty_if_null, forest, prepared, query, runs, saved, sized, table
+from corpuslens.llm.common import boxed, empty_if_null, forest, prepared, query, runs, saved, sized, table, unboxed
 from corpuslens.llm.components import connected_components
 
 WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -194,13 +194,14 @@ def keep_first(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) ->
     rows without doc_id."""
     groups = near_groups(docs, words, max_bits)
     drop = saved(groups.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(sized(drop, 16), F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = boxed(docs).withColumn("_id", F.col("_row.doc_id").cast("long"))
+    left = rows.join(sized(drop, 16), F.col("_id") == F.col("_gone"), "left_anti")
     again = saved(groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1"))
     if again.isEmpty():
-        return left
+        return unboxed(left)
     twice = sized(again, 24)
-    return (left.join(twice, F.col("doc_id") == F.col("_again"), "left_anti")
-            .unionByName(left.join(twice, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])))
+    return unboxed(left.join(twice, F.col("_id") == F.col("_again"), "left_anti").unionByName(
+        left.join(twice, F.col("_id") == F.col("_again"), "left_semi").dropDuplicates(["_id"])))
 
 
 @query("op5_simhash_groups")
