@@ -6,7 +6,7 @@ import importlib
 
 from corpuslens.llm import common
 
-_MODULES = ["mixing", "chat", "exact", "sharding", "simhash", "packing", "langid", "toxicity", "embeddings"]
+_MODULES = ["mixing", "chat", "exact", "sharding", "simhash", "packing", "langid", "toxicity", "embeddings", "substrings"]
 
 
 def _load():
