@@ -58,8 +58,11 @@ def boxed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
-def unboxed(df: DataFrame, *more):
-    return df.select("_row.*", *more)
+def unboxed(df: DataFrame, **more) -> DataFrame:
+    """The boxed columns plus ``more``, which take the place of columns that
+    have the same names."""
+    names = [f.name for f in df.schema["_row"].dataType.fields if f.name.lower() not in more]
+    return df.select(*[F.col(f"_row.`{c}`") for c in names], *[c.alias(k) for k, c in more.items()])
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

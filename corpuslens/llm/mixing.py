@@ -64,9 +64,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EP
                     F.least(F.col("cap"), F.lit(level) * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED,
-        budget: float | None = None) -> DataFrame:
-    """``docs`` plus _size, _source_size, _target, _repeats (times taken)."""
+def planned(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED,
+            budget: float | None = None) -> DataFrame:
+    """The boxed rows of ``docs`` with size, source_size, target, repeats."""
     hashed = boxed(docs).withColumns({
         "source": F.col("_row.source"), "_size": word_count("_row.text"),
         "_hash": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("")))),
@@ -111,16 +111,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed:
                 # nothing taken inside the bucket: all hashes below it
                 F.coalesce("cut", "e_bucket", F.lit("")).alias("cut")))
     picked = hashed.join(plan, F.col("source").eqNullSafe(F.col("t_source")))
-    return unboxed(picked, "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-                   (F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long")).alias("_repeats"))
+    return picked.select("_row", F.col("_size").alias("size"), "source_size", "target",
+                         (F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long")).alias("repeats"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` plus _size, _source_size, _target, _repeats (times taken)."""
+    return unboxed(planned(docs, **options), _size=F.col("size"), _source_size=F.col("source_size"),
+                   _target=F.col("target"), _repeats=F.col("repeats"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    mixed = mix(docs, **options)
-    return (boxed(mixed).filter("_row._repeats > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_row._repeats").cast("int"))))
-            .select("_row.*").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return unboxed(planned(docs, **options).filter("repeats > 0")
+                   .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))))
 
 
 MIX_SQL = r"""

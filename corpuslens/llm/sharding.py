@@ -152,6 +152,16 @@ def split(narrow: DataFrame, shards: int, parts: int, tolerance=TOLERANCE, group
         at = bisect.bisect_right(starts, target) - 1
         if at + 1 < len(spans) and spans[at + 1].below - target < target - spans[at].below:
             at += 1
+        if outer and spans[at].key[1] != LOWEST:
+            # inner boundaries may cut a group that the shards keep whole
+            first, after = at, at
+            while spans[first].key[1] != LOWEST:
+                first -= 1
+            while after < len(spans) and spans[after].key[0] == spans[at].key[0]:
+                after += 1
+            stop = spans[after].below if after < len(spans) else total
+            if stop - spans[first].below <= whole:
+                at = after if stop - target < target - spans[first].below and after < len(spans) else first
         s = spans[at]
         if outer:
             # an empty shard keeps its number: later parts carry the higher one
@@ -173,7 +183,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, parts: int | None = None)
     parts = shards * -(-max(parts or n, 1) // shards)
     plan = split(saved(keyed.select("_h", "_d", "_size")), shards, parts)
     if not plan:
-        return unboxed(keyed, "_size", F.lit(0).alias("_shard"), F.lit(0).cast("long").alias("_slot"))
+        return unboxed(keyed, _size=F.col("_size"), _shard=F.lit(0), _slot=F.lit(0).cast("long"))
     keys = [k for k, _, _ in plan[1:]]
 
     @F.pandas_udf("int")
@@ -186,8 +196,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, parts: int | None = None)
     before = F.element_at(F.array(*[F.lit(b).cast("long") for _, _, b in plan]), F.col("_part") + 1)
     # one part is one sorted partition: the low 33 bits count its rows
     position = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return unboxed(placed.withColumn("_position", position), "_size", shard_of.alias("_shard"),
-                   (before + F.col("_position")).alias("_slot"))
+    return unboxed(placed.withColumn("_position", position), _size=F.col("_size"), _shard=shard_of,
+                   _slot=before + F.col("_position"))
 
 
 @query("op9_histogram_shards")
