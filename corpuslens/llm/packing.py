@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,18 +36,28 @@ from corpuslens.llm.common import empty_if_null, prepared, query, saved, table
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: words whose ids a task remembers before it starts afresh
-CACHED_WORDS = 400_000
+#: word stems whose ids a worker remembers, in each of two generations
+CACHED_STEMS = 300_000
+#: bytes of text whose words are looked up together
+BLOCK_BYTES = 8 << 20
+#: ASCII marks that may follow a letter; none of them joins it in a token
+_MARKS = b".,!?;:|#*$%&()-\""
+
+# How the tokenizer's vocabulary writes bytes that it can't print
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
-    """Token ids of white-space separated words, as little-endian bytes.
+    """Token ids of texts, as little-endian bytes, by their words.
 
-    The tokenizer drops white space and none of its rules reaches across it,
-    so a text's ids are those of its words in a row, and every distinct word
-    needs to be encoded only once.
+    The tokenizer drops white space, lower-cases, and none of its rules
+    reaches across white space or from a letter to a mark behind it.  So a
+    text's ids are those of its words in a row, a word's are those of its stem
+    and its trailing marks, and each distinct stem is encoded only once while
+    it is remembered.
     """
 
     def __init__(self, tokenizer: str):
@@ -55,40 +66,99 @@ class WordIds:
         if not os.path.isabs(tokenizer):
             import public_tokenizers
             tokenizer = public_tokenizers.path(tokenizer)
-        self.tokenizer, self.known = Tokenizer.from_file(tokenizer), {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, found, strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, words: list[bytes]) -> bytes:
-        missing = set(words).difference(self.known)
-        if missing:
-            self.learn(missing if len(self.known) + len(missing) <= CACHED_WORDS else set(words))
-        return b"".join(map(self.known.__getitem__, words))
+        self.tokenizer, self.young, self.old = Tokenizer.from_file(tokenizer), {}, {}
+
+    @staticmethod
+    def words(body: bytes) -> list[bytes]:
+        # special tokens in a text are recognised in lower case only: leave them
+        return (body if b"<|" in body else body.lower()).split()
+
+    @staticmethod
+    def stem(word: bytes) -> bytes:
+        """``word`` without trailing marks, if what is left ends in a letter."""
+        cut = word.rstrip(_MARKS)
+        if cut == word or not cut or cut[-1] < 128 and not cut[-1:].isalpha():
+            return word
+        return cut if cut[-1] < 128 or cut.decode()[-1].isalpha() else word
+
+    def encode(self, parts: list[bytes]) -> dict:
+        """ids of ``parts``.  Lower-case Latin words are one token of the
+        pre-tokenizer and go to its model at once; others all the way."""
+        found, rest, tokenize = {}, [], self.tokenizer.model.tokenize
+        for p in parts:
+            word = p.decode()
+            if p.isalpha() and p.islower():  # of ASCII letters
+                found[p] = array("I", [t.id for t in tokenize(word)]).tobytes()
+            elif word.isalpha() and max(word) < "\u0250" and word.lower() == word:
+                found[p] = array("I", [t.id for t in tokenize(p.decode("latin-1").translate(_BYTE_LEVEL))]).tobytes()
+            else:
+                rest.append(p)
+        for i in range(0, len(rest), 10_000):
+            part = rest[i:i + 10_000]
+            got = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
+            found.update(zip(part, (array("I", e.ids).tobytes() for e in got), strict=True))
+        return found
+
+    def remember(self, parts: set[bytes]) -> dict:
+        """ids of all ``parts``; encodes those that neither generation has."""
+        found, new, young, old = {}, [], self.young, self.old
+        for p in parts:
+            ids = young.get(p) or old.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                found[p] = ids
+        found.update(self.encode(new))
+        if len(young) + len(found) > CACHED_STEMS:
+            self.young, self.old = {}, young
+        self.young.update(found)
+        return found
+
+    def __call__(self, bodies: list[bytes]) -> list[bytes]:
+        split = [self.words(b) for b in bodies]
+        vocabulary = set().union(*split)
+        marked = {w: self.stem(w) for w in vocabulary if not 97 <= w[-1] <= 122}
+        vocabulary.difference_update(marked)
+        vocabulary.update(marked.values(), (w[len(s):] for w, s in marked.items() if len(s) < len(w)))
+        ids = self.remember(vocabulary)
+        ids.update([(w, ids[s] + ids[w[len(s):]]) for w, s in marked.items() if len(s) < len(w)])
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
+
+
+_TOKENIZERS: dict = {}
+
+
+def _text_blocks(bodies: list[bytes]):
+    start = held = 0
+    for i, b in enumerate(bodies):
+        held += len(b)
+        if held >= BLOCK_BYTES:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(bodies):
+        yield start, len(bodies)
 
 
 def _pieces(tokenizer, capacity, with_ids):
     def run(batches):
-        ids_of = WordIds(tokenizer)
+        # a worker process serves many tasks and keeps what it has learned
+        ids_of = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, WordIds(tokenizer))
         step = 4 * capacity
+        kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
+                 "ids_crc32": pa.int64(), "ids": pa.binary()}
+        if not with_ids:
+            kinds.pop("ids")
         for b in batches:
-            out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            for doc_id, body in zip(b.column("doc_id").to_pylist(), b.column("body").to_pylist(), strict=True):
-                ids = ids_of(body.split()) + b"\0\0\0\0"
-                for piece, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    for k, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part), strict=True):
-                        out[k].append(v)
-            arrays = {k: pa.array(v, t) for (k, v), t in zip(
-                out.items(), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)}
-            if not with_ids:
-                arrays.pop("ids")
-            yield pa.RecordBatch.from_pydict(arrays)
+            doc_ids, bodies = b.column("doc_id").to_pylist(), b.column("body").to_pylist()
+            for i, j in _text_blocks(bodies):
+                out = {k: [] for k in kinds}
+                for doc_id, ids in zip(doc_ids[i:j], ids_of(bodies[i:j]), strict=True):
+                    ids += b"\0\0\0\0"
+                    for piece, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        for k, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                            out[k].append(v)
+                yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
     return run
 
 

@@ -80,9 +80,14 @@ def test_words_are_tokenised_as_the_text_is():
     import public_tokenizers
     tok = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     ids = packing.WordIds(packing.TOKENIZER)
-    for text in ("Don't  STOP\tit's 12.5€ naïve Å ́x 漢字😀<|endoftext|>a b<|startoftext|>", "ΑΣ Σ ſ İ", "a b c", ""):
-        want = tok.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(ids(text.encode().split()), "<u4").tolist() == want
+    texts = ["Don't  STOP\tit's 12.5€ naïve Å ́x 漢字😀<|endoftext|>a b<|startoftext|>", "ΑΣ Σ ſ İ ß ŉ ª", "a b c", "",
+             "Wait... what?! (Yes)|no; É. é!! e\u0301! 5. x5! don't's. 's! ca't, A<|ENDOFTEXT|>! ñ*** ½.! ٣.%"]
+    rng = np.random.default_rng(0)
+    chars = list("aB'stdé\u0301É.,!?<|>5½ :\"-#*$%&() \n漢😀")
+    texts += ["".join(rng.choice(chars, 60)) for _ in range(400)]
+    texts += ["".join(map(chr, rng.integers(0x20, 0x250, 80))) for _ in range(200)]
+    for got, text in zip(ids([t.encode() for t in texts]), texts, strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
 
 
 def test_mix_messy(messy, no_docs):
