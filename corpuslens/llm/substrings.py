@@ -38,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.common import BROADCAST_BYTES, empty_if_null, prepared, query, runs, saved, table
+from corpuslens.session import scratch_dir
 
 SPAN, GRAM = 50, 24
 #: bytes a task works on at a time, and records it combines before it sends them
-CHUNK, FLUSH = 1 << 21, 1 << 20
+CHUNK, FLUSH = 1 << 20, 1 << 19
 #: bytes of text for one partition of anchors
 PARTITION_BYTES = 16 << 20
 #: blocks of one anchor beyond which its windows are dealt out one by one
@@ -54,6 +55,7 @@ _BASE = 0x9E3779B97F4A7C15
 _MASK64 = (1 << 64) - 1
 _BYTES = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPLIT = "part int, kind int, doc_id long, at int, size int, body binary"
+_FOUND = "kind int, doc_id long, at int, size int, route long"
 
 
 def _mixed(h):
@@ -169,19 +171,22 @@ def _encode(key, body, doc, at, more) -> bytes:
     ids, count = np.unique(doc, return_counts=True)
     step = np.diff(at, prepend=0).astype(np.int32)
     head = np.array([len(key), len(ids)], np.int64).tobytes()
+    # with the anchor's hash and its partition, 6 bytes tell the runs apart
+    short = np.ascontiguousarray(body).view(np.uint8).reshape(-1, 8)[:, :6]
     return b"".join([head, _planes(ids), _planes(count.astype(np.int32)), _planes(step), more.astype(np.uint8).tobytes(),
-                     key.tobytes(), body.tobytes()])
+                     key.tobytes(), short.tobytes()])
 
 
 def _decode(raw: bytes):
     n, m = np.frombuffer(raw, np.int64, 2)
-    sizes = np.array([8 * m, 4 * m, 4 * n, n, 4 * n, 8 * n])
+    sizes = np.array([8 * m, 4 * m, 4 * n, n, 4 * n, 6 * n])
     cut = 16 + np.concatenate([[0], np.cumsum(sizes)])
     part = [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
     doc = np.repeat(_unplanes(part[0], np.int64, m), _unplanes(part[1], np.int32, m))
     at = np.cumsum(_unplanes(part[2], np.int32, n)).astype(np.int32)
-    return (np.frombuffer(part[4], np.uint32), np.frombuffer(part[5], np.uint64), doc, at,
-            np.frombuffer(part[3], np.uint8))
+    body = np.zeros((n, 8), np.uint8)
+    body[:, :6] = np.frombuffer(part[5], np.uint8).reshape(-1, 6)
+    return (np.frombuffer(part[4], np.uint32), body.view(np.uint64).ravel(), doc, at, np.frombuffer(part[3], np.uint8))
 
 
 def _batch(part, kind, doc, at, size, body):
@@ -195,16 +200,22 @@ def _batch(part, kind, doc, at, size, body):
         pa.array([None] * n if body is None else body, pa.binary())], ["part", "kind", "doc_id", "at", "size", "body"])
 
 
-def _span_rows(part, doc, at, size):
-    """Span rows of one task, merged where they touch."""
-    if len(doc):
-        order = np.lexsort((at, doc))
-        doc, at, stop = doc[order], at[order].astype(np.int64), at[order].astype(np.int64) + size[order]
-        doc, at, stop = merged(doc, at, stop)
-        for i in range(0, len(doc), 1 << 16):
-            p = slice(i, i + (1 << 16))
-            k = len(doc[p])
-            yield _batch(np.full(k, part), np.ones(k, int), doc[p], at[p], stop[p] - at[p], None)
+def _merged_spans(doc, at, size):
+    """Spans of one task, merged where they touch, some at a time."""
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order].astype(np.int64)
+    doc, at, stop = merged(doc, at, at + size[order])
+    for i in range(0, len(doc), 1 << 16):
+        p = slice(i, i + (1 << 16))
+        yield doc[p], at[p], stop[p] - at[p]
+
+
+def _found(kind, doc, at, size, route=None):
+    n = len(doc)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, kind), pa.int32()), pa.array(doc, pa.int64()), pa.array(at, pa.int32()),
+        pa.array(size, pa.int32()), pa.nulls(n, pa.int64()) if route is None else pa.array(route, pa.int64())],
+        ["kind", "doc_id", "at", "size", "route"])
 
 
 def merged(doc, at, stop):
@@ -223,17 +234,17 @@ def merged(doc, at, stop):
 
 def _anchors(parts, span, gram):
     def run(batches):
-        held, n, sent = [], 0, 0
+        held, n = [], 0
 
         def flush():
-            nonlocal sent
             key, body, doc, at, more = (np.concatenate(c) for c in zip(*held, strict=True))
             order = np.lexsort((doc, key, body))
             same = np.concatenate([[False], (key[order][1:] == key[order][:-1]) & (body[order][1:] == body[order][:-1])])
             start, length = runs(np.cumsum(~same))
             repeat = np.zeros(len(doc), bool)
             repeat[order] = doc[order] > np.repeat(doc[order][start], length)
-            yield from _span_rows(sent % parts, doc[repeat], at[repeat], more[repeat].astype(np.int64) + span)
+            for d, a, n in _merged_spans(doc[repeat], at[repeat], more[repeat].astype(np.int64) + span):
+                yield _batch((d * 40503 + a // 4096) % parts, np.ones(len(d), int), d, a, n, None)
             keep = np.flatnonzero(~repeat)
             part = ((key[keep] >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((at[keep], doc[keep], part))
@@ -243,7 +254,6 @@ def _anchors(parts, span, gram):
                 i = keep[s:s + k]
                 yield _batch([part[s]], [0], None, None, None, [_encode(
                     (key[i] & np.uint64(0xFFFFFFFF)).astype(np.uint32), body[i], doc[i], at[i], more[i])])
-            sent += 1
 
         for b in batches:
             for chunk in _pieces(b.column("doc_id").to_pylist(), b.column("body").to_pylist(), span):
@@ -269,7 +279,8 @@ def _blocks(span):
             kind = b.column("kind").to_numpy()
             part = int(b.column("part")[0].as_py())
             if (kind == 1).any():
-                yield b.filter(pa.array(kind == 1))
+                own = b.filter(pa.array(kind == 1))
+                yield _found(1, *(own.column(c).to_numpy() for c in ("doc_id", "at", "size")))
             got += [_decode(x) for x in b.column("body").filter(pa.array(kind == 0)).to_pylist()]
         if not got:
             return
@@ -283,7 +294,8 @@ def _blocks(span):
         start, length = runs(np.cumsum(fresh))
         low = np.repeat(doc[start], length)
         repeat = doc > low
-        yield from _span_rows(part, doc[repeat], at[repeat], more[repeat].astype(np.int64) + span)
+        for spans in _merged_spans(doc[repeat], at[repeat], more[repeat].astype(np.int64) + span):
+            yield _found(1, *spans)
         k_start, k_length = runs(np.cumsum(fresh_key))
         several = np.add.reduceat(fresh.astype(np.int64), k_start)
         low_doc, high_doc = np.minimum.reduceat(doc, k_start), np.maximum.reduceat(doc, k_start)
@@ -291,10 +303,10 @@ def _blocks(span):
         hot = np.repeat(several > HOT_BLOCKS, k_length)
         i = np.flatnonzero(asked)
         route = (key[i].astype(np.int64) << 8) ^ part
-        for j in range(0, len(i), 1 << 16):
-            w = i[j:j + (1 << 16)]
-            yield _batch(np.full(len(w), part), np.where(hot[w], 3, 2), doc[w], at[w],
-                         more[w].astype(np.int64) + span, [r.tobytes() for r in route[j:j + (1 << 16)]])
+        for kind, of in ((2, ~hot[i]), (3, hot[i])):
+            for j in range(0, int(of.sum()), 1 << 16):
+                w = np.flatnonzero(of)[j:j + (1 << 16)]
+                yield _found(kind, doc[i[w]], at[i[w]], more[i[w]].astype(np.int64) + span, route[w])
     return run
 
 
@@ -306,7 +318,7 @@ def _cut_blocks(span):
             for doc, body, asked in zip(b.column("doc_id").to_pylist(), b.column("body").to_pylist(),
                                         b.column("asked").to_pylist(), strict=True):
                 for q in asked:
-                    a, n, route = q["at"], q["size"], int.from_bytes(q["body"], "little", signed=True)
+                    a, n, route = q["at"], q["size"], q["route"]
                     block = body[a:a + n]
                     if len(block) < n:
                         continue  # another row of this doc_id
@@ -463,7 +475,8 @@ def _sorted_suffixes(span):
             table_ = pa.Table.from_batches(held)
             doc, at = table_.column("doc_id").to_numpy(), table_.column("at").to_numpy().astype(np.int64)
             d, a = repeats(doc, at, table_.column("body").to_pylist(), span)
-            yield from _span_rows(0, d, a, np.full(len(d), span))
+            for spans in _merged_spans(d, a, np.full(len(d), span)):
+                yield _found(1, *spans)
 
         for b in batches:
             while b is not None and len(b):
@@ -512,23 +525,20 @@ def _merge_spans(batches):
         yield out(doc, at, stop)
 
 
-def _with(docs: DataFrame, extra: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with per-document rows ``extra(doc_id, value)``: by
-    broadcast if its measured size allows, else only the texts of documents in
-    ``extra`` are shuffled, if their ids are few enough; else all are."""
+def _with(docs: DataFrame, extra: DataFrame, how: str, n: int, size: int) -> DataFrame:
+    """``docs`` joined with per-document rows ``extra(doc_id, value)``, at most
+    ``n`` of them with ``size`` bytes: by broadcast if that is little, else only
+    the texts of documents in ``extra`` are shuffled, if their ids are little;
+    else all are."""
     value = [c for c in extra.columns if c != "doc_id"][0]
-    measure = F.length(value) if dict(extra.dtypes)[value] == "binary" else F.size(value) * 32
-    n, size = extra.agg(F.count("*"), F.sum(measure)).first()
-    if n * 64 + (size or 0) <= BROADCAST_BYTES:
+    if n * 64 + size <= BROADCAST_BYTES:
         return docs.join(F.broadcast(extra), "doc_id", how)
-    if n * 32 > BROADCAST_BYTES:
+    if how == "inner" or n * 32 > BROADCAST_BYTES:
         return docs.join(extra, "doc_id", how)
     ids = F.broadcast(extra.select("doc_id"))
-    hit = docs.join(ids, "doc_id", "left_semi").join(extra, "doc_id")
-    if how == "inner":
-        return hit
     kind = extra.schema[value].dataType
-    return hit.unionByName(docs.join(ids, "doc_id", "left_anti").withColumn(value, F.lit(None).cast(kind)))
+    return (docs.join(ids, "doc_id", "left_semi").join(extra, "doc_id")
+            .unionByName(docs.join(ids, "doc_id", "left_anti").withColumn(value, F.lit(None).cast(kind))))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -538,14 +548,18 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null().cast("binary").alias("body"))
     total = texts.agg(F.sum(F.length("body").cast("long"))).first()[0] or 0
     parts = max(least, -(-total // PARTITION_BYTES))
-    found = saved(texts.mapInArrow(_anchors(parts, span, gram), _SPLIT).repartitionById(parts, "part")
-                  .mapInArrow(_blocks(span), _SPLIT))
-    asked = saved(found.filter("kind > 1").groupBy("doc_id").agg(
-        F.collect_list(F.struct("kind", "at", "size", "body")).alias("asked")))
-    blocks = (_with(texts, asked, "inner").select("doc_id", "body", "asked")
+    # several rows for most documents: kept as a table, which is far smaller than a checkpoint
+    path = scratch_dir(docs.sparkSession, "repeats")
+    (texts.mapInArrow(_anchors(parts, span, gram), _SPLIT).repartitionById(parts, "part")
+     .mapInArrow(_blocks(span), _FOUND).write.parquet(path))
+    found = docs.sparkSession.read.schema(_FOUND).parquet(path)
+    n = found.filter("kind > 1").count()
+    asked = found.filter("kind > 1").groupBy("doc_id").agg(
+        F.collect_list(F.struct("kind", "at", "size", "route")).alias("asked"))
+    blocks = (_with(texts, asked, "inner", n, 32 * n).select("doc_id", "body", "asked")
               .mapInArrow(_cut_blocks(span), "route long, doc_id long, at int, body binary"))
     later = (blocks.repartition(parts, "route").sortWithinPartitions("route")
-             .mapInArrow(_sorted_suffixes(span), _SPLIT))
+             .mapInArrow(_sorted_suffixes(span), _FOUND))
     every = found.filter("kind = 1").unionByName(later).select("doc_id", "at", "size")
     return saved(every.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at")
                  .mapInArrow(_merge_spans, "doc_id long, spans binary"))
@@ -570,7 +584,8 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> Data
     """doc_id, n_bytes, n_removed, n_spans and the ``kept`` bytes of every row."""
     spans = repeated_spans(docs, span, gram)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null().cast("binary").alias("body"))
-    return (_with(texts, spans, "left").select("doc_id", "body", "spans")
+    n, size = spans.agg(F.count("*"), F.coalesce(F.sum(F.length("spans")), F.lit(0))).first()
+    return (_with(texts, spans, "left", n, size).select("doc_id", "body", "spans")
             .mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
