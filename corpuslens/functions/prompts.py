@@ -92,10 +92,15 @@ def instruction_prompt(input_col, output_col=None, eos: str | None = DEFAULT_EOS
     return F.concat(F.lit(p0 + instruction + p1), inp, F.lit(p2), out, F.lit(p3 + (eos or "")))
 
 
-def run_name(source, train_file, model_id) -> Column:
-    """``finetuned_<source>_<train file w/o extension>_<model>`` with / \\ - -> _."""
-    def fmt(c):
+def run_name(source, train_file, model_id, with_dev=None) -> Column:
+    """``finetuned_<source>[_<train file w/o extension>]_<model>[_with_dev]``.
+
+    ``/``, ``\\`` and ``-`` become ``_``.  A null ``train_file`` leaves its part
+    out; ``with_dev`` (a boolean column) adds the ending.
+    """
+    def plain(c):
         return F.translate(c, "/\\-", "___")
-    train = F.regexp_replace(fmt(train_file), r"\.[^.]*$", "")
+    train = F.concat(F.lit("_"), F.regexp_replace(plain(train_file), r"\.[^.]*$", ""))
     model = F.replace(F.lower(F.substring_index(model_id, "/", -1)), F.lit("-"), F.lit("_"))
-    return F.concat(F.lit("finetuned_"), fmt(source), F.lit("_"), train, F.lit("_"), model)
+    ending = F.lit("") if with_dev is None else F.when(with_dev, F.lit("_with_dev")).otherwise(F.lit(""))
+    return F.concat(F.lit("finetuned_"), plain(source), F.coalesce(train, F.lit("")), F.lit("_"), model, ending)

@@ -56,7 +56,3 @@ def ngrams(words_col, n: int) -> Column:
                     lambda i: F.array_join(F.slice(w, i + 1, n), " ")),
     ).otherwise(F.array().cast("array<string>"))
 
-
-def lead(col, n: int) -> Column:
-    """The first ``n`` sentences of a text joined by a space."""
-    return F.array_join(F.slice(sentences(col), 1, n), " ")

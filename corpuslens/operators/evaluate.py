@@ -15,73 +15,77 @@ from corpuslens import schema
 from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
 from corpuslens.operators.normalize import row_mean
-from corpuslens.operators.overlap import bleu_from_overlap, ngram_overlap
-from corpuslens.session import bucketed_copy
+from corpuslens.operators.overlap import bleu_of_sums, matched_ngrams, ngram_total
+from corpuslens.session import cut_lineage, ship_package
 
-# Fixed value: a word is "easy" when it occurs in at least 1/20 of documents.
-EASY_DOC_SHARE_DENOMINATOR = 20
+# Fixed value: bytes of an easy-word list that may be sent to every task.
+LIST_BYTES = 8 << 20
+BYTES_PER_WORD = 100
 
 
-def easy_words(docs: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Words present in >= 5 % of the documents (the Dale-Chall easy list).
-
-    Size bound: sum over words of doc-frequency = distinct (doc, word) pairs,
-    so at most 20 x (mean distinct words per document) words qualify,
-    independent of the number of documents.  That bound is what makes the
-    broadcast in ``difficult_counts`` safe.
-    """
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    doc_words = docs.select(key, F.explode(F.array_distinct(segment.words(text_col))).alias("word"))
-    df = doc_words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return df.where(F.col("doc_freq") * F.lit(EASY_DOC_SHARE_DENOMINATOR) >= n_docs).select("word")
+def word_list(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """Distinct words of a caller's table, e.g. as the Dale-Chall easy list."""
+    return rows.select(F.explode(segment.words(text_col)).alias("word")).distinct()
 
 
 def difficult_counts(rows: DataFrame, key: str, text_col: str, easy: DataFrame) -> DataFrame:
-    """(key, n_difficult): words of ``text_col`` that are not in ``easy``."""
+    """(key, n_difficult): words of ``text_col`` that are not in ``easy``.
+
+    Words are counted per document first; the join with the list is left to
+    Spark, which broadcasts it if its size allows."""
     words = rows.select(key, F.explode(segment.words(text_col)).alias("word"))
-    marked = words.join(F.broadcast(easy.withColumn("_easy", F.lit(1))), "word", "left")
-    return marked.groupBy(key).agg(F.sum(F.when(F.col("_easy").isNull(), 1).otherwise(0))
+    counts = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_c"))
+    marked = counts.join(easy.withColumn("_easy", F.lit(1)), "word", "left")
+    return marked.groupBy(key).agg(F.sum(F.when(F.col("_easy").isNull(), F.col("_c")).otherwise(0))
                                    .cast("bigint").alias("n_difficult"))
 
 
 def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
                 gen_col: str = "generated", ref_col: str = "reference",
-                model_col: str = "model") -> tuple[DataFrame, DataFrame]:
-    """Per-pair lexical metrics and the n-gram overlap rows (n = 1..4).
+                model_col: str = "model") -> DataFrame:
+    """(key, model, ROUGE, FKGL, DCRS, CLI, m1..m4, t1..t4, r_len) per pair.
 
-    The pairs are written once as a table bucketed by key in the shared
-    folder: the overlap aggregation, the difficult-word count (broadcast join
-    against the bounded easy list) and the joins between them all read that
-    one copy without further shuffles, and the model column is carried
-    through instead of being joined back.
+    Overlaps and difficult words are counted in the pair's row.  If the easy
+    list is too long to be sent to the tasks, the pairs are written once and
+    the difficult words come from a join instead; the counts are the same.
     """
-    pairs = bucketed_copy(pairs.select(key, model_col, gen_col, ref_col), key, "eval_pairs")
-    ov = ngram_overlap(pairs, key, gen_col, ref_col, (1, 2, 3, 4), carry=[model_col], prepartitioned=True)
-    f1 = F.try_divide(2.0 * F.col("matched").cast("double"),
-                      (F.col("gen_total") + F.col("ref_total")).cast("double"))
-    rouge = (ov.where(F.col("n") <= 2)
-             .groupBy(key)
-             .agg(F.max(F.when(F.col("n") == 1, f1)).alias("rouge1"),
-                  F.max(F.when(F.col("n") == 2, f1)).alias("rouge2"))
-             .withColumn("ROUGE", row_mean(["rouge1", "rouge2"])))
-    counts = rd.with_counts(pairs.select(key, model_col, gen_col), gen_col)
-    hard = difficult_counts(pairs, key, gen_col, easy)
-    per_doc = (counts.join(hard, key, "left").join(rouge, key, "left")
-               .select(key, model_col, "ROUGE",
+    spark = pairs.sparkSession
+    ship_package(spark)
+    easy = cut_lineage(easy.select("word").distinct())
+    short = easy.count() * BYTES_PER_WORD <= LIST_BYTES
+    listed = spark.sparkContext.broadcast({r.word for r in easy.toLocalIterator()}) if short else None
+    if not short:
+        pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col))
+    rows = rd.with_counts(pairs.select(key, model_col, gen_col, segment.words(gen_col).alias("_gw"),
+                                       segment.words(ref_col).alias("_rw")), gen_col)
+    rows = rows.withColumn("_m", matched_ngrams((1, 2, 3, 4), listed)("_gw", "_rw"))
+    rows = rows.withColumns({f"m{n}": F.get("_m.matched", F.lit(n - 1)) for n in (1, 2, 3, 4)}
+                            | {f"t{n}": ngram_total("_gw", n) for n in (1, 2, 3, 4)}
+                            | {f"_r{n}": ngram_total("_rw", n) for n in (1, 2)}
+                            | {"n_difficult": F.when(F.col("n_words") > 0, F.col("_m.missing"))})
+    if not short:
+        rows = rows.drop("n_difficult").join(difficult_counts(pairs, key, gen_col, easy), key, "left")
+    for n in (1, 2):
+        rows = rows.withColumn(f"_f{n}", F.try_divide(2.0 * F.col(f"m{n}").cast("double"),
+                                                      (F.col(f"t{n}") + F.col(f"_r{n}")).cast("double")))
+    return rows.select(key, model_col, row_mean(["_f1", "_f2"]).alias("ROUGE"),
                        rd.flesch_kincaid_grade("n_words", "n_sents", "n_syll").alias("FKGL"),
                        rd.dale_chall("n_words", "n_sents", "n_difficult").alias("DCRS"),
-                       rd.coleman_liau("n_words", "n_sents", "n_letters").alias("CLI")))
-    return per_doc, ov
+                       rd.coleman_liau("n_words", "n_sents", "n_letters").alias("CLI"),
+                       *[f"m{n}" for n in (1, 2, 3, 4)], *[f"t{n}" for n in (1, 2, 3, 4)],
+                       F.col("_r1").alias("r_len"))
 
 
 def eval_report(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
                 gen_col: str = "generated", ref_col: str = "reference",
                 model_col: str = "model") -> DataFrame:
-    """One row per model with the ten report metrics (neural ones null)."""
-    per_doc, ov_model = doc_metrics(pairs, easy, key, gen_col, ref_col, model_col)
-    means = per_doc.groupBy(model_col).agg(*[F.avg(m).alias(m) for m in ("ROUGE", "FKGL", "DCRS", "CLI")])
-    bleu = bleu_from_overlap(ov_model, [model_col]).withColumnRenamed("bleu", "BLEU")
-    rep = means.join(bleu, model_col, "left")
+    """One row per model with the ten report metrics (neural ones null), from
+    one aggregation over the pairs."""
+    per_doc = doc_metrics(pairs, easy, key, gen_col, ref_col, model_col)
+    sums = [c for n in (1, 2, 3, 4) for c in (f"m{n}", f"t{n}")] + ["r_len"]
+    rep = (per_doc.groupBy(model_col)
+           .agg(*[F.avg(m).alias(m) for m in ("ROUGE", "FKGL", "DCRS", "CLI")], *[F.sum(c).alias(c) for c in sums])
+           .withColumn("BLEU", bleu_of_sums()))
     cols = [F.col(model_col).alias("model")]
     for m in schema.METRICS:
         cols.append(F.col(m) if m in rep.columns else F.lit(None).cast("double").alias(m))

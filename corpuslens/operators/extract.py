@@ -1,34 +1,35 @@
 """Extract-and-rank: candidate sentences (TextRank) ranked by cosine to their
 document, cut to several summary lengths from ONE ranking.
 
-Shape of the job: read -> choose/clean the ranking input -> explode
-sentences -> TextRank candidates (long documents only) -> TF-IDF cosine ->
-rank per document (window keyed by document; a document's sentences are
-bounded by its length) -> collect the ranked list per document -> slice to
-every length in one projection.
+Shape of the job: document frequencies of all terms -> weights of each
+document's terms, regrouped by document -> one join with the texts -> in each
+row: split, score (numpy, Arrow batches), sort, slice to every length.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions import segment, text
 from corpuslens.operators import textrank, vectors
-from corpuslens.options import SUMMARY_LENGTHS, TransformOptions
-from corpuslens.session import bucketed_copy
+from corpuslens.options import CANDIDATE_LIMIT, SUMMARY_LENGTHS, Variant
+from corpuslens.session import ship_package
 
 # Fixed value: similarity digits kept before ranking, so ties break on the
 # sentence text identically in every engine despite summation order.
 COSINE_DIGITS = 9
 
 
-def ranking_input(article_col: str, opts: TransformOptions):
+def ranking_input(article_col: str, variant: Variant):
     """The text whose sentences are ranked: article or body, maybe cleaned."""
-    src = text.body_of(article_col) if opts.exclude_abstract else F.col(article_col)
-    return text.preprocess_text(src) if opts.preprocess else src
+    src = text.body_of(article_col) if variant.part == "body" else F.col(article_col)
+    return text.preprocess_text(src) if variant.cleaned else src
 
 
 def guarded_sentences(text_col: str):
@@ -49,136 +50,131 @@ def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     Words never cross a sentence boundary, so the document's counts are the
     counts of its whole text (blank texts have no words either way).
     """
-    doc_tf = vectors.term_counts(docs, [key], text_col)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    idf = vectors.idf_table(doc_tf, key, n_docs)
-    return doc_tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-
-
-def tfidf_terms(docs: DataFrame, sents: DataFrame, key: str, text_col: str = "text"):
-    """Sentence term counts (key, pos, term, tf) and document term weights."""
-    return vectors.term_counts(sents, [key, "pos"], "sentence"), document_terms(docs, key, text_col)
-
-
-def sentence_cosines(sent_tf: DataFrame, doc_terms: DataFrame, key: str) -> DataFrame:
-    """(key, pos, cosine) of each sentence's TF-IDF vector to its document's."""
-    sv = sent_tf.join(doc_terms.select(key, "term", "idf"), [key, "term"]) \
-        .select(key, "pos", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    dv = doc_terms.select(key, "term", "w")
-    return vectors.sparse_cosine(sv, dv, [key], [key, "pos"])
-
-
-def sentence_term_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, pos, term, tf) of every sentence; a sentence without words keeps
-    one row with a null term, so every sentence gets a (null) cosine."""
-    sents = docs.select(key, F.posexplode(guarded_sentences(text_col)).alias("_p", "sentence"))
-    terms = sents.select(key, (F.col("_p") + 1).alias("pos"), F.explode_outer(segment.words("sentence")).alias("term"))
-    return terms.groupBy(key, "pos", "term").agg(F.count("term").alias("tf"))
-
-
-def cosine_lists(docs: DataFrame, st: DataFrame, key: str) -> DataFrame:
-    """(key, cos_by_pos: array<struct<pos, cosine>>) sorted by position.
-
-    TF-IDF cosine of each sentence to its document.  Only numbers and terms
-    are shuffled here; sentence text stays in the document table.
+    tf = vectors.term_counts(docs, [key], text_col)
+    return tf.join(vectors.idf_table(docs, key, text_col), "term").withColumn("w", F.col("tf") * F.col("idf"))
+
+
+def _cosines(words, sizes, terms, idf) -> list[float]:
+    """TF-IDF cosine of every sentence of one document to the document."""
+    if not len(words):
+        return [math.nan] * len(sizes)
+    code = {t: i for i, t in enumerate(terms)}
+    ids = np.fromiter((code[w] for w in words), np.int64, len(words))
+    idf = np.asarray(idf, float)
+    doc = np.bincount(ids, minlength=len(idf)) * idf
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    pairs, tf = np.unique(sentence * len(idf) + ids, return_counts=True)
+    at, term = pairs // len(idf), pairs % len(idf)
+    w = tf * idf[term]
+    dot = np.bincount(at, w * doc[term], len(sizes))
+    norm = np.sqrt(np.bincount(at, w * w, len(sizes)))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return (dot / (norm * math.sqrt((doc * doc).sum()))).tolist()
+
+
+def _scorer(limit: int):
+    """Column function: per document, the cosines of its sentences and, where
+    TextRank words are given, the positions it keeps."""
+    @F.pandas_udf("struct<cos:array<double>,keep:array<int>>")
+    def score(words: pd.Series, sizes: pd.Series, terms: pd.Series, idf: pd.Series,
+              tr_words: pd.Series, tr_sizes: pd.Series) -> pd.DataFrame:
+        cos = [_cosines(w, n, t, i) for w, n, t, i in zip(words, sizes, terms, idf)]
+        keep = [None if n is None else textrank.kept_positions(list(w), n, limit) for w, n in zip(tr_words, tr_sizes)]
+        return pd.DataFrame({"cos": pd.Series(cos, dtype=object), "keep": pd.Series(keep, dtype=object)})
+    return score
+
+
+def scored_documents(docs: DataFrame, key: str, text_col: str, limit: int | None, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry..., sents, cos, keep): sentences, their cosines to the
+    document (null without words), and the positions TextRank keeps (null: all).
+
+    One shuffle brings a document's text together with the weights of its
+    terms; everything about its sentences then happens in its row.
     """
-    doc_tf = st.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    idf = vectors.idf_table(doc_tf, key, n_docs)
-    dt = doc_tf.join(idf, "term").select(key, "term", "idf", (F.col("tf") * F.col("idf")).alias("wd"))
-    ws = F.col("tf") * F.col("idf")
-    per = (st.join(dt, [key, "term"], "left").groupBy(key, "pos")
-           .agg(F.sum(F.coalesce(ws * F.col("wd"), F.lit(0.0))).alias("dot"), F.sqrt(F.sum(ws * ws)).alias("ln")))
-    dnorm = dt.groupBy(key).agg(F.sqrt(F.sum(F.col("wd") * F.col("wd"))).alias("rn"))
-    cos = F.when((F.col("ln") > 0) & (F.col("rn") > 0), F.try_divide(F.col("dot"), F.col("ln") * F.col("rn")))
-    scored = per.join(dnorm, key, "left").select(key, "pos", cos.alias("cosine"))
-    return scored.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "cosine"))).alias("cos_by_pos"))
-
-
-def ranked_documents(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
-                     stop_k: int = textrank.STOP_WORDS_K, carry: Sequence[str] = ()) -> DataFrame:
+    ship_package(docs.sparkSession)
+    idf = vectors.idf_table(docs, key, text_col)
+    weights = (vectors.distinct_terms(docs, key, text_col).join(idf, "term")
+               .groupBy(key).agg(F.collect_list(F.struct("term", "idf")).alias("_weights")))
+    rows = (docs.select(key, text_col, *[c for c in carry if c != text_col]).join(weights, key, "left")
+            .withColumn("sents", guarded_sentences(text_col)))
+    rows = rows.withColumn("_words", F.transform("sents", lambda s: segment.words(s)))
+    # only documents beyond the limit need a word graph
+    longer = F.lit(False) if limit is None else F.size("sents") > limit
+    rows = rows.withColumn("_tr", F.when(longer, F.transform("sents", lambda s: textrank.textrank_words(s))))
+
+    def sizes(c):
+        return F.transform(c, lambda w: F.size(w))
+
+    no_terms = F.array().cast("array<string>"), F.array().cast("array<double>")
+    scored = rows.withColumn("_s", _scorer(limit or 0)(
+        F.flatten("_words"), sizes("_words"), F.coalesce("_weights.term", no_terms[0]),
+        F.coalesce("_weights.idf", no_terms[1]), F.flatten("_tr"), sizes("_tr")))
+    cos = F.transform("_s.cos", lambda c: F.when(~F.isnan(c), c))
+    return scored.select(key, *carry, "sents", cos.alias("cos"), F.col("_s.keep").alias("keep"))
+
+
+def ranked_documents(docs: DataFrame, key: str, text_col: str, limit: int | None = CANDIDATE_LIMIT,
+                     carry: Sequence[str] = ()) -> DataFrame:
     """(key, carry..., ranked: array<struct<c9, sentence, negpos, cosine>>), best first.
 
-    The documents are written once as a table bucketed by key in the shared
-    folder (the only shuffle of text).  Cosines and TextRank positions are
-    computed as number/term rows and joined back per document; the final
-    ordering -- rounded cosine desc, sentence text desc, position asc -- is a
-    sort of each document's own sentence array, in the row.  A document's
-    arrays are bounded by its length.  (A plain repartition would not be
-    reused across branches: inferred not-null filters are pushed below it
-    differently per branch.)
+    The order -- rounded cosine desc, sentence text desc, position asc -- is a
+    sort of each document's own sentences, bounded by its length.
     """
-    docs = bucketed_copy(docs.select(key, text_col, *carry), key, "rank_docs")
-    st = sentence_term_counts(docs, key, text_col)
-    joined = docs.join(cosine_lists(docs, st, key), key, "left")
-    if use_textrank:
-        stop = textrank.stop_words(docs, key, text_col, stop_k)
-        with_sents = docs.select(key, text_col, guarded_sentences(text_col).alias("sents"))
-        joined = joined.join(textrank.kept_position_lists(with_sents, key, text_col, stop), key, "left")
-    else:
-        joined = joined.withColumn("keep", F.lit(None).cast("array<int>"))
+    scored = scored_documents(docs, key, text_col, limit, carry)
 
     def item(s, i):
-        c = F.try_element_at(F.col("cos_by_pos"), i + 1).getField("cosine")
+        c = F.get("cos", i)
         return F.struct(F.round(c, COSINE_DIGITS).alias("c9"), s.alias("sentence"), (-(i + 1)).alias("negpos"),
                         c.alias("cosine"))
 
-    items = F.transform(guarded_sentences(text_col), item)
+    items = F.transform("sents", item)
     kept = F.when(F.col("keep").isNull(), items).otherwise(
         F.filter(items, lambda x: F.array_contains(F.col("keep"), -x.getField("negpos"))))
-    return joined.select(key, *carry, F.sort_array(kept, asc=False).alias("ranked"))
+    return scored.select(key, *carry, F.sort_array(kept, asc=False).alias("ranked"))
 
 
-def ranked_sentences(docs: DataFrame, key: str, text_col: str, use_textrank: bool = True,
-                     stop_k: int = textrank.STOP_WORDS_K) -> DataFrame:
+def ranked_sentences(docs: DataFrame, key: str, text_col: str, limit: int | None = CANDIDATE_LIMIT) -> DataFrame:
     """(key, rank, pos, sentence, cosine) rows of the ranking."""
-    r = ranked_documents(docs, key, text_col, use_textrank, stop_k)
+    r = ranked_documents(docs, key, text_col, limit)
     ex = r.select(key, F.posexplode("ranked").alias("_i", "_x"))
     return ex.select(key, (F.col("_i") + 1).alias("rank"), (-F.col("_x.negpos")).alias("pos"),
                      F.col("_x.sentence").alias("sentence"), F.col("_x.cosine").alias("cosine"))
 
 
-def ranked_lists(docs: DataFrame, ranked: DataFrame, key: str) -> DataFrame:
-    """(key, ranked: array<string>) for every document (empty if no sentence)."""
-    lists = ranked.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))),
-                    lambda s: s.getField("sentence")).alias("ranked"))
-    return docs.select(key).join(lists, key, "left") \
-        .withColumn("ranked", F.coalesce("ranked", F.array().cast("array<string>")))
-
-
 def summary_of(ranked_col: str, n: int, abstract_col: str | None = None):
     """First ``n`` ranked sentences joined by newlines; maybe after the abstract."""
     s = F.array_join(F.slice(ranked_col, 1, n), "\n")
     return text.prepend_abstract(abstract_col, s) if abstract_col else s
 
 
-def extract_wide(corpus: DataFrame, opts: TransformOptions, key: str = "doc_id",
-                 lengths: Sequence[int] = SUMMARY_LENGTHS, use_textrank: bool = True) -> DataFrame:
-    """(key, article, summary, extracted_summary_<n> for each n): one ranking,
-    every length sliced from it in the same projection."""
-    inp = corpus.select(key, ranking_input("article", opts).alias("_input"), "article", "summary")
-    r = ranked_documents(inp, key, "_input", use_textrank, carry=["article", "summary"])
+def extract_wide(corpus: DataFrame, variant: Variant, key: str = "doc_id",
+                 lengths: Sequence[int] = SUMMARY_LENGTHS, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, article, summary, carry..., extracted_summary_<n> for each n): one
+    ranking, every length sliced from it in the same projection."""
+    kept = ["article", "summary", *carry]
+    inp = corpus.select(key, ranking_input("article", variant).alias("_input"), *kept)
+    r = ranked_documents(inp, key, "_input", variant.candidate_limit, carry=kept)
     lists = F.transform("ranked", lambda x: x.getField("sentence"))
-    out = r.select(key, "article", "summary", text.abstract_of("article").alias("_abstract"), lists.alias("_r"))
-    abstract = "_abstract" if opts.concat_abstract else None
-    return out.select(key, "article", "summary",
+    out = r.select(key, *kept, text.abstract_of("article").alias("_abstract"), lists.alias("_r"))
+    abstract = "_abstract" if variant.abstract_first else None
+    return out.select(key, *kept,
                       *[summary_of("_r", n, abstract).alias(f"extracted_summary_{n}") for n in lengths])
 
 
 def extract_long(wide: DataFrame, key: str = "doc_id", lengths: Sequence[int] = SUMMARY_LENGTHS) -> DataFrame:
-    """(key, n_sentences, transformed): one row per document and length."""
-    cols = [f"extracted_summary_{n}" for n in lengths]
-    long = wide.select(key, *cols).unpivot([key], cols, "_col", "transformed")
-    return long.select(key, F.regexp_extract("_col", r"(\d+)$", 1).cast("int").alias("n_sentences"),
-                       "transformed")
-
-
-def transform(corpus: DataFrame, opts: TransformOptions, key: str = "doc_id") -> DataFrame:
-    """Non-extractive variants: (key, article, summary, transformed)."""
-    if opts.extract:
-        raise ValueError("use extract_wide for extractive variants")
-    t = text.abstract_of("article") if opts.abstract_only else F.col("article")
-    if opts.preprocess:
+    """(key, article, summary, ..., n_sentences, transformed): one row per
+    document and length, with all other columns of ``wide``."""
+    items = F.array(*[F.struct(F.lit(n).alias("n_sentences"), F.col(f"extracted_summary_{n}").alias("transformed"))
+                      for n in lengths])
+    kept = [c for c in wide.columns if not c.startswith("extracted_summary_")]
+    return wide.select(*kept, F.explode(items).alias("_x")).select(*kept, "_x.n_sentences", "_x.transformed")
+
+
+def transform(corpus: DataFrame, variant: Variant, key: str = "doc_id") -> DataFrame:
+    """Variants that aren't ranked: (key, article, summary, transformed)."""
+    if variant.ranked:
+        raise ValueError("ranked variants are made by extract_wide")
+    t = text.abstract_of("article") if variant.part == "abstract" else F.col("article")
+    if variant.cleaned:
         t = text.preprocess_text(t)
     return corpus.select(key, "article", "summary", t.alias("transformed"))

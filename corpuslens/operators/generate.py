@@ -1,81 +1,108 @@
 """Batched, resumable generation over a table with a pluggable model function.
 
-``generate`` hands the model function lists of ``batch_size`` inputs inside
-``mapInPandas`` (Arrow batches, executor side); the function object is
-shipped once per task and may build its model lazily on first call.
-``generate_resumable`` keeps a Parquet checkpoint table keyed by the row key:
-rows already present are skipped (left anti join), new results are appended
-with Spark's atomic job commit, so a rerun after a failure neither repeats
-nor loses rows.
+``generate`` adds the outputs as a column: the model function gets lists of
+``batch_size`` inputs inside a scalar-iterator pandas UDF, so a task may build
+its model once, and no row has to be joined back.
+
+``generate_resumable`` works through the table in slices by key hash.  A
+slice is committed as soon as it is done (Spark's atomic job commit into its
+own folder), so a failure loses the slice it happens in and nothing else, and
+a rerun does only what is missing.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from corpuslens.functions import text
-from corpuslens.session import ship_package
+from corpuslens.session import child_names, path_exists, ship_package
 
 # Default batch size of generation and the same sentence
 # pattern as functions.segment, for the Python default model.
 DEFAULT_BATCH_SIZE = 8
+DEFAULT_SLICES = 8
 _SENTENCE_RE = re.compile(r"[^.!?\n]+[.!?]*")
+SLICE = "_slice"
 
 
-def lead_model(n: int = 3) -> Callable[[list[str]], list[str]]:
-    """Default model: the first ``n`` sentences of the article body."""
+def body_model(pad: str = "") -> Callable[[list[str]], list[str]]:
+    """Default model: all sentences of the article's body (what follows its
+    first line), one space between them; ``pad`` is put on both ends."""
     def fn(texts: list[str]) -> list[str]:
         out = []
         for t in texts:
-            t = t or ""
-            body = t.split("\n", 1)[1].strip() if "\n" in t else ""
-            sents = [s.strip(" ") for s in _SENTENCE_RE.findall(body)]
-            out.append(" ".join([s for s in sents if s][:n]))
+            body = t.split("\n", 1)[1].strip() if t and "\n" in t else ""
+            sentences = (s.strip(" ") for s in _SENTENCE_RE.findall(body))
+            out.append(pad + " ".join(s for s in sentences if s) + pad)
         return out
     return fn
 
 
-def generate(df: DataFrame, fn: Callable[[list[str]], list[str]], key: str = "doc_id",
-             input_col: str = "prompt", output_col: str = "summary",
-             batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """(key, output_col) for every row, outputs stripped of edge whitespace."""
+def generate(df: DataFrame, fn: Callable[[list[str]], list[str]], input_col: str = "prompt",
+             output_col: str = "summary", batch_size: int = DEFAULT_BATCH_SIZE, strip: bool = True) -> DataFrame:
+    """``df`` plus ``output_col``, stripped of edge whitespace unless told not to."""
     ship_package(df.sparkSession)
-    key_type = df.schema[key].dataType.simpleString()
-
-    def run(batches):
-        for pdf in batches:
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start:start + batch_size]
-                outs = fn(chunk[input_col].tolist())
-                if len(outs) != len(chunk):
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for inputs in batches:
+            outs = []
+            for start in range(0, len(inputs), batch_size):
+                part = inputs.iloc[start:start + batch_size].tolist()
+                got = list(fn(part))
+                if len(got) != len(part):
                     raise ValueError("model function must return one output per input")
-                yield pd.DataFrame({key: chunk[key].to_numpy(), output_col: list(outs)})
+                outs += got
+            yield pd.Series(outs, dtype=object)
+
+    # never evaluated twice, however often the column is used
+    out = df.withColumn(output_col, run.asNondeterministic()(F.col(input_col)))
+    return out.withColumn(output_col, text.strip(output_col)) if strip else out
+
 
-    out = df.select(key, input_col).mapInPandas(run, f"{key} {key_type}, {output_col} string")
-    return out.withColumn(output_col, text.strip(output_col))
+def committed_slices(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the slices that have been committed; a failed write may
+    leave a folder without its mark.  Anything else in the folder is not ours
+    and raises."""
+    if not path_exists(spark, path):
+        return []
+    names = child_names(spark, path)
+    strange = [n for n in names if not n.startswith((f"{SLICE}=", "_", "."))]
+    if strange:
+        raise ValueError(f"{path!r} is no checkpoint table: it holds {strange[0]!r}")
+    folders = [f"{path.rstrip('/')}/{n}" for n in sorted(names) if n.startswith(f"{SLICE}=")]
+    return [f for f in folders if path_exists(spark, f + "/_SUCCESS")]
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """What earlier runs committed; None if there is nothing yet."""
+    done = committed_slices(spark, path)
+    return spark.read.parquet(*done) if done else None
 
 
 def generate_resumable(spark: SparkSession, df: DataFrame, fn, checkpoint_path: str,
-                       key: str = "doc_id", input_col: str = "prompt",
-                       batch_size: int = DEFAULT_BATCH_SIZE, tag: dict | None = None) -> DataFrame:
-    """Generate only rows missing from the checkpoint table, append, re-read."""
-    done = read_checkpoint(spark, checkpoint_path)
-    todo = df if done is None else df.join(done.select(key), key, "left_anti")
-    new = generate(todo, fn, key, input_col, batch_size=batch_size)
-    for name, value in (tag or {}).items():
-        new = new.withColumn(name, F.lit(value))
-    new.write.mode("append").parquet(checkpoint_path)
-    return spark.read.parquet(checkpoint_path)
+                       key: str = "doc_id", input_col: str = "prompt", output_col: str = "summary",
+                       batch_size: int = DEFAULT_BATCH_SIZE, tag: dict | None = None,
+                       slices: int = DEFAULT_SLICES) -> DataFrame:
+    """(key, output, tags) of all rows: what is missing in the checkpoint table
+    is generated, slice by slice.  Only keys are compared to find it."""
+    in_slice = F.pmod(F.xxhash64(key), F.lit(slices))
+    committed = set(committed_slices(spark, checkpoint_path))
+    for i in range(slices):
+        part = df.where(in_slice == i)
+        path = f"{checkpoint_path.rstrip('/')}/{SLICE}={i}"
+        if path in committed:
+            done = spark.read.parquet(path).select(key)
+            missing = part.select(key).join(done, key, "left_anti")
+            if missing.isEmpty():
+                continue
+            part = part.join(missing, key, "left_semi")
+        new = generate(part, fn, input_col, output_col, batch_size)
+        new.select(key, output_col, *[F.lit(v).alias(k) for k, v in (tag or {}).items()]) \
+            .write.mode("append").parquet(path)
+    return read_checkpoint(spark, checkpoint_path)

@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 from corpuslens.session import cut_lineage
 
 
+def _placed(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """Sorted rows with the partition they are in and their place in it."""
+    ordered = cut_lineage(df.orderBy(*order_cols))
+    return ordered.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+
+
 def row_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "idx") -> DataFrame:
     """Add a 0-based dense index following ``order_cols`` (ties: arbitrary)."""
-    ordered = cut_lineage(df.orderBy(*order_cols))
-    tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid"))
+    tagged = _placed(df, order_cols)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", "_m0", (F.sum("_c").over(w) - F.col("_c")).alias("_off"))
@@ -35,9 +39,17 @@ def row_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "idx")
 
 def group_row_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                     index_col: str = "idx") -> DataFrame:
-    """0-based index restarting in every group (groups ordered, then rows)."""
+    """0-based index restarting in every group, and ``group_rows``.
+
+    In sorted data a group lies in neighbouring partitions, so there is one
+    count per group and one more per partition border.  These counts, not the
+    rows, are grouped; Spark broadcasts them if they are few.
+    """
     g = list(group_cols)
-    indexed = row_index(df, g + list(order_cols), "_gidx")
-    starts = indexed.groupBy(*g).agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("group_rows"))
-    return indexed.join(starts, g).withColumn(index_col, F.col("_gidx") - F.col("_start")) \
-        .drop("_gidx", "_start")
+    tagged = _placed(df, g + list(order_cols))
+    counts = tagged.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.select(*g, "_pid", "_m0", (F.sum("_c").over(before) - F.col("_c")).alias("_off"),
+                           F.sum("_c").over(Window.partitionBy(*g)).alias("group_rows"))
+    return tagged.join(starts, [*g, "_pid"]).withColumn(index_col, F.col("_off") + F.col("_mid") - F.col("_m0")) \
+        .drop("_pid", "_mid", "_m0", "_off")

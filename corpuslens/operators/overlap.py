@@ -2,58 +2,57 @@
 
 Both start from ``ngram_overlap``: for every pair (generated, reference) and
 every n, the clipped match count ``sum_g min(c_gen(g), c_ref(g))`` and the
-n-gram totals of each side.  The pair rows are hash-partitioned on the key
-once; exploding and both aggregations then run inside that partitioning, so
-the only shuffle carries the two texts, not the (n x larger) n-gram rows.
+n-gram totals of each side.  Both texts of a pair are in one row, so the
+counting happens in the row (Arrow batches) and nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions import segment
+from corpuslens.operators.normalize import row_mean
+from corpuslens.session import ship_package
 
 
-def _tagger(n: int, side: int):
-    # one-argument lambda: F.transform reads a second parameter as the index
-    return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(side).alias("side"))
+def _clipped(generated, reference, n: int) -> int:
+    g = Counter(zip(*(generated[i:] for i in range(n))))
+    return (g & Counter(zip(*(reference[i:] for i in range(n))))).total()
 
 
-def _grams(words_col: str, ns: Sequence[int], side: int):
-    parts = [F.transform(segment.ngrams(words_col, n), _tagger(n, side)) for n in ns]
-    # one sentinel per n so that pairs without any n-gram still get a row
-    sentinels = [F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"),
-                          F.lit(-1).alias("side")) for n in ns]
-    return parts, sentinels
+def matched_ngrams(ns: Sequence[int], listed=None):
+    """Column function over two word arrays: clipped matches for each n, and
+    how many generated words are missing from ``listed`` (a broadcast set)."""
+    @F.pandas_udf("struct<matched:array<long>,missing:long>")
+    def count(generated: pd.Series, reference: pd.Series) -> pd.DataFrame:
+        known = listed.value if listed is not None else None
+        rows = [(list(g), list(r)) for g, r in zip(generated, reference)]
+        return pd.DataFrame({
+            "matched": pd.Series([[_clipped(g, r, n) for n in ns] for g, r in rows], dtype=object),
+            "missing": pd.Series([None if known is None else sum(w not in known for w in g) for g, _ in rows],
+                                 dtype="Int64")})
+    return count
 
 
-def ngram_overlap(pairs: DataFrame, key: str, gen_col: str, ref_col: str,
-                  ns: Sequence[int] = (1, 2), num_partitions: int | None = None,
-                  carry: Sequence[str] = (), prepartitioned: bool = False) -> DataFrame:
-    """(key, carry..., n, matched, gen_total, ref_total) per pair and n in ``ns``.
+def ngram_total(words, n: int) -> Column:
+    return F.greatest(F.size(words) - F.lit(n - 1), F.lit(0)).cast("bigint")
 
-    ``carry`` columns (functionally dependent on the key, e.g. the model)
-    ride along the grouping so callers need no join back.  Pass
-    ``prepartitioned=True`` when ``pairs`` is already hash-partitioned by key.
-    """
-    keys = [key, *carry]
-    base = pairs.select(*keys, segment.words(gen_col).alias("_gw"), segment.words(ref_col).alias("_rw"))
-    if not prepartitioned:
-        base = base.repartition(num_partitions, key) if num_partitions else base.repartition(key)
-    gen_parts, sentinels = _grams("_gw", ns, 0)
-    ref_parts, _ = _grams("_rw", ns, 1)
-    exploded = base.select(*keys, F.explode(F.concat(*gen_parts, *ref_parts, F.array(*sentinels))).alias("g"))
-    per_gram = (exploded
-                .groupBy(*keys, F.col("g.n").alias("n"), F.col("g.gram").alias("gram"))
-                .agg(F.sum((F.col("g.side") == 0).cast("long")).alias("c_gen"),
-                     F.sum((F.col("g.side") == 1).cast("long")).alias("c_ref")))
-    return (per_gram.groupBy(*keys, "n")
-            .agg(F.sum(F.least("c_gen", "c_ref")).alias("matched"),
-                 F.sum("c_gen").alias("gen_total"),
-                 F.sum("c_ref").alias("ref_total")))
+
+def ngram_overlap(pairs: DataFrame, key: str, gen_col: str, ref_col: str,
+                  ns: Sequence[int] = (1, 2), carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry..., n, matched, gen_total, ref_total) per pair and n in ``ns``."""
+    ship_package(pairs.sparkSession)
+    base = (pairs.select(key, *carry, segment.words(gen_col).alias("_gw"), segment.words(ref_col).alias("_rw"))
+            .withColumn("_m", matched_ngrams(ns)("_gw", "_rw").getField("matched")))
+    per_n = [F.struct(F.lit(n).alias("n"), F.get("_m", F.lit(i)).alias("matched"),
+                      ngram_total("_gw", n).alias("gen_total"), ngram_total("_rw", n).alias("ref_total"))
+             for i, n in enumerate(ns)]
+    return base.select(key, *carry, F.explode(F.array(*per_n)).alias("_x")).select(key, *carry, "_x.*")
 
 
 def rouge_n(pairs: DataFrame, key: str, gen_col: str, ref_col: str,
@@ -74,7 +73,6 @@ def rouge_wide(pairs: DataFrame, key: str, gen_col: str, ref_col: str) -> DataFr
     r = rouge_n(pairs, key, gen_col, ref_col, (1, 2))
     wide = r.groupBy(key).agg(F.max(F.when(F.col("n") == 1, F.col("f1"))).alias("rouge1"),
                               F.max(F.when(F.col("n") == 2, F.col("f1"))).alias("rouge2"))
-    from corpuslens.operators.normalize import row_mean
     return wide.withColumn("rouge", row_mean(["rouge1", "rouge2"]))
 
 
@@ -89,14 +87,16 @@ def bleu_from_overlap(ov: DataFrame, group_cols: Sequence[str], max_n: int = 4)
             .agg(*[F.sum(F.when(F.col("n") == n, F.col("matched"))).alias(f"m{n}") for n in range(1, max_n + 1)],
                  *[F.sum(F.when(F.col("n") == n, F.col("gen_total"))).alias(f"t{n}") for n in range(1, max_n + 1)],
                  F.sum(F.when(F.col("n") == 1, F.col("ref_total"))).alias("r_len")))
-    c = F.col("t1").cast("double")
-    r = F.col("r_len").cast("double")
+    return sums.select(*group_cols, bleu_of_sums(max_n).alias("bleu"))
+
+
+def bleu_of_sums(max_n: int = 4) -> Column:
+    """BLEU from the summed columns m1.., t1.. and r_len."""
+    c, r = F.col("t1").cast("double"), F.col("r_len").cast("double")
     bp = F.when(c > r, F.lit(1.0)).otherwise(F.exp(F.lit(1.0) - F.try_divide(r, c)))
     log_p = [F.ln(F.try_divide(F.col(f"m{n}").cast("double"), F.col(f"t{n}").cast("double")))
              for n in range(1, max_n + 1)]
     any_zero = F.greatest(*[(F.coalesce(F.col(f"m{n}"), F.lit(0)) == 0).cast("int")
                             for n in range(1, max_n + 1)]) == 1
-    bleu = F.when(c.isNull() | (c == 0), F.lit(None).cast("double")) \
-        .when(any_zero, F.lit(0.0)) \
-        .otherwise(F.lit(100.0) * bp * F.exp(sum(log_p, F.lit(0.0)) / F.lit(float(max_n))))
-    return sums.select(*group_cols, bleu.alias("bleu"))
+    return (F.when(c.isNull() | (c == 0), F.lit(None).cast("double")).when(any_zero, F.lit(0.0))
+            .otherwise(F.lit(100.0) * bp * F.exp(sum(log_p, F.lit(0.0)) / F.lit(float(max_n)))))

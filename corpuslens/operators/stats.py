@@ -3,10 +3,8 @@ histograms, word frequencies and seeded sampling.
 
 Scale notes
 * ``box_stats`` is exact without gathering a group: values are first reduced
-  to a (group, value, count) histogram with map-side combining, and quartiles
-  are read off cumulative counts of that histogram.  For integer-valued
-  inputs (token/sentence counts) the histogram size is bounded by the value
-  range, not by the number of rows, so a hot group stays small.
+  to a (group, value, count) histogram with map-side combining, which is then
+  ranked over range-sorted partitions.
 * Histograms take the global min/max as one scalar subquery.
 * Frequencies aggregate with partial (map-side) combining; a hot word sends
   one row per map task.
@@ -20,9 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import segment
+from corpuslens.session import cut_lineage
 
 # Fixed value: Tukey's whisker factor.
 WHISKER_IQR = 1.5
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def text_stats(col) -> dict[str, Column]:
@@ -39,40 +39,40 @@ def text_stats(col) -> dict[str, Column]:
     }
 
 
-def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str,
-              probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """q1, median, q3, IQR whiskers (outliers excluded), n per group -- exact."""
+def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """n, q1, median, q3 and IQR whiskers (outliers excluded) per group -- exact.
+
+    Values are counted first, then sorted over all partitions; a running count
+    per partition plus the counts of earlier partitions gives each value its
+    ranks.  So a group of distinct doubles is spread like any other rows.
+    """
     g = list(group_cols)
     hist = (df.where(F.col(value_col).isNotNull())
-            .groupBy(*g, F.col(value_col).alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy(*g).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.withColumn("cum", F.sum("c").over(w)).withColumn("before", F.col("cum") - F.col("c"))
-    totals = hist.groupBy(*g).agg(F.sum("c").alias("_n"))
-    cum = cum.join(totals, g)
+            .groupBy(*g, F.col(value_col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    placed = cut_lineage(hist.orderBy(*g, "v").withColumn("_pid", F.spark_partition_id()))
+    totals = placed.groupBy(*g, "_pid").agg(F.sum("c").alias("_c"))
+    earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = totals.select(*g, "_pid", (F.sum("_c").over(earlier) - F.col("_c")).alias("_off"),
+                           F.sum("_c").over(Window.partitionBy(*g)).alias("n"))
+    inside = Window.partitionBy(*g, "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = (placed.withColumn("_in", F.sum("c").over(inside)).join(starts, [*g, "_pid"])
+           .withColumn("cum", F.col("_off") + F.col("_in")).withColumn("before", F.col("cum") - F.col("c")))
     aggs = []
-    names = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("_n") - 1).cast("double")
-        lo_i, hi_i = F.floor(pos), F.ceil(pos)
-        # value at 0-based rank k is v where before <= k < cum
-        at_lo = F.when((F.col("before") <= lo_i) & (lo_i < F.col("cum")), F.col("v"))
-        at_hi = F.when((F.col("before") <= hi_i) & (hi_i < F.col("cum")), F.col("v"))
-        aggs += [F.max(at_lo).alias(f"_lo{i}"), F.max(at_hi).alias(f"_hi{i}"), F.max(pos).alias(f"_pos{i}")]
-        names.append(i)
-    q = cum.groupBy(*g).agg(*aggs, F.max("_n").alias("n"))
-    qcols = {}
-    for i in names:
-        lo_v, hi_v, pos = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double"), F.col(f"_pos{i}")
-        qcols[f"_q{i}"] = lo_v + (pos - F.floor(pos)) * (hi_v - lo_v)
-    q = q.withColumns(qcols).select(*g, "n", *qcols.keys())
-    q = q.withColumnsRenamed({"_q0": "q1", "_q1": "median", "_q2": "q3"}) if len(probs) == 3 else q
-    iqr = F.col("q3") - F.col("q1")
-    fences = q.withColumns({"_lo_f": F.col("q1") - WHISKER_IQR * iqr, "_hi_f": F.col("q3") + WHISKER_IQR * iqr})
-    whisk = (hist.join(fences.select(*g, "_lo_f", "_hi_f"), g)
-             .groupBy(*g)
-             .agg(F.min(F.when(F.col("v") >= F.col("_lo_f"), F.col("v"))).cast("double").alias("whisker_low"),
-                  F.max(F.when(F.col("v") <= F.col("_hi_f"), F.col("v"))).cast("double").alias("whisker_high")))
-    return q.join(whisk, g).select(*g, "n", "q1", "median", "q3", "whisker_low", "whisker_high")
+    for i, p in enumerate(QUARTILES):
+        pos = F.lit(p) * (F.col("n") - 1).cast("double")
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            # the value at 0-based rank k is v where before <= k < cum
+            aggs.append(F.max(F.when((F.col("before") <= rank) & (rank < F.col("cum")), F.col("v"))).alias(f"_{side}{i}"))
+    q = cum.groupBy(*g, "n").agg(*aggs)
+    for i, (p, name) in enumerate(zip(QUARTILES, ("q1", "median", "q3"))):
+        pos = F.lit(p) * (F.col("n") - 1).cast("double")
+        q = q.withColumn(name, F.col(f"_lo{i}") + (pos - F.floor(pos)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+    reach = WHISKER_IQR * (F.col("q3") - F.col("q1"))
+    fences = q.withColumns({"_lo_f": F.col("q1") - reach, "_hi_f": F.col("q3") + reach})
+    whiskers = (placed.join(fences.select(*g, "_lo_f", "_hi_f"), g).groupBy(*g)
+                .agg(F.min(F.when(F.col("v") >= F.col("_lo_f"), F.col("v"))).alias("whisker_low"),
+                     F.max(F.when(F.col("v") <= F.col("_hi_f"), F.col("v"))).alias("whisker_high")))
+    return q.join(whiskers, g).select(*g, "n", "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
 def common_bins(df: DataFrame, value_col: str, bins: int = 20) -> DataFrame:
@@ -97,22 +97,12 @@ def histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, bins: in
                  F.count(F.lit(1)).alias("count")))
 
 
-def doc_frequency(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(word, doc_freq) over a corpus."""
-    dw = docs.select(key, F.explode(F.array_distinct(segment.words(text_col))).alias("word"))
-    return dw.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-
-
-def top_doc_frequency_words(docs: DataFrame, key: str, text_col: str, k: int = 50) -> DataFrame:
-    """The ``k`` most widespread words (ties by word): a k-row stop-word table."""
-    return doc_frequency(docs, key, text_col).orderBy(F.desc("doc_freq"), "word").limit(k).select("word")
-
-
-def word_frequencies(docs: DataFrame, text_col: str, stop_words: DataFrame, top: int = 200) -> DataFrame:
-    """Top-``top`` words by count after removing ``stop_words`` (a bounded table)."""
+def word_frequencies(docs: DataFrame, text_col: str, stop_words: DataFrame | None = None, top: int = 200) -> DataFrame:
+    """Top-``top`` words by count, without the caller's stop words if given."""
     w = docs.select(F.explode(segment.words(text_col)).alias("word"))
-    kept = w.join(F.broadcast(stop_words), "word", "left_anti")
-    counts = kept.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    counts = w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    if stop_words is not None:
+        counts = counts.join(stop_words, "word", "left_anti")
     return counts.orderBy(F.desc("count"), "word").limit(top)
 
 

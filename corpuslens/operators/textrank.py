@@ -3,8 +3,8 @@
 Definition used here (replaces a POS-tagging library, same purpose: cap the
 sentences that reach the vector ranking):
 
-* words: lower-cased runs of >= 3 letters, minus a stop-word table (the
-  ``k`` words with the highest document frequency; a bounded table);
+* words: lower-cased runs of >= 3 letters, minus the caller's stop-word table
+  if one is given (a published list; it is inlined as one array);
 * graph per document: undirected edges between words at most ``lookback``
   positions apart in the filtered word sequence, weight = co-occurrence
   count, self-edges dropped;
@@ -20,8 +20,7 @@ Two executions of the same definition:
   unrolled join/aggregate iterations -- general, works for any edge table.
 * ``doc_word_ranks``: each document's graph is independent and bounded by
   the document's length, so the graph is built and iterated inside one row
-  (numpy, via ``mapInPandas``); no shuffle at all.  This is what the
-  extraction pipeline uses.
+  (numpy); no shuffle at all.  The extraction job uses the same kernel.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.options import CANDIDATE_LIMIT
 from corpuslens.session import cut_lineage, ship_package
 
 # Algorithm parameters.
@@ -38,8 +38,6 @@ TEXTRANK_WORD_PATTERN = r"\p{L}{3,}"
 DAMPING = 0.85
 ITERATIONS = 10
 LOOKBACK = 3
-CANDIDATE_LIMIT = 80
-STOP_WORDS_K = 50
 SCORE_DIGITS = 9
 
 
@@ -48,30 +46,19 @@ def textrank_words(col) -> F.Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TEXTRANK_WORD_PATTERN), 0)
 
 
-def stop_words(docs: DataFrame, key: str, text_col: str, k: int = STOP_WORDS_K) -> DataFrame:
-    """The ``k`` words present in most documents (ties by word)."""
-    dw = docs.select(key, F.explode(F.array_distinct(textrank_words(text_col))).alias("word"))
-    freq = dw.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
-    return freq.orderBy(F.desc("doc_freq"), "word").limit(k).select("word")
-
-
-def _filtered_words(rows: DataFrame, keys: list[str], text_col: str, stop: DataFrame,
-                    distinct: bool = False) -> DataFrame:
+def _filtered_words(rows: DataFrame, keys: list[str], text_col: str, stop: DataFrame | None) -> DataFrame:
     """(keys, words): textrank words of ``text_col`` without stop words.
 
-    The stop table has exactly k rows, so it is inlined as one array value
-    (a scalar subquery); subqueries cannot sit inside a lambda, hence the
-    intermediate ``_stop`` column.
+    Subqueries cannot sit inside a lambda, hence the ``_stop`` column.
     """
-    stop_arr = stop.select(F.collect_list("word")).scalar()
-    w = textrank_words(text_col)
-    if distinct:
-        w = F.array_distinct(w)
-    with_stop = rows.select(*keys, w.alias("_w"), stop_arr.alias("_stop"))
+    if stop is None:
+        return rows.select(*keys, textrank_words(text_col).alias("words"))
+    listed = stop.select(F.collect_list("word")).scalar()
+    with_stop = rows.select(*keys, textrank_words(text_col).alias("_w"), listed.alias("_stop"))
     return with_stop.select(*keys, F.filter("_w", lambda x: ~F.array_contains(F.col("_stop"), x)).alias("words"))
 
 
-def cooccurrence_edges(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
+def cooccurrence_edges(docs: DataFrame, key: str, text_col: str, stop: DataFrame | None = None,
                        lookback: int = LOOKBACK) -> DataFrame:
     """(key, a, b, weight): both directions of every undirected edge."""
     fw = _filtered_words(docs, [key], text_col, stop)
@@ -141,7 +128,7 @@ def _graph_ranks(words, lookback: int, iterations: int, damping: float):
     return vocab[nodes].tolist(), r[nodes].tolist()
 
 
-def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
+def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame | None = None,
                    lookback: int = LOOKBACK, iterations: int = ITERATIONS,
                    damping: float = DAMPING) -> DataFrame:
     """(key, word, rank) computed per document row, without any shuffle."""
@@ -164,62 +151,17 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
     return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
 
 
-def _kept_positions(words, sent_words, limit: int, lookback: int, iterations: int,
-                    damping: float) -> list[int]:
-    """1-based positions of the ``limit`` best sentences of one document."""
+def kept_positions(words, sizes, limit: int, lookback: int = LOOKBACK, iterations: int = ITERATIONS,
+                   damping: float = DAMPING) -> list[int]:
+    """1-based positions of the ``limit`` best sentences of one document.
+
+    ``words`` are the words of all its sentences in a row, ``sizes`` how many
+    of them each sentence has."""
     vocab, ranks = _graph_ranks(words, lookback, iterations, damping)
     rank_of = dict(zip(vocab, ranks))
-    scores = [round(sum(rank_of.get(w, 0.0) for w in ws), SCORE_DIGITS) for ws in sent_words]
+    scores, at = [], 0
+    for n in sizes:
+        scores.append(round(sum(rank_of.get(w, 0.0) for w in set(words[at:at + n])), SCORE_DIGITS))
+        at += n
     order = sorted(range(len(scores)), key=lambda i: (-scores[i], i))
-    return [i + 1 for i in order[:limit]]
-
-
-def candidates(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
-               limit: int = CANDIDATE_LIMIT, lookback: int = LOOKBACK,
-               iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """Candidate sentences (key, pos, sentence) of every document.
-
-    ``docs`` holds (key, text_col, sents) with ``sents`` the sentence array.
-    Documents with at most ``limit`` sentences keep all of them; longer ones
-    keep the positions the per-document kernel returns.
-    """
-    keep = kept_position_lists(docs, key, text_col, stop, limit, lookback, iterations, damping)
-    ex = docs.join(keep, key, "left").select(key, "keep", F.posexplode("sents").alias("_p", "sentence"))
-    ex = ex.select(key, (F.col("_p") + 1).alias("pos"), "sentence", "keep")
-    return ex.where(F.col("keep").isNull() | F.array_contains(F.col("keep"), F.col("pos"))) \
-        .select(key, "pos", "sentence")
-
-
-def kept_position_lists(docs: DataFrame, key: str, text_col: str, stop: DataFrame,
-                        limit: int = CANDIDATE_LIMIT, lookback: int = LOOKBACK,
-                        iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """(key, keep: array<int>) -- kept sentence positions of long documents.
-
-    ``docs`` holds (key, text_col, sents).  Only documents with more than
-    ``limit`` sentences appear; only word lists go to the kernel and only
-    positions come back, so no sentence text travels anywhere.
-    """
-    ship_package(docs.sparkSession)
-    stop_arr = stop.select(F.collect_list("word")).scalar()
-    long_docs = docs.where(F.size("sents") > limit).select(
-        key, textrank_words(text_col).alias("_w"), "sents", stop_arr.alias("_stop"))
-
-    def drop_stop(arr):
-        return F.filter(arr, lambda x: ~F.array_contains(F.col("_stop"), x))
-
-    long_in = long_docs.select(
-        key, drop_stop(F.col("_w")).alias("words"),
-        F.transform("sents", lambda t: drop_stop(F.array_distinct(textrank_words(t)))).alias("sent_words"))
-    key_type = long_in.schema[key].dataType.simpleString()
-
-    def run(batches):
-        for pdf in batches:
-            keys, keeps = [], []
-            for k, w, sw in zip(pdf[key].to_numpy(), pdf["words"], pdf["sent_words"]):
-                keys.append(k)
-                keeps.append(_kept_positions(list(w), [list(x) for x in sw], limit, lookback, iterations, damping))
-            if keys:
-                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "keep": keeps})
-
-    return long_in.mapInPandas(run, f"{key} {key_type}, keep array<int>")
-
+    return sorted(i + 1 for i in order[:limit])

@@ -6,10 +6,8 @@ in as a pandas UDF returning ``array<float>``; ``dense_cosine`` then works on
 the arrays with higher-order functions (no Python).
 
 Scale: the only term-keyed join is (document, term) rows against the
-document-frequency table.  Common terms are hot keys there; AQE's skew-join
-split (enabled by the session) divides such partitions at run time.  The
-sentence-to-document join is keyed by (document, term), i.e. co-located by
-document and free of term skew.
+document-frequency table.  Common terms are hot keys there; see
+``idf_table`` for how that join is kept divisible.
 """
 
 from __future__ import annotations
@@ -22,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions import segment
-from corpuslens.session import ship_package
+from corpuslens.session import cut_lineage, ship_package
 
 
 def term_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
@@ -31,31 +29,23 @@ def term_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFram
     return ex.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def idf_table(doc_terms: DataFrame, doc_key: str, n_docs: Column) -> DataFrame:
-    """(term, idf) from distinct (doc, term) rows; ``n_docs`` is a scalar column."""
-    df = doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    idf = F.ln((F.lit(1.0) + n_docs.cast("double")) / (F.lit(1.0) + F.col("doc_freq").cast("double"))) + F.lit(1.0)
-    return df.select("term", idf.alias("idf"))
+def idf_table(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(term, idf) over the documents, written to the shared folder once.
 
+    Counts combine map-side, so a term of every document costs one row per
+    task.  Because the table is a plain scan afterwards, a join of (document,
+    term) rows with it has a bare shuffle on either side, and AQE can divide
+    the partition of a term that most documents have.
+    """
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    df = distinct_terms(docs, key, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    idf = F.ln((F.lit(1.0) + n_docs.cast("double")) / (F.lit(1.0) + F.col("doc_freq").cast("double"))) + F.lit(1.0)
+    return cut_lineage(df.select("term", idf.alias("idf")))
 
-def sparse_cosine(left: DataFrame, right: DataFrame, join_keys: Sequence[str],
-                  left_keys: Sequence[str]) -> DataFrame:
-    """Cosine of (left_keys, term, w) vectors against (join_keys, term, w) vectors.
 
-    ``left_keys`` must contain ``join_keys``; the result has one row per left
-    vector: (left_keys, cosine), null when either vector is zero.
-    """
-    jk, lk = list(join_keys), list(left_keys)
-    # every left term exists on the right when the left vectors are parts of
-    # the right ones (sentences of a document); a left join keeps the rest
-    both = left.alias("l").join(right.alias("r"), jk + ["term"], "left")
-    per_left = both.groupBy(*lk).agg(
-        F.sum(F.coalesce(F.col("l.w") * F.col("r.w"), F.lit(0.0))).alias("dot"),
-        F.sqrt(F.sum(F.col("l.w") * F.col("l.w"))).alias("ln"))
-    rnorm = right.groupBy(*jk).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("rn"))
-    out = per_left.join(rnorm, jk, "left")
-    cos = F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)), F.col("ln") * F.col("rn"))
-    return out.select(*lk, F.when((F.col("ln") > 0) & (F.col("rn") > 0), cos).alias("cosine"))
+def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, term), one row for each term of a document."""
+    return docs.select(key, F.explode(F.array_distinct(segment.words(text_col))).alias("term"))
 
 
 def dense_cosine(a, b) -> Column:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslens.functions import readability as rd
+from corpuslens.functions import segment
 from corpuslens.operators import reshape, stats
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
@@ -18,7 +19,6 @@ SAMPLE_SEED = 0
 SHUFFLE_SEED = 3407
 HIST_BINS = 20
 TOP_WORDS = 200
-STOP_WORDS_K = 50
 
 _SQL_SPLIT = "(case doc_id % 10 when 8 then 'validation' when 9 then 'test' else 'train' end)"
 _SQL_CORPUS = (f"corpus as (select doc_id, lang as dataset, {_SQL_SPLIT} as split, "
@@ -80,9 +80,8 @@ def q_corpus_scan(spark, sf_dir):
 @query("concat_splits",
        "with " + _SQL_CORPUS + " select doc_id, dataset, split, title, summary from corpus")
 def q_concat_splits(spark, sf_dir):
-    frames = {s: corpus(spark, sf_dir, split=s).drop("split").select("doc_id", "dataset", "title", "summary")
-              for s in SPLITS}
-    return reshape.concat_tagged(frames, "split").select("doc_id", "dataset", "split", "title", "summary")
+    # the splits are one table with a column that tells them apart
+    return corpus(spark, sf_dir).where(F.col("split").isin(SPLITS)).select("doc_id", "dataset", "split", "title", "summary")
 
 
 @query("text_stats", _SQL_STATS + " select doc_id, split, "
@@ -93,49 +92,72 @@ def q_text_stats(spark, sf_dir):
     return _r6_doubles(corpus_stats(spark, sf_dir))
 
 
-@query("melt_stats", _SQL_STATS + " " + " union all ".join(
-    f"select doc_id, split, '{f}' as field, {f}_tokens as tokens from stats" for f in FIELDS))
+MEASURES = ("tokens", "sentences", "avg_sent_len")
+_SQL_MELT = " union all ".join(
+    f"select doc_id, split, '{f}' as field, '{m}' as measure, cast({f}_{m} as double) as value from stats"
+    for f in FIELDS for m in MEASURES)
+
+
+def melted_stats(spark, sf_dir):
+    """(doc_id, split, field, measure, value) for every field and measure."""
+    st = corpus_stats(spark, sf_dir)
+    items = [F.struct(F.lit(f).alias("field"), F.lit(m).alias("measure"), F.col(f"{f}_{m}").cast("double").alias("value"))
+             for f in FIELDS for m in MEASURES]
+    return st.select("doc_id", "split", F.explode(F.array(*items)).alias("_x")).select("doc_id", "split", "_x.*")
+
+
+@query("melt_stats", _SQL_STATS + f" select doc_id, split, field, measure, {q.r6('value')} as value from ({_SQL_MELT})")
 def q_melt_stats(spark, sf_dir):
+    return _r6_doubles(melted_stats(spark, sf_dir))
+
+
+@query("melt_tokens", _SQL_STATS + " " + " union all ".join(
+    f"select doc_id, split, '{f}' as field, {f}_tokens as tokens from stats" for f in FIELDS))
+def q_melt_tokens(spark, sf_dir):
     return reshape.melt(corpus_stats(spark, sf_dir), ["doc_id", "split"], FIELDS, "tokens")
 
 
 _SQL_BOX = (
-    _SQL_STATS + ", melted as (" + " union all ".join(
-        f"select split, '{f}' as field, {f}_tokens as v from stats" for f in FIELDS) + "), "
-    "qs as (select split, field, count(*) as n, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as median, "
-    "quantile_cont(v, 0.75) as q3 from melted group by split, field), "
-    "wk as (select m.split, m.field, min(case when v >= q1 - 1.5 * (q3 - q1) then v end) as whisker_low, "
+    _SQL_STATS + f", melted as (select split, field, measure, value as v from ({_SQL_MELT})), "
+    "qs as (select split, field, measure, count(*) as n, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as median, "
+    "quantile_cont(v, 0.75) as q3 from melted group by split, field, measure), "
+    "wk as (select m.split, m.field, m.measure, min(case when v >= q1 - 1.5 * (q3 - q1) then v end) as whisker_low, "
     "max(case when v <= q3 + 1.5 * (q3 - q1) then v end) as whisker_high "
-    "from melted m join qs using (split, field) group by m.split, m.field) "
-    "select split, field, n, " + ", ".join(f"{q.r6(c)} as {c}" for c in ("q1", "median", "q3", "whisker_low",
-                                                                          "whisker_high"))
-    + " from qs join wk using (split, field)"
+    "from melted m join qs using (split, field, measure) group by m.split, m.field, m.measure) "
+    "select split, field, measure, n, "
+    + ", ".join(f"{q.r6(c)} as {c}" for c in ("q1", "median", "q3", "whisker_low", "whisker_high"))
+    + " from qs join wk using (split, field, measure)"
 )
 
 
 @query("box_stats", _SQL_BOX)
 def q_box_stats(spark, sf_dir):
-    melted = reshape.melt(corpus_stats(spark, sf_dir), ["doc_id", "split"], FIELDS, "tokens")
-    return _r6_doubles(stats.box_stats(melted, ["split", "field"], "tokens"))
-
-
-_SQL_HIST = (
-    _SQL_STATS + ", x as (select split, summary_flesch_reading_ease as v from stats "
-    "where summary_flesch_reading_ease is not null), "
-    "rg as (select min(v) as lo, max(v) as hi from x), "
-    f"b as (select split, case when hi - lo = 0 then 1 else least(cast(floor((v - lo) / (hi - lo) * {HIST_BINS}.0) "
-    f"as bigint) + 1, {HIST_BINS}) end as bucket, lo, hi from x cross join rg) "
-    f"select split, bucket, {q.r6(f'lo + (bucket - 1) * (hi - lo) / {HIST_BINS}.0')} as bin_low, "
-    f"{q.r6(f'lo + bucket * (hi - lo) / {HIST_BINS}.0')} as bin_high, count(*) as count "
-    "from b group by split, bucket, lo, hi"
-)
+    return _r6_doubles(stats.box_stats(melted_stats(spark, sf_dir), ["split", "field", "measure"], "value"))
+
+
+# Fixed value: the splits whose readability is drawn.
+HIST_SPLITS = ("train", "validation")
+SCORES = {"FRE": "summary_flesch_reading_ease", "FKGL": "summary_flesch_kincaid_grade"}
 
 
-@query("readability_hist", _SQL_HIST)
+def _sql_hist(score: str, col: str) -> str:
+    return (f"select '{score}' as score, split, bucket, {q.r6(f'lo + (bucket - 1) * (hi - lo) / {HIST_BINS}.0')} as bin_low, "
+            f"{q.r6(f'lo + bucket * (hi - lo) / {HIST_BINS}.0')} as bin_high, count(*) as count from ("
+            f"select split, case when hi - lo = 0 then 1 else least(cast(floor((v - lo) / (hi - lo) * {HIST_BINS}.0) "
+            f"as bigint) + 1, {HIST_BINS}) end as bucket, lo, hi from (select split, {col} as v from shown where {col} is not null) "
+            f"cross join (select min({col}) as lo, max({col}) as hi from shown)) group by split, bucket, lo, hi")
+
+
+@query("readability_hist", _SQL_STATS + f", shown as (select * from stats where split in {HIST_SPLITS}) "
+       + " union all ".join(_sql_hist(k, v) for k, v in SCORES.items()))
 def q_readability_hist(spark, sf_dir):
-    st = corpus_stats(spark, sf_dir).select("split", "summary_flesch_reading_ease")
-    h = stats.histogram(st, ["split"], "summary_flesch_reading_ease", HIST_BINS)
-    return h.select("split", "bucket", r6("bin_low").alias("bin_low"), r6("bin_high").alias("bin_high"), "count")
+    st = corpus_stats(spark, sf_dir).where(F.col("split").isin(*HIST_SPLITS)).select("split", *SCORES.values())
+    parts = []
+    for name, col in SCORES.items():
+        h = stats.histogram(st, ["split"], col, HIST_BINS)
+        parts.append(h.select(F.lit(name).alias("score"), "split", "bucket", r6("bin_low").alias("bin_low"),
+                              r6("bin_high").alias("bin_high"), "count"))
+    return parts[0].unionByName(parts[1])
 
 
 @query("readability_vs_length",
@@ -157,19 +179,44 @@ def q_readability_vs_length(spark, sf_dir):
     )
 
 
-_SQL_STOP = (f"dw as (select distinct doc_id, unnest({q.words('text')}) as word from documents), "
-             f"dfreq as (select word, count(*) as doc_freq from dw group by word), "
-             f"stop as (select word from dfreq order by doc_freq desc, word limit {STOP_WORDS_K})")
+def _sql_frequencies(source: str, text_col: str) -> str:
+    return (f"select word, count(*) as count from (select unnest({q.words(text_col)}) as word from {source}) "
+            f"group by word order by count desc, word limit {TOP_WORDS}")
 
 
-@query("word_frequencies",
-       "with " + _SQL_STOP + f", w as (select unnest({q.words('text')}) as word from documents) "
-       f"select word, count(*) as count from w where word not in (select word from stop) "
-       f"group by word order by count desc, word limit {TOP_WORDS}")
+@query("word_frequencies", _sql_frequencies("documents", "text"))
 def q_word_frequencies(spark, sf_dir):
+    return stats.word_frequencies(read_table(spark, sf_dir, "documents").select("text"), "text", top=TOP_WORDS)
+
+
+@query("word_frequencies_without",
+       f"with stop as (select distinct unnest({q.words('text')}) as word from benchmark) "
+       f"select word, count(*) as count from (select unnest({q.words('text')}) as word from documents) "
+       f"where word not in (select word from stop) group by word order by count desc, word limit {TOP_WORDS}")
+def q_word_frequencies_without(spark, sf_dir):
+    """Without the words of a caller's table."""
+    stop = read_table(spark, sf_dir, "benchmark").select(F.explode(segment.words("text")).alias("word")).distinct()
+    return stats.word_frequencies(read_table(spark, sf_dir, "documents").select("text"), "text", stop, TOP_WORDS)
+
+
+def _field_query(field: str):
+    @query(f"word_frequencies_{field}", "with " + _SQL_CORPUS + " " + _sql_frequencies("corpus", field))
+    def q_field(spark, sf_dir):
+        return stats.word_frequencies(corpus(spark, sf_dir).select(field), field, top=TOP_WORDS)
+    return q_field
+
+
+for _field in ("summary", "title"):
+    _field_query(_field)
+
+
+@query("word_frequencies_sample",
+       f"with sampled as (select text from documents order by md5(concat('{SAMPLE_SEED}', ':', cast(doc_id as varchar))), "
+       f"doc_id limit {SAMPLE_SIZE}) " + _sql_frequencies("sampled", "text"))
+def q_word_frequencies_sample(spark, sf_dir):
+    """Words of a sample of 500 articles."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    stop = stats.top_doc_frequency_words(docs, "doc_id", "text", STOP_WORDS_K)
-    return stats.word_frequencies(docs, "text", stop, TOP_WORDS)
+    return stats.word_frequencies(stats.sample_exact(docs, "doc_id", SAMPLE_SIZE, SAMPLE_SEED), "text", top=TOP_WORDS)
 
 
 @query("sample_exact",

@@ -2,10 +2,10 @@
 notebook/leaderboard normalization, difference and pairwise comparison.
 
 Inputs are reports Spark computes from the corpus: a *run* is one source
-summarized with its lead-k sentences (k = 1..4, named ``lead_<source>_<k>``),
-a *method* is the whole corpus at one k (``lead_<k>``).  Folder-based queries
-write those reports with Spark into the session's shared checkpoint folder and
-read them back through the report readers.
+summarized to its best 10, 20, 30 or 40 sentences (``extract_<source>_<n>``),
+a *method* is the whole corpus at one length (``extract_<n>``).  Folder-based
+queries write those reports with Spark into the session's shared checkpoint
+folder and read them back through the report readers.
 """
 
 from __future__ import annotations
@@ -15,39 +15,39 @@ from pyspark.sql import functions as F
 
 from corpuslens import schema
 from corpuslens.operators import compare, normalize, rank, reshape
+from corpuslens.options import SUMMARY_LENGTHS
 from corpuslens.plans import sqlfrag as q
-from corpuslens.plans.evaluation import (_round_doubles, _sql_categories, _sql_normalized, _sql_report,
-                                         corpus_report, sql_pairs_select)
+from corpuslens.plans.evaluation import (RUN_PREFIX, _round_doubles, _sql_categories, _sql_normalized, _sql_report,
+                                         corpus_report, rank_report, sql_pairs_select)
 from corpuslens.plans.registry import query
 from corpuslens.session import scratch_dir
-from corpuslens.sources import reports
+from corpuslens.sources import reports, sinks
 from corpuslens.sources.tables import read_table
 
-RUN_KS = (1, 2, 3, 4)
-RUN_PREFIX = "lead_"
-METHOD_A, METHOD_B = 1, 3
-N_SOURCES = 20
+METHOD_A, METHOD_B = SUMMARY_LENGTHS[0], SUMMARY_LENGTHS[2]
+NAME_A, NAME_B = f"{RUN_PREFIX}{METHOD_A}", f"{RUN_PREFIX}{METHOD_B}"
 NOTEBOOK_NAMES = ("avg_relevance", "avg_readability", "avg_factuality", "score")
 LEADERBOARD_NAMES = ("Relevance", "Readability", "Factuality", "Final")
 
 
-def model_labels() -> dict[str, str]:
-    """Display names of the runs' models (built by rule, one per source)."""
-    return {f"{RUN_PREFIX}src{i}": f"Lead source {i}" for i in range(N_SOURCES)}
+def model_labels(spark, sf_dir) -> DataFrame:
+    """(run_model, label): display names of the runs' models, from the data.
+    The first source has none, as a label table may lack a model."""
+    sources = read_table(spark, sf_dir, "documents").select("source").distinct()
+    first = sources.select(F.min("source")).scalar()
+    return sources.where(F.col("source") > first).select(
+        F.concat(F.lit(RUN_PREFIX), "source").alias("run_model"), F.concat(F.lit("Extract of "), "source").alias("label"))
 
 
-def _union_sql(selects):
-    return " union all ".join(f"({s})" for s in selects)
-
-
-_SQL_RUNS = _sql_report(_union_sql([sql_pairs_select(k, "run") for k in RUN_KS]))
-_SQL_METHODS = _sql_report(_union_sql([sql_pairs_select(k, "method") for k in (METHOD_A, METHOD_B)]))
+_SQL_RUNS = _sql_report(sql_pairs_select(SUMMARY_LENGTHS, "run"))
+_SQL_METHODS = _sql_report(sql_pairs_select((METHOD_A, METHOD_B), "method"))
 _SQL_NAMED = (
     ", named as (select replace(model, '_' || split_part(model, '_', -1), '') as model, "
     "cast(split_part(model, '_', -1) as integer) as count, "
     + ", ".join(schema.METRICS) + f" from report where starts_with(model, '{RUN_PREFIX}'))"
 )
-_SQL_LABELS = "(values " + ", ".join(f"('{k}', '{v}')" for k, v in model_labels().items()) + ") as lab(k, v)"
+_SQL_LABELS = (f"(select '{RUN_PREFIX}' || source as k, 'Extract of ' || source as v from "
+               "(select distinct source from documents) where source > (select min(source) from documents)) as lab")
 _SQL_RECODED = (
     _SQL_NAMED + f", recoded as (select lab.v as model, n.count, "
     + ", ".join(f"n.{m}" for m in schema.METRICS)
@@ -56,7 +56,7 @@ _SQL_RECODED = (
 
 
 def runs_report(spark, sf_dir) -> DataFrame:
-    return corpus_report(spark, sf_dir, RUN_KS, "run")
+    return corpus_report(spark, sf_dir, SUMMARY_LENGTHS, "run")
 
 
 def methods_report(spark, sf_dir) -> DataFrame:
@@ -73,10 +73,10 @@ def named_runs(spark, sf_dir) -> DataFrame:
 
 
 def recoded_runs(spark, sf_dir) -> DataFrame:
-    labels = model_labels()
-    mapping = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+    """Runs under their display names; a model without one becomes null."""
     df = named_runs(spark, sf_dir)
-    return df.select(F.try_element_at(mapping, F.col("model")).alias("model"), "count", *schema.METRICS)
+    return (df.join(model_labels(spark, sf_dir), F.col("model") == F.col("run_model"), "left")
+            .select(F.col("label").alias("model"), "count", *schema.METRICS))
 
 
 def notebook_ranking(df: DataFrame) -> DataFrame:
@@ -94,6 +94,24 @@ def q_eval_json_scan(spark, sf_dir):
     return _round_doubles(reports.read_eval_reports(spark, path, key="dir"))
 
 
+@query("eval_json_flat", _sql_report() + " select model, "
+       + ", ".join(f"{q.r6(m)} as {m}" for m in schema.METRICS) + " from report")
+def q_eval_json_flat(spark, sf_dir):
+    """S4: a flat folder whose file stems are the keys."""
+    path = scratch_dir(spark, "report-flat")
+    reports.write_reports_flat(corpus_report(spark, sf_dir), path, "model")
+    return _round_doubles(reports.read_eval_reports(spark, path, key="stem"))
+
+
+@query("ranking_report", _sql_report() + ", norm as (" + _sql_normalized("null") + "), cat as ("
+       + _sql_categories("norm") + f") select model, {q.r6('score')} as score from cat")
+def q_ranking_report(spark, sf_dir):
+    """K9: the ranking written as an ordered CSV report, and read back."""
+    path = scratch_dir(spark, "ranking-report")
+    sinks.write_ranking_report(rank_report(corpus_report(spark, sf_dir)).select("model", "score"), path)
+    return _round_doubles(spark.read.option("header", True).schema("model string, score double").csv(path))
+
+
 @query("eval_json_named", _SQL_RUNS + _SQL_NAMED + " select model, count, "
        + ", ".join(f"{q.r6(m)} as {m}" for m in schema.METRICS) + " from named")
 def q_eval_json_named(spark, sf_dir):
@@ -135,7 +153,7 @@ def leaderboard_rows(report: DataFrame) -> DataFrame:
         "#": F.lit(None).cast("bigint"), "Participant": F.col("model"),
         "Entries": count.cast("bigint"), "Date": F.lit(None).cast("string"),
         "ID": F.lit(None).cast("bigint"),
-        "Select Task": F.when(count <= 2, F.lit(schema.LEADERBOARD_TASK)).otherwise(F.lit(_TASK_2)),
+        "Select Task": F.when(count <= METHOD_B, F.lit(schema.LEADERBOARD_TASK)).otherwise(F.lit(_TASK_2)),
         "Team Name": model,
     }
     for c in schema.LEADERBOARD_COLUMNS[7:]:
@@ -168,7 +186,7 @@ _SQL_BOARD = (
     _SQL_RUNS + ", board as (select cast(null as bigint) as " + _qi("#") + ", model as " + _qi("Participant")
     + ", cast(split_part(model, '_', -1) as bigint) as " + _qi("Entries")
     + ", cast(null as varchar) as " + _qi("Date") + ", cast(null as bigint) as " + _qi("ID")
-    + f", case when cast(split_part(model, '_', -1) as integer) <= 2 then '{schema.LEADERBOARD_TASK}' "
+    + f", case when cast(split_part(model, '_', -1) as integer) <= {METHOD_B} then '{schema.LEADERBOARD_TASK}' "
     f"else '{_TASK_2}' end as " + _qi("Select Task")
     + ", replace(model, '_' || split_part(model, '_', -1), '') as " + _qi("Team Name") + ", "
     + ", ".join((m if m in schema.METRICS else "cast(null as double)") + " as " + _qi(c)
@@ -215,15 +233,15 @@ def q_leaderboard_rank(spark, sf_dir):
 def method_pair(spark, sf_dir):
     rep = methods_report(spark, sf_dir)
     long = reshape.metrics_long(rep, "model", schema.METRICS)
-    a = long.where(F.col("model") == f"lead_{METHOD_A}").select("metric", F.col("value").alias("a"))
-    b = long.where(F.col("model") == f"lead_{METHOD_B}").select("metric", F.col("value").alias("b"))
+    a = long.where(F.col("model") == NAME_A).select("metric", F.col("value").alias("a"))
+    b = long.where(F.col("model") == NAME_B).select("metric", F.col("value").alias("b"))
     return a, b
 
 
 _SQL_LONG = (_SQL_METHODS + ", long as (" + " union all ".join(
     f"select model, '{m}' as metric, {m} as value from report where {m} is not null" for m in schema.METRICS)
-    + f"), ma as (select metric, value as a from long where model = 'lead_{METHOD_A}'), "
-    f"mb as (select metric, value as b from long where model = 'lead_{METHOD_B}')")
+    + f"), ma as (select metric, value as a from long where model = '{NAME_A}'), "
+    f"mb as (select metric, value as b from long where model = '{NAME_B}')")
 _SQL_ORDER = "(values " + ", ".join(f"({i + 1}, '{m}')" for i, m in enumerate(schema.METRICS)) + ") as o(ord, metric)"
 
 
@@ -248,29 +266,29 @@ def q_metric_intersect(spark, sf_dir):
        "t as (select count(*) as n_common, sum(case when a_wins then 1 else 0 end) as wins_a, "
        "sum(case when a <> b and not a_wins then 1 else 0 end) as wins_b from c) "
        f"select cast(n_common as bigint) as n_common, cast(wins_a as bigint) as wins_a, "
-       f"cast(wins_b as bigint) as wins_b, case when wins_a > wins_b then 'lead_{METHOD_A}' "
-       f"when wins_b > wins_a then 'lead_{METHOD_B}' else 'Tie' end as verdict from t")
+       f"cast(wins_b as bigint) as wins_b, case when wins_a > wins_b then '{NAME_A}' "
+       f"when wins_b > wins_a then '{NAME_B}' else 'Tie' end as verdict from t")
 def q_pairwise_wins(spark, sf_dir):
     a, b = method_pair(spark, sf_dir)
-    return compare.pairwise_wins(a, b, schema.LOWER_IS_BETTER, f"lead_{METHOD_A}", f"lead_{METHOD_B}")
+    return compare.pairwise_wins(a, b, schema.LOWER_IS_BETTER, NAME_A, NAME_B)
 
 
-_SQL_PLONG = (_SQL_LONG + ", pl as (select ma.metric, 'lead_" + str(METHOD_A) + "' as method, a as value "
-              "from ma join mb on ma.metric = mb.metric union all select mb.metric, 'lead_" + str(METHOD_B)
+_SQL_PLONG = (_SQL_LONG + ", pl as (select ma.metric, '" + NAME_A + "' as method, a as value "
+              "from ma join mb on ma.metric = mb.metric union all select mb.metric, '" + NAME_B
               + "' as method, b as value from ma join mb on ma.metric = mb.metric)")
 
 
 @query("pairwise_long", _SQL_PLONG + f" select metric, method, {q.r6('value')} as value from pl")
 def q_pairwise_long(spark, sf_dir):
     a, b = method_pair(spark, sf_dir)
-    return _round_doubles(compare.pairwise_long(a, b, f"lead_{METHOD_A}", f"lead_{METHOD_B}"))
+    return _round_doubles(compare.pairwise_long(a, b, NAME_A, NAME_B))
 
 
 @query("metric_bars", _SQL_PLONG + f" select metric, method, {q.r6('avg(value)')} as value "
        "from pl group by metric, method")
 def q_metric_bars(spark, sf_dir):
     a, b = method_pair(spark, sf_dir)
-    pl = compare.pairwise_long(a, b, f"lead_{METHOD_A}", f"lead_{METHOD_B}")
+    pl = compare.pairwise_long(a, b, NAME_A, NAME_B)
     return _round_doubles(pl.groupBy("metric", "method").agg(F.avg("value").alias("value")))
 
 

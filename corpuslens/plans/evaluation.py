@@ -1,56 +1,58 @@
 """Evaluation and ranking queries over the corpus (jobs: evaluate, rank).
 
-The test corpus stands in for model outputs: ``model`` = document source,
-``reference`` = the abstract (first line), ``generated`` = the lead three
-sentences of the body.  Everything downstream is the ranking job.
+What is evaluated is the extractor's own output: ``reference`` = the abstract
+(first line), ``generated`` = the body's best 10, 20, 30 or 40 sentences.  The
+easy words of the Dale-Chall score are those of the ``benchmark`` table, so
+the score of a text does not depend on the other documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens import schema
-from corpuslens.functions import segment, text
-from corpuslens.operators import evaluate, normalize, rank
+from corpuslens.operators import evaluate, extract, normalize, rank
+from corpuslens.options import SUMMARY_LENGTHS, Variant
 from corpuslens.plans import sqlfrag as q
+from corpuslens.plans.extract import sql_summaries
 from corpuslens.plans.registry import query, r6
-from corpuslens.sources.tables import read_table
+from corpuslens.sources.tables import corpus, read_table
 
-LEAD_SENTENCES = 3
+EVALUATED = Variant("body", ranked=True)
+ONE_LENGTH = SUMMARY_LENGTHS[:1]
+RUN_PREFIX = "extract_"
 
 
-def generation_pairs(spark: SparkSession, sf_dir: str, ks=(LEAD_SENTENCES,),
+def generation_pairs(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = ONE_LENGTH,
                      naming: str = "source") -> DataFrame:
-    """(pid, model, reference, generated) for lead-k summaries of the corpus.
+    """(pid, model, reference, generated) for the extractor's summaries.
 
-    naming "source": model = source, pid = doc_id (one k only);
-    "run": model = lead_<source>_<k>; "method": model = lead_<k>; for these
-    pid = '<doc_id>#<k>' so that several k are evaluated in one job.
+    naming "source": model = source, pid = doc_id (one length only);
+    "run": model = extract_<source>_<n>; "method": model = extract_<n>; for
+    these pid = '<doc_id>#<n>', and one ranking serves all lengths.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    if naming == "source":
-        if len(ks) != 1:
-            raise ValueError("naming='source' takes exactly one k")
-        return docs.select(F.col("doc_id").alias("pid"), F.col("source").alias("model"),
-                           text.abstract_of("text").alias("reference"),
-                           segment.lead(text.body_of("text"), ks[0]).alias("generated"))
-    # one row per (document, k): the texts are split once, then sliced per k
-    base = docs.select("doc_id", "source", text.abstract_of("text").alias("reference"),
-                       segment.sentences(text.body_of("text")).alias("_sents"))
-    ks_col = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
-    runs = base.select("*", ks_col)
-    model = (F.concat(F.lit("lead_"), F.col("source"), F.lit("_"), F.col("k").cast("string"))
-             if naming == "run" else F.concat(F.lit("lead_"), F.col("k").cast("string")))
-    return runs.select(F.concat(F.col("doc_id").cast("string"), F.lit("#"), F.col("k").cast("string")).alias("pid"),
-                       model.alias("model"), "reference",
-                       F.array_join(F.slice("_sents", F.lit(1), F.col("k")), " ").alias("generated"))
-
-
-def corpus_report(spark: SparkSession, sf_dir: str, ks=(LEAD_SENTENCES,), naming: str = "source") -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    easy = evaluate.easy_words(docs.select("doc_id", "text"))
-    return evaluate.eval_report(generation_pairs(spark, sf_dir, ks, naming), easy, key="pid")
+    if naming == "source" and len(lengths) != 1:
+        raise ValueError("naming='source' takes exactly one length")
+    docs = corpus(spark, sf_dir, carry=["source"])
+    long = extract.extract_long(extract.extract_wide(docs, EVALUATED, lengths=lengths, carry=["source"]), lengths=lengths)
+    n = F.col("n_sentences").cast("string")
+    model = {"source": F.col("source"), "run": F.concat(F.lit(RUN_PREFIX), "source", F.lit("_"), n),
+             "method": F.concat(F.lit(RUN_PREFIX), n)}[naming]
+    pid = F.col("doc_id") if naming == "source" else F.concat(F.col("doc_id").cast("string"), F.lit("#"), n)
+    return long.select(pid.alias("pid"), model.alias("model"), F.col("summary").alias("reference"),
+                       F.col("transformed").alias("generated"))
+
+
+def easy_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.word_list(read_table(spark, sf_dir, "benchmark"))
+
+
+def corpus_report(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = ONE_LENGTH,
+                  naming: str = "source") -> DataFrame:
+    return evaluate.eval_report(generation_pairs(spark, sf_dir, lengths, naming), easy_list(spark, sf_dir), key="pid")
 
 
 def _round_doubles(df: DataFrame) -> DataFrame:
@@ -61,21 +63,17 @@ def _round_doubles(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # SQL oracle pieces
 # --------------------------------------------------------------------------
-def sql_pairs_select(k: int = LEAD_SENTENCES, naming: str = "source") -> str:
-    """SELECT (pid, model, reference, generated) for lead-``k`` summaries.
+SQL_EASY = f"easy as (select distinct unnest({q.words('text')}) as word from benchmark)"
 
-    naming: "source" (model = source, pid = doc_id), "run" (model =
-    lead_<source>_<k>) or "method" (model = lead_<k>); the last two key pairs
-    by '<doc_id>#<k>' so several k can be unioned.
-    """
-    if naming == "source":
-        pid, model = "doc_id", "source"
-    elif naming == "run":
-        pid, model = f"cast(doc_id as varchar) || '#{k}'", f"'lead_' || source || '_{k}'"
-    else:
-        pid, model = f"cast(doc_id as varchar) || '#{k}'", f"'lead_{k}'"
-    return (f"select {pid} as pid, {model} as model, {q.abstract('text')} as reference, "
-            f"{q.lead(q.body('text'), k)} as generated from documents")
+
+def sql_pairs_select(lengths: Sequence[int] = ONE_LENGTH, naming: str = "source") -> str:
+    """SELECT (pid, model, reference, generated) of ``generation_pairs``."""
+    def one(n):
+        pid = "doc_id" if naming == "source" else f"cast(doc_id as varchar) || '#{n}'"
+        model = {"source": "source", "run": f"'{RUN_PREFIX}' || source || '_{n}'", "method": f"'{RUN_PREFIX}{n}'"}[naming]
+        return (f"select {pid} as pid, {model} as model, summary as reference, extracted_summary_{n} as generated "
+                "from wide")
+    return sql_summaries(EVALUATED) + " " + " union all ".join(map(one, lengths))
 
 
 def _sql_pairs(pairs_sql: str) -> str:
@@ -113,9 +111,7 @@ def _sql_report(pairs_sql: str | None = None) -> str:
         f"cnt as (select pid, model, len(gw) as w, len({q.sentences('generated')}) as s, "
         f"greatest({q.vowel_groups('generated')}, len(gw)) as y, "
         f"length(array_to_string(gw, '')) as l from pw), "
-        f"dw as (select distinct doc_id, unnest({q.words('text')}) as word from documents), "
-        f"easy as (select word from dw group by word "
-        f"having count(*) * 20 >= (select count(*) from documents)), "
+        + SQL_EASY + ", "
         f"gwords as (select pid, unnest(gw) as word from pw), "
         f"hard as (select g.pid, sum(case when e.word is null then 1 else 0 end) as d "
         f"from gwords g left join easy e on g.word = e.word group by g.pid), "

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import text
 from corpuslens.operators import extract, textrank
-from corpuslens.options import SUMMARY_LENGTHS, TransformOptions, variant_name_col
+from corpuslens.options import CANDIDATE_LIMIT, SUMMARY_LENGTHS, Variant, variant_name_col
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
+from corpuslens.sources import sinks
 from corpuslens.sources.tables import corpus, read_table
 
 TR = textrank
@@ -21,10 +22,10 @@ _DAMP = repr(TR.DAMPING)
 # --------------------------------------------------------------------------
 # SQL oracle builders
 # --------------------------------------------------------------------------
-def _sql_input(opts: TransformOptions) -> str:
+def _sql_input(opts: Variant) -> str:
     """CTE ``rin(doc_id, text)``: the ranking input of every document."""
-    src = q.body("text") if opts.exclude_abstract else "text"
-    if opts.preprocess:
+    src = q.body("text") if opts.part == "body" else "text"
+    if opts.cleaned:
         return ("src0 as (select doc_id, " + src + " as t0 from documents), "
                 + q.preprocess_ctes("src0", "doc_id", "t0", "text") + ", rin as (select doc_id, text from pp_f)")
     return f"rin as (select doc_id, {src} as text from documents)"
@@ -40,13 +41,6 @@ def _sql_sents() -> str:
             "(select doc_id, s, unnest(range(1, len(s) + 1)) as pos from sl))")
 
 
-def _sql_stop(src: str = "rin") -> str:
-    return (f"trw as (select distinct doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {_TRW})) as word "
-            f"from {src}), "
-            f"stop as (select word from (select word, count(*) as df from trw group by word) "
-            f"order by df desc, word limit {TR.STOP_WORDS_K})")
-
-
 def _sql_edges(docs: str) -> str:
     """CTE ``e(doc_id, a, b, weight)`` for the documents in ``docs``(doc_id, text)."""
     look = TR.LOOKBACK
@@ -54,7 +48,7 @@ def _sql_edges(docs: str) -> str:
         f"tw as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from "
         f"(select doc_id, regexp_extract_all(lower(coalesce(text, '')), {_TRW}) as w from {docs})), "
         "fw as (select doc_id, word, row_number() over (partition by doc_id order by i) as j "
-        "from tw where word not in (select word from stop)), "
+        "from tw), "
         f"pr as (select x.doc_id, x.word as a, y.word as b from fw x join fw y on x.doc_id = y.doc_id "
         f"and y.j > x.j and y.j <= x.j + {look} where x.word <> y.word), "
         "e as (select doc_id, a, b, count(*) as weight from "
@@ -78,7 +72,7 @@ def _sql_pagerank() -> str:
 
 
 def _sql_candidates() -> str:
-    lim = TR.CANDIDATE_LIMIT
+    lim = CANDIDATE_LIMIT
     return (
         f"nsent as (select doc_id, count(*) as n from sents group by doc_id), "
         f"longd as (select rin.doc_id, rin.text from rin join nsent using (doc_id) where nsent.n > {lim}), "
@@ -88,7 +82,7 @@ def _sql_candidates() -> str:
         f"as word from lsents), "
         f"sscore as (select ssw.doc_id, ssw.pos, coalesce(sum(rr.r), 0.0) as score from ssw "
         f"left join r{TR.ITERATIONS} rr on rr.doc_id = ssw.doc_id and rr.word = ssw.word "
-        f"where ssw.word not in (select word from stop) group by ssw.doc_id, ssw.pos), "
+        f"group by ssw.doc_id, ssw.pos), "
         f"lrank as (select l.doc_id, l.pos, l.sentence, row_number() over (partition by l.doc_id "
         f"order by round(coalesce(sc.score, 0.0), {TR.SCORE_DIGITS}) desc, l.pos) as rk "
         f"from lsents l left join sscore sc using (doc_id, pos)), "
@@ -123,10 +117,10 @@ def _sql_cosine(cands: str) -> str:
     )
 
 
-def sql_ranked(opts: TransformOptions, use_textrank: bool = True) -> str:
+def sql_ranked(opts: Variant, use_textrank: bool = True) -> str:
     """``with ...`` ending in ``ranked(doc_id, rk, pos, sentence, cosine)``."""
     cands = "cands"
-    body = [_sql_input(opts), _sql_sents(), _sql_stop()]
+    body = [_sql_input(opts), _sql_sents()]
     if use_textrank:
         body.append(_sql_candidates())
     else:
@@ -138,36 +132,36 @@ def sql_ranked(opts: TransformOptions, use_textrank: bool = True) -> str:
     return "with " + ", ".join(body)
 
 
-def sql_summaries(opts: TransformOptions, lengths=SUMMARY_LENGTHS) -> str:
+def sql_summaries(opts: Variant, lengths=SUMMARY_LENGTHS) -> str:
     """``... , wide(doc_id, article, summary, extracted_summary_<n>...)``."""
     cols = []
     for n in lengths:
         s = (f"coalesce(string_agg(case when r.rk <= {n} then r.sentence end, chr(10) order by r.rk), '')")
-        if opts.concat_abstract:
+        if opts.abstract_first:
             s = q.strip(f"{q.abstract('d.text')} || chr(10) || {s}")
         cols.append(f"{s} as extracted_summary_{n}")
-    return (sql_ranked(opts) + ", wide as (select d.doc_id, d.text as article, "
+    return (sql_ranked(opts) + ", wide as materialized (select d.doc_id, d.source, d.text as article, "
             f"{q.abstract('d.text')} as summary, " + ", ".join(cols)
-            + " from documents d left join ranked r on r.doc_id = d.doc_id group by d.doc_id, d.text)")
+            + " from documents d left join ranked r on r.doc_id = d.doc_id group by d.doc_id, d.source, d.text)")
 
 
 def _sql_long(lengths=SUMMARY_LENGTHS) -> str:
-    return " union all ".join(f"select doc_id, {n} as n_sentences, extracted_summary_{n} as transformed from wide"
+    return " union all ".join(f"select doc_id, article, summary, {n} as n_sentences, extracted_summary_{n} as transformed from wide"
                               for n in lengths)
 
 
 # --------------------------------------------------------------------------
 # Spark builders
 # --------------------------------------------------------------------------
-def _wide(spark, sf_dir, opts: TransformOptions):
+def _wide(spark, sf_dir, opts: Variant):
     return extract.extract_wide(corpus(spark, sf_dir), opts)
 
 
-EXTRACT = TransformOptions(extract=True)
+EXTRACT = Variant(ranked=True)
 
 
 @query("tfidf_vectors",
-       "with " + _sql_input(TransformOptions()) + ", " + _sql_sents() + ", " + _sql_tfidf()
+       "with " + _sql_input(Variant()) + ", " + _sql_sents() + ", " + _sql_tfidf()
        + f" select doc_id, term, cast(tf as bigint) as tf, {q.r6('w')} as w from dw")
 def q_tfidf_vectors(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -176,48 +170,53 @@ def q_tfidf_vectors(spark, sf_dir):
 
 
 @query("sentence_cosine",
-       "with " + _sql_input(TransformOptions()) + ", " + _sql_sents() + ", " + _sql_tfidf() + ", "
+       "with " + _sql_input(Variant()) + ", " + _sql_sents() + ", " + _sql_tfidf() + ", "
        + _sql_cosine("sents") + f" select s.doc_id, s.pos, {q.r6('cosv.cosine')} as cosine "
        "from sents s left join cosv using (doc_id, pos)")
 def q_sentence_cosine(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    sents = extract.sentence_rows(docs, "doc_id", "text")
-    sent_tf, doc_terms = extract.tfidf_terms(docs, sents, "doc_id")
-    cos = extract.sentence_cosines(sent_tf, doc_terms, "doc_id")
-    return sents.select("doc_id", "pos").join(cos, ["doc_id", "pos"], "left") \
-        .select("doc_id", F.col("pos").cast("bigint").alias("pos"), r6("cosine").alias("cosine"))
+    scored = extract.scored_documents(docs, "doc_id", "text", None)
+    rows = scored.select("doc_id", F.posexplode("cos").alias("_p", "cosine"))
+    return rows.select("doc_id", (F.col("_p") + 1).cast("bigint").alias("pos"), r6("cosine").alias("cosine"))
 
 
-_SQL_ALLDOCS_EDGES = ("with rin as (select doc_id, text from documents), " + _sql_stop() + ", "
-                      + _sql_edges("rin"))
+_SQL_ALLDOCS_EDGES = "with rin as (select doc_id, text from documents), " + _sql_edges("rin")
 
 
 @query("cooccurrence_edges", _SQL_ALLDOCS_EDGES + " select doc_id, a, b, cast(weight as bigint) as weight from e")
 def q_cooccurrence_edges(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    stop = TR.stop_words(docs, "doc_id", "text")
-    return TR.cooccurrence_edges(docs, "doc_id", "text", stop)
+    return TR.cooccurrence_edges(docs, "doc_id", "text")
+
+
+_SQL_PAGERANK = (_SQL_ALLDOCS_EDGES + ", " + _sql_pagerank()
+                 + f" select doc_id, word, {q.r6('r')} as rank from r{TR.ITERATIONS}")
 
 
-@query("word_pagerank", _SQL_ALLDOCS_EDGES + ", " + _sql_pagerank()
-       + f" select doc_id, word, {q.r6('r')} as rank from r{TR.ITERATIONS}")
+@query("word_pagerank", _SQL_PAGERANK)
 def q_word_pagerank(spark, sf_dir):
+    """PageRank of any edge table, by joins."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    stop = TR.stop_words(docs, "doc_id", "text")
-    ranks = TR.doc_word_ranks(docs, "doc_id", "text", stop)
+    ranks = TR.word_pagerank(TR.cooccurrence_edges(docs, "doc_id", "text"), "doc_id")
     return ranks.select("doc_id", "word", r6("rank").alias("rank"))
 
 
-@query("textrank_top80", sql_ranked(TransformOptions()) + " select doc_id, cast(pos as bigint) as pos from cands")
+@query("doc_word_ranks", _SQL_PAGERANK)
+def q_doc_word_ranks(spark, sf_dir):
+    """The same ranks, each document's graph in its own row."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return TR.doc_word_ranks(docs, "doc_id", "text").select("doc_id", "word", r6("rank").alias("rank"))
+
+
+@query("textrank_top80", sql_ranked(Variant()) + " select doc_id, cast(pos as bigint) as pos from cands")
 def q_textrank_top80(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    stop = TR.stop_words(docs, "doc_id", "text")
-    with_sents = docs.select("doc_id", "text", extract.guarded_sentences("text").alias("sents"))
-    cands = TR.candidates(with_sents, "doc_id", "text", stop)
-    return cands.select("doc_id", F.col("pos").cast("bigint").alias("pos"))
+    scored = extract.scored_documents(docs, "doc_id", "text", CANDIDATE_LIMIT)
+    every = F.transform("sents", lambda s, i: i + 1)
+    return scored.select("doc_id", F.explode(F.coalesce("keep", every).cast("array<bigint>")).alias("pos"))
 
 
-@query("extract_ranked", sql_ranked(TransformOptions())
+@query("extract_ranked", sql_ranked(Variant())
        + f" select doc_id, cast(rk as bigint) as rank, cast(pos as bigint) as pos, sentence, "
        f"{q.r6('cosine')} as cosine from ranked")
 def q_extract_ranked(spark, sf_dir):
@@ -238,7 +237,7 @@ for _n in SUMMARY_LENGTHS:
     _top_query(_n)
 
 
-@query("extract_wide", sql_summaries(EXTRACT) + " select * from wide")
+@query("extract_wide", sql_summaries(EXTRACT) + " select * exclude (source) from wide")
 def q_extract_wide(spark, sf_dir):
     return _wide(spark, sf_dir, EXTRACT)
 
@@ -250,11 +249,12 @@ def q_extract_fanout(spark, sf_dir):
     path = scratch_dir(spark, "extract-fanout")
     long.write.mode("overwrite").partitionBy("n_sentences").parquet(path)
     back = spark.read.parquet(path)
-    return back.select("doc_id", F.col("n_sentences").cast("int").alias("n_sentences"), "transformed")
+    return back.select("doc_id", "article", "summary", F.col("n_sentences").cast("int").alias("n_sentences"), "transformed")
 
 
-_CONCAT = TransformOptions(extract=True, concat_abstract=True)
-_EXCLUDE = TransformOptions(extract=True, exclude_abstract=True)
+_CONCAT = Variant(ranked=True, abstract_first=True)
+_EXCLUDE = Variant("body", ranked=True)
+_CLEANED = Variant("body", ranked=True, cleaned=True)
 
 
 @query("extract_concat_abstract", sql_summaries(_CONCAT) + " " + _sql_long())
@@ -267,6 +267,12 @@ def q_extract_exclude_abstract(spark, sf_dir):
     return extract.extract_long(_wide(spark, sf_dir, _EXCLUDE))
 
 
+@query("extract_preprocessed", sql_summaries(_CLEANED) + " " + _sql_long())
+def q_extract_preprocessed(spark, sf_dir):
+    """Cleaned bodies, ranked: clean-up and extraction in one variant."""
+    return extract.extract_long(_wide(spark, sf_dir, _CLEANED))
+
+
 @query("extract_blank_guard", sql_ranked(_EXCLUDE)
        + f", nr as (select doc_id, count(*) as n from ranked group by doc_id) "
        f"select rin.doc_id, coalesce({q.strip('rin.text')}, '') = '' as is_blank, "
@@ -274,10 +280,9 @@ def q_extract_exclude_abstract(spark, sf_dir):
 def q_extract_blank_guard(spark, sf_dir):
     c = corpus(spark, sf_dir)
     inp = c.select("doc_id", extract.ranking_input("article", _EXCLUDE).alias("_input"))
-    ranked = extract.ranked_sentences(inp, "doc_id", "_input")
-    lists = extract.ranked_lists(inp, ranked, "doc_id")
-    return inp.join(lists, "doc_id").select(
-        "doc_id", text.is_blank("_input").alias("is_blank"), F.size("ranked").cast("bigint").alias("n_ranked"))
+    ranked = extract.ranked_documents(inp, "doc_id", "_input", _EXCLUDE.candidate_limit, carry=["_input"])
+    return ranked.select("doc_id", text.is_blank("_input").alias("is_blank"),
+                         F.size("ranked").cast("bigint").alias("n_ranked"))
 
 
 def _variant_sql(transformed: str, pre: str = "") -> str:
@@ -287,38 +292,49 @@ def _variant_sql(transformed: str, pre: str = "") -> str:
 
 @query("variant_abstract_only", _variant_sql(q.abstract("d.text")))
 def q_variant_abstract_only(spark, sf_dir):
-    return extract.transform(corpus(spark, sf_dir), TransformOptions(abstract_only=True))
+    return extract.transform(corpus(spark, sf_dir), Variant("abstract"))
 
 
 @query("variant_fulltext", _variant_sql("d.text"))
 def q_variant_fulltext(spark, sf_dir):
-    return extract.transform(corpus(spark, sf_dir), TransformOptions())
+    return extract.transform(corpus(spark, sf_dir), Variant())
 
 
 @query("variant_preprocessed", "with " + q.preprocess_ctes("documents", "doc_id", "text")
        + " " + _variant_sql("pp.cleaned").replace("from documents d", "from documents d join pp_f pp using (doc_id)"))
 def q_variant_preprocessed(spark, sf_dir):
-    return extract.transform(corpus(spark, sf_dir), TransformOptions(preprocess=True))
+    return extract.transform(corpus(spark, sf_dir), Variant(cleaned=True))
+
+
+@query("variant_cache", "select doc_id, 'article' as variant, text as transformed from documents union all "
+       f"select doc_id, 'abstract' as variant, {q.abstract('text')} as transformed from documents")
+def q_variant_cache(spark, sf_dir):
+    """K3: both variants are built once; the second call reads what the first wrote."""
+    root = scratch_dir(spark, "variants")
+    docs = corpus(spark, sf_dir)
+
+    def build():
+        return {p: extract.transform(docs, Variant(p)).select("doc_id", "transformed") for p in ("article", "abstract")}
+
+    sinks.load_or_build(spark, root, ["article", "abstract"], build)
+    cached = sinks.load_or_build(spark, root, ["article", "abstract"], dict)
+    tagged = [df.select("doc_id", F.lit(name).alias("variant"), "transformed") for name, df in cached.items()]
+    return tagged[0].unionByName(tagged[1])
 
 
 # -- variant naming ------------------------------------------------------------
 _VARIANTS = [
-    TransformOptions(),
-    TransformOptions(preprocess=True),
-    TransformOptions(abstract_only=True),
-    TransformOptions(abstract_only=True, preprocess=True),
-    TransformOptions(extract=True),
-    TransformOptions(extract=True, exclude_abstract=True),
-    TransformOptions(extract=True, concat_abstract=True),
-    TransformOptions(extract=True, preprocess=True),
+    Variant(), Variant(cleaned=True), Variant("abstract"), Variant("abstract", cleaned=True),
+    Variant(ranked=True), Variant("body", ranked=True), Variant(ranked=True, abstract_first=True),
+    Variant(ranked=True, cleaned=True),
 ]
 
 
 def _variant_names_sql() -> str:
     names = []
     for o in _VARIANTS:
-        for n in (SUMMARY_LENGTHS if o.extract else (None,)):
-            parts = "".join(f" || '_{p}'" for p in o.name_parts(n))
+        for n in (SUMMARY_LENGTHS if o.ranked else (None,)):
+            parts = "".join(f" || '_{p}'" for p in o.suffixes(n))
             names.append(f"select dataset, split, dataset || '_' || split{parts} as variant from ds")
     return (f"with ds as (select distinct lang as dataset, (case doc_id % 10 when 8 then 'validation' "
             f"when 9 then 'test' else 'train' end) as split from documents) " + " union all ".join(names))
@@ -328,5 +344,5 @@ def _variant_names_sql() -> str:
 def q_variant_name(spark, sf_dir):
     ds = corpus(spark, sf_dir).select("dataset", "split").distinct()
     names = [variant_name_col(F.col("dataset"), F.col("split"), o, n)
-             for o in _VARIANTS for n in (SUMMARY_LENGTHS if o.extract else (None,))]
+             for o in _VARIANTS for n in (SUMMARY_LENGTHS if o.ranked else (None,))]
     return ds.select("dataset", "split", F.explode(F.array(*names)).alias("variant"))

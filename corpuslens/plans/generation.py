@@ -13,16 +13,18 @@ from corpuslens.operators.ordering import row_index
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query
 from corpuslens.session import scratch_dir
+from corpuslens.sources import sinks
 from corpuslens.sources.tables import corpus, read_table
 
-LEAD_N = 3
 BATCH_SIZE = gen.DEFAULT_BATCH_SIZE
 FIRST_ATTEMPT_DATASET = "en"
 SLICE_BEGIN, SLICE_END = 20, 45
 DATA_SPLIT, EPOCHS = 0.15, 1
 
 _SQL_SPLIT = "(case doc_id % 10 when 8 then 'validation' when 9 then 'test' else 'train' end)"
-_SQL_LEAD = f"{q.lead(q.body('text'), LEAD_N)}"
+_SQL_OUT = q.all_sentences(q.body("text"))
+# A model whose raw output has blank edges, as language models' have.
+PADDING = " \n "
 
 
 def _docs(spark, sf_dir):
@@ -30,79 +32,80 @@ def _docs(spark, sf_dir):
 
 
 def generated(spark, sf_dir):
-    """(doc_id, summary) from the default lead model, in one run."""
-    return gen.generate(_docs(spark, sf_dir), gen.lead_model(LEAD_N), "doc_id", "prompt")
+    """The documents with ``summary`` from the default model."""
+    return gen.generate(_docs(spark, sf_dir), gen.body_model())
 
 
-def resumed_run(spark, sf_dir):
-    """Interrupted run (one dataset done) resumed over the whole corpus."""
-    path = scratch_dir(spark, "generation-checkpoint")
-    docs = _docs(spark, sf_dir)
-    fn = gen.lead_model(LEAD_N)
-    first = docs.where(F.col("lang") == FIRST_ATTEMPT_DATASET)
-    gen.generate_resumable(spark, first, fn, path, tag={"attempt": 1})
-    return gen.generate_resumable(spark, docs, fn, path, tag={"attempt": 2}), path
-
-
-@query("batch_generate", f"select doc_id, {_SQL_LEAD} as summary from documents")
+@query("batch_generate", f"select doc_id, {_SQL_OUT} as summary from documents")
 def q_batch_generate(spark, sf_dir):
-    return generated(spark, sf_dir)
+    return generated(spark, sf_dir).select("doc_id", "summary")
 
 
 @query("resume_remaining",
-       f"select doc_id, {_SQL_LEAD} as summary, case when lang = '{FIRST_ATTEMPT_DATASET}' then 1 else 2 end "
+       f"select doc_id, {_SQL_OUT} as summary, case when lang = '{FIRST_ATTEMPT_DATASET}' then 1 else 2 end "
        f"as attempt from documents")
 def q_resume_remaining(spark, sf_dir):
-    out, _ = resumed_run(spark, sf_dir)
+    """Interrupted run (one dataset done) resumed over the whole corpus."""
+    path = scratch_dir(spark, "generation-checkpoint")
+    docs, fn = _docs(spark, sf_dir), gen.body_model()
+    first = docs.where(F.col("lang") == FIRST_ATTEMPT_DATASET)
+    gen.generate_resumable(spark, first, fn, path, tag={"attempt": 1}, slices=2)
+    out = gen.generate_resumable(spark, docs, fn, path, tag={"attempt": 2}, slices=2)
     return out.select("doc_id", "summary", F.col("attempt").cast("int").alias("attempt"))
 
 
-@query("read_generated", f"select doc_id, {_SQL_LEAD} as summary from documents")
+@query("read_generated", f"select ' ' || chr(10) || ' ' || {_SQL_OUT} || ' ' || chr(10) || ' ' as summary from documents")
 def q_read_generated(spark, sf_dir):
-    """Columnar re-read of the checkpoint table: only key and summary are scanned."""
-    _, path = resumed_run(spark, sf_dir)
-    return spark.read.parquet(path).select("doc_id", "summary")
+    """S3: one column of a table of raw outputs; the others aren't scanned."""
+    path = scratch_dir(spark, "raw-outputs")
+    raw = gen.generate(_docs(spark, sf_dir), gen.body_model(PADDING), strip=False)
+    raw.select("doc_id", "lang", "summary").write.parquet(path)
+    return spark.read.parquet(path).select("summary")
 
 
-@query("strip_generated", f"select doc_id, {q.strip(_SQL_LEAD)} as summary from documents")
+@query("strip_generated", f"select doc_id, {q.strip(_SQL_OUT)} as summary from documents")
 def q_strip_generated(spark, sf_dir):
-    return generated(spark, sf_dir).select("doc_id", text.strip("summary").alias("summary"))
+    raw = gen.generate(_docs(spark, sf_dir), gen.body_model(PADDING), strip=False)
+    return raw.select("doc_id", text.strip("summary").alias("summary"))
+
+
+def _pairs(spark, sf_dir):
+    return generated(spark, sf_dir).select(
+        "doc_id", F.col("summary").alias("generated_caption"), text.abstract_of("prompt").alias("reference"),
+        F.col("prompt").alias("document"))
 
 
 @query("eval_pairs_jsonl",
-       f"select doc_id, {_SQL_LEAD} as generated_caption, {q.abstract('text')} as reference, text as document "
+       f"select doc_id, {_SQL_OUT} as generated_caption, {q.abstract('text')} as reference, text as document "
        f"from documents")
 def q_eval_pairs_jsonl(spark, sf_dir):
-    """J4 + K4: align outputs with reference and document by key; JSON lines sink."""
-    g = generated(spark, sf_dir)
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    pairs = docs.join(g, "doc_id", "left").select(
-        "doc_id", F.col("summary").alias("generated_caption"), text.abstract_of("text").alias("reference"),
-        F.col("text").alias("document"))
-    path = scratch_dir(spark, "eval-pairs")
-    pairs.write.mode("overwrite").json(path)
+    """J4 + K4: output, reference and document of a row side by side, as JSON lines."""
+    path = scratch_dir(spark, "eval-pairs") + ".jsonl"
+    sinks.save_outputs(_pairs(spark, sf_dir), path, keys=["doc_id"])
     schema = "doc_id long, generated_caption string, reference string, document string"
     return spark.read.schema(schema).json(path)
 
 
+@query("output_lines", f"select replace({_SQL_OUT}, chr(10), ' ') as value from documents")
+def q_output_lines(spark, sf_dir):
+    """K5: one output per line of a text file."""
+    path = scratch_dir(spark, "output-lines") + ".TXT"
+    sinks.save_outputs(_pairs(spark, sf_dir), path)
+    return spark.read.text(path)
+
+
 _SUB_SCHEMA = T.StructType([T.StructField("summary", T.StringType(), True)])
 
 
 @query("submission_rows",
-       f"select lang as dataset, {q.remove_brackets(q.remove_cutoff(_SQL_LEAD))} as summary from documents")
+       f"select lang as dataset, {q.remove_brackets(q.remove_cutoff(_SQL_OUT))} as summary from documents")
 def q_submission_rows(spark, sf_dir):
     """K7 + K8: post-processed outputs, tab-separated, headerless, one folder
     per dataset, gzip-compressed; read back from the delivery files."""
-    g = generated(spark, sf_dir)
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("dataset"))
-    rows = docs.join(g, "doc_id").select("dataset", text.postprocess("summary").alias("summary"))
+    rows = generated(spark, sf_dir).select(F.col("lang").alias("dataset"), text.postprocess("summary").alias("summary"))
     path = scratch_dir(spark, "submission")
-    (rows.write.mode("overwrite").partitionBy("dataset")
-     .option("sep", "\t").option("header", False).option("compression", "gzip")
-     .option("quote", '"').option("escape", '"').option("emptyValue", '""').csv(path))
-    back = (spark.read.schema(_SUB_SCHEMA).option("sep", "\t").option("header", False)
-            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
-    return back.select("dataset", F.coalesce("summary", F.lit("")).alias("summary"))
+    sinks.save_submission(rows, path, "dataset")
+    return sinks.read_submission(spark, path, _SUB_SCHEMA).select("dataset", F.coalesce("summary", F.lit("")).alias("summary"))
 
 
 @query("corpus_csv_roundtrip",

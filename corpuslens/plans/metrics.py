@@ -1,5 +1,5 @@
 """Lexical evaluation metrics as queries: ROUGE-N per pair, corpus BLEU per
-model, Dale-Chall per document (easy words derived from the corpus)."""
+model, Dale-Chall per document (easy words from the benchmark table)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpuslens.functions import readability as rd
 from corpuslens.operators import evaluate, overlap
 from corpuslens.plans import sqlfrag as q
-from corpuslens.plans.evaluation import _sql_overlap, _sql_pairs, _sql_report, generation_pairs, sql_pairs_select
+from corpuslens.plans.evaluation import (SQL_EASY, _sql_overlap, _sql_pairs, _sql_report, easy_list,
+                                         generation_pairs, sql_pairs_select)
 from corpuslens.plans.registry import query, r6
 from corpuslens.sources.tables import read_table
 
@@ -29,14 +30,12 @@ def q_rouge_n(spark, sf_dir):
 @query("bleu_corpus", _sql_report() + f" select model, {q.r6('BLEU')} as bleu from bleu")
 def q_bleu_corpus(spark, sf_dir):
     pairs = generation_pairs(spark, sf_dir)
-    ov = overlap.ngram_overlap(pairs, "pid", "generated", "reference", (1, 2, 3, 4))
-    ov = ov.join(pairs.select("pid", "model"), "pid")
+    ov = overlap.ngram_overlap(pairs, "pid", "generated", "reference", (1, 2, 3, 4), carry=["model"])
     return overlap.bleu_from_overlap(ov, ["model"]).select("model", r6("bleu").alias("bleu"))
 
 
 @query("dale_chall",
-       f"with dw as (select distinct doc_id, unnest({q.words('text')}) as word from documents), "
-       "easy as (select word from dw group by word having count(*) * 20 >= (select count(*) from documents)), "
+       f"with {SQL_EASY}, "
        f"ww as (select doc_id, unnest({q.words('text')}) as word from documents), "
        "hard as (select ww.doc_id, sum(case when e.word is null then 1 else 0 end) as d "
        "from ww left join easy e on ww.word = e.word group by ww.doc_id), "
@@ -49,8 +48,7 @@ def q_bleu_corpus(spark, sf_dir):
        + " as dcrs from c left join hard h on h.doc_id = c.doc_id")
 def q_dale_chall(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    easy = evaluate.easy_words(docs)
-    hard = evaluate.difficult_counts(docs, "doc_id", "text", easy)
+    hard = evaluate.difficult_counts(docs, "doc_id", "text", easy_list(spark, sf_dir))
     counts = rd.with_counts(docs, "text")
     out = counts.join(hard, "doc_id", "left")
     return out.select("doc_id", "n_words", "n_sents", "n_difficult",

@@ -41,6 +41,22 @@ def q_chat_render(spark, sf_dir):
     return docs.select("doc_id", prompts.render_chat(prompts.chat_messages("text", PROMPT_VERSION)).alias("prompt"))
 
 
+def _version_query(version: str):
+    system = _lit(prompts.system_prompt(version))
+
+    @query(f"chat_messages_{version}",
+           f"select doc_id, [{system}, text, {_ASSIST}] as contents from documents")
+    def q_version(spark, sf_dir):
+        docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+        return docs.select("doc_id", F.transform(prompts.chat_messages("text", version), lambda m: m["content"])
+                           .alias("contents"))
+    return q_version
+
+
+for _version in ("cot", "factuality"):
+    _version_query(_version)
+
+
 _P0, _P1, _P2, _P3 = prompts.INSTRUCTION_TEMPLATE.split("{}")
 
 
@@ -72,10 +88,13 @@ def _sql_fmt(x: str) -> str:
 
 
 @query("run_name",
-       f"select page_id, 'finetuned_' || {_sql_fmt('url')} || '_' || "
-       rf"regexp_replace({_sql_fmt('url')}, '\.[^.]*$', '') || '_' || "
-       f"replace(lower(split_part({_lit(RUN_MODEL_ID)}, '/', -1)), '-', '_') as run_name from pages")
+       f"select page_id, 'finetuned_' || {_sql_fmt('url')} || case when page_id % 3 = 0 then '' else '_' || "
+       rf"regexp_replace({_sql_fmt('url')}, '\.[^.]*$', '') end || '_' || "
+       f"replace(lower(split_part({_lit(RUN_MODEL_ID)}, '/', -1)), '-', '_') || "
+       "case when page_id % 2 = 0 then '_with_dev' else '' end as run_name from pages")
 def q_run_name(spark, sf_dir):
+    """Every third run has no train file, every other one the development data."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    return pages.select("page_id", prompts.run_name(F.col("url"), F.col("url"), F.lit(RUN_MODEL_ID))
+    train = F.when(F.col("page_id") % 3 != 0, F.col("url"))
+    return pages.select("page_id", prompts.run_name(F.col("url"), train, F.lit(RUN_MODEL_ID), F.col("page_id") % 2 == 0)
                         .alias("run_name"))

@@ -44,8 +44,8 @@ def vowel_groups(t: str) -> str:
     return f"len(regexp_extract_all(lower(coalesce({t}, '')), '[aeiouy]+'))"
 
 
-def lead(t: str, n: int) -> str:
-    return f"array_to_string(list_slice({sentences(t)}, 1, {n}), ' ')"
+def all_sentences(t: str) -> str:
+    return f"array_to_string({sentences(t)}, ' ')"
 
 
 def ngrams(w: str, n: int) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslens.operators import skew, vectors
-from corpuslens.operators.generate import lead_model
+from corpuslens.operators.generate import body_model
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
@@ -31,13 +31,13 @@ def q_stream_clean(spark, sf_dir):
     return spark.read.parquet(base + "/sink")
 
 
-@query("stream_generate", f"select doc_id, {q.lead(q.body('text'), 3)} as summary from documents")
+@query("stream_generate", f"select doc_id, {q.all_sentences(q.body('text'))} as summary from documents")
 def q_stream_generate(spark, sf_dir):
     """Generate over the documents file as a stream; a rerun adds nothing."""
     schema = read_table(spark, sf_dir, "documents").schema
     base = scratch_dir(spark, "stream-generate")
     for _ in range(2):  # the second start finds every file committed
-        start_generate_stream(spark, sf_dir, schema, base + "/sink", base + "/checkpoint", lead_model(3),
+        start_generate_stream(spark, sf_dir, schema, base + "/sink", base + "/checkpoint", body_model(),
                               file_glob="documents.parquet").awaitTermination()
     return spark.read.parquet(base + "/sink")
 

@@ -45,6 +45,11 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process, so a private folder serves both."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up only if unset."""
     sc = spark.sparkContext
@@ -55,7 +60,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # Local runs only: nothing configured, so make a private folder.
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
+                           f"master {sc.master!r} may run them on other machines")
     local = tempfile.mkdtemp(prefix="corpuslens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -68,39 +75,33 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return root.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _store(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it names."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found, fs = _store(spark, path)
+    return fs.exists(found)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds."""
+    found, fs = _store(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(found)]
+
+
 def cut_lineage(df):
     """Materialise ``df`` into the shared checkpoint folder (reliable, eager).
 
     The result survives executor loss (it is re-read from the shared folder,
     not recomputed) and keeps its physical partitions and in-partition order.
-    The planner does not see a hash partitioning on it; use ``bucketed_copy``
-    when later stages should reuse a partitioning by key.
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def bucketed_copy(df, key: str, name: str, buckets: int | None = None):
-    """Write ``df`` once as a table bucketed by ``key`` in the shared folder.
-
-    Reading it back, the planner knows every row of a key sits in one
-    bucket, so later aggregations, windows and joins keyed by ``key`` (or by
-    ``key`` plus more columns) run without another shuffle -- unlike a
-    checkpoint, whose partitioning the planner does not see.  Falls back to
-    a checkpoint when the session catalog cannot hold bucketed tables.
-    """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_dir(spark, name)
-    table = f"corpuslens_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
-    try:
-        (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key)
-         .option("path", path).saveAsTable(table))
-    except Exception:  # e.g. a catalog without bucketing support
-        return cut_lineage(df.repartition(n, key))
-    return spark.table(table)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -62,6 +62,23 @@ def write_reports_json(report: DataFrame, path: str, key_col: str = "model") ->
     report.repartition(key_col).write.mode("overwrite").partitionBy(key_col).json(path)
 
 
+def write_reports_flat(report: DataFrame, path: str, key_col: str = "model") -> None:
+    """One file ``<key>.json`` per report in one folder.
+
+    Spark writes the reports; their files, one per model, then get the names
+    this layout asks for.  Keys are names, so they hold no ``/``."""
+    spark = report.sparkSession
+    staged = f"{path.rstrip('/')}/_staged"
+    write_reports_json(report, staged, key_col)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to_path = jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(conf)
+    names = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(staged)
+    key = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"/[^/=]+=([^/]+)/[^/]+$", 1))
+    for row in names.select(key.alias("key"), F.col("_metadata.file_path").alias("file")).distinct().toLocalIterator():
+        fs.rename(to_path(jvm.java.net.URI(row.file)), to_path(path, f"{row.key}.json"))
+
+
 def write_leaderboard_csv(board: DataFrame, path: str) -> None:
     board.write.mode("overwrite").option("header", True).csv(path)
 

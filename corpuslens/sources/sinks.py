@@ -7,11 +7,13 @@ nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslens.session import path_exists
+
 EVAL_PAIR_COLUMNS = ["generated_caption", "reference", "document"]
 
 
@@ -22,37 +24,45 @@ def write_text_lines(df: DataFrame, col: str, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def save_outputs(df: DataFrame, path: str, summary_col: str = "generated_caption") -> None:
-    """Save generation results by the target's extension.
+def save_outputs(df: DataFrame, path: str, summary_col: str = "generated_caption",
+                 keys: Sequence[str] = ()) -> None:
+    """Save generation results by the target's extension, in any case.
 
-    ``.jsonl``: JSON lines of (generated_caption, reference, document);
-    ``.txt``: one summary per line.  An empty result or any other extension
-    raises instead of silently writing nothing.
+    ``.jsonl``: JSON lines of ``keys`` and (generated_caption, reference,
+    document); ``.txt``: one summary per line.  Any other extension raises.
+    So does a result without rows, found from what was written: the model
+    runs once.
     """
-    if df.isEmpty():
-        raise ValueError("refusing to save an empty result")
-    if path.endswith(".jsonl"):
-        df.select(*EVAL_PAIR_COLUMNS).write.mode("overwrite").json(path)
-    elif path.endswith(".txt"):
+    kind = path.lower().rpartition(".")[2]
+    if kind == "jsonl":
+        df.select(*keys, *EVAL_PAIR_COLUMNS).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    elif kind == "txt":
         write_text_lines(df, summary_col, path)
     else:
         raise ValueError(f"unsupported output extension: {path!r} (use .jsonl or .txt)")
+    if df.sparkSession.read.text(path).isEmpty():
+        raise ValueError(f"the result holds no row: {path!r}")
+
+
+def save_submission(df: DataFrame, path: str, group_col: str, *, compression: str = "gzip") -> None:
+    """Tab-separated files without header, a folder for each group."""
+    (df.write.mode("overwrite").partitionBy(group_col)
+     .option("sep", "\t").option("header", False).option("compression", compression)
+     .option("quote", '"').option("escape", '"').option("emptyValue", '""').csv(path))
+
+
+def read_submission(spark: SparkSession, path: str, schema) -> DataFrame:
+    return (spark.read.schema(schema).option("sep", "\t").option("header", False)
+            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
 
 
 def write_ranking_report(ranked: DataFrame, path: str, order_col: str = "score",
                          tie_col: str = "model") -> None:
-    """The ranking as one ordered CSV file (a ranking has one row per model)."""
-    (ranked.orderBy(F.col(order_col).desc_nulls_last(), F.col(tie_col)).coalesce(1)
+    """The ranking as CSV, in order within and over its part files."""
+    (ranked.orderBy(F.col(order_col).desc_nulls_last(), F.col(tie_col))
      .write.mode("overwrite").option("header", True).csv(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def load_or_build(spark: SparkSession, root: str, names: list[str],
                   build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
     """Reuse cached variant tables only if ALL of them were committed.
@@ -62,7 +72,7 @@ def load_or_build(spark: SparkSession, root: str, names: list[str],
     half-written cache is never mixed with fresh results.
     """
     paths = {n: f"{root.rstrip('/')}/{n}" for n in names}
-    if all(_exists(spark, p + "/_SUCCESS") for p in paths.values()):
+    if all(path_exists(spark, p + "/_SUCCESS") for p in paths.values()):
         return {n: spark.read.parquet(p) for n, p in paths.items()}
     built = build()
     for n, p in paths.items():

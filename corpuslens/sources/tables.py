@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,13 +33,13 @@ def split_of(doc_id_col) -> F.Column:
 
 
 def corpus(spark: SparkSession, sf_dir: str, dataset: str | None = None,
-           split: str | None = None) -> DataFrame:
+           split: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Article corpus view of ``documents``.
 
     dataset = language, split from the id, article = the text,
     summary = its first line (the abstract), title = its first sentence.
     Filters on ``dataset``/``split`` are plain predicates, so the language
-    filter reaches the Parquet scan.
+    filter reaches the Parquet scan.  ``carry`` names further columns to keep.
     """
     docs = read_table(spark, sf_dir, "documents")
     if dataset is not None:
@@ -49,6 +51,7 @@ def corpus(spark: SparkSession, sf_dir: str, dataset: str | None = None,
         F.element_at(segment.sentences("text"), 1).alias("title"),
         F.col("text").alias("article"),
         text.abstract_of("text").alias("summary"),
+        *carry,
     )
     if split is not None:
         out = out.where(F.col("split") == split)

@@ -1,10 +1,10 @@
 """Structured Streaming form of batch generation.
 
 Article files arriving in a folder are turned into prompts, passed through
-the model function in Arrow batches (``mapInPandas`` is a stateless map, so
-it runs in micro-batches) and appended to a Parquet sink.  The checkpoint
-location records committed input files and sink commits, so a restarted job
-continues exactly where it stopped -- the streaming equivalent of resuming
+the model function in Arrow batches (a stateless column function) and appended
+to a Parquet sink.  A micro-batch takes a bounded number of files, and the
+checkpoint location records each one's commit, so a restarted job continues
+behind the last finished micro-batch -- the streaming equivalent of resuming
 from a checkpoint table.
 """
 
@@ -19,13 +19,19 @@ from pyspark.sql import types as T
 from corpuslens.operators.generate import DEFAULT_BATCH_SIZE, generate
 
 
+# Input files of one micro-batch, which is what a failure can lose.
+FILES_PER_TRIGGER = 16
+
+
 def start_generate_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
                           checkpoint_dir: str, fn: Callable[[list[str]], list[str]], key: str = "doc_id",
                           text_col: str = "text", file_glob: str = "*.parquet",
-                          batch_size: int = DEFAULT_BATCH_SIZE, available_now: bool = True):
-    src = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(source_dir)
+                          batch_size: int = DEFAULT_BATCH_SIZE, available_now: bool = True,
+                          files_per_trigger: int = FILES_PER_TRIGGER):
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+           .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
     prompts = src.select(key, F.col(text_col).alias("prompt"))
-    out = generate(prompts, fn, key, "prompt", batch_size=batch_size)
+    out = generate(prompts, fn, "prompt", batch_size=batch_size).drop("prompt")
     writer = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(sink_dir)

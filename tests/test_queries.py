@@ -18,7 +18,8 @@ FAST = ["preprocess_text", "remove_brackets", "remove_cutoff", "postprocess", "s
         "rouge_n", "bleu_corpus", "dale_chall", "chat_messages", "chat_render",
         "instruction_prompt_train", "instruction_prompt_infer", "run_name", "batch_assign",
         "percent_slice", "slice_schedule", "slice_assign", "variant_name", "variant_fulltext",
-        "inline_json_records", "embedding_cosine_topk", "extract_top10", "textrank_top80"]
+        "inline_json_records", "embedding_cosine_topk", "extract_top10", "textrank_top80", "tfidf_vectors",
+        "extract_preprocessed", "melt_tokens", "output_lines", "variant_cache", "eval_json_flat"]
 
 KEYS = sorted(E.catalog.queries()) if os.environ.get("CORPUSLENS_FULL_ORACLE") else FAST
 

@@ -19,7 +19,8 @@ def test_save_by_extension(spark, pairs):
     d = tempfile.mkdtemp(prefix="sink-")
     sinks.save_outputs(pairs, os.path.join(d, "out.jsonl"))
     assert spark.read.json(os.path.join(d, "out.jsonl")).count() == 2
-    sinks.save_outputs(pairs, os.path.join(d, "out.txt"))
+    sinks.save_outputs(pairs, os.path.join(d, "out.TXT"))
+    os.rename(os.path.join(d, "out.TXT"), os.path.join(d, "out.txt"))
     lines = sorted(r.value for r in spark.read.text(os.path.join(d, "out.txt")).collect())
     assert lines == ["a b", "c"]
     with pytest.raises(ValueError):

@@ -52,17 +52,44 @@ def test_generate_rejects_wrong_length(spark):
 
 def test_resume_skips_done_rows(spark):
     path = tempfile.mkdtemp(prefix="gen-") + "/ckpt"
-    df = spark.createDataFrame([(i, f"t{i}") for i in range(10)], "doc_id long, prompt string")
-    fn = generate.lead_model(3)
+    df = spark.createDataFrame([(i, f"a\nt{i}") for i in range(10)], "doc_id long, prompt string")
+    fn = generate.body_model()
     generate.generate_resumable(spark, df.where("doc_id < 4"), fn, path, tag={"attempt": 1})
-    out = generate.generate_resumable(spark, df, fn, path, tag={"attempt": 2})
-    rows = out.collect()
+    rows = generate.generate_resumable(spark, df, fn, path, tag={"attempt": 2}).collect()
     assert len(rows) == 10 and len({r.doc_id for r in rows}) == 10
-    assert sum(1 for r in rows if r.attempt == 1) == 4
-    again = generate.generate_resumable(spark, df, fn, path, tag={"attempt": 3})
-    assert again.count() == 10
+    assert {r.doc_id for r in rows if r.attempt == 1} == {0, 1, 2, 3}
+    assert all(r.summary == f"t{r.doc_id}" for r in rows)
+    assert generate.generate_resumable(spark, df, fn, path, tag={"attempt": 3}).where("attempt = 3").count() == 0
 
 
-def test_lead_model_matches_definition():
-    fn = generate.lead_model(2)
-    assert fn(["Abstract line\nOne. Two! Three?", "no newline", None]) == ["One. Two!", "", ""]
+def test_a_failure_keeps_finished_slices(spark):
+    path = tempfile.mkdtemp(prefix="gen-") + "/ckpt"
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(40)], "doc_id long, prompt string")
+    slice_of = {r.doc_id: r.s for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("s")).collect()}
+    bad = {f"t{i}" for i, s in slice_of.items() if s == 2}
+
+    def failing(texts):
+        if bad & set(texts):
+            raise RuntimeError("model gone")
+        return [f"first {t}" for t in texts]
+
+    with pytest.raises(Exception):
+        generate.generate_resumable(spark, df, failing, path, slices=4)
+    kept = generate.read_checkpoint(spark, path).collect()  # the slice that failed left nothing behind
+    assert {r.doc_id for r in kept} == {i for i, s in slice_of.items() if s < 2} and kept
+    rows = generate.generate_resumable(spark, df, lambda ts: [f"second {t}" for t in ts], path, slices=4).collect()
+    assert len(rows) == 40
+    assert all(r.summary == ("first" if slice_of[r.doc_id] < 2 else "second") + f" t{r.doc_id}" for r in rows)
+
+
+def test_checkpoint_of_a_broken_table_is_not_taken_for_none(spark):
+    path = tempfile.mkdtemp(prefix="gen-") + "/ckpt"
+    assert generate.read_checkpoint(spark, path) is None
+    spark.range(1).selectExpr("cast(id as string) as value").write.text(path)
+    with pytest.raises(Exception):
+        generate.read_checkpoint(spark, path)
+
+
+def test_body_model_matches_definition():
+    assert generate.body_model()(["Abstract line\nOne. Two! Three?", "no newline", None]) == ["One. Two! Three?", "", ""]
+    assert generate.body_model(" \n")(["a\nb"]) == [" \nb \n"]

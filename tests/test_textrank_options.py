@@ -1,10 +1,9 @@
 """TextRank kernel vs the join-based PageRank, and job options."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpuslens.operators import textrank as TR
-from corpuslens.options import TransformOptions, variant_name
+from corpuslens.options import Variant, variant_name
 
 
 def test_kernel_equals_join_pagerank(spark):
@@ -24,33 +23,55 @@ def test_kernel_equals_join_pagerank(spark):
         assert sum(v for (doc, _), v in kernel.items() if doc == d) == pytest.approx(1.0)
 
 
-def test_candidates_cap_and_order(spark):
+def test_candidate_limit(spark):
+    from corpuslens.operators import extract
+
     sents = [f"word{i % 7} filler{i} text." for i in range(100)]
     docs = spark.createDataFrame([(1, " ".join(sents))], "doc_id long, text string")
-    from corpuslens.operators.extract import guarded_sentences
-    with_s = docs.select("doc_id", "text", guarded_sentences("text").alias("sents"))
-    stop = spark.createDataFrame([("text",)], "word string")
-    cands = TR.candidates(with_s, "doc_id", "text", stop, limit=80).collect()
-    assert len(cands) == 80 and len({c.pos for c in cands}) == 80
+    capped = extract.ranked_sentences(docs, "doc_id", "text", 80).collect()
+    assert len(capped) == 80 and len({r.pos for r in capped}) == 80
+    every = [extract.ranked_sentences(docs, "doc_id", "text", limit).collect() for limit in (None, 100, 5000)]
+    assert len(every[0]) == 100 and every[0] == every[1] == every[2]
 
 
-def test_options_rules():
-    with pytest.raises(ValueError):
-        TransformOptions(abstract_only=True, extract=True)
-    with pytest.raises(ValueError):
-        TransformOptions(concat_abstract=True)
-    with pytest.raises(ValueError):
-        TransformOptions(exclude_abstract=True)
+def test_a_term_of_every_document_is_divided(spark):
+    """AQE splits the partition of a term that all documents have."""
+    from corpuslens.operators import vectors
+
+    docs = spark.range(60_000).selectExpr("id as doc_id", "concat('common w', id) as text")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        idf = vectors.idf_table(docs, "doc_id", "text")
+        joined = vectors.distinct_terms(docs, "doc_id", "text").join(idf, "term")
+        assert joined.count() == 120_000
+        out = joined.groupBy("doc_id").count()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_variant_rules():
+    for wrong in ({"part": "abstract", "ranked": True}, {"abstract_first": True}, {"part": "body"}, {"part": "x"}):
+        with pytest.raises(ValueError):
+            Variant(**wrong)
     with pytest.raises(ValueError):
-        TransformOptions(extract=True).name_parts()
+        Variant(ranked=True).suffixes()
 
 
 def test_variant_names():
-    assert variant_name("elife", "train", TransformOptions()) == "elife_train"
-    assert variant_name("elife", "train", TransformOptions(abstract_only=True, preprocess=True)) == \
-        "elife_train_abstract_only_preprocessed"
-    assert variant_name("plos", "test", TransformOptions(extract=True, exclude_abstract=True,
-                                                         concat_abstract=True, preprocess=True), 20) == \
+    assert variant_name("elife", "train", Variant()) == "elife_train"
+    assert variant_name("elife", "train", Variant("abstract", cleaned=True)) == "elife_train_abstract_only_preprocessed"
+    assert variant_name("plos", "test", Variant("body", ranked=True, abstract_first=True, cleaned=True), 20) == \
         "plos_test_extractive_20_exclude_abstract_concat_abstract_preprocessed"
 
 
