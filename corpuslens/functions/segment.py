@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 # The segmentation patterns shared with the SQL oracle.
 SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
+FIRST_SENTENCE_PATTERN = r"^(?:[.!?\n]| +(?=\n|\z))*+([^.!?\n]+[.!?]*)"
 WORD_PATTERN = r"[A-Za-zÀ-ɏ]+"
 TOKEN_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
 VOWEL_GROUP_PATTERN = r"[aeiouy]+"
@@ -31,6 +32,12 @@ def sentences(col) -> Column:
     return F.filter(F.transform(raw, lambda s: F.trim(s)), lambda s: s != F.lit(""))
 
 
+def first_sentence(col) -> Column:
+    """The first of ``sentences``, found without splitting the rest (or null)."""
+    found = F.regexp_extract(F.coalesce(_c(col), F.lit("")), FIRST_SENTENCE_PATTERN, 1)
+    return F.nullif(F.trim(found), F.lit(""))
+
+
 def words(col) -> Column:
     """array<string> of lower-cased words."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))), F.lit(WORD_PATTERN), 0)

@@ -17,11 +17,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
+# Fixed value: rows of one key that a task of a salted join or ranking handles.
+ROWS_PER_SALT = 100_000
+
+
+def salts_for(df: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> int:
+    """How many ways the most frequent key has to be split (one number)."""
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return max(1, -(-(most or 0) // rows_per_salt))
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt_of: Column,
-                salts: int = DEFAULT_SALTS, how: str = "inner") -> DataFrame:
+                salts: int, how: str = "inner") -> DataFrame:
     """Join on ``keys`` with the big side split by ``salt_of`` (any column
     expression; it is reduced modulo ``salts``)."""
     b = big.withColumn("_salt", F.pmod(salt_of, F.lit(salts)).cast("int"))
@@ -30,7 +37,7 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt_of:
 
 
 def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], k: int,
-                    salt_of: Column, salts: int = DEFAULT_SALTS, rank_col: str = "rank") -> DataFrame:
+                    salt_of: Column, salts: int, rank_col: str = "rank") -> DataFrame:
     """The best ``k`` rows of every group by ``order`` (ties broken by ``order``)."""
     g = list(group_cols)
     salted = df.withColumn("_salt", F.pmod(salt_of, F.lit(salts)).cast("int"))

@@ -63,8 +63,9 @@ def q_embedding_cosine_topk(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     cents = vectors.group_centroids(emb, "label", "embedding")
     salt = F.xxhash64("vec_id")
-    joined = skew.salted_join(emb, cents, ["label"], salt)
+    salts = skew.salts_for(emb, ["label"])
+    joined = skew.salted_join(emb, cents, ["label"], salt, salts)
     scored = joined.select("vec_id", "label", vectors.dense_cosine("embedding", "centroid").alias("cosine"))
     order = [F.round("cosine", COS_DIGITS).desc_nulls_last(), F.col("vec_id").asc()]
-    top = skew.top_k_per_group(scored, ["label"], order, TOP_K, salt)
+    top = skew.top_k_per_group(scored, ["label"], order, TOP_K, salt, salts)
     return top.select("label", F.col("rank").cast("int").alias("rank"), "vec_id", r6("cosine").alias("cosine"))

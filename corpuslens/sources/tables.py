@@ -48,7 +48,7 @@ def corpus(spark: SparkSession, sf_dir: str, dataset: str | None = None,
         "doc_id",
         F.col("lang").alias("dataset"),
         split_of("doc_id").alias("split"),
-        F.element_at(segment.sentences("text"), 1).alias("title"),
+        segment.first_sentence("text").alias("title"),
         F.col("text").alias("article"),
         text.abstract_of("text").alias("summary"),
         *carry,

@@ -19,14 +19,20 @@ def hot(spark):
 
 def test_salted_join_equals_plain_join(spark, hot):
     small = spark.createDataFrame([(i, f"label{i}") for i in range(5)], "g long, name string")
-    a = skew.salted_join(hot, small, ["g"], F.col("vid")).select("vid", "name").collect()
+    a = skew.salted_join(hot, small, ["g"], F.col("vid"), 5).select("vid", "name").collect()
     b = hot.join(small, "g").select("vid", "name").collect()
     assert sorted(a) == sorted(b)
 
 
+def test_salts_follow_the_most_frequent_key(spark, hot):
+    assert skew.salts_for(hot, ["g"], 1000) == 4
+    assert skew.salts_for(hot, ["g"]) == 1
+    assert skew.salts_for(hot.where("false"), ["g"]) == 1
+
+
 def test_top_k_per_group_equals_window(spark, hot):
     order = [F.col("v").desc(), F.col("vid").asc()]
-    ours = {(r.g, r.rank): r.vid for r in skew.top_k_per_group(hot, ["g"], order, 5, F.col("vid")).collect()}
+    ours = {(r.g, r.rank): r.vid for r in skew.top_k_per_group(hot, ["g"], order, 5, F.col("vid"), 4).collect()}
     w = Window.partitionBy("g").orderBy(*order)
     ref = {(r.g, r.rank): r.vid for r in hot.withColumn("rank", F.row_number().over(w))
            .where("rank <= 5").collect()}

@@ -75,3 +75,11 @@ def test_no_python_udf_in_text_plans(spark, edge_df):
     plan = edge_df.select(text.preprocess_text("t"), text.postprocess("t"),
                           F.size(segment.sentences("t")))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_first_sentence_is_the_first_of_all(spark):
+    from corpuslens.functions import segment
+    raw = ["", None, "One. Two.", "  \n\n  x! y", "...abc. d", " . a", "   ", "\n", "a", "?! \n b?? c", "x\ny", " \t. z"]
+    df = spark.createDataFrame([(t,) for t in raw], "t string")
+    for r in df.select("t", segment.first_sentence("t").alias("a"), segment.sentences("t").alias("s")).collect():
+        assert r.a == (r.s[0] if r.s else None), r
