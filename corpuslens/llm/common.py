@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,21 @@ def unboxed(df: DataFrame, **more) -> DataFrame:
     return df.select(*[F.col(f"_row.`{c}`") for c in names], *[c.alias(k) for k, c in more.items()])
 
 
+_GAP = re.compile(rb"[ \t-\r]")
+
+
+def at_gaps(body: bytes, size: int):
+    """Parts of ``body`` of about ``size`` bytes, cut at white space only."""
+    start = 0
+    while len(body) - start > size:
+        gap = _GAP.search(body, start + size)
+        if gap is None:
+            break
+        yield body[start:gap.start()]
+        start = gap.end()
+    yield body[start:]
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spanning stars of the links a[i]-b[i]: (node, smallest node of its part).
 

@@ -41,6 +41,8 @@ SYMBOLS = 1 << BITS
 GRAMS = 1 << (BITS * ORDER)
 #: symbols in a task's buffer before grams are counted and merged
 BUFFER = 4 << 20
+#: characters that are looked at together
+BLOCK = 1 << 20
 REJECT_SD = 8.0
 #: cross-entropies of texts shorter than this scatter more
 STEADY = 400.0
@@ -96,6 +98,22 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return g, doc
 
 
+def text_blocks(texts: list[str], limit: int = BLOCK):
+    """Lists of (index, text) with about ``limit`` characters; a longer text is
+    cut into pieces of that length, each of which starts at a boundary."""
+    block, held = [], 0
+    for i, t in enumerate(texts):
+        for at in range(0, max(len(t), 1), limit):
+            part = t[at:at + limit]
+            block.append((i, part))
+            held += len(part)
+            if held >= limit:
+                yield block
+                block, held = [], 0
+    if block:
+        yield block
+
+
 def _merge(a, b):
     """Sum of two (sorted grams, counts)."""
     g, inv = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
@@ -116,11 +134,12 @@ def _count(batches):
         for lang, text in zip(d["lang"], d["text"], strict=True):
             by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
-            g, _ = grams(texts)
-            held.setdefault(lang, []).append(g)
-            size[lang] = size.get(lang, 0) + len(g)
-            if size[lang] > BUFFER:
-                settle(lang)
+            for block in text_blocks(texts):
+                g, _ = grams([t for _, t in block])
+                held.setdefault(lang, []).append(g)
+                size[lang] = size.get(lang, 0) + len(g)
+                if size[lang] > BUFFER:
+                    settle(lang)
     for lang in list(held):
         settle(lang)
     for lang, (g, n) in total.items():
@@ -207,30 +226,24 @@ class Scorer:
             self.logp[np.searchsorted(union, m["gram"]), j] = m["logp"]
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per symbol and language, and symbols, of each text."""
-        g, doc = grams(texts)
-        at = self.row[g]
-        lp = self.logp[at]
-        new = np.flatnonzero(at < 0)
-        lp[new] = self.back[g[new] >> BITS] + self.lower[g[new] & ((1 << (BITS * (ORDER - 1))) - 1)]
-        n = np.bincount(doc, minlength=len(texts))
-        total = np.stack([np.bincount(doc, lp[:, j], len(texts)) for j in range(len(self.langs))], 1)
-        letters = np.bincount(doc, (g & (SYMBOLS - 1)) != 0, len(texts))
+        """Cross-entropy per symbol and language, and symbols, of each text
+        (0 symbols: it has no letter)."""
+        total = np.zeros((len(texts), len(self.langs)))
+        n, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        for block in text_blocks(texts):
+            of = np.array([i for i, _ in block])
+            g, doc = grams([t for _, t in block])
+            at = self.row[g]
+            lp = self.logp[at]
+            new = np.flatnonzero(at < 0)
+            lp[new] = self.back[g[new] >> BITS] + self.lower[g[new] & ((1 << (BITS * (ORDER - 1))) - 1)]
+            for j in range(len(self.langs)):
+                np.add.at(total[:, j], of, np.bincount(doc, lp[:, j], len(block)))
+            np.add.at(n, of, np.bincount(doc, minlength=len(block)))
+            np.add.at(letters, of, np.bincount(doc[(g & (SYMBOLS - 1)) != 0], minlength=len(block)))
         return -total / np.maximum(n, 1)[:, None], np.where(letters > 0, n, 0)
 
 
-def text_blocks(texts: list[str], limit: int = 1 << 20):
-    """Consecutive slices of about ``limit`` characters."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= limit:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _scores(shared):
     def run(batches):
         if "scorer" not in _TABLES or _TABLES["of"] != shared.value["id"]:
@@ -238,20 +251,14 @@ def _scores(shared):
         scorer = _TABLES["scorer"]
         for b in batches:
             texts = ["" if t is None else t for t in b.column("text").to_pylist()]
-            best, xent, score, symbols = [], [], [], []
-            for i, j in text_blocks(texts):
-                h, n = scorer(texts[i:j])
-                k = h.argmin(1)
-                low = h[np.arange(len(k)), k]
-                share = np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
-                best += [scorer.langs[x] if m else "und" for x, m in zip(k, n, strict=True)]
-                xent.append(low)
-                score.append(np.where(n > 0, 1 / share, 0.0))
-                symbols.append(n)
-            cat = [np.concatenate(x) if x else np.zeros(0) for x in (xent, score, symbols)]
+            h, n = scorer(texts)
+            k = h.argmin(1)
+            low = h[np.arange(len(k)), k]
+            share = np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
+            best = [scorer.langs[x] if m else "und" for x, m in zip(k, n, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*b.drop_columns(["text"]).columns, pa.array(best, pa.string()), pa.array(cat[0], pa.float64()),
-                 pa.array(cat[1], pa.float64()), pa.array(cat[2].astype(np.int64))],
+                [*b.drop_columns(["text"]).columns, pa.array(best, pa.string()), pa.array(low),
+                 pa.array(np.where(n > 0, 1 / share, 0.0)), pa.array(n)],
                 [*[c for c in b.schema.names if c != "text"], "lang_pred", "xent", "score", "symbols"])
     return run
 

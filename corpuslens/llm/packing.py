@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import empty_if_null, prepared, query, saved, table
+from corpuslens.llm.common import at_gaps, empty_if_null, prepared, query, saved, table
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
@@ -129,12 +129,13 @@ _TOKENIZERS: dict = {}
 
 
 def _text_blocks(bodies: list[bytes]):
+    """Slices of about BLOCK_BYTES; a larger body stands alone."""
     start = held = 0
     for i, b in enumerate(bodies):
+        if held and held + len(b) > BLOCK_BYTES:
+            yield start, i
+            start, held = i, 0
         held += len(b)
-        if held >= BLOCK_BYTES:
-            yield start, i + 1
-            start, held = i + 1, 0
     if start < len(bodies):
         yield start, len(bodies)
 
@@ -152,7 +153,12 @@ def _pieces(tokenizer, capacity, with_ids):
             doc_ids, bodies = b.column("doc_id").to_pylist(), b.column("body").to_pylist()
             for i, j in _text_blocks(bodies):
                 out = {k: [] for k in kinds}
-                for doc_id, ids in zip(doc_ids[i:j], ids_of(bodies[i:j]), strict=True):
+                # a longer body is a block of its own and tokenised part by part
+                if j - i == 1:
+                    found = [b"".join(ids_of([part])[0] for part in at_gaps(bodies[i], BLOCK_BYTES))]
+                else:
+                    found = ids_of(bodies[i:j])
+                for doc_id, ids in zip(doc_ids[i:j], found, strict=True):
                     ids += b"\0\0\0\0"
                     for piece, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]

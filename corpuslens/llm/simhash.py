@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import boxed, empty_if_null, forest, prepared, query, runs, saved, sized, table, unboxed
+from corpuslens.llm.common import at_gaps, boxed, empty_if_null, forest, prepared, query, runs, saved, sized, table, unboxed
 from corpuslens.llm.components import connected_components
 
 WORDS, MAX_BITS, SEED = 4, 4, 42
@@ -42,22 +42,37 @@ SHORT = 64
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """SimHash of the word shingles of ``text`` (ASCII lower-cased), unsigned."""
-    w = text.lower().split()
-    if not w:
-        return 0
+#: bytes of a text whose shingles are hashed at a time
+PART_BYTES = 1 << 22
+
+
+def _set_bits(w: list[bytes], k: int) -> tuple[np.ndarray, int]:
+    """How many ``k``-word shingles of ``w`` set each bit, and their number."""
     body = b" ".join(w)
     length = np.fromiter(map(len, w), np.int64, len(w))
     start = np.cumsum(length + 1) - length - 1
-    k = min(words, len(w))
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(body[a:b], SEED) for a, b in
                   zip(start[:len(w) - k + 1].tolist(), (start + length)[k - 1:].tolist(), strict=True)], np.uint64)
-    # count set bits by byte position: eight histograms of byte values
+    # eight histograms of byte values
     at = h.view(np.uint8).reshape(-1, 8) + (np.arange(8) * 256)
-    ones = np.bincount(at.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
-    bits = (ones.ravel() * 2 > len(h)).astype(np.uint8)
+    return (np.bincount(at.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS).ravel(), len(h)
+
+
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """SimHash of the word shingles of ``text`` (ASCII lower-cased), unsigned."""
+    ones, n, before = np.zeros(64, np.int64), 0, []
+    for part in at_gaps(text, PART_BYTES):
+        w = before + part.lower().split()
+        if len(w) >= words:
+            got, more = _set_bits(w, words)
+            ones, n = ones + got, n + more
+            before = w[len(w) - words + 1:] if words > 1 else []
+        else:
+            before = w
+    if n == 0 and before:  # fewer words than a shingle has
+        ones, n = _set_bits(before, len(before))
+    bits = (ones * 2 > n).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 

@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.llm.common import prepared, query, saved, table
-from corpuslens.llm.langid import text_blocks
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 #: labelled documents of each class that the network is fitted on, at most
@@ -122,8 +121,11 @@ class Net:
 
     def logits(self, tables, ids, starts):
         tops, _ = self.pooled(tables, ids, starts)
-        z = np.concatenate([np.maximum(t + b, 0) for t, b in zip(tops, self.p["bias"], strict=True)], 1)
-        return z @ self.p["out"] + self.p["shift"][0]
+        return self.of_tops(np.stack(tops, 1))
+
+    def of_tops(self, tops):
+        """Logits from the filters' maxima."""
+        return np.maximum(tops + self.p["bias"], 0).reshape(len(tops), -1) @ self.p["out"] + self.p["shift"][0]
 
     def train_on(self, ids, starts, y, weight):
         tables = self.tables()
@@ -161,6 +163,26 @@ class Net:
                 self.p[k] *= 1 - RATE * DECAY
 
 
+#: words that are convolved at a time
+SEGMENT = 1 << 18
+
+
+def _segments(rows: list[np.ndarray]):
+    """Lists of (row, ids) with about SEGMENT ids; a longer row is cut, its
+    pieces overlapping by the widest filter less one, so that no window is lost."""
+    block, held, over = [], 0, max(WIDTHS) - 1
+    for i, ids in enumerate(rows):
+        for at in range(0, max(len(ids) - over, 1), SEGMENT):
+            part = ids[at:at + SEGMENT + over]
+            block.append((i, part))
+            held += len(part)
+            if held >= SEGMENT:
+                yield block
+                block, held = [], 0
+    if block:
+        yield block
+
+
 def _joined(texts: list[np.ndarray]):
     """Texts in a row, each with at least as many ids as the widest filter."""
     padded = [t if len(t) >= max(WIDTHS) else np.concatenate([t, np.zeros(max(WIDTHS) - len(t), np.int32)])
@@ -253,15 +275,16 @@ def _score(shared):
         tables, ids = net.tables(), _Ids(model["remap"])
         for b in batches:
             texts = ["" if t is None else t for t in b.column("text").to_pylist()]
-            out = []
-            for i, j in text_blocks(texts):
-                rows = [np.array([ids[w] for w in words_of(t)], np.int32) for t in texts[i:j]]
-                hist = np.stack([np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256) for t in texts[i:j]])
-                logit = net.logits(tables, *_joined(rows)) - model["thresholds"][(hist @ model["langs"].T).argmax(1)]
-                out.append(1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -50, 50))))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())],
-                ["doc_id", "score"])
+            rows = [np.array([ids[w] for w in words_of(t)], np.int32) for t in texts]
+            hist = np.stack([np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256) for t in texts]) \
+                if texts else np.zeros((0, 256))
+            tops = np.full((len(texts), len(WIDTHS), FILTERS), -np.inf, np.float32)
+            for block in _segments(rows):
+                found, _ = Net.pooled(tables, *_joined([part for _, part in block]))
+                np.maximum.at(tops, np.array([i for i, _ in block]), np.stack(found, 1))
+            logit = net.of_tops(tops) - model["thresholds"][(hist @ model["langs"].T).argmax(1)]
+            score_ = 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -50, 50)))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score_, pa.float64())], ["doc_id", "score"])
     return run
 
 

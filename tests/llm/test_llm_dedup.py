@@ -127,6 +127,15 @@ def test_simhash_groups(messy, no_docs):
     assert simhash.near_groups(no_docs).count() == 0 and simhash.keep_first(no_docs).count() == 0
 
 
+def test_fingerprint_in_parts(monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abC") for _ in range(rng.randrange(1, 5))) for _ in range(n)) + "\n"
+             for n in (0, 1, 3, 4, 5, 60, 300)]
+    for size in (1 << 22, 17, 3):
+        monkeypatch.setattr(simhash, "PART_BYTES", size)
+        assert [simhash.fingerprint(t.encode()) for t in texts] == [_fingerprint(t) for t in texts]
+
+
 @pytest.mark.parametrize("block", [8, 4096])
 def test_simhash_links_near_and_long_lists(spark, block):
     rng = random.Random(5)

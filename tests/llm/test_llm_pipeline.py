@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,28 @@ def test_words_are_tokenised_as_the_text_is():
         assert np.frombuffer(got, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
 
 
+def test_long_texts_are_handled_in_parts(monkeypatch):
+    ids = packing.WordIds(packing.TOKENIZER)
+    text = b"Some words, and more!\n" * 50 + "Ünd wörter é.".encode()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "body": [text, b"x"]})
+    want = [b.to_pylist() for b in packing._pieces(packing.TOKENIZER, 100, True)([batch])]
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 40)
+    got = [b.to_pylist() for b in packing._pieces(packing.TOKENIZER, 100, True)([batch])]
+    assert sum(got, []) == sum(want, []) and b"".join(r["ids"] for r in sum(got, []))[:-12] == ids([text])[0]
+    rng = np.random.default_rng(0)
+    rows = [rng.integers(0, 20, n).astype(np.int32) for n in (0, 1, 2, 3, 50, 7, 90)]
+    net = toxicity.Net(rng.normal(size=20), rng)
+    tables, out = net.tables(), []
+    for size in (1 << 18, 10):
+        monkeypatch.setattr(toxicity, "SEGMENT", size)
+        tops = np.full((len(rows), 3, toxicity.FILTERS), -np.inf)
+        for block in toxicity._segments(rows):
+            np.maximum.at(tops, [i for i, _ in block],
+                          np.stack(net.pooled(tables, *toxicity._joined([p for _, p in block]))[0], 1))
+        out.append(net.of_tops(tops))
+    assert np.allclose(out[0], out[1])
+
+
 def test_mix_messy(messy, no_docs):
     rows = mixing.mix(messy).collect()
     docs = messy.collect()
