@@ -33,9 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: rows of an Arrow batch: whole texts are rows here, so Spark's default of
+#: 10,000 would hold tens of megabytes on either side of each worker
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def prepared(spark: SparkSession) -> int:
-    """Ship the package to the Python workers; return the shuffle width."""
+    """Ship the package to the Python workers, bound their batches (smaller
+    settings stay); return the shuffle width."""
     ship_package(spark)
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 

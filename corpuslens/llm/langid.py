@@ -40,9 +40,9 @@ ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
 GRAMS = 1 << (BITS * ORDER)
 #: symbols in a task's buffer before grams are counted and merged
-BUFFER = 4 << 20
+BUFFER = 1 << 20
 #: characters that are looked at together
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 REJECT_SD = 8.0
 #: cross-entropies of texts shorter than this scatter more
 STEADY = 400.0
@@ -250,21 +250,23 @@ def _scores(shared):
             _TABLES["scorer"], _TABLES["of"] = Scorer(shared.value["models"]), shared.value["id"]
         scorer = _TABLES["scorer"]
         for b in batches:
-            texts = ["" if t is None else t for t in b.column("text").to_pylist()]
+            column = b.column("text") if "text" in b.schema.names else b.column("_row").field("text")
+            texts = ["" if t is None else t for t in column.to_pylist()]
             h, n = scorer(texts)
             k = h.argmin(1)
             low = h[np.arange(len(k)), k]
             share = np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
             best = [scorer.langs[x] if m else "und" for x, m in zip(k, n, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*b.drop_columns(["text"]).columns, pa.array(best, pa.string()), pa.array(low),
+                [*[b.column(c) for c in b.schema.names if c != "text"], pa.array(best, pa.string()), pa.array(low),
                  pa.array(np.where(n > 0, 1 / share, 0.0)), pa.array(n)],
                 [*[c for c in b.schema.names if c != "text"], "lang_pred", "xent", "score", "symbols"])
     return run
 
 
 def identify(docs: DataFrame, models: dict, carry: list[str] = ("doc_id",)) -> DataFrame:
-    """The ``carry`` columns of every row plus lang_pred, xent, score, symbols."""
+    """The ``carry`` columns of every row plus lang_pred, xent, score, symbols;
+    the text is that of ``_row`` if that is carried."""
     spark = docs.sparkSession
     prepared(spark)
     out = StructType([docs.schema[c] for c in carry] + [
@@ -274,7 +276,8 @@ def identify(docs: DataFrame, models: dict, carry: list[str] = ("doc_id",)) -> D
         return docs.select(*carry, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("xent"),
                            F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("symbols"))
     shared = spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "models": models})
-    return docs.select(*carry, "text").mapInArrow(_scores(shared), out)
+    needed = carry if "_row" in carry else [*carry, "text"]
+    return docs.select(*needed).mapInArrow(_scores(shared), out)
 
 
 def calibrate(scored: DataFrame) -> dict[str, tuple[float, float]]:
