@@ -11,9 +11,14 @@ A gram has 24 bits, so a model has at most 2^24 entries whatever the corpus;
 in practice it is far smaller.
 
 A document goes to the language with the lowest cross-entropy per symbol.
-It is rejected if that is further above the language's mean over its own
-training documents than ``REJECT_SD`` standard deviations allow (more for
-short texts, whose cross-entropy scatters more), or no better than chance.
+Whether it is in any learned language is seen by stretches of ``STRETCH``
+symbols, each by the language that fits it best, so that a document in two
+learned languages isn't taken for one in another.  It is rejected if their
+cross-entropy is further above the mean of the language's own documents than
+``REJECT_SD`` standard deviations allow (more for short texts, whose
+cross-entropy scatters more), or no better than chance.  Mean and deviation
+are those of training documents under models that didn't learn them: each
+half of them is scored by models of the other.
 
 Defined results: null texts and texts without a letter are ``und`` with
 score 0 and are rejected; rows with null lang don't train; without any
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from corpuslens.llm.common import boxed, prepared, query, saved, table, unboxed
+from corpuslens.llm.common import boxed, prepared, query, table, unboxed
 
 ORDER, BITS = 4, 6
 SYMBOLS = 1 << BITS
@@ -46,6 +51,10 @@ BLOCK = 1 << 18
 REJECT_SD = 8.0
 #: cross-entropies of texts shorter than this scatter more
 STEADY = 400.0
+#: symbols over which a text is taken to stay in one language
+STRETCH = 128
+#: documents' worth of all languages' deviation in that of each language
+POOLED = 10
 #: sharpness of the score over cross-entropies in nats per symbol
 SHARPNESS = 4.0
 
@@ -225,10 +234,11 @@ class Scorer:
         for j, m in enumerate(models.values()):
             self.logp[np.searchsorted(union, m["gram"]), j] = m["logp"]
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per symbol and language, and symbols, of each text
-        (0 symbols: it has no letter)."""
-        total = np.zeros((len(texts), len(self.langs)))
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per symbol and language, that of its stretches by the
+        best language of each, and symbols, of each text (0 symbols: it has no
+        letter)."""
+        total, fit = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
         n, letters = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
         for block in text_blocks(texts):
             of = np.array([i for i, _ in block])
@@ -237,28 +247,35 @@ class Scorer:
             lp = self.logp[at]
             new = np.flatnonzero(at < 0)
             lp[new] = self.back[g[new] >> BITS] + self.lower[g[new] & ((1 << (BITS * (ORDER - 1))) - 1)]
-            for j in range(len(self.langs)):
-                np.add.at(total[:, j], of, np.bincount(doc, lp[:, j], len(block)))
-            np.add.at(n, of, np.bincount(doc, minlength=len(block)))
+            size = np.bincount(doc, minlength=len(block))
+            inner = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+            start = np.flatnonzero(inner % STRETCH == 0)
+            if len(start):
+                sums = np.add.reduceat(lp, start, axis=0, dtype=np.float64)
+                np.add.at(total, of[doc[start]], sums)
+                np.add.at(fit, of[doc[start]], sums.max(1))
+            np.add.at(n, of, size)
             np.add.at(letters, of, np.bincount(doc[(g & (SYMBOLS - 1)) != 0], minlength=len(block)))
-        return -total / np.maximum(n, 1)[:, None], np.where(letters > 0, n, 0)
+        per = np.maximum(n, 1)
+        return -total / per[:, None], -fit / per, np.where(letters > 0, n, 0)
 
 
 def _scores(shared):
     def run(batches):
         if "scorer" not in _TABLES or _TABLES["of"] != shared.value["id"]:
+            _TABLES.pop("scorer", None)
             _TABLES["scorer"], _TABLES["of"] = Scorer(shared.value["models"]), shared.value["id"]
         scorer = _TABLES["scorer"]
         for b in batches:
             column = b.column("text") if "text" in b.schema.names else b.column("_row").field("text")
             texts = ["" if t is None else t for t in column.to_pylist()]
-            h, n = scorer(texts)
+            h, fit, n = scorer(texts)
             k = h.argmin(1)
             low = h[np.arange(len(k)), k]
             share = np.exp(-SHARPNESS * (h - low[:, None])).sum(1)
             best = [scorer.langs[x] if m else "und" for x, m in zip(k, n, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in b.schema.names if c != "text"], pa.array(best, pa.string()), pa.array(low),
+                [*[b.column(c) for c in b.schema.names if c != "text"], pa.array(best, pa.string()), pa.array(fit),
                  pa.array(np.where(n > 0, 1 / share, 0.0)), pa.array(n)],
                 [*[c for c in b.schema.names if c != "text"], "lang_pred", "xent", "score", "symbols"])
     return run
@@ -280,59 +297,68 @@ def identify(docs: DataFrame, models: dict, carry: list[str] = ("doc_id",)) -> D
     return docs.select(*needed).mapInArrow(_scores(shared), out)
 
 
-def calibrate(scored: DataFrame) -> dict[str, tuple[float, float]]:
+def _weight():
+    return F.sqrt(F.least(F.greatest(F.col("symbols"), F.lit(1)) / F.lit(STEADY), F.lit(1.0)))
+
+
+def calibrate(docs: DataFrame) -> dict[str, tuple[float, float]]:
     """Mean and deviation of the cross-entropy per language, over training
-    documents that got their own language; deviations of short texts are
-    scaled to those of long ones."""
-    weight = F.sqrt(F.least(F.col("symbols") / F.lit(STEADY), F.lit(1.0)))
-    own = scored.filter("trains and lang_pred = _lang and symbols > 0")
-    mean = own.groupBy("lang_pred").agg((F.sum(F.col("xent") * weight) / F.sum(weight)).alias("m"))
-    m = {r[0]: r[1] for r in mean.collect()}
-    if not m:
+    documents that got their own language from models of the other half of
+    them; deviations of short texts are scaled to those of long ones."""
+    rows = docs.filter(~held_out() & F.col("lang").isNotNull()).select(
+        "text", F.col("lang").cast("string").alias("lang"), F.coalesce(half(), F.lit(0)).alias("half"))
+    w, x = _weight(), F.col("xent")
+    sums: dict = {}
+    for k in (0, 1):
+        tagged = rows.filter(F.col("half") == k).withColumnRenamed("lang", "_lang")
+        own = identify(tagged, train(rows.filter(F.col("half") != k)), ["_lang"]).filter(
+            "lang_pred = _lang and symbols > 0")
+        for lang, *found in own.groupBy("lang_pred").agg(
+                F.sum(w), F.sum(w * x), F.sum(w * w), F.sum(w * w * x), F.sum(w * w * x * x), F.count("*")).collect():
+            sums[lang] = sums.get(lang, 0) + np.array(found, float)
+    if not sums:
         return {}
-    centre = F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), F.col("lang_pred"))
-    sd = own.groupBy("lang_pred").agg(F.sqrt(F.avg(F.pow((F.col("xent") - centre) * weight, 2))).alias("s"))
-    return {r[0]: (m[r[0]], r[1]) for r in sd.collect()}
+    mean = {k: v[1] / v[0] for k, v in sums.items()}
+    square = {k: max(v[4] - 2 * mean[k] * v[3] + mean[k] ** 2 * v[2], 0.0) for k, v in sums.items()}
+    pooled = sum(square.values()) / sum(v[5] for v in sums.values())
+    return {k: (float(mean[k]), float(np.sqrt((square[k] + POOLED * pooled) / (v[5] + POOLED))))
+            for k, v in sorted(sums.items())}
 
 
 def rejected(limits: dict[str, tuple[float, float]]):
     """Column: the document is in none of the learned languages."""
-    if not limits:
-        return F.lit(True)
-    spread = REJECT_SD / F.sqrt(F.least(F.greatest(F.col("symbols"), F.lit(1)) / F.lit(STEADY), F.lit(1.0)))
+    spread = REJECT_SD / _weight()
     bound = F.lit(None).cast("double")
     for lang, (m, s) in limits.items():
-        bound = F.when(F.col("lang_pred") == lang, F.lit(m) + spread * F.lit(s)).otherwise(bound)
+        # equal texts may differ in the last digits
+        bound = F.when(F.col("lang_pred") == lang, F.lit(m + 1e-9) + spread * F.lit(s)).otherwise(bound)
     chance = F.lit(float(np.log(SYMBOLS)))
-    return (F.col("symbols") == 0) | F.coalesce(F.col("xent") > F.greatest(bound, chance), F.lit(False))
+    return (F.col("symbols") == 0) | (F.col("xent") >= chance) | F.coalesce(F.col("xent") > bound, F.lit(False))
 
 
 def held_out(doc_id="doc_id", parts: int = 4, which: int = 2):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == which, F.lit(False))
 
 
+def half(doc_id="doc_id"):
+    return F.floor(F.crc32(F.col(doc_id).cast("string").cast("binary")) / 4) % 2
+
+
 def scored_documents(docs: DataFrame) -> DataFrame:
     """Scores of all documents by models learned from those not held out."""
-    models = train(docs.filter(~held_out()))
-    tagged = docs.select("doc_id", "text", F.col("lang").cast("string").alias("_lang"),
-                         (~held_out() & F.col("lang").isNotNull()).alias("trains"))
-    return identify(tagged, models, ["doc_id", "_lang", "trains"])
+    return identify(docs, train(docs.filter(~held_out())))
 
 
 def keep_accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't rejected, with all their columns."""
     models = train(docs.filter(~held_out()))
-    rows = boxed(docs).withColumns({
-        "text": F.col("_row.text"), "_lang": F.col("_row.lang").cast("string"),
-        "trains": ~held_out("_row.doc_id") & F.col("_row.lang").isNotNull()})
-    limits = calibrate(saved(identify(rows, models, ["_lang", "trains"])))
-    return unboxed(identify(rows, models, ["_row"]).filter(~rejected(limits)))
+    rows = boxed(docs).withColumn("text", F.col("_row.text"))
+    return unboxed(identify(rows, models, ["_row"]).filter(~rejected(calibrate(docs))))
 
 
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     """Predicted language of every document."""
-    scored = saved(scored_documents(table(spark, sf_dir, "documents")))
-    limits = calibrate(scored)
-    return scored.select("doc_id", held_out().alias("held_out"), "lang_pred", "score",
-                         rejected(limits).alias("rejected"))
+    docs = table(spark, sf_dir, "documents")
+    return scored_documents(docs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score",
+                                         rejected(calibrate(docs)).alias("rejected"))

@@ -215,6 +215,35 @@ def test_language_id(spark, messy, no_docs):
     assert langid.keep_accepted(no_docs).count() == 0 and langid.scored_documents(no_docs).count() == 0
 
 
+def test_language_id_rejects_what_is_not_learned(spark):
+    docs = _lines(spark)
+    rng = np.random.default_rng(1)
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki "
+    half = " ".join(LINES["en"].split() * 4)
+    junk = {"han": "漢字" * 200, "hex": "".join(rng.choice(list("0123456789abcdef"), 2000)),
+            "letters": " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(200)),
+            "finnish": finnish * 4, "half finnish": half + " " + (finnish * 9)[:len(half)]}
+    # ids of held-out rows, which aren't trained on
+    ids = [i for i in range(9000, 9200) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows = [(i, text, "en", "s") for i, text in zip(ids, junk.values(), strict=False)]
+    every = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in langid.keep_accepted(every).collect()}
+    gone = dict(zip(junk, ids, strict=False))
+    assert not {name for name, i in gone.items() if i in kept}
+    assert kept == set(range(180))
+    # row 9000 must go as well if it isn't among the training rows
+    row = spark.createDataFrame([(9000, "漢字" * 200, None, "s")], docs.schema)
+    assert 9000 not in {r.doc_id for r in langid.keep_accepted(docs.unionByName(row)).collect()}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_language_id_keeps_held_out_documents(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    lost = langid.scored_documents(docs).filter(
+        langid.held_out() & (F.col("symbols") > 0) & langid.rejected(langid.calibrate(docs)))
+    assert lost.count() == 0
+
+
 def test_language_model_is_a_distribution():
     g, _ = langid.grams([t * 3 for t in LINES.values()])
     gram, n = np.unique(g, return_counts=True)
