@@ -8,12 +8,16 @@ stored, and by the triangle inequality a vector whose table distance exceeds
 the bound plus its error is out for certain; the others are compared exactly,
 by cosine in double precision.
 
-Sufficient probes: a neighbour at distance t moves a vector by about t /
-sqrt(d) along any one direction, d being the effective dimension of the data
-(participation ratio of the covariance).  A cell is visited if the bisector
-between it and the vector's own cell is at most ``PROBE_SD`` such steps away.
-For pairs of two cells the vector in the cell with the smaller number probes;
-the pair counts for both.
+Sufficient probes: a cell is visited if the bisector between it and the
+vector's own cell is within reach.  At a reach of the distance bound t no pair
+is lost, but in many dimensions that is nearly every cell.  Pairs that differ
+alike in all directions need about t / sqrt(d), d being the effective
+dimension of the data (participation ratio of the covariance), others more; so
+``PROBED`` vectors (by hash order) are compared with all rows, and the reach is
+the largest that any of their links needs, at least ``PROBE_SD`` such steps.
+It is t itself if fewer than ``LINKED`` of them have links and there are more
+rows.  For pairs of two cells the vector in the cell with the smaller number
+probes; the pair counts for both.
 
 Quantisers are fitted on at most ``TRAIN`` vectors (by hash order); all
 vectors are indexed.  Equal vectors are one entry.  A long list is cut into
@@ -40,6 +44,8 @@ COSINE = 0.9
 TRAIN, SEED = 16384, 11
 SUB_DIM, CODES = 4, 256
 PROBE_SD = 3.0
+#: vectors that are compared with all rows, and how many with links tell the reach
+PROBED, LINKED = 4096, 300
 #: vectors of an inverted list that one task holds at once
 BLOCK = 4096
 CHUNK = 512
@@ -118,6 +124,15 @@ class Quantiser:
         probes = (away <= self.reach) & (np.arange(len(self.cells)) >= own[:, None])
         return own, codes, np.sqrt(err), probes
 
+    def needed(self, x, y, own_x, own_y):
+        """Reach at which the pairs of rows of x and y are found."""
+        first = own_x <= own_y
+        low, high = np.where(first, own_x, own_y), np.where(first, own_y, own_x)
+        v = np.where(first[:, None], x, y)
+        far, near = (((v - self.cells[c]) ** 2).sum(1) for c in (high, low))
+        apart = self.apart[low, high]
+        return np.where(apart > 0, (far - near) / (2 * np.maximum(apart, 1e-300)), 0)
+
     def table_distances(self, x, cell, codes):
         """Squared distance of every unit vector to every coded one."""
         rest = self.padded(x - self.cells[cell]).astype(np.float32)
@@ -138,6 +153,41 @@ def _assign(shared):
     return run
 
 
+def _needs(shared, ids, s, cosine):
+    """Per batch and probed vector that has links in it, the reach they need."""
+    def run(batches):
+        q = shared.value
+        own_s = _square(s, q.cells).argmin(1)
+        for b in batches:
+            x = _unit(_matrix(b.column("embedding"), q.dim))
+            own_x, node = _square(x, q.cells).argmin(1), b.column("node").to_numpy()
+            i, j = np.nonzero((x @ s.T >= cosine) & (node[:, None] != ids))
+            most = np.full(len(s), -1.0)
+            most[j] = 0
+            differ = own_x[i] != own_s[j]
+            i, j = i[differ], j[differ]
+            for a in range(0, len(i), 1 << 14):
+                k, m = i[a:a + (1 << 14)], j[a:a + (1 << 14)]
+                np.maximum.at(most, m, q.needed(x[k], s[m], own_x[k], own_s[m]))
+            found = np.flatnonzero(most >= 0)
+            yield pa.RecordBatch.from_pydict({"probed": pa.array(found.astype(np.int32)), "reach": pa.array(most[found])})
+    return run
+
+
+def sufficient_reach(nodes: DataFrame, q: Quantiser, n: int, cosine: float) -> float:
+    """Reach that finds all links of ``PROBED`` vectors with all rows."""
+    some = nodes.select("node", "embedding").orderBy(F.xxhash64("node", F.lit(1)), "node").limit(PROBED).toArrow()
+    s = _unit(_matrix(some.column("embedding"), q.dim))
+    shared = nodes.sparkSession.sparkContext.broadcast(q)
+    needs = nodes.select("node", "embedding").mapInArrow(
+        _needs(shared, some.column("node").to_numpy(), s, cosine), "probed int, reach double")
+    linked, reach = needs.agg(F.count_distinct("probed"), F.coalesce(F.max("reach"), F.lit(0.0))).first()
+    if linked < LINKED and n > PROBED:
+        reach = q.bound
+    # not to miss a pair at the reach itself by rounding
+    return max(q.reach, reach + 1e-9)
+
+
 def _deal(shared, blocks):
     """Entries to their list's block, queries to every block they probe."""
     def run(batches):
@@ -250,7 +300,9 @@ def link_counts(nodes: DataFrame, cosine: float = COSINE, train: int = TRAIN, bl
     n, dim = nodes.agg(F.count("*"), F.max(F.size("embedding"))).first()
     if not n:
         return spark.createDataFrame([], "a long, b long, links long")
-    shared = spark.sparkContext.broadcast(fitted(nodes, n, dim, cosine, train))
+    q = fitted(nodes, n, dim, cosine, train)
+    q.reach = sufficient_reach(nodes, q, n, cosine)
+    shared = spark.sparkContext.broadcast(q)
     # as many rows as there are cells
     sizes = nodes.select("embedding").mapInArrow(_assign(shared), "cell int").groupBy("cell").count().collect()
     blocks = {r[0]: -(-r[1] // block) for r in sizes}

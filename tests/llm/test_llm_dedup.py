@@ -249,3 +249,25 @@ def test_near_vectors(spark, block):
         assert r.n_links <= len(links.get(k, []))
         assert r.component_id == comp.get(r.vec_id) and r.kept == (r.vec_id == r.component_id or r.vec_id is None)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["axis", "lines"])
+@pytest.mark.parametrize("probed, recall", [(50, 1.0), (600, 0.99), (4096, 1.0)])
+def test_near_vectors_that_differ_in_few_directions(spark, monkeypatch, kind, probed, recall):
+    monkeypatch.setattr(embeddings, "PROBED", probed)
+    rng = np.random.default_rng(1)
+    if kind == "axis":
+        x = rng.normal(size=(1000, 64))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        step = rng.choice([-1, 1], 1000) * rng.uniform(0.3, 0.42, 1000)
+        x = np.concatenate([x, x + step[:, None] * np.eye(64)[0]])
+    else:
+        start, way = rng.normal(size=(2, 20, 64))
+        x = start[np.arange(2000) % 20] + way[np.arange(2000) % 20] * rng.uniform(-1, 1, 2000)[:, None]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = (x @ x.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = np.zeros(len(x), int)
+    for r in embeddings.near_vectors(df).collect():
+        found[r.vec_id] = r.n_links
+    assert (found <= want).all() and found.sum() >= recall * want.sum()
