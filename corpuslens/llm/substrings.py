@@ -22,7 +22,9 @@ document with a smaller doc_id is removed.
 4. The spans of a document are merged and cut out of its bytes.
 
 An anchor with very many blocks is dealt out by the content of its windows
-instead, so no anchor lands in one task whole.
+instead, so no anchor lands in one task whole.  Equal windows are combined
+before they are dealt, and sorted in chunks that hand on the smallest
+document's, so no window is held as often as it occurs.
 
 Defined results: null text counts as empty; rows without doc_id are left as
 they are; rows that share a doc_id don't remove from each other, and each
@@ -47,6 +49,10 @@ CHUNK, FLUSH = 1 << 20, 1 << 19
 PARTITION_BYTES = 16 << 20
 #: blocks of one anchor beyond which its windows are dealt out one by one
 HOT_BLOCKS = 1 << 14
+#: windows of such anchors that a task combines before it sends them
+HELD = 1 << 15
+#: rows that are sorted at once, if a route has no more
+SORTED = 1 << 14
 #: multikey quicksort: characters of 8 bytes until blind tries take over
 SHALLOW = 2
 SMALL = 48
@@ -310,11 +316,23 @@ def _blocks(span):
     return run
 
 
+_CUT = "route long, doc_id long, at int, size int, body binary"
+
+
 def _cut_blocks(span):
-    """Bytes of the asked blocks of every text, by the anchor's route."""
+    """Bytes of the asked blocks of every text, by the anchor's route.  Of
+    equal windows that are dealt out one by one a task sends those of the
+    smallest document; the others are spans already (without a body)."""
     def run(batches):
+        low, held = {}, 0
+
+        def flush():
+            rows = [(hash_of(w), doc, a, span, w) for w, (doc, places) in low.items() for a in places]
+            if rows:
+                yield _cut(*zip(*rows, strict=True))
+
         for b in batches:
-            out = {"route": [], "doc_id": [], "at": [], "body": []}
+            out, spans = [], []
             for doc, body, asked in zip(b.column("doc_id").to_pylist(), b.column("body").to_pylist(),
                                         b.column("asked").to_pylist(), strict=True):
                 for q in asked:
@@ -323,18 +341,39 @@ def _cut_blocks(span):
                     if len(block) < n:
                         continue  # another row of this doc_id
                     if q["kind"] == 2:
-                        cut = [(route, a, block)]
-                    else:
-                        cut = [(hash_of(block[i:i + span]), a + i, block[i:i + span]) for i in range(n - span + 1)]
-                    for route, a, block in cut:
-                        for k, v in zip(out, (route, doc, a, block), strict=True):
-                            out[k].append(v)
-            yield pa.RecordBatch.from_pydict({
-                "route": pa.array(out["route"], pa.int64()), "doc_id": pa.array(out["doc_id"], pa.int64()),
-                "at": pa.array(out["at"], pa.int32()), "body": pa.array(out["body"], pa.binary())})
+                        out.append((route, doc, a, n, block))
+                        continue
+                    for i in range(n - span + 1):
+                        w = block[i:i + span]
+                        first = low.setdefault(w, (doc, []))
+                        if doc > first[0]:
+                            spans.append((doc, a + i))
+                            continue
+                        if doc < first[0]:
+                            spans += [(first[0], place) for place in first[1]]
+                            held -= len(first[1])
+                            first = low[w] = (doc, [])
+                        first[1].append(a + i)
+                        held += 1
+                    if held >= HELD:
+                        yield from flush()
+                        low, held = {}, 0
+            if out:
+                yield _cut(*zip(*out, strict=True))
+            if spans:
+                doc, at = np.array(spans, np.int64).T
+                for d, a, n in _merged_spans(doc, at, np.full(len(doc), span)):
+                    yield _cut(d * 40503 + a // 4096, d, a, n, [None] * len(d))
+        yield from flush()
     return run
 
 
+def _cut(route, doc, at, size, body):
+    return pa.RecordBatch.from_arrays(
+        [pa.array(route, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(size, pa.int32()),
+         pa.array(body, pa.binary())], ["route", "doc_id", "at", "size", "body"])
+
+
 def hash_of(body: bytes) -> int:
     import xxhash
     return xxhash.xxh64_intdigest(body) - (1 << 63)
@@ -445,8 +484,8 @@ def deep_shallow(text: bytes, suffixes: np.ndarray, span: int):
                     stack.append((part, deeper))
 
 
-def repeats(doc: np.ndarray, at: np.ndarray, blocks: list[bytes], span: int = SPAN):
-    """(document, place) of every window that a smaller document has too."""
+def repeated(doc: np.ndarray, blocks: list[bytes], span: int = SPAN):
+    """(block, place in it) of every window that a smaller document has too."""
     size = np.fromiter(map(len, blocks), np.int64, len(blocks))
     base = np.cumsum(size) - size
     windows = size - span + 1
@@ -463,39 +502,56 @@ def repeats(doc: np.ndarray, at: np.ndarray, blocks: list[bytes], span: int = SP
             d = doc[owner[w]]
             found.append(w[d > d.min()])
     w = np.concatenate(found) if found else np.zeros(0, np.int64)
-    return doc[owner[w]], at[owner[w]] + inner[w]
+    return owner[w], inner[w]
 
 
 def _sorted_suffixes(span):
-    """Blocks sorted by route: whole routes, some at a time."""
+    """Blocks sorted by route: whole routes, some at a time.  A route with
+    more rows is sorted in chunks; the blocks that still have a window of the
+    smallest document so far go on to its next chunk."""
     def run(batches):
-        held, n, rest = [], 0, None
+        held, n, rest, most = [], 0, None, 2 * SORTED
 
         def settle():
-            table_ = pa.Table.from_batches(held)
+            """Yields spans, then the rows that aren't repeats as a whole."""
+            table_ = pa.Table.from_batches(held).combine_chunks()
             doc, at = table_.column("doc_id").to_numpy(), table_.column("at").to_numpy().astype(np.int64)
-            d, a = repeats(doc, at, table_.column("body").to_pylist(), span)
-            for spans in _merged_spans(d, a, np.full(len(d), span)):
+            blocks = table_.column("body").to_pylist()
+            owner, inner = repeated(doc, blocks, span)
+            for spans in _merged_spans(doc[owner], at[owner] + inner, np.full(len(owner), span)):
                 yield _found(1, *spans)
+            fresh = np.fromiter(map(len, blocks), np.int64, len(blocks)) - span + 1
+            fresh -= np.bincount(owner, minlength=len(blocks))
+            left[:] = table_.filter(pa.array(fresh > 0)).combine_chunks().to_batches()
 
+        left: list = []
         for b in batches:
+            known = b.column("body").is_null()
+            if known.true_count:
+                yield _found(1, *(b.filter(known).column(c).to_numpy() for c in ("doc_id", "at", "size")))
+                b = b.filter(b.column("body").is_valid())
             while b is not None and len(b):
                 route = b.column("route").to_numpy()
-                if held and n >= 1 << 14 and route[0] != rest:
+                if held and n >= SORTED and route[0] != rest:
                     yield from settle()
-                    held, n = [], 0
+                    held, n, most = [], 0, 2 * SORTED
                 # up to the last route that may go on in the next batch
                 other = np.flatnonzero(route != route[-1])
                 cut = other[-1] + 1 if len(other) else len(b)
-                if n + cut > 1 << 14 and len(other):
+                if n + cut > SORTED and len(other):
                     # settle at the first route border beyond the bound
                     border = np.flatnonzero(route[1:cut] != route[:cut - 1]) + 1
-                    border = border[border + n >= 1 << 14]
+                    border = border[border + n >= SORTED]
                     cut = int(border[0]) if len(border) else cut
                 held.append(b.slice(0, cut))
                 n += cut
                 rest = route[cut - 1]
                 b = b.slice(cut) if cut < len(b) else None
+                if n >= most:
+                    yield from settle()
+                    held, n = list(left), sum(map(len, left))
+                    # few were repeats: not to sort the same rows again and again
+                    most = max(2 * SORTED, 2 * n)
         if held:
             yield from settle()
     return run
@@ -557,7 +613,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     asked = found.filter("kind > 1").groupBy("doc_id").agg(
         F.collect_list(F.struct("kind", "at", "size", "route")).alias("asked"))
     blocks = (_with(texts, asked, "inner", n, 32 * n).select("doc_id", "body", "asked")
-              .mapInArrow(_cut_blocks(span), "route long, doc_id long, at int, body binary"))
+              .mapInArrow(_cut_blocks(span), _CUT))
     later = (blocks.repartition(parts, "route").sortWithinPartitions("route")
              .mapInArrow(_sorted_suffixes(span), _FOUND))
     every = found.filter("kind = 1").unionByName(later).select("doc_id", "at", "size")

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -201,6 +202,31 @@ def test_substring_dedup_of_a_messy_and_an_empty_table(messy, no_docs):
     assert substrings.without_repeats(no_docs).count() == 0
 
 
+def test_hot_windows_are_combined_and_sorted_in_chunks(monkeypatch):
+    monkeypatch.setattr(substrings, "SORTED", 64)
+    rng = random.Random(5)
+    same = bytes(rng.choice(b"abcdef") for _ in range(52))
+    ids = rng.sample(range(5000), 2000)
+    asked = [{"kind": 3, "at": 4, "size": 52, "route": 1}]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": i, "body": b"%04d" % i + same, "asked": asked}
+                                           for i in ids[k:k + 100]]) for k in range(0, 2000, 100)]
+    cut = list(substrings._cut_blocks(50)(batches))
+    rows = [r for b in cut for r in b.to_pylist()]
+    sent = [r for r in rows if r["body"] is not None]
+    assert len(sent) == 3 and {r["doc_id"] for r in sent} == {min(ids)}
+    spans = {(r["doc_id"], r["at"], r["size"]) for r in rows if r["body"] is None}
+    assert {d for d, _, _ in spans} == set(ids) - {min(ids)}
+    # rows of one route from many tasks
+    held = []
+    inner = substrings.repeated
+    monkeypatch.setattr(substrings, "repeated", lambda doc, blocks, span: held.append(len(blocks)) or inner(doc, blocks, span))
+    route = [substrings._cut([7] * 100, ids[k:k + 100], [3] * 100, [50] * 100, [same[:50]] * 100)
+             for k in range(0, 2000, 100)]
+    found = [r for b in substrings._sorted_suffixes(50)(route) for r in b.to_pylist()]
+    assert sorted(r["doc_id"] for r in found) == sorted(set(ids) - {min(ids)})
+    assert all((r["at"], r["size"]) == (3, 50) for r in found) and max(held) <= 300
+
+
 def test_deep_shallow_orders_suffixes():
     rng = random.Random(2)
     text = bytes(rng.choice(b"ab") for _ in range(300)) * 3 + bytes(rng.choice(b"abc") for _ in range(400))
