@@ -10,8 +10,9 @@ deviations beyond chance) in one coordinate and near zero in the others: a maxim
 thousands of random responses would otherwise drown the few that matter.
 
 The network is fitted with Adam on at most ``SAMPLE`` labelled documents of
-each class (by hash order), a fifth of which is kept aside to calibrate one
-threshold per language.  The language is guessed from the text alone, by its
+each class (by hash order), a fifth of which is kept aside.  All labelled
+training rows that it wasn't fitted on are scored, and their counts by
+language, logit and label give one threshold per language.  The language is guessed from the text alone, by its
 byte frequencies.  The score is the logistic of logit minus threshold, so
 0.5 is the calibrated boundary in every language.
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import prepared, query, saved, table
+from corpuslens.llm.common import prepared, query, saved, sized, table
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 #: labelled documents of each class that the network is fitted on, at most
@@ -42,6 +43,8 @@ SAMPLE = 4000
 MIN_DOCS, EPOCHS, BATCH, RATE, DECAY, SEED = 4, 4, 64, 0.01, 0.02, 7
 #: a language with fewer of either class aside takes the common threshold
 MIN_CALIBRATION = 10
+#: logits are counted in steps of 1 / STEPS
+STEPS = 256
 
 _SEPARATE = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
@@ -61,27 +64,32 @@ def _featurize(batches):
         hist = [np.bincount(np.frombuffer((t or "").encode(), np.uint8), minlength=256).astype(np.int32).tobytes()
                 for t in texts]
         yield pa.RecordBatch.from_arrays(
-            [b.column("toxic"), b.column("lang"), pa.array(words, pa.binary()), pa.array(hist, pa.binary())],
-            ["toxic", "lang", "words", "hist"])
+            [b.column("toxic"), b.column("lang"), pa.array(words, pa.binary()), pa.array(hist, pa.binary()),
+             b.column("doc_id")], ["toxic", "lang", "words", "hist", "doc_id"])
 
 
 def held_out(doc_id="doc_id", parts: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == 0, F.lit(False))
 
 
+def training_labels(labels: DataFrame) -> DataFrame:
+    return saved(labels.filter(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id")
+                 .agg(F.max("toxic").cast("int").alias("toxic")))
+
+
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list, float]:
     """At most ``size`` training rows of each class as word buckets, and how
     many labelled rows of class 0 one of them stands for, against class 1."""
-    known = saved(labels.filter(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id")
-                  .agg(F.max("toxic").cast("int").alias("toxic")))
+    known = training_labels(labels)
     there = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     stands = [max(there.get(k, 0) / size, 1.0) for k in (0, 1)]
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = (known.filter("toxic = 1").orderBy(*order).limit(size)
               .unionByName(known.filter("toxic = 0").orderBy(*order).limit(size)))
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(picked), "doc_id")
-    features = (rows.select("doc_id", "toxic", "text", "lang").orderBy(*order).select("toxic", "lang", "text")
-                .mapInArrow(_featurize, "toxic int, lang string, words binary, hist binary"))
+    features = (rows.select("doc_id", "toxic", "text", "lang").orderBy(*order)
+                .select("toxic", "lang", "text", F.col("doc_id").cast("string").alias("doc_id"))
+                .mapInArrow(_featurize, "toxic int, lang string, words binary, hist binary, doc_id string"))
     return features.collect(), stands[0] / stands[1]
 
 
@@ -205,7 +213,7 @@ def _threshold(logit, y, default, negatives):
 
 
 def fit(rows: list, negatives: float = 1.0) -> dict | None:
-    """The model from rows (toxic, lang, words, hist), where a row of label 0
+    """The model from rows (toxic, lang, words, hist, doc_id), where a row of label 0
     stands for ``negatives`` labelled ones; None without both classes."""
     y = np.array([r[0] for r in rows], np.float32)
     if len(rows) == 0 or y.min() == y.max():
@@ -250,9 +258,50 @@ def fit(rows: list, negatives: float = 1.0) -> dict | None:
     model["thresholds"] = np.array([_threshold(logit[cal & (guess == k)], y[cal & (guess == k)],
                                                common_threshold, negatives)
                                     for k in range(len(model["langs"]))])
+    model["used"] = [(r[4], int(r[0])) for r, a in zip(rows, aside, strict=True) if not a]
     return model
 
 
+def _cut(counts: dict, negatives: float) -> float | None:
+    """As ``_threshold``, from {(step, label): rows}."""
+    steps = np.array(sorted({b for b, _ in counts}, reverse=True))
+    n = [np.array([counts.get((b, k), 0) for b in steps]) for k in (0, 1)]
+    if min(x.sum() for x in n) < MIN_CALIBRATION:
+        return None
+    hit, wrong = np.cumsum(n[1]), np.cumsum(n[0]) * negatives
+    i = int((2 * hit / (hit + wrong + n[1].sum())).argmax())
+    return float((steps[i] + (steps[i + 1] + 1 if i + 1 < len(steps) else steps[i])) / 2 / STEPS)
+
+
+def calibrated(model: dict | None, docs: DataFrame, labels: DataFrame) -> dict | None:
+    """The model with the threshold of each guessed language from all labelled
+    training rows that it wasn't fitted on."""
+    if model is None:
+        return None
+    spark = docs.sparkSession
+    prepared(spark)
+    used = F.broadcast(spark.createDataFrame([(i,) for i, _ in model["used"]], "used string"))
+    rest = saved(training_labels(labels).join(used, F.col("doc_id").cast("string") == F.col("used"), "left_anti"))
+    shared = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "used"})
+    rows = (docs.select("doc_id", "text").join(sized(rest, 32), "doc_id").select("toxic", "text")
+            .mapInArrow(_steps(shared), "toxic int, guess int, step int")
+            .groupBy("guess", "step", "toxic").count().collect())
+    every, by = {}, {}
+    for r in rows:
+        key = (r["step"], r["toxic"])
+        every[key] = every.get(key, 0) + r["count"]
+        by.setdefault(r["guess"], {})[key] = r["count"]
+    # rows of the fit are missing here: each of a class stands for as many as it has
+    n = [sum(c for (_, t), c in every.items() if t == k) for k in (0, 1)]
+    fitted = [sum(t == k for _, t in model["used"]) for k in (0, 1)]
+    stands = [(a + b) / max(a, 1) for a, b in zip(n, fitted, strict=True)]
+    common = _cut(every, stands[0] / max(stands[1], 1e-9)) if every else None
+    if common is None:
+        return model
+    cuts = [_cut(by[k], stands[0] / stands[1]) if k in by else None for k in range(len(model["thresholds"]))]
+    return {**model, "thresholds": np.array([common if c is None else c for c in cuts])}
+
+
 class _Ids(dict):
     """Word -> embedding row, remembered up to a bound."""
 
@@ -267,22 +316,44 @@ class _Ids(dict):
         return row
 
 
+def _logits(shared):
+    """Function: logits and guessed languages of the texts of a batch."""
+    model = shared.value
+    net = Net.__new__(Net)
+    net.p = model["p"]
+    tables, ids = net.tables(), _Ids(model["remap"])
+
+    def of(b):
+        texts = ["" if t is None else t for t in b.column("text").to_pylist()]
+        rows = [np.array([ids[w] for w in words_of(t)], np.int32) for t in texts]
+        hist = np.stack([np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256) for t in texts]) \
+            if texts else np.zeros((0, 256))
+        tops = np.full((len(texts), len(WIDTHS), FILTERS), -np.inf, np.float32)
+        for block in _segments(rows):
+            found, _ = Net.pooled(tables, *_joined([part for _, part in block]))
+            np.maximum.at(tops, np.array([i for i, _ in block]), np.stack(found, 1))
+        return net.of_tops(tops), (hist @ model["langs"].T).argmax(1)
+    return of
+
+
+def _steps(shared):
+    def run(batches):
+        of = _logits(shared)
+        for b in batches:
+            logit, guess = of(b)
+            step = np.floor(np.clip(logit.astype(np.float64), -50, 50) * STEPS)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("toxic"), pa.array(guess.astype(np.int32)), pa.array(step.astype(np.int32))],
+                ["toxic", "guess", "step"])
+    return run
+
+
 def _score(shared):
     def run(batches):
-        model = shared.value
-        net = Net.__new__(Net)
-        net.p = model["p"]
-        tables, ids = net.tables(), _Ids(model["remap"])
+        of = _logits(shared)
         for b in batches:
-            texts = ["" if t is None else t for t in b.column("text").to_pylist()]
-            rows = [np.array([ids[w] for w in words_of(t)], np.int32) for t in texts]
-            hist = np.stack([np.bincount(np.frombuffer(t.encode(), np.uint8), minlength=256) for t in texts]) \
-                if texts else np.zeros((0, 256))
-            tops = np.full((len(texts), len(WIDTHS), FILTERS), -np.inf, np.float32)
-            for block in _segments(rows):
-                found, _ = Net.pooled(tables, *_joined([part for _, part in block]))
-                np.maximum.at(tops, np.array([i for i, _ in block]), np.stack(found, 1))
-            logit = net.of_tops(tops) - model["thresholds"][(hist @ model["langs"].T).argmax(1)]
+            logit, guess = of(b)
+            logit = logit - shared.value["thresholds"][guess]
             score_ = 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -50, 50)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score_, pa.float64())], ["doc_id", "score"])
     return run
@@ -294,7 +365,7 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast({k: v for k, v in model.items() if k != "used"})
     return rows.mapInArrow(_score(shared), "doc_id long, score double")
 
 
@@ -302,7 +373,7 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 def op7_toxicity_cnn(spark, sf_dir):
     """Toxicity of every document, learned from the labels not held out."""
     prepared(spark)
-    docs = table(spark, sf_dir, "documents")
-    model = fit(*sample(docs, table(spark, sf_dir, "labels")))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = calibrated(fit(*sample(docs, labels)), docs, labels)
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -283,6 +283,32 @@ def test_toxicity_learns_and_survives_messy_tables(spark, messy, no_docs):
     assert toxicity.score(docs, None).filter("score = 0").count() == 800
 
 
+def test_toxicity_thresholds_of_rare_languages(spark):
+    rng = np.random.default_rng(4)
+    rows, marks = [], []
+    for i in range(3000):
+        rare, bad = i % 20 == 7, bool(rng.random() < 0.4)
+        words = rng.choice([f"слово{k}" if rare else f"word{k}" for k in range(60)], 30).tolist()
+        # in the rare language one mark alone means nothing
+        words[:3] = ["scum"] * (3 if bad else 1) if rare else ["scum"] * (1 if bad else 0) + words[:3 - bad]
+        rows.append((i, " ".join(words) + (" vile" if bad and rare else ""), "ru" if rare else "en"))
+        marks.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    fitted = toxicity.fit(*toxicity.sample(docs, labels, 150))
+    model = toxicity.calibrated(fitted, docs, labels)
+    logit = {r.doc_id: r.score for r in toxicity.score(docs, {**fitted, "thresholds": np.zeros(2)}).collect()}
+    seen = {int(i) for i, _ in fitted["used"]}
+    own = [i for i in range(7, 3000, 20) if i not in seen and zlib.crc32(str(i).encode()) % 5]
+    y = np.array([marks[i][1] for i in own])
+    z = np.array([logit[i] for i in own])
+    z = np.log(z / (1 - z))
+    f1 = lambda t: 2 * ((z >= t) & (y == 1)).sum() / ((z >= t).sum() + y.sum())
+    best = max(f1(t) for t in z)
+    # languages are sorted: en, ru
+    assert f1(model["thresholds"][1]) >= best - 0.02 and f1(fitted["thresholds"][1]) < best - 0.02
+
+
 def test_pipeline_stages(spark, messy, no_docs, tmp_path):
     for start in (messy, no_docs):
         docs = start
