@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from corpuslens.llm.common import at_gaps, empty_if_null, prepared, query, saved
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: word stems whose ids a worker remembers, in each of two generations
-CACHED_STEMS = 300_000
+#: words whose ids a worker remembers before it starts anew
+CACHED_WORDS = 1_500_000
 #: bytes of text whose words are looked up together
 BLOCK_BYTES = 8 << 20
 #: ASCII marks that may follow a letter; none of them joins it in a token
@@ -50,23 +51,48 @@ _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not i
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class _Rows(dict):
+    """word -> its row in the table; an unknown word gets the next one."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, word):
+        row = self[word] = len(self)
+        self.new.append(word)
+        return row
+
+
 class WordIds:
-    """Token ids of texts, as little-endian bytes, by their words.
+    """Token ids of texts by their words.
 
     The tokenizer drops white space, lower-cases, and none of its rules
     reaches across white space or from a letter to a mark behind it.  So a
     text's ids are those of its words in a row, a word's are those of its stem
-    and its trailing marks, and each distinct stem is encoded only once while
-    it is remembered.
+    and its trailing marks, and each distinct word is looked at only once
+    while it is remembered.  Words are rows of one table of ids, so a text
+    costs a dictionary look-up a word and one gather.
     """
 
-    def __init__(self, tokenizer: str):
+    #: stands for the end of a text; no word is empty
+    END = b""
+
+    def __init__(self, tokenizer: str, end_id: int = 0):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         if not os.path.isabs(tokenizer):
             import public_tokenizers
             tokenizer = public_tokenizers.path(tokenizer)
-        self.tokenizer, self.young, self.old = Tokenizer.from_file(tokenizer), {}, {}
+        self.tokenizer, self.end_id = Tokenizer.from_file(tokenizer), end_id
+        self.forget()
+
+    def forget(self):
+        """An empty table: its first row is the end of a text."""
+        self.rows = _Rows()
+        self.rows[self.END] = 0
+        self.pool, self.used = np.array([self.end_id], np.uint32), 1
+        self.start, self.count = np.zeros(1, np.int64), np.ones(1, np.int64)
 
     @staticmethod
     def words(body: bytes) -> list[bytes]:
@@ -81,48 +107,77 @@ class WordIds:
             return word
         return cut if cut[-1] < 128 or cut.decode()[-1].isalpha() else word
 
-    def encode(self, parts: list[bytes]) -> dict:
-        """ids of ``parts``.  Lower-case Latin words are one token of the
-        pre-tokenizer and go to its model at once; others all the way."""
-        found, rest, tokenize = {}, [], self.tokenizer.model.tokenize
-        for p in parts:
-            word = p.decode()
-            if p.isalpha() and p.islower():  # of ASCII letters
-                found[p] = array("I", [t.id for t in tokenize(word)]).tobytes()
-            elif word.isalpha() and max(word) < "\u0250" and word.lower() == word:
-                found[p] = array("I", [t.id for t in tokenize(p.decode("latin-1").translate(_BYTE_LEVEL))]).tobytes()
+    def encode(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """ids of ``words`` in a row, and how many each has.  Lower-case Latin
+        words are one token of the pre-tokenizer and go to its model at once;
+        others all the way."""
+        ids, sizes, tokenize = [], [], self.tokenizer.model.tokenize
+        for w in words:
+            if w.isalpha() and w.islower():  # of ASCII letters
+                found = [t.id for t in tokenize(w.decode())]
             else:
-                rest.append(p)
-        for i in range(0, len(rest), 10_000):
-            part = rest[i:i + 10_000]
-            got = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            found.update(zip(part, (array("I", e.ids).tobytes() for e in got), strict=True))
-        return found
-
-    def remember(self, parts: set[bytes]) -> dict:
-        """ids of all ``parts``; encodes those that neither generation has."""
-        found, new, young, old = {}, [], self.young, self.old
-        for p in parts:
-            ids = young.get(p) or old.get(p)
-            if ids is None:
-                new.append(p)
+                text = w.decode()
+                if text.isalpha() and max(text) < "\u0250" and text.lower() == text:
+                    found = [t.id for t in tokenize(w.decode("latin-1").translate(_BYTE_LEVEL))]
+                else:
+                    found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            ids += found
+            sizes.append(len(found))
+        return ids, sizes
+
+    def learn(self):
+        """Table rows for the words met since, and for the stems and marks
+        that they consist of."""
+        rows, new, plain, marked = self.rows, self.rows.new, [], []
+        rows.new = []
+        for w in new:
+            if not 97 <= w[-1] <= 122 and len(s := self.stem(w)) < len(w):
+                marked.append((rows[w], rows[s], rows[w[len(s):]]))
             else:
-                found[p] = ids
-        found.update(self.encode(new))
-        if len(young) + len(found) > CACHED_STEMS:
-            self.young, self.old = {}, young
-        self.young.update(found)
-        return found
-
-    def __call__(self, bodies: list[bytes]) -> list[bytes]:
+                plain.append(w)
+        plain += rows.new  # stems and marks asked for just now
+        rows.new = []
+        grown = len(rows) - len(self.start)
+        if grown > 0:
+            more = np.zeros(max(grown, len(self.start)), np.int64)
+            self.start, self.count = np.concatenate([self.start, more]), np.concatenate([self.count, more])
+        ids, sizes = self.encode(plain)
+        self.store(np.fromiter(map(rows.__getitem__, plain), np.int64, len(plain)),
+                   np.array(ids, np.uint32), np.array(sizes, np.int64))
+        if marked:
+            row, stem, tail = np.array(marked, np.int64).T
+            self.store(row, self.gather(np.stack([stem, tail], 1).ravel()), self.count[stem] + self.count[tail])
+
+    def store(self, rows: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
+        """Append the ids of the words in ``rows`` to the pool."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), np.uint32)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.start[rows] = self.used + np.cumsum(sizes) - sizes
+        self.count[rows] = sizes
+        self.used += len(ids)
+
+    def gather(self, rows: np.ndarray) -> np.ndarray:
+        """ids of the words in ``rows``, one after the other."""
+        count = self.count[rows]
+        before = np.cumsum(count) - count
+        return self.pool[np.arange(int(count.sum())) + np.repeat(self.start[rows] - before, count)]
+
+    def __call__(self, bodies: list[bytes], ends: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all ``bodies`` in a row, each with its end id if ``ends``,
+        and where each body's ids stop."""
+        if len(self.rows) > CACHED_WORDS:
+            self.forget()
         split = [self.words(b) for b in bodies]
-        vocabulary = set().union(*split)
-        marked = {w: self.stem(w) for w in vocabulary if not 97 <= w[-1] <= 122}
-        vocabulary.difference_update(marked)
-        vocabulary.update(marked.values(), (w[len(s):] for w, s in marked.items() if len(s) < len(w)))
-        ids = self.remember(vocabulary)
-        ids.update([(w, ids[s] + ids[w[len(s):]]) for w, s in marked.items() if len(s) < len(w)])
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+        if ends:
+            for words in split:
+                words.append(self.END)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if self.rows.new:
+            self.learn()
+        stops = np.concatenate([[0], np.cumsum(self.count[at])])[np.cumsum(sizes)]
+        return self.gather(at), stops
 
 
 _TOKENIZERS: dict = {}
@@ -140,13 +195,13 @@ def _text_blocks(bodies: list[bytes]):
         yield start, len(bodies)
 
 
-def _pieces(tokenizer, capacity, with_ids):
+def _pieces(tokenizer, capacity, with_ids, end_id):
     def run(batches):
         # a worker process serves many tasks and keeps what it has learned
-        ids_of = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, WordIds(tokenizer))
-        step = 4 * capacity
+        key = (tokenizer, end_id)
+        ids_of = _TOKENIZERS.get(key) or _TOKENIZERS.setdefault(key, WordIds(*key))
         kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(),
-                 "ids_crc32": pa.int64(), "ids": pa.binary()}
+                 "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "ids": pa.binary()}
         if not with_ids:
             kinds.pop("ids")
         for b in batches:
@@ -155,25 +210,32 @@ def _pieces(tokenizer, capacity, with_ids):
                 out = {k: [] for k in kinds}
                 # a longer body is a block of its own and tokenised part by part
                 if j - i == 1:
-                    found = [b"".join(ids_of([part])[0] for part in at_gaps(bodies[i], BLOCK_BYTES))]
+                    parts = [ids_of([part], ends=False)[0] for part in at_gaps(bodies[i], BLOCK_BYTES)]
+                    ids = np.concatenate([*parts, np.array([end_id], np.uint32)])
+                    stops = [len(ids)]
                 else:
-                    found = ids_of(bodies[i:j])
-                for doc_id, ids in zip(doc_ids[i:j], found, strict=True):
-                    ids += b"\0\0\0\0"
-                    for piece, at in enumerate(range(0, len(ids), step)):
-                        part = ids[at:at + step]
-                        for k, v in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
+                    ids, stops = ids_of(bodies[i:j])
+                    stops = stops.tolist()
+                body = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+                for doc_id, first, stop in zip(doc_ids[i:j], [0, *stops], stops):
+                    for piece, at in enumerate(range(first, stop, capacity)):
+                        part = body[4 * at:4 * min(at + capacity, stop)]
+                        row = (doc_id, piece, at - first, len(part) // 4, zlib.crc32(part), stop - first)
+                        for k, v in zip(out, (*row, bytes(part)) if with_ids else row, strict=True):
                             out[k].append(v)
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
     return run
 
 
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY,
-                 with_ids: bool = False) -> DataFrame:
-    """Pieces of every document; ``with_ids`` adds their ids (unsigned 32-bit)."""
+                 with_ids: bool = False, end_id: int = 0) -> DataFrame:
+    """Pieces of every document, in its order: doc_id, piece, start, length,
+    ids_crc32, doc_tokens (all ids of its document); ``with_ids`` adds their
+    ids (unsigned 32-bit)."""
     prepared(docs.sparkSession)
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null().cast("binary").alias("body"))
-            .mapInArrow(_pieces(tokenizer, capacity, with_ids), _PIECE + (", ids binary" if with_ids else "")))
+            .mapInArrow(_pieces(tokenizer, capacity, with_ids, end_id),
+                        _PIECE + ", doc_tokens long" + (", ids binary" if with_ids else "")))
 
 
 def ranked(df: DataFrame, size: str, order: list[str], parts: int) -> tuple[DataFrame, dict[int, int]]:
@@ -281,7 +343,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return place_pieces(token_pieces(docs, tokenizer, capacity), capacity)
+    return place_pieces(token_pieces(docs, tokenizer, capacity).drop("doc_tokens"), capacity)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str = TOKENIZER,
