@@ -6,7 +6,8 @@ import importlib
 
 from corpuslens.llm import common
 
-_MODULES = ["mixing", "chat", "exact", "sharding", "simhash", "packing", "langid", "toxicity", "embeddings", "substrings"]
+_MODULES = ["mixing", "chat", "exact", "sharding", "simhash", "packing", "langid", "toxicity", "embeddings", "substrings",
+            "bestfit", "merkle", "collocations"]
 
 
 def _load():
