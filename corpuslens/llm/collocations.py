@@ -2,12 +2,16 @@ r"""Phrase collocations by stripes.
 
 Every prefix of one or two words keys an associative counter of the words
 that follow it, its stripe.  A task counts a block of text and hands on one
-stripe per prefix it has met, with the prefix' own occurrences (some end a
-piece, so that nothing follows); stripes of equal prefixes meet and are added
-element by element.  The merged stripes hold everything that scores need:
-a prefix' total is f(prefix), an element is f(prefix + next word), and the
-largest element of a pair's stripe, with the elements that end in the pair,
-tells how much of the pair a longer phrase accounts for.
+stripe per prefix it has met; stripes of equal prefixes meet and are added
+element by element.  The merged stripes hold everything that scores need: an
+element is f(prefix + next word), a word's total is f(word) (some of it ends
+a piece, so that nothing follows), and the largest element of a pair's
+stripe, with the elements that end in the pair, tells how much of the pair a
+longer phrase accounts for.
+
+Most prefixes are rare, so stripes travel packed: prefixes are dealt into
+buckets by hash, as many as the corpus has million words, and a task hands on
+one row per bucket.  A bucket's stripes are merged together.
 
 A prefix that is frequent (at least ``1 / (8 * shuffle partitions)`` of its
 language's words) has its stripe divided by a hash of the next word, in
@@ -46,10 +50,12 @@ SCALE = 1_000_000
 BLOCK_WORDS = 1 << 20
 #: bytes of a text that are split into words at a time
 PART_BYTES = 4 << 20
-#: rows of stripes that are merged at a time
-MERGE_ROWS = 1 << 16
-#: rows of an Arrow batch of stripes
-OUT_ROWS = 20_000
+#: words of the corpus for each bucket of stripes
+BUCKET_WORDS = 1 << 20
+#: buckets are merged together until they have as many elements
+MERGE_ELEMENTS = 1 << 19
+#: prefixes of an Arrow batch of stripes
+OUT_ROWS = 1 << 16
 
 # Fixed values of the contract: A-Z in lower case, the marks that end a piece
 # (as 0xFF, which no UTF-8 text has), tab as space
@@ -57,8 +63,14 @@ _MARKS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _MARKS + b"\t", bytes(range(97, 123)) + b"\xff" * len(_MARKS) + b" ")
 _END = b"\xff"
 
-_STRIPES = "lang string, prefix string, part int, total long, next array<string>, count array<long>"
-_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()), ("total", pa.int64()),
+# stripes of one language and bucket: prefixes and next words joined, as many
+# elements of each prefix as "size" says
+_PACKED = ("lang string, bucket int, prefixes string, total array<long>, size array<int>, next string, count array<int>")
+_PACKED_ARROW = pa.schema([
+    ("lang", pa.string()), ("bucket", pa.int32()), ("prefixes", pa.string()), ("total", pa.list_(pa.int64())),
+    ("size", pa.list_(pa.int32())), ("next", pa.string()), ("count", pa.list_(pa.int32()))])
+_STRIPES = "lang string, prefix string, total long, next array<string>, count array<long>"
+_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()),
                     ("next", pa.list_(pa.string())), ("count", pa.list_(pa.int64()))])
 
 
@@ -161,30 +173,64 @@ def frequent_words(texts: DataFrame, parts: int) -> tuple[DataFrame, dict[tuple[
     return total, {(r[0], r[1]): r[2] for r in often.filter("parts > 1").collect()}
 
 
-def _stripes(prefix: np.ndarray, total: np.ndarray, element: np.ndarray, count: np.ndarray, base: int,
-             parts: np.ndarray, hashes: np.ndarray):
-    """Rows of stripes: index of the prefix, part, total, where the elements
-    start, and the elements (next word, count) in this order.  ``element`` is
-    prefix * base + next word, sorted."""
-    owner = np.searchsorted(prefix, element // base)
-    word = element % base
-    width = int(parts.max(initial=1))
-    key = owner * width + hashes[word] % parts[owner]
-    if width > 1:
-        order = np.argsort(key, kind="stable")
-        key, word, count = key[order], word[order], count[order]
-    # the first part of a prefix also tells its total
-    rows = np.union1d(np.arange(len(prefix)) * width, key)
-    part = rows % width
-    return rows // width, part, np.where(part == 0, total[rows // width], 0), np.searchsorted(key, rows), word, count
-
-
-def _count_stripes(frequent: dict[tuple[str, str], int]):
+def _packed(lang: str, names: pa.Array, first: np.ndarray, second: np.ndarray | None, total: np.ndarray | None,
+            element: np.ndarray, count: np.ndarray, parts: np.ndarray, hashes: np.ndarray, buckets: int):
+    """Rows of stripes of one block and language, one per bucket.
+
+    Prefixes are the words ``first`` (and ``second``), sorted; ``element`` is
+    the prefix' index * number of words + next word, sorted.  A stripe lies in
+    its prefix' bucket, the parts of a divided one in several; ``total`` goes
+    to the first part."""
+    n = len(first)
+    home = _mix(hashes[first] + np.uint64(zlib.crc32(lang.encode())))
+    if second is not None:
+        home = _mix(home + hashes[second])
+    owner, word = element // len(names), element % len(names)
+    part = hashes[word] % parts[owner].astype(np.uint64)
+    at = _mix(home[owner] + part) % np.uint64(buckets)
+    key = at.astype(np.int64) * n + owner
+    order = np.argsort(key, kind="stable")
+    key, word, count = key[order], word[order], count[order]
+    rows = np.unique(key)
+    if total is not None:
+        rows = np.union1d(rows, (_mix(home) % np.uint64(buckets)).astype(np.int64) * n + np.arange(n))
+    bucket, owner = rows // n, rows % n
+    prefix = names.take(pa.array(first[owner]))
+    if second is not None:
+        prefix = pc.binary_join_element_wise(prefix, names.take(pa.array(second[owner])), " ")
+    told = np.zeros(len(rows), np.int64)
+    if total is not None:
+        own = bucket == (_mix(home[owner]) % np.uint64(buckets)).astype(np.int64)
+        told[own] = total[owner[own]]
+    start = np.searchsorted(key, rows)
+    size = np.diff(np.append(start, len(key)))
+    for i in range(0, len(rows), OUT_ROWS):
+        j = min(i + OUT_ROWS, len(rows))
+        x, y = int(start[i]), int(start[j]) if j < len(rows) else len(key)
+        edge = np.flatnonzero(np.append(True, bucket[i + 1:j] != bucket[i:j - 1]))
+        by_row = pa.array(np.append(edge, j - i), pa.int32())
+        by_element = pa.array(np.append(start[i:j][edge], y) - x, pa.int32())
+        yield pa.RecordBatch.from_arrays([
+            pa.array([lang] * len(edge), pa.string()), pa.array(bucket[i:j][edge], pa.int32()),
+            pc.binary_join(pa.ListArray.from_arrays(by_row, prefix.slice(i, j - i)), "\n"),
+            pa.ListArray.from_arrays(by_row, pa.array(told[i:j], pa.int64())),
+            pa.ListArray.from_arrays(by_row, pa.array(size[i:j], pa.int32())),
+            pc.binary_join(pa.ListArray.from_arrays(by_element, names.take(pa.array(word[x:y]))), " "),
+            pa.ListArray.from_arrays(by_element, pa.array(count[x:y], pa.int32()))], schema=_PACKED_ARROW)
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values (products wrap around)."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _count_stripes(frequent: dict[tuple[str, str], int], buckets: int):
     def run(batches):
         for block in _blocks(batches):
             vocabulary = list(block.ids)
             base = len(vocabulary)
-            hashes = np.fromiter(map(zlib.crc32, vocabulary), np.int64, base)
+            hashes = np.fromiter(map(zlib.crc32, vocabulary), np.uint64, base)
             names = pa.array(vocabulary[1:], pa.binary()).cast(pa.string())
             names = pa.concat_arrays([pa.array([""], pa.string()), names])
             for lang in block.spans:
@@ -193,93 +239,79 @@ def _count_stripes(frequent: dict[tuple[str, str], int]):
                 for (of, w), n in frequent.items():
                     if of == lang and (i := block.ids.get(w.encode())):
                         parts[i] = n
-                a, b, c = words[:-2], words[1:-1], words[2:]
-                pair_at = (words[:-1] > 0) & (words[1:] > 0) & fresh[1:]
-                pairs, pair_n = np.unique((words[:-1] * base + words[1:])[pair_at], return_counts=True)
-                three_at = (a > 0) & (b > 0) & (c > 0) & fresh[2:]
-                threes, three_n = np.unique(((a * base + b) * base + c)[three_at], return_counts=True)
-                # prefixes that were counted in the block before have total 0 here
+                pair = words[:-1] * base + words[1:]
+                pair_at = (words[:-1] > 0) & (words[1:] > 0)
+                three_at = pair_at[:-1] & pair_at[1:] & fresh[2:]
+                pairs, pair_n = np.unique(pair[pair_at & fresh[1:]], return_counts=True)
+                threes, three_n = np.unique(pair[:-1][three_at] * base + words[2:][three_at], return_counts=True)
                 counts = np.bincount(words[fresh], minlength=base)
                 counts[0] = 0
+                # a prefix that was counted in the block before has total 0 here
                 ones = np.union1d(np.flatnonzero(counts), pairs // base)
-                twos = np.union1d(pairs, threes // base)
-                two_n = np.zeros(len(twos), np.int64)
-                two_n[np.searchsorted(twos, pairs)] = pair_n
+                at = np.searchsorted(ones, pairs // base)
+                yield from _packed(lang, names, ones, None, counts[ones], at * base + pairs % base, pair_n,
+                                   parts[ones], hashes, buckets)
+                twos, at = np.unique(threes // base, return_inverse=True)
                 first, second = twos // base, twos % base
-                yield from _rows(lang, names, names.take(ones), _stripes(
-                    ones, counts[ones], pairs, pair_n, base, parts[ones], hashes))
-                yield from _rows(lang, names, pc.binary_join_element_wise(names.take(first), names.take(second), " "),
-                                 _stripes(twos, two_n, threes, three_n, base, np.minimum(parts[first], parts[second]), hashes))
+                yield from _packed(lang, names, first, second, None, at * base + threes % base, three_n,
+                                   np.minimum(parts[first], parts[second]), hashes, buckets)
     return run
 
 
-def _rows(lang, names, prefixes, stripes):
-    owner, part, total, start, word, count = stripes
-    for i in range(0, len(owner), OUT_ROWS):
-        j = min(i + OUT_ROWS, len(owner))
-        x, y = int(start[i]), int(start[j]) if j < len(owner) else len(word)
-        at = pa.array(np.append(start[i:j], y) - x, pa.int32())
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * (j - i), pa.string()), prefixes.take(pa.array(owner[i:j])), pa.array(part[i:j], pa.int32()),
-            pa.array(total[i:j], pa.int64()), pa.ListArray.from_arrays(at, names.take(pa.array(word[x:y]))),
-            pa.ListArray.from_arrays(at, pa.array(count[x:y], pa.int64()))], schema=_ARROW)
-
-
-def _merge(t: pa.Table) -> pa.RecordBatch:
-    """Rows sorted by (lang, prefix, part): one per key, elements added."""
-    t = t.combine_chunks()
-    n = t.num_rows
-    changed = np.zeros(n, bool)
-    for name in ("lang", "prefix", "part"):
-        col = t.column(name).chunk(0)
-        changed[1:] |= pc.not_equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-    group = np.cumsum(changed)
-    first = np.flatnonzero(np.append(True, changed[1:]))
-    lists = t.column("next").chunk(0)
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = lists.flatten().dictionary_encode()
-    count = t.column("count").chunk(0).flatten().to_numpy()
+def _unpacked(column: pa.ChunkedArray, mark: str) -> pa.Array:
+    return pc.split_pattern(column, mark).combine_chunks().flatten()
+
+
+def _merge(batches: list[pa.RecordBatch], least: int) -> pa.RecordBatch:
+    """Stripes of equal (language, prefix) added element by element; what
+    occurs at least ``least`` times."""
+    t = pa.Table.from_batches(batches)
+    sizes = t.column("size").combine_chunks()
+    rows = pc.list_value_length(sizes).to_numpy(zero_copy_only=False)
+    lang = t.column("lang").combine_chunks().take(pa.array(np.repeat(np.arange(t.num_rows), rows)))
+    prefix = _unpacked(t.column("prefixes"), "\n")
+    total = t.column("total").combine_chunks().flatten().to_numpy()
+    sizes = sizes.flatten().to_numpy()
+    # an empty stripe has no word, but splitting gives it an empty one
+    word = _unpacked(t.column("next"), " ")
+    word = word.filter(pc.not_equal(word, ""))
+    count = t.column("count").combine_chunks().flatten().to_numpy()
+    group = pc.binary_join_element_wise(lang, prefix, "\n").dictionary_encode().indices.to_numpy()
+    groups, where, owner = np.unique(group, return_index=True, return_inverse=True)
+    totals = np.zeros(len(groups), np.int64)
+    np.add.at(totals, owner, total)
+    coded = word.dictionary_encode()
     width = max(len(coded.dictionary), 1)
-    key, at = np.unique(np.repeat(group, sizes) * width + coded.indices.to_numpy(), return_inverse=True)
-    added = np.zeros(len(key), np.int64)
-    np.add.at(added, at, count)
-    total = np.add.reduceat(t.column("total").to_numpy(), first)
-    start = pa.array(np.searchsorted(key, np.arange(len(first) + 1) * width), pa.int32())
-    pick = pa.array(first)
+    key, at = np.unique(np.repeat(owner, sizes) * width + coded.indices.to_numpy(), return_inverse=True)
+    added = np.bincount(at, count, len(key)).astype(np.int64) if len(key) else np.zeros(0, np.int64)
+    often = added >= least
+    key, added = key[often], added[often]
+    held = np.bincount(key // width, minlength=len(groups))
+    keep = np.flatnonzero((held > 0) | (totals >= least))
+    start = pa.array(np.append(0, np.cumsum(held[keep])), pa.int32())
+    pick = pa.array(where[keep])
     return pa.RecordBatch.from_arrays([
-        *(t.column(c).chunk(0).take(pick) for c in ("lang", "prefix", "part")), pa.array(total, pa.int64()),
+        lang.take(pick), prefix.take(pick), pa.array(totals[keep], pa.int64()),
         pa.ListArray.from_arrays(start, coded.dictionary.take(pa.array(key % width))),
         pa.ListArray.from_arrays(start, pa.array(added, pa.int64()))], schema=_ARROW)
 
 
-def _frequent_only(b: pa.RecordBatch, least: int) -> pa.RecordBatch:
-    """Elements and prefixes that occur at least so often."""
-    sizes = pc.list_value_length(b.column("next")).to_numpy(zero_copy_only=False).astype(np.int64)
-    count = b.column("count").flatten()
-    keep = count.to_numpy() >= least
-    kept = np.bincount(np.repeat(np.arange(b.num_rows), sizes)[keep], minlength=b.num_rows)
-    at = pa.array(np.append(0, np.cumsum(kept)), pa.int32())
-    mask = pa.array(keep)
-    out = pa.RecordBatch.from_arrays([
-        *(b.column(c) for c in ("lang", "prefix", "part", "total")),
-        pa.ListArray.from_arrays(at, b.column("next").flatten().filter(mask)),
-        pa.ListArray.from_arrays(at, count.filter(mask))], schema=_ARROW)
-    return out.filter(pa.array((kept > 0) | (b.column("total").to_numpy() >= least)))
-
-
 def _merge_partition(least: int):
     def run(batches):
-        held, size = [], 0
+        held, size, last = [], 0, None
         for b in batches:
-            held.append(b.select(_ARROW.names).cast(_ARROW))
-            size += b.num_rows
-            if size >= MERGE_ROWS:
-                merged = _merge(pa.Table.from_batches(held))
-                # the last prefix may go on
-                yield _frequent_only(merged.slice(0, merged.num_rows - 1), least)
-                held, size = [merged.slice(merged.num_rows - 1)], 1
-        if size:
-            yield _frequent_only(_merge(pa.Table.from_batches(held)), least)
+            b = b.select(_PACKED_ARROW.names).cast(_PACKED_ARROW)
+            bucket = b.column("bucket").to_numpy()
+            for i in np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist():
+                j = int(np.searchsorted(bucket, bucket[i], "right"))
+                if bucket[i] != last and size >= MERGE_ELEMENTS:
+                    yield _merge(held, least)
+                    held, size = [], 0
+                last = bucket[i]
+                held.append(b.slice(i, j - i))
+                size += len(held[-1].column("count").flatten())
+        if held:
+            yield _merge(held, least)
     return run
 
 
@@ -290,10 +322,10 @@ def merged_stripes(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame,
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         empty_if_null().cast("binary").alias("body"))
     total, frequent = frequent_words(texts, 8 * width)
-    rows = texts.mapInArrow(_count_stripes(frequent), _STRIPES)
-    key = F.xxhash64("lang", "prefix", "part")
-    dealt = (rows.withColumn("_key", key).repartition(width, "_key")
-             .sortWithinPartitions("_key", "lang", "prefix", "part"))
+    total = saved(total)
+    words = total.agg(F.sum("n")).first()[0] or 0
+    rows = texts.mapInArrow(_count_stripes(frequent, max(width, -(-words // BUCKET_WORDS))), _PACKED)
+    dealt = rows.repartition(width, "bucket").sortWithinPartitions("bucket")
     return total, saved(dealt.mapInArrow(_merge_partition(least), _STRIPES))
 
 
@@ -303,7 +335,7 @@ def phrase_scores(stripes: DataFrame, subsumed: float = SUBSUMED) -> DataFrame:
     pair_prefix = F.contains("prefix", F.lit(" "))
     elements = stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "count")).alias("e")).select(
         "lang", "prefix", F.col("e.next").alias("next"), F.col("e.count").alias("a"))
-    words = saved(stripes.filter(~pair_prefix & (F.col("part") == 0)).select("lang", F.col("prefix").alias("w"),
+    words = saved(stripes.filter(~pair_prefix & (F.col("total") > 0)).select("lang", F.col("prefix").alias("w"),
                                                                             F.col("total").alias("f")))
     pairs = saved(elements.filter(~pair_prefix).select(
         "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.col("prefix").alias("w1"), F.col("next").alias("w2"), "a"))
@@ -350,7 +382,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> Dat
     best = (found.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(width)))
             .withColumn("_place", F.row_number().over(share)).filter(F.col("_place") <= top).drop("_share", "_place"))
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    return (ranked.filter(F.col("rank") <= top).join(sized(saved(total), 64), "lang")
+    return (ranked.filter(F.col("rank") <= top).join(sized(total, 64), "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 

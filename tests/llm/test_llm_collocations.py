@@ -52,7 +52,7 @@ def _docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
 
 
-@pytest.mark.parametrize("setting", [{}, {"BLOCK_WORDS": 7}, {"PART_BYTES": 5, "BLOCK_WORDS": 11}, {"MERGE_ROWS": 2}, {"OUT_ROWS": 1}])
+@pytest.mark.parametrize("setting", [{}, {"BLOCK_WORDS": 7}, {"PART_BYTES": 5, "BLOCK_WORDS": 11}, {"MERGE_ELEMENTS": 2, "BUCKET_WORDS": 50}, {"OUT_ROWS": 1}])
 def test_blocks_and_parts_of_any_size_count_alike(spark, monkeypatch, setting):
     docs = _docs(spark)
     for name, value in setting.items():
