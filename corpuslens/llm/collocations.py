@@ -10,7 +10,7 @@ stripe, with the elements that end in the pair, tells how much of the pair a
 longer phrase accounts for.
 
 Most prefixes are rare, so stripes travel packed: prefixes are dealt into
-buckets by hash, as many as the corpus has million words, and a task hands on
+buckets by hash, one for half a million words of the corpus, and a task hands on
 one row per bucket.  A bucket's stripes are merged together.
 
 A prefix that is frequent (at least ``1 / (8 * shuffle partitions)`` of its
@@ -51,9 +51,9 @@ BLOCK_WORDS = 1 << 20
 #: bytes of a text that are split into words at a time
 PART_BYTES = 4 << 20
 #: words of the corpus for each bucket of stripes
-BUCKET_WORDS = 1 << 20
+BUCKET_WORDS = 1 << 19
 #: buckets are merged together until they have as many elements
-MERGE_ELEMENTS = 1 << 19
+MERGE_ELEMENTS = 1 << 18
 #: prefixes of an Arrow batch of stripes
 OUT_ROWS = 1 << 16
 
@@ -324,8 +324,9 @@ def merged_stripes(docs: DataFrame, least: int = MIN_COUNT) -> tuple[DataFrame,
     total, frequent = frequent_words(texts, 8 * width)
     total = saved(total)
     words = total.agg(F.sum("n")).first()[0] or 0
-    rows = texts.mapInArrow(_count_stripes(frequent, max(width, -(-words // BUCKET_WORDS))), _PACKED)
-    dealt = rows.repartition(width, "bucket").sortWithinPartitions("bucket")
+    buckets = max(width, -(-words // BUCKET_WORDS))
+    rows = texts.mapInArrow(_count_stripes(frequent, buckets), _PACKED)
+    dealt = rows.repartition(max(width, buckets // 8), "bucket").sortWithinPartitions("bucket")
     return total, saved(dealt.mapInArrow(_merge_partition(least), _STRIPES))
 
 
