@@ -2,9 +2,9 @@
 
 A split's rows are numbered by a key order (``ordering.group_row_index``);
 a percent range [a, b) becomes the row range [round(n a/100), round(n b/100))
-with half-to-even rounding.  The schedule is a handful of rows computed from
-two parameters, so it is inlined as an array value and matched per row with
-``filter`` -- no join against the data at all.
+with half-to-even rounding.  A schedule is a table (epoch, begin_pct,
+end_pct), or one of row ranges for slices finer than a percent; it may have
+any number of rows and is matched with the data by an interval join.
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuslens.operators.intervals import interval_join
 from corpuslens.operators.ordering import group_row_index
 
 
@@ -29,6 +30,7 @@ def epoch_schedule(data_split: float, epochs: int = 1, mode: str = "compat") ->
     split_epochs = math.ceil(1 / data_split)
     needed = max(split_epochs * epochs, epochs)
     out = []
+    # The slice arithmetic whose numbers compat mode must give
     for trained in range(needed):
         begin = int(trained % split_epochs * data_split * 100)
         end = int(min(begin + data_split * 100, 100))
@@ -60,33 +62,50 @@ def percent_slice(indexed: DataFrame, splits: Sequence[str], begin_pct: float, e
     return indexed.where(F.col(split_col).isin(list(splits)) & (F.col("idx") >= lo) & (F.col("idx") < hi))
 
 
-def _schedule_array(schedule: list[tuple[int, int, int]]):
-    return F.array(*[F.struct(F.lit(e).alias("epoch"), F.lit(b).alias("begin_pct"), F.lit(en).alias("end_pct"))
-                     for e, b, en in schedule])
+def schedule_table(spark: SparkSession, data_split: float, epochs: int = 1, mode: str = "compat") -> DataFrame:
+    """(epoch, begin_pct, end_pct) of ``epoch_schedule`` as a table; the
+    slices of one cycle are made on the driver, the cycles by Spark."""
+    cycle = epoch_schedule(data_split, 1, mode)
+    one = spark.createDataFrame(cycle, "slice int, begin_pct int, end_pct int")
+    n = len(cycle)
+    turns = spark.range(max(epochs, 1)).select(F.col("id").alias("turn"))
+    # epochs x slices of a cycle: the schedule itself
+    return (turns.withColumn("slice", F.explode(F.sequence(F.lit(1), F.lit(n)))).join(F.broadcast(one), "slice")
+            .select((F.col("turn") * n + F.col("slice")).cast("int").alias("epoch"), "begin_pct", "end_pct"))
+
+
+def row_schedule(counts: DataFrame, slices: int, epochs: int = 1) -> DataFrame:
+    """(split, n_rows, epoch, begin_row, end_row): every split of
+    ``counts(split, n_rows)`` cut into ``slices`` ranges whose sizes differ by
+    one row at most, once per epoch of the cycle.  Finer than percents."""
+    i = F.pmod(F.col("epoch") - 1, F.lit(slices)).cast("bigint")
+    return (counts.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(slices * epochs))))
+            .select("split", "n_rows", "epoch", F.floor(F.col("n_rows") * i / slices).alias("begin_row"),
+                    F.floor(F.col("n_rows") * (i + 1) / slices).alias("end_row")))
 
 
 def _pct_row(n, pct):
     return F.bround(n.cast("double") * pct / F.lit(100.0), 0).cast("bigint")
 
 
-def schedule_frame(counts: DataFrame, schedule: list[tuple[int, int, int]]) -> DataFrame:
-    """(split, n_rows, epoch, begin_pct, end_pct, begin_row, end_row) per split."""
-    ex = counts.select("split", "n_rows", F.explode(_schedule_array(schedule)).alias("s"))
+def schedule_frame(counts: DataFrame, schedule: DataFrame) -> DataFrame:
+    """(split, n_rows, epoch, begin_pct, end_pct, begin_row, end_row) per
+    split and row of ``schedule``; ``counts`` has one row per split."""
     n = F.col("n_rows")
-    return ex.select("split", "n_rows", F.col("s.epoch").alias("epoch"), F.col("s.begin_pct").alias("begin_pct"),
-                     F.col("s.end_pct").alias("end_pct"),
-                     _pct_row(n, F.col("s.begin_pct")).alias("begin_row"),
-                     _pct_row(n, F.col("s.end_pct")).alias("end_row"))
+    # a row of the schedule holds for every split: one value, a few entries
+    every = counts.agg(F.collect_list(F.struct("split", "n_rows"))).scalar()
+    return schedule.withColumn("_of", F.explode(every)).select("*", "_of.*").select(
+        "split", "n_rows", "epoch", "begin_pct", "end_pct",
+        _pct_row(n, F.col("begin_pct")).alias("begin_row"), _pct_row(n, F.col("end_pct")).alias("end_row"))
 
 
-def assign_epochs(indexed: DataFrame, schedule: list[tuple[int, int, int]]) -> DataFrame:
-    """Rows repeated once per epoch slice containing them (none in a gap)."""
-    n = F.col("group_rows")
+def split_counts(rows: DataFrame, split_col: str = "split") -> DataFrame:
+    return rows.groupBy(F.col(split_col).alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def inside(s):
-        lo, hi = _pct_row(n, s.getField("begin_pct")), _pct_row(n, s.getField("end_pct"))
-        return (F.col("idx") >= lo) & (F.col("idx") < hi)
 
-    hits = indexed.withColumn("_hits", F.filter(_schedule_array(schedule), inside))
-    return hits.select("*", F.explode("_hits").alias("_s")) \
-        .withColumn("epoch", F.col("_s.epoch")).drop("_hits", "_s")
+def assign_epochs(indexed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows of ``indexed(split, idx, ...)`` with ``epoch``, once for each of
+    the ``ranges(split, epoch, begin_row, end_row)`` that holds them (none in
+    a gap)."""
+    wanted = ranges.select("split", "epoch", "begin_row", "end_row")
+    return interval_join(indexed, wanted, "idx", "begin_row", "end_row", on=["split"]).drop("begin_row", "end_row")

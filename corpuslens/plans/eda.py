@@ -10,6 +10,8 @@ from corpuslens.functions import segment
 from corpuslens.operators import reshape, stats
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
+from corpuslens.session import scratch_dir
+from corpuslens.sources import layout
 from corpuslens.sources.tables import corpus, read_table
 
 SPLITS = ["train", "validation", "test"]
@@ -77,6 +79,35 @@ def q_corpus_scan(spark, sf_dir):
     return corpus(spark, sf_dir)
 
 
+def _stored(spark, sf_dir):
+    return layout.layout_of(spark, sf_dir, scratch_dir(spark, "layout"))
+
+
+@query("split_scan", f"with {_SQL_CORPUS} select doc_id, dataset, split, title, summary, cast(length(article) as bigint) as n_chars "
+       "from corpus where dataset = 'en' and split = 'validation'")
+def q_split_scan(spark, sf_dir):
+    """One split of one dataset, from the layout: other folders aren't opened."""
+    one = layout.read_layout(spark, _stored(spark, sf_dir), "en", "validation")
+    return one.select("doc_id", "dataset", "split", "title", "summary", F.length("article").cast("bigint").alias("n_chars"))
+
+
+@query("requested_scan",
+       f"with {_SQL_CORPUS}, sizes as (select dataset, split, count(*) as n from corpus where dataset is not null group by all), "
+       "wanted as (select * from sizes where split <> 'train' and n * 10 <= (select count(*) from corpus)) "
+       "select doc_id, dataset, split, cast(length(article) as bigint) as n_chars from corpus join wanted using (dataset, split)")
+def q_requested_scan(spark, sf_dir):
+    """Held-out splits with at most a tenth of all articles: which ones these
+    are is a stored table, so folders are pruned at run time."""
+    path = _stored(spark, sf_dir)
+    sizes = spark.read.parquet(path).where("dataset is not null").groupBy("dataset", "split").agg(F.count(F.lit(1)).alias("n"))
+    table = scratch_dir(spark, "requests")
+    total = read_table(spark, sf_dir, "documents").count()
+    sizes.select("dataset", "split", "n", F.lit(total).alias("total")).write.parquet(table)
+    wanted = spark.read.parquet(table).where("split <> 'train' and n * 10 <= total")
+    got = layout.read_requested(spark, path, wanted)
+    return got.select("doc_id", "dataset", "split", F.length("article").cast("bigint").alias("n_chars"))
+
+
 @query("concat_splits",
        "with " + _SQL_CORPUS + " select doc_id, dataset, split, title, summary from corpus")
 def q_concat_splits(spark, sf_dir):

@@ -20,6 +20,7 @@ BATCH_SIZE = gen.DEFAULT_BATCH_SIZE
 FIRST_ATTEMPT_DATASET = "en"
 SLICE_BEGIN, SLICE_END = 20, 45
 DATA_SPLIT, EPOCHS = 0.15, 1
+FINE_SLICES = 100_000
 
 _SQL_SPLIT = "(case doc_id % 10 when 8 then 'validation' when 9 then 'test' else 'train' end)"
 _SQL_OUT = q.all_sentences(q.body("text"))
@@ -175,8 +176,8 @@ _SQL_SCHED = "(values " + ", ".join(f"({e}, {b}, {en})" for e, b, en in _SCHEDUL
        f"cast(round_even(c.n * s.b / 100.0, 0) as bigint) as begin_row, "
        f"cast(round_even(c.n * s.e / 100.0, 0) as bigint) as end_row from c, {_SQL_SCHED}")
 def q_slice_schedule(spark, sf_dir):
-    counts = corpus(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
-    return slices.schedule_frame(counts, _SCHEDULE)
+    counts = slices.split_counts(corpus(spark, sf_dir))
+    return slices.schedule_frame(counts, slices.schedule_table(spark, DATA_SPLIT, EPOCHS, "compat"))
 
 
 @query("slice_assign",
@@ -185,5 +186,18 @@ def q_slice_schedule(spark, sf_dir):
        "where ix.split = 'train'")
 def q_slice_assign(spark, sf_dir):
     ix = _indexed_corpus(spark, sf_dir).where(F.col("split") == "train")
-    out = slices.assign_epochs(ix, _SCHEDULE)
+    ranges = slices.schedule_frame(slices.split_counts(ix), slices.schedule_table(spark, DATA_SPLIT, EPOCHS, "compat"))
+    out = slices.assign_epochs(ix, ranges)
+    return out.select("doc_id", "split", F.col("idx").cast("bigint").alias("idx"), "epoch")
+
+
+@query("slice_assign_fine",
+       _SQL_IDX + f", s as (select split, n, i + 1 as epoch, n * i // {FINE_SLICES} as b, n * (i + 1) // {FINE_SLICES} as e "
+       f"from (select split, any_value(n) as n from ix group by split), (select unnest(range({FINE_SLICES})) as i)) "
+       "select ix.doc_id, ix.split, cast(ix.idx as bigint) as idx, cast(s.epoch as integer) as epoch from ix join s "
+       "on ix.split = s.split and ix.idx >= s.b and ix.idx < s.e")
+def q_slice_assign_fine(spark, sf_dir):
+    """Every split dealt out over a schedule of 100,000 row ranges."""
+    ix = _indexed_corpus(spark, sf_dir)
+    out = slices.assign_epochs(ix, slices.row_schedule(slices.split_counts(ix), FINE_SLICES))
     return out.select("doc_id", "split", F.col("idx").cast("bigint").alias("idx"), "epoch")
