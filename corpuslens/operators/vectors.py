@@ -14,7 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,14 +82,52 @@ def pandas_encoder(fn: Callable, dim: int | None = None):
     return encode
 
 
+def _component_sums(batches):
+    """Sums and counts of every component, by group, of one partition."""
+    sums, counts, kind = {}, {}, None
+    for b in batches:
+        kind = b.schema.field(0).type
+        group, lists = b.column(0).dictionary_encode(), b.column(1)
+        values = lists.flatten()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        width = int(sizes.max(initial=0))
+        if not width:
+            continue
+        code = pc.fill_null(group.indices, len(group.dictionary)).to_numpy()
+        place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.repeat(code, sizes).astype(np.int64) * width + place
+        known = pc.is_valid(values).to_numpy(zero_copy_only=False)
+        shape = (len(group.dictionary) + 1, width)
+        added = np.bincount(at[known], values.drop_null().to_numpy().astype(float), shape[0] * width).reshape(shape)
+        seen = np.bincount(at[known], minlength=shape[0] * width).reshape(shape)
+        longest = np.zeros(shape[0], np.int64)
+        np.maximum.at(longest, code, sizes)
+        for i in np.flatnonzero(longest):
+            name = group.dictionary[int(i)].as_py() if i < len(group.dictionary) else None
+            old, n = sums.get(name, np.zeros(0)), counts.get(name, np.zeros(0, np.int64))
+            size = longest[i]
+            more = max(0, size - len(old))
+            old, n = np.pad(old, (0, more)), np.pad(n, (0, more))
+            old[:size] += added[i, :size]
+            n[:size] += seen[i, :size]
+            sums[name], counts[name] = old, n
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), kind), pa.array(list(sums.values()), pa.list_(pa.float64())),
+                                          pa.array(list(counts.values()), pa.list_(pa.int64()))], ["g", "s", "n"])
+
+
 def group_centroids(vectors: DataFrame, group_col: str, vec_col: str) -> DataFrame:
     """(group, centroid array<double>): the mean vector of every group.
 
-    Components are averaged as (group, index) aggregates with map-side
-    combining, then re-assembled per group (one row per group, dimension
-    bounded by the vector length).
+    Every partition adds up its vectors and hands on one row per group, so
+    what is exchanged does not depend on the number of vectors; components
+    are added by index, then put together (a group is one vector's length).
     """
-    comp = vectors.select(group_col, F.posexplode(vec_col).alias("i", "v"))
-    means = comp.groupBy(group_col, "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    ship_package(vectors.sparkSession)
+    kind = vectors.schema[group_col].dataType.simpleString()
+    parts = (vectors.select(group_col, F.col(vec_col).cast("array<double>").alias("_v"))
+             .mapInArrow(_component_sums, f"g {kind}, s array<double>, n array<bigint>"))
+    comp = parts.select(F.col("g").alias(group_col), F.posexplode(F.arrays_zip("s", "n")).alias("i", "c"))
+    means = comp.groupBy(group_col, "i").agg(F.try_divide(F.sum("c.s"), F.sum("c.n")).alias("m"))
     return means.groupBy(group_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s.getField("m")).alias("centroid"))

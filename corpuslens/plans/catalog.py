@@ -9,6 +9,8 @@ from corpuslens.plans import registry
 _MODULES = [
     "corpuslens.plans.evaluation",
     "corpuslens.plans.text_ops",
+    "corpuslens.plans.segmentation",
+    "corpuslens.plans.dense",
     "corpuslens.plans.eda",
     "corpuslens.plans.evaltables",
     "corpuslens.plans.extract",

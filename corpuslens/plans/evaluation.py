@@ -22,12 +22,11 @@ from corpuslens.plans.registry import query, r6
 from corpuslens.sources.tables import corpus, read_table
 
 EVALUATED = Variant("body", ranked=True)
-ONE_LENGTH = SUMMARY_LENGTHS[:1]
 RUN_PREFIX = "extract_"
 
 
-def generation_pairs(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = ONE_LENGTH,
-                     naming: str = "source") -> DataFrame:
+def generation_pairs(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = SUMMARY_LENGTHS,
+                     naming: str = "run") -> DataFrame:
     """(pid, model, reference, generated) for the extractor's summaries.
 
     naming "source": model = source, pid = doc_id (one length only);
@@ -50,8 +49,8 @@ def easy_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.word_list(read_table(spark, sf_dir, "benchmark"))
 
 
-def corpus_report(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = ONE_LENGTH,
-                  naming: str = "source") -> DataFrame:
+def corpus_report(spark: SparkSession, sf_dir: str, lengths: Sequence[int] = SUMMARY_LENGTHS,
+                  naming: str = "run") -> DataFrame:
     return evaluate.eval_report(generation_pairs(spark, sf_dir, lengths, naming), easy_list(spark, sf_dir), key="pid")
 
 
@@ -66,7 +65,7 @@ def _round_doubles(df: DataFrame) -> DataFrame:
 SQL_EASY = f"easy as (select distinct unnest({q.words('text')}) as word from benchmark)"
 
 
-def sql_pairs_select(lengths: Sequence[int] = ONE_LENGTH, naming: str = "source") -> str:
+def sql_pairs_select(lengths: Sequence[int] = SUMMARY_LENGTHS, naming: str = "run") -> str:
     """SELECT (pid, model, reference, generated) of ``generation_pairs``."""
     def one(n):
         pid = "doc_id" if naming == "source" else f"cast(doc_id as varchar) || '#{n}'"

@@ -160,9 +160,11 @@ def _wide(spark, sf_dir, opts: Variant):
 EXTRACT = Variant(ranked=True)
 
 
+# words don't cross sentences, so a document's counts need no sentences
 @query("tfidf_vectors",
-       "with " + _sql_input(Variant()) + ", " + _sql_sents() + ", " + _sql_tfidf()
-       + f" select doc_id, term, cast(tf as bigint) as tf, {q.r6('w')} as w from dw")
+       f"with dt as (select doc_id, term, count(*) as tf from (select doc_id, unnest({q.words('text')}) as term "
+       "from documents) group by all), idf as (select term, ln((1.0 + (select count(*) from documents)) / (1.0 + count(*))) "
+       f"+ 1.0 as idf from dt group by term) select doc_id, term, tf, {q.r6('tf * idf')} as w from dt join idf using (term)")
 def q_tfidf_vectors(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     doc_terms = extract.document_terms(docs, "doc_id", "text")

@@ -15,7 +15,7 @@ from corpuslens.sources.tables import read_table
 
 
 @query("rouge_n", "with " + _sql_pairs(sql_pairs_select()) + ", " + _sql_overlap((1, 2))
-       + " select pid as doc_id, cast(n as integer) as n, "
+       + " select pid, cast(n as integer) as n, "
        + q.r6("case when gen_total = 0 then null else matched / gen_total end") + " as precision, "
        + q.r6("case when ref_total = 0 then null else matched / ref_total end") + " as recall, "
        + q.r6("case when gen_total + ref_total = 0 then null else 2.0 * matched / (gen_total + ref_total) end")
@@ -23,7 +23,7 @@ from corpuslens.sources.tables import read_table
 def q_rouge_n(spark, sf_dir):
     pairs = generation_pairs(spark, sf_dir)
     r = overlap.rouge_n(pairs, "pid", "generated", "reference", (1, 2))
-    return r.select(F.col("pid").alias("doc_id"), F.col("n").cast("int").alias("n"),
+    return r.select("pid", F.col("n").cast("int").alias("n"),
                     r6("precision").alias("precision"), r6("recall").alias("recall"), r6("f1").alias("f1"))
 
 
