@@ -43,7 +43,7 @@ BEHIND_ABBREVIATION = 0.99
 # may be abbreviations, and how a token that ends a sentence looks.
 TOKEN = r"[^ \t\n\x0B\f\r]+|\n"
 OPENING, CLOSING = r"^[(\[{\"']+", r"[)\]}\"',;:]+$"
-WORD = r"^\p{L}+(\.\p{L}+)*$"
+WORD = r"^\p{L}++(?:\.\p{L}++)*+$"
 NUMBER = r"^[0-9]+$"
 EXCLAIMED = r"[!?]$"
 UPPER = r"^[(\[{\"']*\p{Lu}"

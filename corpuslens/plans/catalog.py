@@ -11,6 +11,7 @@ _MODULES = [
     "corpuslens.plans.text_ops",
     "corpuslens.plans.segmentation",
     "corpuslens.plans.dense",
+    "corpuslens.plans.phrase_queries",
     "corpuslens.plans.eda",
     "corpuslens.plans.evaltables",
     "corpuslens.plans.extract",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpuslens.operators import sentence_model as M
+from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query
 from corpuslens.sources.tables import read_table
 
@@ -31,7 +32,7 @@ def _sql_abbreviations() -> str:
     k, rest = "n_dotted", "n_plain"
     ratio = (f"2 * ({_sql_log(k, f'{a}::double')} + {_sql_log(rest, f'1 - {a}::double')} - {_sql_log(k, 'p')} - {_sql_log(rest, '1 - p')})")
     return (f"wc as (select base, sum(dotted::int)::bigint as n_dotted, sum((not dotted)::int)::bigint as n_plain from tr "
-            f"where regexp_matches(base, '{M.WORD}') group by base), "
+            f"where regexp_matches(base, '{q.plain(M.WORD)}') group by base), "
             "pp as (select least(sum(n_dotted) / sum(n_dotted + n_plain), 1 - 1e-9) as p from wc), "
             "wl as (select *, length(replace(base, '.', '')) as letters from wc, pp where n_dotted > 0), "
             f"ab as materialized (select base, n_dotted, n_plain, round({ratio} * exp(-letters) * (length(base) - letters + 1) "
@@ -45,10 +46,10 @@ def _sql_starters() -> str:
     ratio = (f"2 * ({like('s', 'b', '(s / b)')} + {like('(c - s)', '(n - b)', '((c - s) / (n - b))')} "
              f"- {like('s', 'b', '(c / n)')} - {like('(c - s)', '(n - b)', '(c / n)')})")
     return (f"sure as (select base, dotted, {_sql_core('nxt')} as word from tr where regexp_matches(token, '{M.EXCLAIMED}') "
-            f"or (dotted and regexp_matches(base, '{M.WORD}'))), "
+            f"or (dotted and regexp_matches(base, '{q.plain(M.WORD)}'))), "
             "kept as materialized (select word from sure where not (dotted and base in (select base from abb where abbreviation))), "
-            f"st as (select word, count(*)::double as s from kept where regexp_matches(word, '{M.WORD}') group by word), "
-            f"al as (select base as word, count(*)::double as c from tr where regexp_matches(base, '{M.WORD}') group by base), "
+            f"st as (select word, count(*)::double as s from kept where regexp_matches(word, '{q.plain(M.WORD)}') group by word), "
+            f"al as (select base as word, count(*)::double as c from tr where regexp_matches(base, '{q.plain(M.WORD)}') group by base), "
             "nb as (select (select count(*) from kept)::double as b, greatest((select sum(c) from al), (select count(*) from kept) + 1)::double as n), "
             f"sc as (select word, s, c, b, n, round({ratio}, {M.DIGITS}) as score from st join al using (word), nb where c >= s), "
             f"sta as materialized (select *, score >= {M.STARTER} and s / b > c / n as starter from sc)")

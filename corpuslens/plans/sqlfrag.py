@@ -7,6 +7,8 @@ itself never runs SQL through them.
 
 from __future__ import annotations
 
+import re
+
 # The same patterns as functions.text / functions.segment,
 # written for RE2 (no look-around; \\w spelled out; Latin range as code points).
 WORD_RE = r"[A-Za-z\x{00C0}-\x{024F}]+"
@@ -14,6 +16,11 @@ SENT_RE = r"[^.!?\n]+[.!?]*"
 TOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"
 
 
+def plain(pattern: str) -> str:
+    """A pattern without possessive marks, which RE2 has no need of."""
+    return re.sub(r"(?<=[+*])\+|(?<=,\})\+", "", pattern)
+
+
 def strip(x: str) -> str:
     return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
 
