@@ -12,7 +12,7 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +23,9 @@ from corpuslens.session import cut_lineage
 # Fixed value: Tukey's whisker factor.
 WHISKER_IQR = 1.5
 QUARTILES = (0.25, 0.5, 0.75)
+# Bytes of a table that may be sent to every task, and of a row
+# of fences.
+LIST_BYTES, FENCE_BYTES = 8 << 20, 200
 
 
 def text_stats(col) -> dict[str, Column]:
@@ -68,8 +71,11 @@ def box_stats(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataF
         pos = F.lit(p) * (F.col("n") - 1).cast("double")
         q = q.withColumn(name, F.col(f"_lo{i}") + (pos - F.floor(pos)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
     reach = WHISKER_IQR * (F.col("q3") - F.col("q1"))
-    fences = q.withColumns({"_lo_f": F.col("q1") - reach, "_hi_f": F.col("q3") + reach})
-    whiskers = (placed.join(fences.select(*g, "_lo_f", "_hi_f"), g).groupBy(*g)
+    q = cut_lineage(q)
+    fences = q.withColumns({"_lo_f": F.col("q1") - reach, "_hi_f": F.col("q3") + reach}).select(*g, "_lo_f", "_hi_f")
+    if q.count() * FENCE_BYTES <= LIST_BYTES:  # one row per group
+        fences = F.broadcast(fences)
+    whiskers = (placed.join(fences, g).groupBy(*g)
                 .agg(F.min(F.when(F.col("v") >= F.col("_lo_f"), F.col("v"))).alias("whisker_low"),
                      F.max(F.when(F.col("v") <= F.col("_hi_f"), F.col("v"))).alias("whisker_high")))
     return q.join(whiskers, g).select(*g, "n", "q1", "median", "q3", "whisker_low", "whisker_high")
@@ -97,6 +103,23 @@ def histogram(df: DataFrame, group_cols: Sequence[str], value_col: str, bins: in
                  F.count(F.lit(1)).alias("count")))
 
 
+def histograms(df: DataFrame, group_cols: Sequence[str], values: Mapping[str, str], bins: int = 20) -> DataFrame:
+    """``histogram`` of several columns (name -> column) at once, with
+    ``score`` = the name: one pass for all ranges, one for all counts."""
+    g = list(group_cols)
+    ends = [f(c).alias(f"{end}{i}") for i, c in enumerate(values.values()) for end, f in (("lo", F.min), ("hi", F.max))]
+    ranged = df.withColumn("_r", df.select(F.struct(*ends)).scalar())
+    each = F.array(*[F.struct(F.lit(name).alias("score"), F.col(c).cast("double").alias("v"), F.col(f"_r.lo{i}").alias("lo"),
+                              F.col(f"_r.hi{i}").alias("hi")) for i, (name, c) in enumerate(values.items())])
+    long = ranged.select(*g, F.inline(each)).where("v is not null")
+    width, n = F.col("hi") - F.col("lo"), F.lit(float(bins))
+    raw = F.floor(F.try_divide(F.col("v") - F.col("lo"), width) * n).cast("bigint") + 1
+    bucket = F.when(width == 0, F.lit(1).cast("bigint")).otherwise(F.least(raw, F.lit(bins).cast("bigint")))
+    counts = long.groupBy(*g, "score", "lo", "hi", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.select(*g, "score", "bucket", (F.col("lo") + (F.col("bucket") - 1) * width / n).alias("bin_low"),
+                         (F.col("lo") + F.col("bucket") * width / n).alias("bin_high"), "count")
+
+
 def word_frequencies(docs: DataFrame, text_col: str, stop_words: DataFrame | None = None, top: int = 200) -> DataFrame:
     """Top-``top`` words by count, without the caller's stop words if given."""
     w = docs.select(F.explode(segment.words(text_col)).alias("word"))

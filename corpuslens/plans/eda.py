@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
-from corpuslens.operators import reshape, stats
+from corpuslens.operators import reshape, sketches, stats
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
@@ -166,6 +166,39 @@ def q_box_stats(spark, sf_dir):
     return _r6_doubles(stats.box_stats(melted_stats(spark, sf_dir), ["split", "field", "measure"], "value"))
 
 
+#: documents of one slice: what arrives together and is sketched once
+SLICE_DOCS = 256
+
+
+def _sketched(spark, sf_dir):
+    """All measures, and their sketches by slice of documents, stored."""
+    g = ["split", "field", "measure"]
+    long = melted_stats(spark, sf_dir).withColumn("slice", F.floor(F.col("doc_id") / SLICE_DOCS))
+    path = scratch_dir(spark, "sketches")
+    sketches.write_slices(sketches.slice_sketches(long, g, "slice", "value"), path)
+    return long, sketches.merged(spark.read.parquet(path), g)
+
+
+@query("box_stats_sketched")
+def q_box_stats_sketched(spark, sf_dir):
+    """Box numbers of every group from its slices' sketches."""
+    _, whole = _sketched(spark, sf_dir)
+    return _r6_doubles(sketches.box(whole, ["split", "field", "measure"]))
+
+
+@query("sketch_rank_error", _SQL_STATS + f", melted as (select split, field, measure, value as v from ({_SQL_MELT})) "
+       "select split, field, measure, count(*) as n, true as q1_near, true as median_near, true as q3_near, "
+       "min(v) as low, max(v) as high from melted where v is not null group by all")
+def q_sketch_rank_error(spark, sf_dir):
+    """Whether each quartile's exact rank is within the stated error."""
+    g = ["split", "field", "measure"]
+    long, whole = _sketched(spark, sf_dir)
+    ranks = sketches.exact_ranks(long, sketches.box(whole, g), g, "value", ["q1", "median", "q3"])
+    near = [((F.col(f"{c}_below") <= (p + sketches.RANK_ERROR) * F.col("n")) & (F.col(f"{c}_upto") >= (p - sketches.RANK_ERROR) * F.col("n")))
+            .alias(f"{c}_near") for c, p in zip(("q1", "median", "q3"), stats.QUARTILES)]
+    return ranks.join(whole.select(*g, "low", "high"), g).select(*g, "n", *near, "low", "high")
+
+
 # Fixed value: the splits whose readability is drawn.
 HIST_SPLITS = ("train", "validation")
 SCORES = {"FRE": "summary_flesch_reading_ease", "FKGL": "summary_flesch_kincaid_grade"}
@@ -183,12 +216,8 @@ def _sql_hist(score: str, col: str) -> str:
        + " union all ".join(_sql_hist(k, v) for k, v in SCORES.items()))
 def q_readability_hist(spark, sf_dir):
     st = corpus_stats(spark, sf_dir).where(F.col("split").isin(*HIST_SPLITS)).select("split", *SCORES.values())
-    parts = []
-    for name, col in SCORES.items():
-        h = stats.histogram(st, ["split"], col, HIST_BINS)
-        parts.append(h.select(F.lit(name).alias("score"), "split", "bucket", r6("bin_low").alias("bin_low"),
-                              r6("bin_high").alias("bin_high"), "count"))
-    return parts[0].unionByName(parts[1])
+    h = stats.histograms(st, ["split"], SCORES, HIST_BINS)
+    return h.select("score", "split", "bucket", r6("bin_low").alias("bin_low"), r6("bin_high").alias("bin_high"), "count")
 
 
 @query("readability_vs_length",
