@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
-from corpuslens.operators import reshape, sketches, stats
+from corpuslens.operators import bootstrap, collocate, reshape, sketches, stats
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
-from corpuslens.session import scratch_dir
+from corpuslens.session import cut_lineage, scratch_dir
 from corpuslens.sources import layout
 from corpuslens.sources.tables import corpus, read_table
 
@@ -244,6 +244,47 @@ def _sql_frequencies(source: str, text_col: str) -> str:
             f"group by word order by count desc, word limit {TOP_WORDS}")
 
 
+_SQL_PAIRS = (
+    f"with w as (select {q.words('text')} as w from documents), "
+    "uc as materialized (select word, count(*)::double as n from (select unnest(w) as word from w) group by word), "
+    "bc as (select w1, w2, count(*)::double as n from (select unnest(w[:-2]) as w1, unnest(w[2:]) as w2 from w where len(w) > 1) group by all), "
+    "tt as (select sum(n) as t from uc), "
+    "jn as (select w1, w2, bc.n as k, a.n as a, b.n as b, t, b.n / t as p, bc.n / a.n as p1, coalesce((b.n - bc.n) / nullif(t - a.n, 0), 0) as p2 "
+    "from bc join uc a on a.word = w1 join uc b on b.word = w2, tt), "
+    + "sc as materialized (select w1, w2, k as n, a as n1, b as n2, round(2 * ("
+    + " ".join(f"{sign} ({k} * ln(greatest({p}, {collocate.LEAST})) + ({n} - {k}) * ln(greatest(1 - {p}, {collocate.LEAST})))"
+               for sign, k, n, p in (("", "k", "a", "p1"), ("+", "(b - k)", "(t - a)", "p2"), ("-", "k", "a", "p"), ("-", "(b - k)", "(t - a)", "p")))
+    + f"), {collocate.DIGITS}) as score from jn)")
+
+
+@query("word_pairs", _SQL_PAIRS + " select w1, w2, n::bigint as n, n1::bigint as n1, n2::bigint as n2, score from sc "
+       f"where score > {collocate.PAIR_SCORE}")
+def q_word_pairs(spark, sf_dir):
+    """Adjacent words that belong together, with their contingency counts."""
+    docs = read_table(spark, sf_dir, "documents").select("text")
+    words, pairs = cut_lineage(collocate.word_counts(docs, "text")), cut_lineage(collocate.pair_counts(docs, "text"))
+    return collocate.pair_scores(words, pairs).where(F.col("score") > collocate.PAIR_SCORE)
+
+
+@query("word_frequencies_pairs", _SQL_PAIRS + f", ch as (select w1, w2, n from sc where score > {collocate.PAIR_SCORE}), "
+       "tk as (select word, sum(n) as t from (select w1 as word, n from ch union all select w2, n from ch) group by word) "
+       "select word, count, pair from (select word, (uc.n - coalesce(t, 0))::bigint as count, false as pair from uc left join tk using (word) "
+       "union all select w1 || ' ' || w2, n::bigint, true from ch) where count > 0 "
+       f"order by count desc, word limit {TOP_WORDS}")
+def q_word_frequencies_pairs(spark, sf_dir):
+    """The most frequent words and pairs, each occurrence counted once."""
+    docs = read_table(spark, sf_dir, "documents").select("text")
+    return collocate.frequencies(docs, "text").orderBy(F.desc("count"), "word").limit(TOP_WORDS)
+
+
+@query("readability_band", _SQL_STATS + ", " + bootstrap.sql_band("stats", "doc_id", ["split"], "summary_flesch_reading_ease")
+       + f" select split, n, {q.r6('mean')} as mean, {q.r6('low')} as low, {q.r6('high')} as high from band")
+def q_readability_band(spark, sf_dir):
+    """Mean reading ease of each split with its 95 % band."""
+    st = corpus_stats(spark, sf_dir).select("doc_id", "split", "summary_flesch_reading_ease")
+    return _r6_doubles(bootstrap.confidence_band(st, "doc_id", ["split"], "summary_flesch_reading_ease"))
+
+
 @query("word_frequencies", _sql_frequencies("documents", "text"))
 def q_word_frequencies(spark, sf_dir):
     return stats.word_frequencies(read_table(spark, sf_dir, "documents").select("text"), "text", top=TOP_WORDS)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens import schema
-from corpuslens.operators import compare, normalize, rank, reshape
+from corpuslens.operators import bootstrap, compare, normalize, rank, reshape
 from corpuslens.options import SUMMARY_LENGTHS
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.evaluation import (RUN_PREFIX, _round_doubles, _sql_categories, _sql_normalized, _sql_report,
@@ -142,6 +142,15 @@ def q_score_curve(spark, sf_dir):
     return _round_doubles(curve)
 
 
+@query("score_curve_band", _SQL_NB + ", nk as (select *, coalesce(model, '') as who from nbc), "
+       + bootstrap.sql_band("nk", "who", ["count"], "score")
+       + f" select count, n, {q.r6('mean')} as mean, {q.r6('low')} as low, {q.r6('high')} as high from band order by count")
+def q_score_curve_band(spark, sf_dir):
+    """The mean score at every length with its 95 % band over the models."""
+    nb = notebook_ranking(recoded_runs(spark, sf_dir))
+    return _round_doubles(bootstrap.confidence_band(nb, "model", ["count"], "score").orderBy("count"))
+
+
 # -- leaderboard -------------------------------------------------------------
 _TASK_2 = "SubTask 2.1"
 

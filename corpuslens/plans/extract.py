@@ -11,7 +11,7 @@ from corpuslens.options import CANDIDATE_LIMIT, SUMMARY_LENGTHS, Variant, varian
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
-from corpuslens.sources import sinks
+from corpuslens.sources import publish
 from corpuslens.sources.tables import corpus, read_table
 
 TR = textrank
@@ -311,15 +311,17 @@ def q_variant_preprocessed(spark, sf_dir):
 @query("variant_cache", "select doc_id, 'article' as variant, text as transformed from documents union all "
        f"select doc_id, 'abstract' as variant, {q.abstract('text')} as transformed from documents")
 def q_variant_cache(spark, sf_dir):
-    """K3: both variants are built once; the second call reads what the first wrote."""
+    """K3: both variants are published together; the second call finds them
+    by the content of the corpus."""
     root = scratch_dir(spark, "variants")
     docs = corpus(spark, sf_dir)
+    names, source = ["article", "abstract"], docs.select("doc_id", "article")
 
     def build():
-        return {p: extract.transform(docs, Variant(p)).select("doc_id", "transformed") for p in ("article", "abstract")}
+        return {p: extract.transform(docs, Variant(p)).select("doc_id", "transformed") for p in names}
 
-    sinks.load_or_build(spark, root, ["article", "abstract"], build)
-    cached = sinks.load_or_build(spark, root, ["article", "abstract"], dict)
+    publish.load_or_build(spark, root, names, build, source, {"parts": names})
+    cached = publish.load_or_build(spark, root, names, dict, source, {"parts": names})
     tagged = [df.select("doc_id", F.lit(name).alias("variant"), "transformed") for name, df in cached.items()]
     return tagged[0].unionByName(tagged[1])
 

@@ -1,5 +1,5 @@
-"""Output sinks: generation results by file type, one-summary-per-line text,
-ordered ranking report, and cached variant tables.
+"""Output sinks: generation results by file type, one-summary-per-line text
+and the ordered ranking report.
 
 Every writer is a Spark writer (one task per partition, atomic job commit);
 nothing is gathered on the driver.
@@ -7,13 +7,11 @@ nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.session import path_exists
-
 EVAL_PAIR_COLUMNS = ["generated_caption", "reference", "document"]
 
 
@@ -61,20 +59,3 @@ def write_ranking_report(ranked: DataFrame, path: str, order_col: str = "score",
     """The ranking as CSV, in order within and over its part files."""
     (ranked.orderBy(F.col(order_col).desc_nulls_last(), F.col(tie_col))
      .write.mode("overwrite").option("header", True).csv(path))
-
-
-def load_or_build(spark: SparkSession, root: str, names: list[str],
-                  build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Reuse cached variant tables only if ALL of them were committed.
-
-    A variant counts as cached when ``<root>/<name>/_SUCCESS`` exists.  If any
-    is missing, every variant is rebuilt and rewritten (all or nothing), so a
-    half-written cache is never mixed with fresh results.
-    """
-    paths = {n: f"{root.rstrip('/')}/{n}" for n in names}
-    if all(path_exists(spark, p + "/_SUCCESS") for p in paths.values()):
-        return {n: spark.read.parquet(p) for n, p in paths.items()}
-    built = build()
-    for n, p in paths.items():
-        built[n].write.mode("overwrite").parquet(p)
-    return {n: spark.read.parquet(p) for n, p in paths.items()}

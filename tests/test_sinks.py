@@ -35,19 +35,3 @@ def test_ranking_report_is_ordered(spark):
     sinks.write_ranking_report(df, d)
     got = [r.model for r in spark.read.option("header", True).csv(d).collect()]
     assert got == ["a", "b", "d", "c"]
-
-
-def test_load_or_build_all_or_nothing(spark):
-    root = tempfile.mkdtemp(prefix="cache-")
-    calls = []
-
-    def build():
-        calls.append(1)
-        return {n: spark.range(3).withColumn("v", F.lit(n)) for n in ("x_10", "x_20")}
-
-    sinks.load_or_build(spark, root, ["x_10", "x_20"], build)
-    sinks.load_or_build(spark, root, ["x_10", "x_20"], build)
-    assert len(calls) == 1
-    os.remove(os.path.join(root, "x_20", "_SUCCESS"))
-    out = sinks.load_or_build(spark, root, ["x_10", "x_20"], build)
-    assert len(calls) == 2 and out["x_20"].count() == 3
