@@ -28,7 +28,8 @@ def test_every_query_has_an_oracle_or_is_listed():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     core = set(E.catalog.queries())
-    assert core - set(orc) == set()
+    # random sketches and a random projection: held against exact values and numpy in their own tests
+    assert core - set(orc) == {"box_stats_sketched", "dense_document_vectors", "dense_sentence_cosine"}
 
 
 @pytest.mark.parametrize("key", KEYS)
