@@ -50,8 +50,8 @@ def q_resume_remaining(spark, sf_dir):
     path = scratch_dir(spark, "generation-checkpoint")
     docs, fn = _docs(spark, sf_dir), gen.body_model()
     first = docs.where(F.col("lang") == FIRST_ATTEMPT_DATASET)
-    gen.generate_resumable(spark, first, fn, path, tag={"attempt": 1}, slices=2)
-    out = gen.generate_resumable(spark, docs, fn, path, tag={"attempt": 2}, slices=2)
+    gen.generate_resumable(spark, first, fn, path, tag={"attempt": 1})
+    out = gen.generate_resumable(spark, docs, fn, path, tag={"attempt": 2})
     return out.select("doc_id", "summary", F.col("attempt").cast("int").alias("attempt"))
 
 

@@ -11,9 +11,10 @@ from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
 from corpuslens.sources.tables import read_table
 from corpuslens.streaming.clean_stream import start_clean_stream
-from corpuslens.streaming.generate_stream import start_generate_stream
+from corpuslens.streaming.generate_stream import start_generate_stream, start_keyed_generate_stream
 
 TOP_K = 10
+FIRST_DELIVERY = "en"
 COS_DIGITS = 9
 
 
@@ -42,6 +43,22 @@ def q_stream_generate(spark, sf_dir):
     return spark.read.parquet(base + "/sink")
 
 
+@query("stream_generate_keyed",
+       f"select doc_id, {q.all_sentences(q.body('text'))} as summary, "
+       f"case when lang = '{FIRST_DELIVERY}' then 1 else 2 end as delivery from documents")
+def q_stream_generate_keyed(spark, sf_dir):
+    """One dataset is delivered and generated, then all documents come in new
+    files: after the restart only keys not seen before are generated."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    base = scratch_dir(spark, "stream-keyed")
+    for delivery, rows in enumerate([docs.where(F.col("lang") == FIRST_DELIVERY), docs], 1):
+        sent = rows.select("doc_id", "text", F.lit(delivery).alias("delivery"))
+        sent.write.parquet(f"{base}/source/delivery-{delivery}")
+        start_keyed_generate_stream(spark, base + "/source", sent.schema, base + "/sink", base + "/checkpoint",
+                                    body_model(), carry=["delivery"]).awaitTermination()
+    return spark.read.parquet(base + "/sink").select("doc_id", "summary", "delivery")
+
+
 @query("embedding_cosine_topk",
        "with ex as (select vec_id, label, unnest(embedding) as v, unnest(range(1, len(embedding) + 1)) as i "
        "from embeddings), "

@@ -92,6 +92,14 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(found)]
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_dir`` named; any other path raises."""
+    if not path.startswith(checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path!r} is not in the session's checkpoint folder")
+    found, fs = _store(spark, path)
+    fs.delete(found, True)
+
+
 def cut_lineage(df):
     """Materialise ``df`` into the shared checkpoint folder (reliable, eager).
 
