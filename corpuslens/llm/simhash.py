@@ -16,8 +16,10 @@ passes on spanning stars of its links, never the links of a group.
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; rows without doc_id get a fingerprint but no class (component_id
-null); repeated rows are alike; an empty table gives an empty result; extra
-columns are ignored by ``near_groups`` and carried by ``keep_first``.
+null); repeated rows are alike; rows that share a doc_id but not a text are
+judged each by its own fingerprint, so they may be in different classes; an
+empty table gives an empty result; extra columns are ignored by
+``near_groups`` and carried by ``keep_first``.
 """
 
 from __future__ import annotations
@@ -81,14 +83,18 @@ def _fingerprints(words):
         for b in batches:
             out = [fingerprint(t, words) for t in b.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(out, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [b.column("doc_id"), pa.array(np.array(out, np.uint64).view(np.int64)), b.column("mark")],
+                ["doc_id", "fp", "mark"])
     return run
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, fp and ``mark``, a hash of the text that tells rows of one
+    doc_id apart."""
     prepared(docs.sparkSession)
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null().cast("binary").alias("body"))
-            .mapInArrow(_fingerprints(words), "doc_id long, fp long"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null().cast("binary").alias("body"),
+                        F.xxhash64(empty_if_null()).alias("mark"))
+            .mapInArrow(_fingerprints(words), "doc_id long, fp long, mark long"))
 
 
 def posting_keys(fp, max_bits: int = MAX_BITS):
@@ -190,33 +196,53 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
             .mapInArrow(_links(max_bits), "a long, b long"))
 
 
-def near_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed), component_id for every row."""
+def _classes(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """doc_id, fp, mark, component_id and root (the class's smallest
+    fingerprint) for every row."""
     prints = saved(fingerprints(docs, words))
     nodes = saved(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     comps = connected_components(near_links(nodes.select("fp"), max_bits))
     rooted = (nodes.join(comps, F.col("fp") == F.col("node"), "left")
               .select("fp", "first_id", F.coalesce("component", "fp").alias("root")))
-    lowest = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("component_id"))
-    classes = saved(rooted.join(lowest, F.col("root") == F.col("r"))
-                    .select(F.col("fp").alias("c_fp"), "component_id"))
-    return (prints.join(sized(classes, 32), F.col("fp") == F.col("c_fp"), "left")
-            .select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+    # saved, so that either side of the join is a plain shuffle and a large class can be split
+    lowest = saved(rooted.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("component_id")))
+    classes = saved(rooted.join(sized(lowest, 32), F.col("root") == F.col("r"))
+                    .select(F.col("fp").alias("c_fp"), "component_id", "root"))
+    return (prints.join(sized(classes, 40), F.col("fp") == F.col("c_fp"), "left")
+            .select("doc_id", "fp", "mark", "root",
+                    F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def near_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp (signed), component_id for every row."""
+    return _classes(docs, words, max_bits).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the smallest doc_id, and
-    rows without doc_id."""
-    groups = near_groups(docs, words, max_bits)
-    drop = saved(groups.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct())
-    rows = boxed(docs).withColumn("_id", F.col("_row.doc_id").cast("long"))
-    left = rows.join(sized(drop, 16), F.col("_id") == F.col("_gone"), "left_anti")
-    again = saved(groups.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1"))
+    """One row of each class: of the smallest doc_id, then the smallest
+    (signed) fingerprint, then the smallest hash of the text; any one of rows
+    alike in doc_id and text.  Rows without doc_id all stay."""
+    groups = saved(_classes(docs, words, max_bits).filter("doc_id is not null"))
+    pair = F.struct("fp", "mark")
+    # rows of a class's doc_id with more than one row there
+    again = saved(groups.filter("doc_id = component_id").groupBy(F.col("root").alias("a_root"))
+                  .agg(F.count("*").alias("n"), F.min(pair).alias("first")).filter("n > 1"))
+    gone = groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id", "mark")
+    if not again.isEmpty():
+        gone = gone.unionByName(groups.filter("doc_id = component_id")
+                                .join(sized(again, 40), F.col("root") == F.col("a_root"))
+                                .filter(pair != F.col("first")).select("doc_id", "mark"))
+    drop = saved(gone.select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_text")).distinct())
+    rows = boxed(docs).withColumns({"_id": F.col("_row.doc_id").cast("long"),
+                                    "_mark": F.xxhash64(empty_if_null("_row.text"))})
+    left = rows.join(sized(drop, 24), (F.col("_id") == F.col("_gone")) & (F.col("_mark") == F.col("_text")), "left_anti")
     if again.isEmpty():
         return unboxed(left)
-    twice = sized(again, 24)
-    return unboxed(left.join(twice, F.col("_id") == F.col("_again"), "left_anti").unionByName(
-        left.join(twice, F.col("_id") == F.col("_again"), "left_semi").dropDuplicates(["_id"])))
+    kept = F.col("_id") == F.col("_again")
+    twice = sized(saved(groups.filter("doc_id = component_id").join(sized(again, 40), F.col("root") == F.col("a_root"))
+                        .select(F.col("doc_id").alias("_again")).distinct()), 16)
+    return unboxed(left.join(twice, kept, "left_anti").unionByName(
+        left.join(twice, kept, "left_semi").dropDuplicates(["_id", "_mark"])))
 
 
 @query("op5_simhash_groups")
