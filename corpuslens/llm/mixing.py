@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.common import WORD_PATTERN, boxed, empty_if_null, query, saved, table, unboxed
+from corpuslens.llm.common import BROADCAST_BYTES, WORD_PATTERN, boxed, empty_if_null, query, saved, table, unboxed
 
 #: fixed values of the contract: weights by the sources' code point order
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -33,6 +33,8 @@ MAX_EPOCHS = 3.0
 SEED = "mix"
 #: hex digits of the md5 that make a bucket; a source spreads over 16^3 windows
 BUCKET_DIGITS = 3
+#: shares of a source where the plan is too large to be sent to every task
+SALTS = 64
 
 
 def word_count(name: str = "text"):
@@ -64,6 +66,19 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EP
                     F.least(F.col("cap"), F.lit(level) * F.col("weight")).alias("target"))
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with the plan of their source: one plan row per source, sent
+    to every task if its counted size allows, so that no text is shuffled;
+    else joined on (source, salt), so that no source is one task."""
+    same = F.col("source").eqNullSafe(F.col("t_source"))
+    count, longest = plan.agg(F.count("*"), F.max(F.octet_length("t_source"))).first()
+    if count * (96 + (longest or 0)) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(plan), same)
+    salted = plan.withColumn("_p_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("_hash"), F.lit(SALTS)).cast("int")).join(
+        salted, same & (F.col("_salt") == F.col("_p_salt")))
+
+
 def planned(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, seed: str = SEED,
             budget: float | None = None) -> DataFrame:
     """The boxed rows of ``docs`` with size, source_size, target, repeats."""
@@ -110,7 +125,7 @@ def planned(docs: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS, se
         .select("t_source", "source_size", "target", "whole",
                 # nothing taken inside the bucket: all hashes below it
                 F.coalesce("cut", "e_bucket", F.lit("")).alias("cut")))
-    picked = hashed.join(plan, F.col("source").eqNullSafe(F.col("t_source")))
+    picked = _with_plan(hashed, plan)
     return picked.select("_row", F.col("_size").alias("size"), "source_size", "target",
                          (F.col("whole") + (F.col("_hash") <= F.col("cut")).cast("long")).alias("repeats"))
 
