@@ -51,9 +51,12 @@ def place(h: np.ndarray, d: np.ndarray, keys: list[tuple[int, int]]) -> np.ndarr
     kh = np.array([k[0] for k in keys], np.int64)
     kd = np.array([k[1] for k in keys], np.int64)
     out = np.searchsorted(kh, h, "left")
-    last = np.searchsorted(kh, h, "right")
-    for i in np.flatnonzero(last > out):  # few rows sit on a key's own hash
-        out[i] += np.searchsorted(kd[out[i]:last[i]], d[i], "right")
+    on = np.flatnonzero(np.searchsorted(kh, h, "right") > out)
+    if len(on):  # rows on a key's own hash, maybe many copies of one text
+        ids = np.unique(kd)
+        # (first key of the hash, rank of the id) as one number
+        codes = np.searchsorted(kh, kh, "left") * (len(ids) + 2) + np.searchsorted(ids, kd, "left") + 1
+        out[on] = np.searchsorted(codes, out[on] * (len(ids) + 2) + np.searchsorted(ids, d[on], "right"), "right")
     return out
 
 
