@@ -15,8 +15,10 @@ alike in all directions need about t / sqrt(d), d being the effective
 dimension of the data (participation ratio of the covariance), others more; so
 ``PROBED`` vectors (by hash order) are compared with all rows, and the reach is
 the largest that any of their links needs, at least ``PROBE_SD`` such steps.
-It is t itself if fewer than ``LINKED`` of them have links and there are more
-rows.  For pairs of two cells the vector in the cell with the smaller number
+If fewer than ``LINKED`` of them have links and there are more rows, links are
+planted: each of ``PLANTED`` vectors is moved by the whole bound t towards its
+nearest other vector, and away from it, and the reach covers these pairs too.
+So few links make it wider, never all cells.  For pairs of two cells the vector in the cell with the smaller number
 probes; the pair counts for both.
 
 Quantisers are fitted on at most ``TRAIN`` vectors (by hash order); all
@@ -46,6 +48,10 @@ SUB_DIM, CODES = 4, 256
 PROBE_SD = 3.0
 #: vectors that are compared with all rows, and how many with links tell the reach
 PROBED, LINKED = 4096, 300
+#: vectors whose nearest one gives directions where links are rare
+PLANTED = 1024
+#: numbers of a work array: rows by cells, or candidate pairs by dimensions
+HELD = 1 << 22
 #: vectors of an inverted list that one task holds at once
 BLOCK = 4096
 CHUNK = 512
@@ -100,7 +106,6 @@ class Quantiser:
         spread = np.linalg.eigvalsh(np.cov(x.T) if len(x) > 1 else np.eye(self.dim))
         effective = max(spread.sum() ** 2 / max((spread ** 2).sum(), 1e-300), 1.0)
         self.reach = PROBE_SD * self.bound / np.sqrt(effective)
-        self.apart = np.sqrt(_square(self.cells, self.cells))
 
     @staticmethod
     def padded(x):
@@ -117,8 +122,10 @@ class Quantiser:
             codes[:, m] = s.argmin(1)
             err += s.min(1)
         # half the distance surplus over the distance of the cells: how far the bisector is
+        home, at = np.unique(own, return_inverse=True)
+        apart = np.sqrt(_square(self.cells[home], self.cells))
         with np.errstate(divide="ignore", invalid="ignore"):
-            away = (d - d[np.arange(len(x)), own][:, None]) / (2 * self.apart[own])
+            away = (d - d[np.arange(len(x)), own][:, None]) / (2 * apart[at])
         away[np.arange(len(x)), own] = 0
         away = np.where(np.isnan(away), 0, away)
         probes = (away <= self.reach) & (np.arange(len(self.cells)) >= own[:, None])
@@ -130,7 +137,7 @@ class Quantiser:
         low, high = np.where(first, own_x, own_y), np.where(first, own_y, own_x)
         v = np.where(first[:, None], x, y)
         far, near = (((v - self.cells[c]) ** 2).sum(1) for c in (high, low))
-        apart = self.apart[low, high]
+        apart = np.sqrt(((self.cells[low] - self.cells[high]) ** 2).sum(1))
         return np.where(apart > 0, (far - near) / (2 * np.maximum(apart, 1e-300)), 0)
 
     def table_distances(self, x, cell, codes):
@@ -148,8 +155,10 @@ def _assign(shared):
         q = shared.value
         for b in batches:
             x = _unit(_matrix(b.column("embedding"), q.dim))
-            own, codes, err, _ = q.encode(x)
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(own.astype(np.int32))})
+            step = max(1, HELD // len(q.cells))
+            for i in range(0, len(x), step):
+                own = _square(x[i:i + step], q.cells).argmin(1)
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(own.astype(np.int32))})
     return run
 
 
@@ -174,18 +183,68 @@ def _needs(shared, ids, s, cosine):
     return run
 
 
+def _nearest(shared, ids, s):
+    """Per task and vector of ``s``, the nearest other vector and its cosine."""
+    def run(batches):
+        q = shared.value
+        best, who = np.full(len(s), -2.0), np.zeros((len(s), q.dim))
+        for b in batches:
+            x = _unit(_matrix(b.column("embedding"), q.dim))
+            node = b.column("node").to_numpy()
+            for a in range(0, len(x), max(1, HELD // len(s))):
+                part = slice(a, a + max(1, HELD // len(s)))
+                near = np.where(node[part][:, None] == ids, -2.0, x[part] @ s.T)
+                at = near.argmax(0)
+                value = near[at, np.arange(len(s))]
+                better = np.flatnonzero(value > best)
+                best[better], who[better] = value[better], x[part][at[better]]
+        found = np.flatnonzero(best > -2)
+        yield pa.RecordBatch.from_pydict({
+            "probed": pa.array(found.astype(np.int32)), "near": pa.array(best[found]),
+            "vec": pa.array([v.tobytes() for v in who[found]], pa.binary())})
+    return run
+
+
+def planted_reach(nodes: DataFrame, shared, ids: np.ndarray, s: np.ndarray, cosine: float) -> float:
+    """Reach that finds vectors at just ``cosine`` from those of ``s``, towards
+    and away from the nearest other vector of each."""
+    q = shared.value
+    rows = (nodes.select("node", "embedding").mapInArrow(_nearest(shared, ids, s), "probed int, near double, vec binary")
+            .groupBy("probed").agg(F.max_by("vec", "near").alias("vec")).collect())
+    if not rows:
+        return 0.0
+    v = s[[r[0] for r in rows]]
+    u = np.array([np.frombuffer(r[1]) for r in rows])
+    way = u - (u * v).sum(1)[:, None] * v
+    size = np.linalg.norm(way, axis=1)
+    v, way = v[size > 1e-9], way[size > 1e-9] / size[size > 1e-9][:, None]
+    most = 0.0
+    for sign in (1, -1):
+        y = cosine * v + sign * np.sqrt(1 - cosine * cosine) * way
+        for a in range(0, len(v), max(1, HELD // len(q.cells))):
+            part = slice(a, a + max(1, HELD // len(q.cells)))
+            own_v, own_y = (_square(z[part], q.cells).argmin(1) for z in (v, y))
+            differ = own_v != own_y
+            need = q.needed(v[part][differ], y[part][differ], own_v[differ], own_y[differ])
+            most = max(most, need.max(initial=0.0))
+    return most
+
+
 def sufficient_reach(nodes: DataFrame, q: Quantiser, n: int, cosine: float) -> float:
-    """Reach that finds all links of ``PROBED`` vectors with all rows."""
+    """Reach that finds all links of ``PROBED`` vectors with all rows, and
+    planted ones where there are few."""
     some = nodes.select("node", "embedding").orderBy(F.xxhash64("node", F.lit(1)), "node").limit(PROBED).toArrow()
     s = _unit(_matrix(some.column("embedding"), q.dim))
     shared = nodes.sparkSession.sparkContext.broadcast(q)
-    needs = nodes.select("node", "embedding").mapInArrow(
-        _needs(shared, some.column("node").to_numpy(), s, cosine), "probed int, reach double")
+    ids = some.column("node").to_numpy()
+    needs = nodes.select("node", "embedding").mapInArrow(_needs(shared, ids, s, cosine), "probed int, reach double")
     linked, reach = needs.agg(F.count_distinct("probed"), F.coalesce(F.max("reach"), F.lit(0.0))).first()
     if linked < LINKED and n > PROBED:
-        reach = q.bound
-    # not to miss a pair at the reach itself by rounding
-    return max(q.reach, reach + 1e-9)
+        few = nodes.select("node", "embedding").orderBy(F.xxhash64("node", F.lit(1)), "node").limit(PLANTED).toArrow()
+        reach = max(reach, planted_reach(nodes, shared, few.column("node").to_numpy(),
+                                         _unit(_matrix(few.column("embedding"), q.dim)), cosine))
+    # not to miss a pair at the reach itself by rounding; beyond the bound there is none
+    return min(max(q.reach, reach * (1 + 1e-6) + 1e-9), q.bound * (1 + 1e-6))
 
 
 def _deal(shared, blocks):
@@ -196,8 +255,9 @@ def _deal(shared, blocks):
         for b in batches:
             raw = _matrix(b.column("embedding"), q.dim)
             node, copies = b.column("node").to_numpy(), b.column("copies").to_numpy()
-            for i in range(0, len(raw), 2048):
-                part = slice(i, i + 2048)
+            step = max(1, min(2048, HELD // len(q.cells)))
+            for i in range(0, len(raw), step):
+                part = slice(i, i + step)
                 x, ids, n = raw[part], node[part], copies[part]
                 own, codes, err, probes = q.encode(_unit(x))
                 vecs = [v.tobytes() for v in x]
@@ -246,7 +306,9 @@ def _search(shared, cosine):
             i, j = np.nonzero(d <= (q.bound + err + 1e-3) ** 2)
             differ = q_ids[i] != ids[j]
             i, j = i[differ], j[differ]
-            near = np.einsum("ij,ij->i", x[i], unit[j]) >= cosine
+            step = max(1, HELD // x.shape[1])
+            near = np.concatenate([np.zeros(0, bool)] + [
+                np.einsum("ij,ij->i", x[i[a:a + step]], unit[j[a:a + step]]) >= cosine for a in range(0, len(i), step)])
             i, j = i[near], j[near]
             out = [(q_ids, np.bincount(i, n[j], len(q_ids)))]
             # the entry's side of a pair of two cells is counted here as well

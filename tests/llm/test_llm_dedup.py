@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from llm_fixtures import messy, no_docs  # noqa: F401
 from corpuslens.llm import embeddings, exact, simhash, substrings
@@ -128,6 +129,25 @@ def test_simhash_groups(messy, no_docs):
     assert simhash.near_groups(no_docs).count() == 0 and simhash.keep_first(no_docs).count() == 0
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_own_text(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(1, one), (2, two), (5, one), (5, three), (5, three), (6, two), (7, None), (7, one)]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        # 5 loses its copy of 1 and keeps the text that nobody else has, once
+        got = sorted((r.doc_id, r.text) for r in simhash.keep_first(df).collect())
+        assert got == [(1, one), (2, two), (5, three)] + [(7, None)]
+    # unlike texts of one doc_id in classes of their own, near ones in one class
+    near = one + " a40"
+    rows = [(3, one), (3, near), (3, two)]
+    prints = [_fingerprint(one), _fingerprint(near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.text for r in simhash.keep_first(df).collect()]
+    linked = (prints[0] ^ prints[1]).bit_count() <= 4
+    first = min((p - (1 << 64) if p >> 63 else p, t) for p, t in zip(prints, (one, near), strict=True))[1]
+    assert sorted(kept) == sorted([two, first] if linked else [one, near, two])
+
+
 def test_fingerprint_in_parts(monkeypatch):
     rng = random.Random(9)
     texts = [" ".join("".join(rng.choice("abC") for _ in range(rng.randrange(1, 5))) for _ in range(n)) + "\n"
@@ -297,3 +317,35 @@ def test_near_vectors_that_differ_in_few_directions(spark, monkeypatch, kind, pr
     for r in embeddings.near_vectors(df).collect():
         found[r.vec_id] = r.n_links
     assert (found <= want).all() and found.sum() >= recall * want.sum()
+
+
+def test_rare_links_are_found_without_visiting_all_cells(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "PROBED", 200)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 32))
+    x = centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, 120, 2):  # 60 links, most vectors have none
+        way = rng.normal(size=32)
+        way -= way @ x[k] * x[k]
+        c = rng.uniform(0.901, 0.97)
+        x[k + 1] = c * x[k] + np.sqrt(1 - c * c) * way / np.linalg.norm(way)
+    want = (x @ x.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    nodes = df.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("copies"), "embedding")
+    q = embeddings.fitted(nodes, 4000, 32, 0.9)
+    reach = embeddings.sufficient_reach(nodes, q, 4000, 0.9)
+    assert q.reach <= reach < q.bound
+    found = {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()}
+    assert all(found[i] <= want[i] for i in range(4000)) and 0 < want.sum() < 400
+    assert sum(found.values()) >= 0.95 * want.sum()
+
+
+def test_candidate_pairs_are_compared_in_bounded_steps(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = embeddings.near_vectors(df).collect()
+    monkeypatch.setattr(embeddings, "HELD", 64)
+    assert sorted(embeddings.near_vectors(df).collect()) == sorted(want)
+    assert all(r.n_links == 299 for r in want)

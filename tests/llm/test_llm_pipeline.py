@@ -188,6 +188,32 @@ def test_shards_are_even_and_keep_groups(spark):
     assert sum(len(s) > 1 for s in where.values()) == 1  # the hot text alone
 
 
+def test_rows_are_placed_among_keys_as_pairs_compare():
+    rng = np.random.default_rng(8)
+    keys = sorted({(int(a), int(b)) for a, b in rng.integers(-3, 4, (40, 2))}
+                  | {(2, sharding.LOWEST), (-(1 << 63), sharding.LOWEST), ((1 << 63) - 1, 5)})
+    h, d = rng.integers(-4, 5, 500), rng.integers(-4, 5, 500)
+    d[:50] = sharding.LOWEST
+    h[50:60] = (1 << 63) - 1
+    got = sharding.place(h, d, keys)
+    assert got.tolist() == [sum(k <= (a, b) for k in keys) for a, b in zip(h.tolist(), d.tolist(), strict=True)]
+    assert sharding.place(h, d, []).tolist() == [0] * 500
+
+
+@pytest.mark.parametrize("limit", [0, 16 << 20])
+def test_a_mix_is_the_same_however_the_plan_is_joined(spark, monkeypatch, limit):
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", limit)
+    rows = [(i, "w " * (i % 7), None if i % 11 == 0 else "hot" if i % 3 else f"s{i % 5}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df)
+    taken = {r.doc_id: (r._size, r._target, r._repeats) for r in got.collect()}
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", 1 << 30)
+    assert len(taken) == 600
+    assert taken == {r.doc_id: (r._size, r._target, r._repeats) for r in mixing.mix(df).collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("_p_salt" in plan) == (limit == 0)
+
+
 LINES = {"en": "the quick brown fox jumps over the lazy dog and then this thing was there with them",
          "de": "der schnelle braune fuchs springt über den faulen hund und nicht auf die kleinen katzen",
          "fr": "le renard brun rapide saute par dessus le chien paresseux et cela n'était pas très élégant"}
