@@ -9,10 +9,16 @@ bucket's document frequency differs between the classes (in standard
 deviations beyond chance) in one coordinate and near zero in the others: a maximum over
 thousands of random responses would otherwise drown the few that matter.
 
-The network is fitted with Adam on at most ``SAMPLE`` labelled documents of
-each class (by hash order), a fifth of which is kept aside.  All labelled
-training rows that it wasn't fitted on are scored, and their counts by
-language, logit and label give one threshold per language.  The language is guessed from the text alone, by its
+The network is fitted with Adam in ``EPOCHS`` passes, however many rows there
+are, on at most ``SAMPLE`` labelled documents of each class with at most
+``SAMPLE_WORDS`` words together (in hash order; a document that doesn't fit
+into what is left of the words isn't among them), a fifth of which is kept
+aside.  All labelled training rows that it wasn't fitted on are scored, and
+their counts by language, logit and label give one threshold per language:
+the cut with the best F1 among its own rows and ``PRIOR`` rows of each class
+that are spread as those of all languages are.  So a language with few rows
+stays near the common threshold and one with many finds its own, without a
+border between them.  The language is guessed from the text alone, by its
 byte frequencies.  The score is the logistic of logit minus threshold, so
 0.5 is the calibrated boundary in every language.
 
@@ -20,15 +26,17 @@ Scoring is one pass over whole texts, in slices of bounded size; the model is
 a few megabytes whatever the corpus.
 
 Defined results: null and empty texts score as a text without known words;
-null or unknown labels don't train, and a document with several label rows
-trains with the largest; without both classes among the training rows every
-score is 0 and predicted 0; repeated rows score alike; an empty table gives
-an empty result; extra columns are ignored.
+null or unknown labels don't train, a document with several label rows trains
+with the largest, and of several rows with one doc_id the fit takes the
+smallest text; without both classes among the training rows every score is 0
+and predicted 0; repeated rows score alike; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +48,11 @@ from corpuslens.llm.common import prepared, query, saved, sized, table
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 #: labelled documents of each class that the network is fitted on, at most
 SAMPLE = 4000
-MIN_DOCS, EPOCHS, BATCH, RATE, DECAY, SEED = 4, 4, 64, 0.01, 0.02, 7
-#: a language with fewer of either class aside takes the common threshold
-MIN_CALIBRATION = 10
+#: words of the documents of a class that it is fitted on, at most
+SAMPLE_WORDS = 1 << 24
+MIN_DOCS, EPOCHS, BATCH, RATE, DECAY, SEED = 4, 8, 64, 0.01, 0.02, 7
+#: rows of each class that all languages lend to the threshold of one
+PRIOR = 10
 #: logits are counted in steps of 1 / STEPS
 STEPS = 256
 
@@ -65,7 +75,8 @@ def _featurize(batches):
                 for t in texts]
         yield pa.RecordBatch.from_arrays(
             [b.column("toxic"), b.column("lang"), pa.array(words, pa.binary()), pa.array(hist, pa.binary()),
-             b.column("doc_id")], ["toxic", "lang", "words", "hist", "doc_id"])
+             b.column("doc_id"), pa.array([len(w) // 4 for w in words], pa.int64())],
+            ["toxic", "lang", "words", "hist", "doc_id", "n"])
 
 
 def held_out(doc_id="doc_id", parts: int = 5):
@@ -77,20 +88,31 @@ def training_labels(labels: DataFrame) -> DataFrame:
                  .agg(F.max("toxic").cast("int").alias("toxic")))
 
 
-def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list, float]:
-    """At most ``size`` training rows of each class as word buckets, and how
-    many labelled rows of class 0 one of them stands for, against class 1."""
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, words: int = SAMPLE_WORDS) -> tuple[list, float]:
+    """At most ``size`` training rows of each class, with at most ``words``
+    words together, as word buckets, and how many labelled rows of class 0 one
+    of them stands for, against class 1."""
     known = training_labels(labels)
     there = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
-    stands = [max(there.get(k, 0) / size, 1.0) for k in (0, 1)]
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = (known.filter("toxic = 1").orderBy(*order).limit(size)
               .unionByName(known.filter("toxic = 0").orderBy(*order).limit(size)))
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(picked), "doc_id")
-    features = (rows.select("doc_id", "toxic", "text", "lang").orderBy(*order)
-                .select("toxic", "lang", "text", F.col("doc_id").cast("string").alias("doc_id"))
-                .mapInArrow(_featurize, "toxic int, lang string, words binary, hist binary, doc_id string"))
-    return features.collect(), stands[0] / stands[1]
+    rows = (docs.select("doc_id", F.struct("text", F.col("lang").cast("string").alias("lang")).alias("d"))
+            .join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("d").alias("d")))
+    features = saved(rows.orderBy(*order)
+                     .select("toxic", "d.lang", "d.text", F.col("doc_id").cast("string").alias("doc_id"))
+                     .mapInArrow(_featurize, "toxic int, lang string, words binary, hist binary, doc_id string, n long")
+                     .withColumn("at", F.monotonically_increasing_id()))
+    room, kept = {0: words, 1: words}, {0: [], 1: []}
+    for at, toxic, n in sorted(features.select("at", "toxic", "n").collect()):
+        if n <= room[toxic]:
+            room[toxic] -= n
+            kept[toxic].append((at,))
+    chosen = docs.sparkSession.createDataFrame(kept[0] + kept[1], "at long")
+    stands = [max(there.get(k, 0) / max(len(kept[k]), 1), 1.0) for k in (0, 1)]
+    return sorted(features.join(F.broadcast(chosen), "at", "left_semi")
+                  .select("toxic", "lang", "words", "hist", "doc_id", "at").collect(),
+                  key=lambda r: r["at"]), stands[0] / stands[1]
 
 
 class Net:
@@ -199,20 +221,36 @@ def _joined(texts: list[np.ndarray]):
     return np.concatenate(padded), np.cumsum(size) - size
 
 
-def _threshold(logit, y, default, negatives):
-    """Middle of the cut with the best F1 for label 1, where a row of label 0
-    stands for ``negatives`` of them."""
-    if min((y == 1).sum(), (y == 0).sum()) < MIN_CALIBRATION:
-        return default
-    order = np.argsort(-logit, kind="stable")
-    hit = np.cumsum(y[order] == 1)
-    wrong = np.cumsum(y[order] == 0) * negatives
-    f1 = 2 * hit / (hit + wrong + (y == 1).sum())
-    i = int(f1.argmax())
-    return float((logit[order[i]] + logit[order[min(i + 1, len(order) - 1)]]) / 2)
+def _cut(counts: dict, negatives: float) -> float:
+    """Middle of the cut with the best F1 for label 1, from {(step, label):
+    rows}, where a row of label 0 stands for ``negatives`` of them."""
+    steps = np.array(sorted({b for b, _ in counts}, reverse=True))
+    n = [np.array([counts.get((b, k), 0) for b in steps], float) for k in (0, 1)]
+    hit, wrong = np.cumsum(n[1]), np.cumsum(n[0]) * negatives
+    i = int((2 * hit / (hit + wrong + n[1].sum())).argmax())
+    return float((steps[i] + (steps[i + 1] + 1 if i + 1 < len(steps) else steps[i])) / 2 / STEPS)
+
+
+def thresholds(counts: dict, negatives: float, langs: int) -> np.ndarray:
+    """One threshold per language from {(language, step, label): rows}.
+
+    All languages together start from ``PRIOR`` rows of each class that logit
+    0 parts, each language from as many that are spread as all of them."""
+    every = Counter({(0, 1): PRIOR, (-1, 0): PRIOR})
+    own = [Counter() for _ in range(langs)]
+    for (lang, step, label), n in counts.items():
+        every[step, label] += n
+        own[lang][step, label] += n
+    total = [sum(n for (_, label), n in every.items() if label == k) for k in (0, 1)]
+    lent = Counter({(step, label): PRIOR * n / total[label] for (step, label), n in every.items()})
+    return np.array([_cut(lent + c, negatives) for c in own])
+
 
+def _step(logit: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(logit.astype(np.float64), -50, 50) * STEPS).astype(np.int32)
 
-def fit(rows: list, negatives: float = 1.0) -> dict | None:
+
+def fit(rows: list, negatives: float = 1.0, epochs: int = EPOCHS) -> dict | None:
     """The model from rows (toxic, lang, words, hist, doc_id), where a row of label 0
     stands for ``negatives`` labelled ones; None without both classes."""
     y = np.array([r[0] for r in rows], np.float32)
@@ -239,8 +277,7 @@ def fit(rows: list, negatives: float = 1.0) -> dict | None:
     train = np.flatnonzero(~aside)
     share = y[train].mean() if 0 < y[train].mean() < 1 else 0.5
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    # few rows get more turns, so that small tables are fitted too
-    for _ in range(max(EPOCHS, -(-60 * BATCH // max(len(train), 1)))):
+    for _ in range(epochs):
         rng.shuffle(train)
         for i in range(0, len(train), BATCH):
             part = train[i:i + BATCH]
@@ -252,27 +289,13 @@ def fit(rows: list, negatives: float = 1.0) -> dict | None:
     of = np.array([langs.index(r[1]) if r[1] is not None else -1 for r in rows])
     prior = np.stack([hist[of == k].sum(0) + 0.5 for k in range(len(langs))]) if langs else np.ones((1, 256))
     model = {"remap": remap, "p": net.p, "langs": np.log(prior / prior.sum(1, keepdims=True))}
-    guess = (hist @ model["langs"].T).argmax(1)
-    cal = aside if min(y[aside].sum(), (1 - y[aside]).sum()) >= MIN_CALIBRATION else np.ones(len(y), bool)
-    common_threshold = _threshold(logit[cal], y[cal], 0.0, negatives)
-    model["thresholds"] = np.array([_threshold(logit[cal & (guess == k)], y[cal & (guess == k)],
-                                               common_threshold, negatives)
-                                    for k in range(len(model["langs"]))])
+    # one threshold for all languages; ``calibrated`` gives each its own
+    counts = Counter((0, *x) for x in zip(_step(logit[aside]).tolist(), y[aside].astype(int).tolist(), strict=True))
+    model["thresholds"] = np.repeat(thresholds(counts, negatives, 1), len(model["langs"]))
     model["used"] = [(r[4], int(r[0])) for r, a in zip(rows, aside, strict=True) if not a]
     return model
 
 
-def _cut(counts: dict, negatives: float) -> float | None:
-    """As ``_threshold``, from {(step, label): rows}."""
-    steps = np.array(sorted({b for b, _ in counts}, reverse=True))
-    n = [np.array([counts.get((b, k), 0) for b in steps]) for k in (0, 1)]
-    if min(x.sum() for x in n) < MIN_CALIBRATION:
-        return None
-    hit, wrong = np.cumsum(n[1]), np.cumsum(n[0]) * negatives
-    i = int((2 * hit / (hit + wrong + n[1].sum())).argmax())
-    return float((steps[i] + (steps[i + 1] + 1 if i + 1 < len(steps) else steps[i])) / 2 / STEPS)
-
-
 def calibrated(model: dict | None, docs: DataFrame, labels: DataFrame) -> dict | None:
     """The model with the threshold of each guessed language from all labelled
     training rows that it wasn't fitted on."""
@@ -286,20 +309,12 @@ def calibrated(model: dict | None, docs: DataFrame, labels: DataFrame) -> dict |
     rows = (docs.select("doc_id", "text").join(sized(rest, 32), "doc_id").select("toxic", "text")
             .mapInArrow(_steps(shared), "toxic int, guess int, step int")
             .groupBy("guess", "step", "toxic").count().collect())
-    every, by = {}, {}
-    for r in rows:
-        key = (r["step"], r["toxic"])
-        every[key] = every.get(key, 0) + r["count"]
-        by.setdefault(r["guess"], {})[key] = r["count"]
+    counts = {(r["guess"], r["step"], r["toxic"]): r["count"] for r in rows}
     # rows of the fit are missing here: each of a class stands for as many as it has
-    n = [sum(c for (_, t), c in every.items() if t == k) for k in (0, 1)]
+    n = [sum(c for (_, _, t), c in counts.items() if t == k) for k in (0, 1)]
     fitted = [sum(t == k for _, t in model["used"]) for k in (0, 1)]
     stands = [(a + b) / max(a, 1) for a, b in zip(n, fitted, strict=True)]
-    common = _cut(every, stands[0] / max(stands[1], 1e-9)) if every else None
-    if common is None:
-        return model
-    cuts = [_cut(by[k], stands[0] / stands[1]) if k in by else None for k in range(len(model["thresholds"]))]
-    return {**model, "thresholds": np.array([common if c is None else c for c in cuts])}
+    return {**model, "thresholds": thresholds(counts, stands[0] / max(stands[1], 1e-9), len(model["langs"]))}
 
 
 class _Ids(dict):
@@ -341,9 +356,8 @@ def _steps(shared):
         of = _logits(shared)
         for b in batches:
             logit, guess = of(b)
-            step = np.floor(np.clip(logit.astype(np.float64), -50, 50) * STEPS)
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic"), pa.array(guess.astype(np.int32)), pa.array(step.astype(np.int32))],
+                [b.column("toxic"), pa.array(guess.astype(np.int32)), pa.array(_step(logit))],
                 ["toxic", "guess", "step"])
     return run
 
