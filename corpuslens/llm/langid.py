@@ -22,7 +22,10 @@ half of them is scored by models of the other.
 
 Defined results: null texts and texts without a letter are ``und`` with
 score 0 and are rejected; rows with null lang don't train; without any
-training row all are ``und``; repeated rows train as often as they occur; an
+training row all are ``und``; of languages with equal cross-entropy the first
+by name is taken; very long texts are scored whole, in blocks of ``BLOCK``
+characters, each of which starts at a boundary; repeated rows train as often
+as they occur and are scored alike; an
 empty table gives an empty result; extra columns are carried by
 ``keep_accepted`` and ignored by ``identify``.
 """

@@ -16,9 +16,11 @@ round begins; when nothing fits, new sequences are opened.  There are at most
 (at most two per size), whatever the number of pieces; the rows themselves
 stay in Spark and meet once at the end, by (round, gap, rank), which is even.
 
-Defined results: null and empty texts are one token (the end id); repeated
-rows are packed each for itself; an empty table gives an empty result; extra
-columns are ignored.
+Defined results: null and empty texts are one token (the end id); very long
+texts are tokenised whole, part by part at white space, and cut into full
+sequences and a rest; pieces of equal length go by (doc_id, piece), null
+doc_id first; repeated rows are packed each for itself; an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
