@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.operators import skew, vectors
 from corpuslens.operators.generate import body_model
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
-from corpuslens.sources.tables import read_table
+from corpuslens.sources.tables import read_table, stream_path
 from corpuslens.streaming.clean_stream import start_clean_stream
 from corpuslens.streaming.generate_stream import start_generate_stream, start_keyed_generate_stream
 
@@ -18,6 +19,10 @@ FIRST_DELIVERY = "en"
 COS_DIGITS = 9
 
 
+def _strings(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
 @query("stream_clean",
        "with " + q.preprocess_ctes("documents", "doc_id", "text")
        + f" select d.doc_id, pp_f.cleaned, {q.remove_brackets(q.remove_cutoff('d.text'))} as post "
@@ -26,10 +31,10 @@ def q_stream_clean(spark, sf_dir):
     """Stream the documents file through the cleaning job into Parquet."""
     schema = read_table(spark, sf_dir, "documents").schema
     base = scratch_dir(spark, "stream-clean")
-    query_ = start_clean_stream(spark, sf_dir, schema, base + "/sink", base + "/checkpoint",
-                                file_glob="documents.parquet")
+    query_ = start_clean_stream(spark, stream_path(sf_dir, "documents"), schema, base + "/sink", base + "/checkpoint",
+                                file_glob="*")
     query_.awaitTermination()
-    return spark.read.parquet(base + "/sink")
+    return spark.read.schema(T.StructType([schema["doc_id"], *_strings("cleaned", "post")])).parquet(base + "/sink")
 
 
 @query("stream_generate", f"select doc_id, {q.all_sentences(q.body('text'))} as summary from documents")
@@ -38,9 +43,9 @@ def q_stream_generate(spark, sf_dir):
     schema = read_table(spark, sf_dir, "documents").schema
     base = scratch_dir(spark, "stream-generate")
     for _ in range(2):  # the second start finds every file committed
-        start_generate_stream(spark, sf_dir, schema, base + "/sink", base + "/checkpoint", body_model(),
-                              file_glob="documents.parquet").awaitTermination()
-    return spark.read.parquet(base + "/sink")
+        start_generate_stream(spark, stream_path(sf_dir, "documents"), schema, base + "/sink", base + "/checkpoint",
+                              body_model(), file_glob="*").awaitTermination()
+    return spark.read.schema(T.StructType([schema["doc_id"], *_strings("summary")])).parquet(base + "/sink")
 
 
 @query("stream_generate_keyed",

@@ -24,6 +24,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stream_path(sf_dir: str, name: str) -> str:
+    """The table's path for a streaming reader, be it one file or a folder of
+    part files: such a reader takes a plain path for a folder, a pattern not."""
+    if name not in TABLES:
+        raise ValueError(f"unknown table {name!r}")
+    return f"{sf_dir.rstrip('/')}/{{{name}.parquet}}"
+
+
 def split_of(doc_id_col) -> F.Column:
     d = F.pmod(F.col(doc_id_col) if isinstance(doc_id_col, str) else doc_id_col, F.lit(10))
     expr = F.lit(DEFAULT_SPLIT)
