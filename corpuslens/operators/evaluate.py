@@ -15,8 +15,8 @@ from corpuslens import schema
 from corpuslens.functions import readability as rd
 from corpuslens.functions import segment
 from corpuslens.operators.normalize import row_mean
-from corpuslens.operators.overlap import bleu_of_sums, matched_ngrams, ngram_total
-from corpuslens.session import cut_lineage, ship_package
+from corpuslens.operators.overlap import bleu_of_sums, lowered, ngram_total, pair_counts
+from corpuslens.session import bounded_batches, cut_lineage
 
 # Fixed value: bytes of an easy-word list that may be sent to every task.
 LIST_BYTES = 8 << 20
@@ -50,21 +50,21 @@ def doc_metrics(pairs: DataFrame, easy: DataFrame, key: str = "doc_id",
     the difficult words come from a join instead; the counts are the same.
     """
     spark = pairs.sparkSession
-    ship_package(spark)
+    bounded_batches(spark)
     easy = cut_lineage(easy.select("word").distinct())
     short = easy.count() * BYTES_PER_WORD <= LIST_BYTES
     listed = spark.sparkContext.broadcast({r.word for r in easy.toLocalIterator()}) if short else None
     if not short:
         pairs = cut_lineage(pairs.select(key, model_col, gen_col, ref_col))
-    rows = rd.with_counts(pairs.select(key, model_col, gen_col, segment.words(gen_col).alias("_gw"),
-                                       segment.words(ref_col).alias("_rw")), gen_col)
-    rows = rows.withColumn("_m", matched_ngrams((1, 2, 3, 4), listed)("_gw", "_rw"))
-    rows = rows.withColumns({f"m{n}": F.get("_m.matched", F.lit(n - 1)) for n in (1, 2, 3, 4)}
-                            | {f"t{n}": ngram_total("_gw", n) for n in (1, 2, 3, 4)}
-                            | {f"_r{n}": ngram_total("_rw", n) for n in (1, 2)}
-                            | {"n_difficult": F.when(F.col("n_words") > 0, F.col("_m.missing"))})
+    counts = pair_counts((1, 2, 3, 4), listed)(lowered(gen_col), lowered(ref_col))
+    rows = pairs.select(key, model_col, counts.alias("_m")).select(key, model_col, "_m.*")
+    rows = rows.withColumns({"n_syll": F.greatest("n_vowels", "n_words")}
+                            | {f"m{n}": F.get("matched", F.lit(n - 1)) for n in (1, 2, 3, 4)}
+                            | {f"t{n}": ngram_total("n_words", n) for n in (1, 2, 3, 4)}
+                            | {f"_r{n}": ngram_total("n_ref", n) for n in (1, 2)}
+                            | ({"n_difficult": F.when(F.col("n_words") > 0, F.col("missing"))} if short else {}))
     if not short:
-        rows = rows.drop("n_difficult").join(difficult_counts(pairs, key, gen_col, easy), key, "left")
+        rows = rows.join(difficult_counts(pairs, key, gen_col, easy), key, "left")
     for n in (1, 2):
         rows = rows.withColumn(f"_f{n}", F.try_divide(2.0 * F.col(f"m{n}").cast("double"),
                                                       (F.col(f"t{n}") + F.col(f"_r{n}")).cast("double")))

@@ -8,18 +8,19 @@ row: split, score (numpy, Arrow batches), sort, slice to every length.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions import segment, text
+from corpuslens.functions import wordruns as W
 from corpuslens.operators import textrank, vectors
 from corpuslens.options import CANDIDATE_LIMIT, SUMMARY_LENGTHS, Variant
-from corpuslens.session import ship_package
+from corpuslens.session import bounded_batches
 
 # Fixed value: similarity digits kept before ranking, so ties break on the
 # sentence text identically in every engine despite summation order.
@@ -54,33 +55,72 @@ def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return tf.join(vectors.idf_table(docs, key, text_col), "term").withColumn("w", F.col("tf") * F.col("idf"))
 
 
-def _cosines(words, sizes, terms, idf) -> list[float]:
-    """TF-IDF cosine of every sentence of one document to the document."""
-    if not len(words):
-        return [math.nan] * len(sizes)
-    code = {t: i for i, t in enumerate(terms)}
-    ids = np.fromiter((code[w] for w in words), np.int64, len(words))
-    idf = np.asarray(idf, float)
-    doc = np.bincount(ids, minlength=len(idf)) * idf
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    pairs, tf = np.unique(sentence * len(idf) + ids, return_counts=True)
-    at, term = pairs // len(idf), pairs % len(idf)
-    w = tf * idf[term]
-    dot = np.bincount(at, w * doc[term], len(sizes))
-    norm = np.sqrt(np.bincount(at, w * w, len(sizes)))
+def _cosines(found: pa.Array, n_words: np.ndarray, doc: np.ndarray, terms: pa.Array, idf: np.ndarray, docs: int) -> np.ndarray:
+    """TF-IDF cosine of every sentence to its document: ``n_words`` of the
+    words ``found`` are a sentence's, ``doc`` is its document."""
+    code, names = W.numbered(pa.concat_arrays([found, terms.cast(found.type)]))
+    v = max(len(names), 1)
+    weight = np.zeros(v)
+    weight[code[len(found):]] = idf
+    code = code[:len(found)]
+    pair, tf = np.unique(np.repeat(np.arange(len(n_words)), n_words) * v + code, return_counts=True)
+    at, term = np.divmod(pair, v)
+    whole, of = np.unique(doc[at] * v + term, return_inverse=True)
+    total = np.bincount(of, tf, len(whole)) * weight[whole % v]
+    w = tf * weight[term]
+    dot = np.bincount(at, w * total[of], len(n_words))
+    norm = np.sqrt(np.bincount(at, w * w, len(n_words)))
+    length = np.sqrt(np.bincount(whole // v, total * total, docs))
     with np.errstate(invalid="ignore", divide="ignore"):
-        return (dot / (norm * math.sqrt((doc * doc).sum()))).tolist()
+        return dot / (norm * length[doc])
+
+
+def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Items of all lists in a row, and how many each has (null: none)."""
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lists.flatten(), n
+
+
+def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.ndarray, limit: int):
+    """Cosines of all sentences of some documents, and the kept positions of
+    the longer ones."""
+    flat, n_sents = _flat(sents)
+    points, sizes = W.code_points(flat)
+    doc = np.repeat(np.arange(len(sents)), n_sents)
+    found, n_words, _ = W.words(points, sizes, W.latin())
+    known, n_known = _flat(terms)
+    cos = _cosines(found, n_words, doc, known, _flat(idf)[0].to_numpy(zero_copy_only=False), len(sents))
+    cos[n_known[doc] == 0] = np.nan  # a document without a key has no weights
+    keep = [None] * len(sents)
+    if longer.any():
+        some = np.repeat(longer[doc], sizes)
+        tr, n_tr, _ = W.words(points[some], sizes[longer[doc]], W.letters(), textrank.LEAST_LETTERS)
+        code, _ = W.numbered(tr)
+        word = sent = 0
+        for d in np.flatnonzero(longer):
+            mine = n_tr[sent:sent + n_sents[d]]
+            sent += n_sents[d]
+            keep[d] = textrank.kept_positions(code[word:word + mine.sum()], mine, limit)
+            word += mine.sum()
+    return cos, keep
 
 
 def _scorer(limit: int):
-    """Column function: per document, the cosines of its sentences and, where
-    TextRank words are given, the positions it keeps."""
-    @F.pandas_udf("struct<cos:array<double>,keep:array<int>>")
-    def score(words: pd.Series, sizes: pd.Series, terms: pd.Series, idf: pd.Series,
-              tr_words: pd.Series, tr_sizes: pd.Series) -> pd.DataFrame:
-        cos = [_cosines(w, n, t, i) for w, n, t, i in zip(words, sizes, terms, idf)]
-        keep = [None if n is None else textrank.kept_positions(list(w), n, limit) for w, n in zip(tr_words, tr_sizes)]
-        return pd.DataFrame({"cos": pd.Series(cos, dtype=object), "keep": pd.Series(keep, dtype=object)})
+    """Column function over lower-cased sentences: per document, the cosines
+    of its sentences and, where it is longer, the positions TextRank keeps."""
+    @F.arrow_udf("struct<cos:array<double>,keep:array<int>>")
+    def score(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: pa.Array) -> pa.Array:
+        flat, n_sents = _flat(sents)
+        size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.utf8_length(flat), 0).to_numpy(zero_copy_only=False))])
+        at = np.concatenate([[0], np.cumsum(n_sents)])
+        marked = pc.fill_null(longer, False).to_numpy(zero_copy_only=False).astype(bool)
+        cos, keep = [np.zeros(0)], []
+        for i, j in W.blocks(np.diff(size[at]).astype(np.int64)):
+            c, k = _block_scores(*(x.slice(i, j - i) for x in (sents, terms, idf)), marked[i:j], limit)
+            cos.append(c)
+            keep += k
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(cos)))
+        return pa.StructArray.from_arrays([lists, pa.array(keep, pa.list_(pa.int32()))], ["cos", "keep"])
     return score
 
 
@@ -91,24 +131,18 @@ def scored_documents(docs: DataFrame, key: str, text_col: str, limit: int | None
     One shuffle brings a document's text together with the weights of its
     terms; everything about its sentences then happens in its row.
     """
-    ship_package(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     idf = vectors.idf_table(docs, key, text_col)
     weights = (vectors.distinct_terms(docs, key, text_col).join(idf, "term")
                .groupBy(key).agg(F.collect_list(F.struct("term", "idf")).alias("_weights")))
     rows = (docs.select(key, text_col, *[c for c in carry if c != text_col]).join(weights, key, "left")
             .withColumn("sents", guarded_sentences(text_col)))
-    rows = rows.withColumn("_words", F.transform("sents", lambda s: segment.words(s)))
     # only documents beyond the limit need a word graph
     longer = F.lit(False) if limit is None else F.size("sents") > limit
-    rows = rows.withColumn("_tr", F.when(longer, F.transform("sents", lambda s: textrank.textrank_words(s))))
-
-    def sizes(c):
-        return F.transform(c, lambda w: F.size(w))
-
     no_terms = F.array().cast("array<string>"), F.array().cast("array<double>")
     scored = rows.withColumn("_s", _scorer(limit or 0)(
-        F.flatten("_words"), sizes("_words"), F.coalesce("_weights.term", no_terms[0]),
-        F.coalesce("_weights.idf", no_terms[1]), F.flatten("_tr"), sizes("_tr")))
+        F.transform("sents", lambda s: F.lower(s)), F.coalesce("_weights.term", no_terms[0]),
+        F.coalesce("_weights.idf", no_terms[1]), longer))
     cos = F.transform("_s.cos", lambda c: F.when(~F.isnan(c), c))
     return scored.select(key, *carry, "sents", cos.alias("cos"), F.col("_s.keep").alias("keep"))
 

@@ -8,49 +8,90 @@ counting happens in the row (Arrow batches) and nothing is shuffled.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions import segment
+from corpuslens.functions import wordruns as W
 from corpuslens.operators.normalize import row_mean
-from corpuslens.session import ship_package
-
-
-def _clipped(generated, reference, n: int) -> int:
-    g = Counter(zip(*(generated[i:] for i in range(n))))
-    return (g & Counter(zip(*(reference[i:] for i in range(n))))).total()
+from corpuslens.session import bounded_batches
+
+
+def _block_counts(generated: pa.Array, reference: pa.Array, ns: Sequence[int], known: pa.Array | None) -> dict[str, np.ndarray]:
+    """Counts of every pair of two arrays of lower-cased texts."""
+    rows = len(generated)
+    points, sizes = W.code_points(generated)
+    gw, n_gen, long = W.words(points, sizes, W.latin())
+    rw, n_ref, _ = W.words(*W.code_points(reference), W.latin())
+    code, names = W.numbered(pa.concat_arrays([gw, rw]))
+    code, v = (code[:len(gw)], code[len(gw):]), max(len(names), 1)
+    row = np.repeat(np.arange(rows), n_gen), np.repeat(np.arange(rows), n_ref)
+    left = [np.repeat(np.cumsum(n), n) - np.arange(n.sum()) for n in (n_gen, n_ref)]  # words to the end of the text
+    out = {"n_words": n_gen, "n_ref": n_ref, "n_vowels": W.vowel_groups(points, sizes), "n_sents": W.sentences(points, sizes),
+           "n_letters": np.bincount(row[0], long, rows).astype(np.int64)}
+    if known is not None:
+        strange = ~pc.is_in(names, value_set=known).to_numpy(zero_copy_only=False).astype(bool)
+        out["missing"] = np.bincount(row[0], strange[code[0]], rows).astype(np.int64)
+    # a match of n words is one of n - 1 words and one more, so only the
+    # places of shorter matches are looked at; numbers of grams are per pair
+    place = [np.arange(len(c)) for c in code]
+    gram = list(row)
+    for n in range(1, max(ns) + 1):
+        for side in (0, 1):
+            keep = left[side][place[side]] >= n
+            place[side], gram[side] = place[side][keep], gram[side][keep]
+        key = [gram[i] * v + code[i][place[i] + n - 1] for i in (0, 1)]
+        grams, gram[1], c_ref = np.unique(key[1], return_inverse=True, return_counts=True)
+        at = np.minimum(np.searchsorted(grams, key[0]), max(len(grams) - 1, 0))
+        met = grams[at] == key[0] if len(grams) else np.zeros(len(at), bool)
+        place[0], gram[0] = place[0][met], at[met]
+        c_gen = np.bincount(gram[0], minlength=len(grams))
+        of = np.zeros(len(grams), np.int64)
+        of[gram[1]] = row[1][place[1]]
+        out[f"m{n}"] = np.bincount(of, np.minimum(c_gen, c_ref), rows).astype(np.int64)
+    return out
+
+
+def pair_counts(ns: Sequence[int], listed=None):
+    """Column function over two lower-cased texts: clipped matches for each n,
+    words of both, vowel groups, sentences and letters of the generated one,
+    and its words that are missing from ``listed`` (a broadcast set)."""
+    names = ["n_words", "n_ref", "n_vowels", "n_sents", "n_letters", "missing"]
+
+    @F.arrow_udf("struct<matched:array<bigint>," + ",".join(f"{c}:bigint" for c in names) + ">")
+    def count(generated: pa.Array, reference: pa.Array) -> pa.Array:
+        known = pa.array(list(listed.value), pa.large_string()) if listed is not None else None
+        size = [pc.fill_null(pc.utf8_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (generated, reference)]
+        parts = [_block_counts(generated.slice(i, j - i), reference.slice(i, j - i), ns, known)
+                 for i, j in W.blocks(size[0] + size[1])]
+        got = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64)
+               for c in [*names, *[f"m{n}" for n in ns]] if c != "missing" or known is not None}
+        matched = np.stack([got[f"m{n}"] for n in ns], 1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, matched.size + 1, len(ns)), pa.int32()), pa.array(matched.ravel()))
+        plain = [pa.array(got[c]) if c in got else pa.nulls(len(lists), pa.int64()) for c in names]
+        return pa.StructArray.from_arrays([lists, *plain], ["matched", *names])
+    return count
 
 
-def matched_ngrams(ns: Sequence[int], listed=None):
-    """Column function over two word arrays: clipped matches for each n, and
-    how many generated words are missing from ``listed`` (a broadcast set)."""
-    @F.pandas_udf("struct<matched:array<long>,missing:long>")
-    def count(generated: pd.Series, reference: pd.Series) -> pd.DataFrame:
-        known = listed.value if listed is not None else None
-        rows = [(list(g), list(r)) for g, r in zip(generated, reference)]
-        return pd.DataFrame({
-            "matched": pd.Series([[_clipped(g, r, n) for n in ns] for g, r in rows], dtype=object),
-            "missing": pd.Series([None if known is None else sum(w not in known for w in g) for g, _ in rows],
-                                 dtype="Int64")})
-    return count
+def lowered(text_col) -> Column:
+    return F.lower(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def ngram_total(words, n: int) -> Column:
-    return F.greatest(F.size(words) - F.lit(n - 1), F.lit(0)).cast("bigint")
+def ngram_total(n_words, n: int) -> Column:
+    return F.greatest(F.col(n_words) - F.lit(n - 1), F.lit(0)).cast("bigint")
 
 
 def ngram_overlap(pairs: DataFrame, key: str, gen_col: str, ref_col: str,
                   ns: Sequence[int] = (1, 2), carry: Sequence[str] = ()) -> DataFrame:
     """(key, carry..., n, matched, gen_total, ref_total) per pair and n in ``ns``."""
-    ship_package(pairs.sparkSession)
-    base = (pairs.select(key, *carry, segment.words(gen_col).alias("_gw"), segment.words(ref_col).alias("_rw"))
-            .withColumn("_m", matched_ngrams(ns)("_gw", "_rw").getField("matched")))
-    per_n = [F.struct(F.lit(n).alias("n"), F.get("_m", F.lit(i)).alias("matched"),
-                      ngram_total("_gw", n).alias("gen_total"), ngram_total("_rw", n).alias("ref_total"))
+    bounded_batches(pairs.sparkSession)
+    base = pairs.select(key, *carry, pair_counts(ns)(lowered(gen_col), lowered(ref_col)).alias("_m"))
+    per_n = [F.struct(F.lit(n).alias("n"), F.get("_m.matched", F.lit(i)).alias("matched"),
+                      ngram_total("_m.n_words", n).alias("gen_total"), ngram_total("_m.n_ref", n).alias("ref_total"))
              for i, n in enumerate(ns)]
     return base.select(key, *carry, F.explode(F.array(*per_n)).alias("_x")).select(key, *carry, "_x.*")
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from corpuslens.operators import textrank
 from corpuslens.operators.extract import guarded_sentences
 from corpuslens.options import CANDIDATE_LIMIT
-from corpuslens.session import ship_package
+from corpuslens.session import bounded_batches
 
 # Parameters of the definition.
 RUN = r"\p{L}{3,}+(?: \p{L}{3,}+)*+"  # possessive: a long run needs no recursion
@@ -81,7 +81,7 @@ def phrase_ranked(docs: DataFrame, key: str, text_col: str, stop: DataFrame | No
                   top: int = PHRASES) -> DataFrame:
     """(key, phrases array<struct<phrase, rank>>, distances array<double>),
     best phrase first, distances by sentence."""
-    ship_package(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     listed = _stop_set(stop)
     runs = F.transform(guarded_sentences(text_col), lambda s: F.regexp_extract_all(F.lower(s), F.lit(RUN), F.lit(0)))
     kind = docs.schema[key].dataType.simpleString()

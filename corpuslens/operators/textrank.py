@@ -27,14 +27,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.options import CANDIDATE_LIMIT
-from corpuslens.session import cut_lineage, ship_package
+from corpuslens.session import bounded_batches, cut_lineage
 
 # Algorithm parameters.
-TEXTRANK_WORD_PATTERN = r"\p{L}{3,}"
+LEAST_LETTERS = 3
+TEXTRANK_WORD_PATTERN = rf"\p{{L}}{{{LEAST_LETTERS},}}"
 DAMPING = 0.85
 ITERATIONS = 10
 LOOKBACK = 3
@@ -97,42 +99,49 @@ def word_pagerank(edges: DataFrame, key: str, iterations: int = ITERATIONS,
     return ranks.withColumnRenamed("r", "rank")
 
 
-def _graph_ranks(words, lookback: int, iterations: int, damping: float):
-    """PageRank of one document's co-occurrence graph: (words, ranks)."""
-    if len(words) < 2:
-        return [], []
-    vocab, codes = np.unique(np.asarray(words, dtype=object), return_inverse=True)
-    src, dst = [], []
+def _graph(codes: np.ndarray, lookback: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Edges a, b, weight of the co-occurrence graph of one document, and its
+    number of words; ``codes`` number its words from 0."""
+    v = int(codes.max(initial=-1)) + 1
+    src, dst = [codes[:0]], [codes[:0]]
     for d in range(1, lookback + 1):
         a, b = codes[:-d], codes[d:]
         keep = a != b
         src.append(a[keep])
         dst.append(b[keep])
-    a = np.concatenate(src + dst).astype(np.int64)
-    b = np.concatenate(dst + src).astype(np.int64)
-    if a.size == 0:
-        return [], []
-    v = len(vocab)
-    pairs, weight = np.unique(a * v + b, return_counts=True)
-    a, b = pairs // v, pairs % v
+    pairs, weight = np.unique(np.concatenate(src + dst) * v + np.concatenate(dst + src), return_counts=True)
+    return pairs // max(v, 1), pairs % max(v, 1), weight, v
+
+
+def _ranks(a, b, weight, v: int, iterations: int, damping: float) -> tuple[np.ndarray, np.ndarray]:
+    """PageRank of one graph: its nodes and the rank of all ``v`` words."""
     p = weight / np.bincount(a, weights=weight, minlength=v)[a]
     nodes = np.unique(a)
     n = float(len(nodes))
     r = np.zeros(v)
-    r[nodes] = 1.0 / n
+    r[nodes] = 1.0 / max(n, 1.0)
     for _ in range(iterations):
         s = np.bincount(b, weights=p * r[a], minlength=v)
         nxt = np.zeros(v)
-        nxt[nodes] = (1.0 - damping) / n + damping * s[nodes]
+        nxt[nodes] = (1.0 - damping) / max(n, 1.0) + damping * s[nodes]
         r = nxt
-    return vocab[nodes].tolist(), r[nodes].tolist()
+    return nodes, r
+
+
+def _graph_ranks(words, lookback: int, iterations: int, damping: float):
+    """PageRank of one document's co-occurrence graph: (words, ranks)."""
+    if len(words) < 2:
+        return [], []
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    nodes, r = _ranks(*_graph(coded.indices.to_numpy().astype(np.int64), lookback), iterations, damping)
+    return coded.dictionary.take(pa.array(nodes)).to_pylist(), r[nodes].tolist()
 
 
 def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame | None = None,
                    lookback: int = LOOKBACK, iterations: int = ITERATIONS,
                    damping: float = DAMPING) -> DataFrame:
     """(key, word, rank) computed per document row, without any shuffle."""
-    ship_package(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     fw = _filtered_words(docs, [key], text_col, stop)
     key_type = fw.schema[key].dataType.simpleString()
 
@@ -151,17 +160,16 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame | N
     return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
 
 
-def kept_positions(words, sizes, limit: int, lookback: int = LOOKBACK, iterations: int = ITERATIONS,
+def kept_positions(codes: np.ndarray, sizes: np.ndarray, limit: int, lookback: int = LOOKBACK, iterations: int = ITERATIONS,
                    damping: float = DAMPING) -> list[int]:
     """1-based positions of the ``limit`` best sentences of one document.
 
-    ``words`` are the words of all its sentences in a row, ``sizes`` how many
-    of them each sentence has."""
-    vocab, ranks = _graph_ranks(words, lookback, iterations, damping)
-    rank_of = dict(zip(vocab, ranks))
-    scores, at = [], 0
-    for n in sizes:
-        scores.append(round(sum(rank_of.get(w, 0.0) for w in set(words[at:at + n])), SCORE_DIGITS))
-        at += n
+    ``codes`` number the words of all its sentences in a row, ``sizes`` is how
+    many of them each sentence has."""
+    _, codes = np.unique(codes, return_inverse=True)
+    _, rank = _ranks(*_graph(codes.astype(np.int64), lookback), iterations, damping)
+    v = max(len(rank), 1)
+    at, word = np.divmod(np.unique(np.repeat(np.arange(len(sizes)), sizes) * v + codes), v)
+    scores = [round(s, SCORE_DIGITS) for s in np.bincount(at, rank[word], len(sizes)).tolist()]
     order = sorted(range(len(scores)), key=lambda i: (-scores[i], i))
     return sorted(i + 1 for i in order[:limit])

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions import segment
-from corpuslens.session import cut_lineage, ship_package
+from corpuslens.functions import wordruns as W
+from corpuslens.session import bounded_batches, cut_lineage, ship_package
 
 
 def term_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
@@ -48,7 +49,10 @@ def idf_table(docs: DataFrame, key: str, text_col: str) -> DataFrame:
 
 def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """(key, term), one row for each term of a document."""
-    return docs.select(key, F.explode(F.array_distinct(segment.words(text_col))).alias("term"))
+    bounded_batches(docs.sparkSession)
+    distinct_words = F.arrow_udf(W.distinct, "array<string>")
+    words = docs.select(key, distinct_words(F.lower(F.coalesce(F.col(text_col), F.lit("")))).alias("_w"))
+    return words.select(key, F.explode("_w").alias("term"))
 
 
 def dense_cosine(a, b) -> Column:

@@ -110,6 +110,20 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+#: rows of an Arrow batch: whole texts are rows here, and Spark's default of
+#: 10,000 of them lets a worker's memory grow with the input
+BATCH_ROWS = 500
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Ship the package and bound the rows of an Arrow batch (smaller
+    settings stay)."""
+    ship_package(spark)
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 _SHIPPED: set[str] = set()
 
 
