@@ -28,9 +28,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.functions import wordruns
 from corpuslens.options import CANDIDATE_LIMIT
 from corpuslens.session import bounded_batches, cut_lineage
 
@@ -42,6 +44,9 @@ ITERATIONS = 10
 LOOKBACK = 3
 SCORE_DIGITS = 9
 
+#: words of documents and edges that a worker holds together
+WORDS_AT_ONCE, EDGES_AT_ONCE = 100_000, 100_000
+
 
 def textrank_words(col) -> F.Column:
     c = F.col(col) if isinstance(col, str) else col
@@ -60,22 +65,53 @@ def _filtered_words(rows: DataFrame, keys: list[str], text_col: str, stop: DataF
     return with_stop.select(*keys, F.filter("_w", lambda x: ~F.array_contains(F.col("_stop"), x)).alias("words"))
 
 
+def _row_edges(lookback: int):
+    """Arrow function: (key, words) rows -> the edges of every row."""
+    def run(batches):
+        for batch in batches:
+            keys, lists = batch.column(0), batch.column(1)
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, j in wordruns.blocks(n, WORDS_AT_ONCE):
+                coded = lists.slice(i, j - i).flatten().dictionary_encode()
+                code, row = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(j - i), n[i:j])
+                v = max(len(coded.dictionary), 1)
+                near = []
+                for d in range(1, lookback + 1):
+                    a, b, of = code[:-d], code[d:], row[d:]
+                    keep = (a != b) & (row[:-d] == of)
+                    near += [(of[keep] * v + a[keep]) * v + b[keep], (of[keep] * v + b[keep]) * v + a[keep]]
+                edge, weight = np.unique(np.concatenate(near), return_counts=True)
+                edge, b = np.divmod(edge, v)
+                of, a = np.divmod(edge, v)
+                for at in range(0, len(of), EDGES_AT_ONCE):
+                    part = slice(at, at + EDGES_AT_ONCE)
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.slice(i, j - i).take(pa.array(of[part])), coded.dictionary.take(pa.array(a[part])),
+                         coded.dictionary.take(pa.array(b[part])), pa.array(weight[part].astype(np.int64))],
+                        [batch.schema.field(0).name, "a", "b", "weight"])
+    return run
+
+
 def cooccurrence_edges(docs: DataFrame, key: str, text_col: str, stop: DataFrame | None = None,
                        lookback: int = LOOKBACK) -> DataFrame:
-    """(key, a, b, weight): both directions of every undirected edge."""
+    """(key, a, b, weight): both directions of every undirected edge.
+
+    A document's edges are counted in its row and not shuffled.  Only where
+    several rows have one key are their counts added up.
+    """
+    bounded_batches(docs.sparkSession)
+    often = cut_lineage(docs.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"))
     fw = _filtered_words(docs, [key], text_col, stop)
+    kind = fw.schema[key].dataType.simpleString()
+
+    def edges(rows):
+        return rows.select(key, "words").mapInArrow(_row_edges(lookback), f"`{key}` {kind}, a string, b string, weight bigint")
 
-    def pairs_at(d):
-        return F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("words") - d, F.lit(0))),
-            lambda i: F.struct(F.element_at("words", i).alias("a"), F.element_at("words", i + d).alias("b")))
-
-    # sequence(1, 0) is [1, 0]: guard short arrays explicitly
-    parts = [F.when(F.size("words") > d, pairs_at(d)).otherwise(F.array()) for d in range(1, lookback + 1)]
-    ex = fw.select(key, F.explode(F.concat(*parts)).alias("e")).where(F.col("e.a") != F.col("e.b"))
-    both = ex.select(key, F.col("e.a").alias("a"), F.col("e.b").alias("b")).unionByName(
-        ex.select(key, F.col("e.b").alias("a"), F.col("e.a").alias("b")))
-    return both.groupBy(key, "a", "b").agg(F.count(F.lit(1)).alias("weight"))
+    if often.isEmpty():
+        return edges(fw)
+    same = F.col(key).eqNullSafe(F.col("_k"))
+    added = edges(fw.join(often, same, "left_semi")).groupBy(key, "a", "b").agg(F.sum("weight").alias("weight"))
+    return edges(fw.join(often, same, "left_anti")).unionByName(added)
 
 
 def word_pagerank(edges: DataFrame, key: str, iterations: int = ITERATIONS,

@@ -95,3 +95,26 @@ def test_pluggable_dense_encoder(spark):
                                "id int, s string, d string")
     got = {r.id: r.c for r in df.select("id", vectors.dense_cosine(enc("s"), enc("d")).alias("c")).collect()}
     assert got[1] == pytest.approx(1.0) and got[2] == pytest.approx(0.0) and got[3] is None
+
+
+def test_edges_are_counted_in_the_row(spark):
+    """Distinct keys need no exchange of edges; repeated and null ones add up."""
+    from collections import Counter
+
+    rows = [(1, "alpha beta alpha gamma"), (2, "beta alpha delta"), (3, None), (4, "solo solo")]
+    def want(rows):
+        out = Counter()
+        for k, t in rows:
+            w = (t or "").split()
+            for i in range(len(w)):
+                for d in (1, 2, 3):
+                    if i + d < len(w) and w[i] != w[i + d]:
+                        out.update([(k, w[i], w[i + d]), (k, w[i + d], w[i])])
+        return out
+
+    for more in ([], [(1, "beta alpha"), (None, "alpha beta"), (None, "beta alpha gamma")]):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        edges = TR.cooccurrence_edges(docs, "doc_id", "text")
+        assert {(r.doc_id, r.a, r.b): r.weight for r in edges.collect()} == want(rows + more)
+        if not more:
+            assert "Exchange" not in edges._jdf.queryExecution().executedPlan().toString()
