@@ -50,9 +50,16 @@ def idf_table(docs: DataFrame, key: str, text_col: str) -> DataFrame:
 def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """(key, term), one row for each term of a document."""
     bounded_batches(docs.sparkSession)
-    distinct_words = F.arrow_udf(W.distinct, "array<string>")
-    words = docs.select(key, distinct_words(F.lower(F.coalesce(F.col(text_col), F.lit("")))).alias("_w"))
-    return words.select(key, F.explode("_w").alias("term"))
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            words = W.distinct(batch.column(1))
+            row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), words.flatten()], [key, "term"])
+
+    return (docs.select(key, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
+            .mapInArrow(run, f"`{key}` {kind}, term string"))
 
 
 def dense_cosine(a, b) -> Column:
