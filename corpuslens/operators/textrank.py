@@ -16,8 +16,9 @@ sentences that reach the vector ranking):
 
 Two executions of the same definition:
 
-* ``cooccurrence_edges`` + ``word_pagerank``: edges as rows and PageRank as
-  unrolled join/aggregate iterations -- general, works for any edge table.
+* ``cooccurrence_edges`` + ``word_pagerank``: edges as rows and PageRank of
+  any edge table, in one row per graph where its edges lie together, else as
+  unrolled join/aggregate iterations.
 * ``doc_word_ranks``: each document's graph is independent and bounded by
   the document's length, so the graph is built and iterated inside one row
   (numpy); no shuffle at all.  The extraction job uses the same kernel.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import wordruns
 from corpuslens.options import CANDIDATE_LIMIT
-from corpuslens.session import bounded_batches, cut_lineage
+from corpuslens.session import bounded_batches, cut_lineage, scratch_dir
 
 # Algorithm parameters.
 LEAST_LETTERS = 3
@@ -46,6 +47,8 @@ SCORE_DIGITS = 9
 
 #: words of documents and edges that a worker holds together
 WORDS_AT_ONCE, EDGES_AT_ONCE = 100_000, 100_000
+#: edges of a graph that may be one row
+EDGES_PER_ROW = 200_000
 
 
 def textrank_words(col) -> F.Column:
@@ -114,9 +117,114 @@ def cooccurrence_edges(docs: DataFrame, key: str, text_col: str, stop: DataFrame
     return edges(fw.join(often, same, "left_anti")).unionByName(added)
 
 
+def _pack(edges: pa.Table) -> pa.RecordBatch:
+    """Edges of some graphs in a row -> one row a run of equal keys."""
+    key = edges.column(0).combine_chunks()
+    code = key.dictionary_encode(null_encoding="encode").indices.to_numpy()
+    first = np.concatenate([[0], np.flatnonzero(code[1:] != code[:-1]) + 1])
+    run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(code))))
+    sides = pa.concat_arrays([edges.column(c).combine_chunks() for c in (1, 2)])
+    words = sides.dictionary_encode(null_encoding="encode")
+    v = len(words.dictionary)
+    node, at = np.unique(np.tile(run, 2) * v + words.indices.to_numpy(), return_inverse=True)
+    of, n = node // v, len(run)
+    start = np.searchsorted(of, np.arange(len(first) + 1))
+    local = (at - np.tile(start[run], 2)).astype(np.int32)
+    met = np.zeros((2, len(node)), bool)
+    met[0, at[:n]], met[1, at[n:]] = True, True
+    weight = edges.column(3).combine_chunks()
+    known = pc.is_valid(sides).to_numpy(zero_copy_only=False)
+    wrong = ~(known[:n] & known[n:] & pc.is_valid(key).to_numpy(zero_copy_only=False)
+              & pc.fill_null(pc.greater(weight, 0.0), False).to_numpy(zero_copy_only=False))
+    even = (np.bincount(of, ~met.all(0), len(first)) + np.bincount(run, wrong, len(first))) == 0
+    stops = pa.array(np.append(first, n), pa.int32())
+    lists = [pa.ListArray.from_arrays(pa.array(start, pa.int32()), words.dictionary.take(pa.array(node % v))),
+             *[pa.ListArray.from_arrays(stops, x) for x in (pa.array(local[:n]), pa.array(local[n:]), weight)]]
+    return pa.RecordBatch.from_arrays([key.take(pa.array(first)), *lists, pa.array(even)],
+                                      [edges.column_names[0], "words", "a", "b", "weight", "even"])
+
+
+def _packs(batches):
+    """Arrow function: edge rows -> graphs, as far as their edges lie in a row."""
+    held, goal = [], EDGES_AT_ONCE
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < goal:
+            continue
+        edges = pa.Table.from_batches(held).combine_chunks()
+        code = edges.column(0).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        last = int(np.max(np.flatnonzero(code[1:] != code[:-1]), initial=-1)) + 1
+        if len(code) - last >= EDGES_PER_ROW:
+            last = len(code)
+        if last:
+            yield _pack(edges.slice(0, last))
+        held = edges.slice(last).to_batches()
+        goal = max(EDGES_AT_ONCE, 2 * (len(code) - last))
+    if sum(b.num_rows for b in held):
+        yield _pack(pa.Table.from_batches(held).combine_chunks())
+
+
+def _unpacked_edges(packs: DataFrame, key: str) -> DataFrame:
+    e = packs.select(key, "words", F.explode(F.arrays_zip("a", "b", "weight")).alias("e"))
+    return e.select(key, F.get("words", F.col("e.a")).alias("a"), F.get("words", F.col("e.b")).alias("b"), "e.weight")
+
+
+def _pack_ranks(iterations: int, damping: float):
+    """Arrow function: whole graphs -> (key, word, rank), some at a time."""
+    def run(batches):
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("a")).to_numpy().astype(np.int64)
+            for i, j in wordruns.blocks(sizes, EDGES_AT_ONCE):
+                part = batch.slice(i, j - i)
+                n = pc.list_value_length(part.column("words")).to_numpy().astype(np.int64)
+                before = np.repeat(np.cumsum(n) - n, sizes[i:j])
+                a, b = (part.column(c).flatten().to_numpy() + before for c in ("a", "b"))
+                weight = part.column("weight").flatten().to_numpy().astype(float)
+                nodes, total = np.repeat(n, n).astype(float), int(n.sum())
+                p = weight / np.bincount(a, weight, total)[a]
+                r = 1.0 / nodes
+                for _ in range(iterations):
+                    r = (1.0 - damping) / nodes + damping * np.bincount(b, p * r[a], total)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.repeat(np.arange(j - i), n))), part.column("words").flatten(),
+                     pa.array(r)], [batch.schema.field(0).name, "word", "rank"])
+    return run
+
+
 def word_pagerank(edges: DataFrame, key: str, iterations: int = ITERATIONS,
                   damping: float = DAMPING) -> DataFrame:
-    """(key, word, rank) after a fixed number of power iterations per graph."""
+    """(key, word, rank) after a fixed number of power iterations per graph.
+
+    Edges of one key that follow each other are packed into one row (words
+    once, edges as numbers) and written once.  A graph that is one such row is
+    iterated there.  Graphs in several rows (too large for one, or with edges
+    scattered over the table) and those with one-way words or odd weights are
+    iterated by joins.
+    """
+    spark = edges.sparkSession
+    bounded_batches(spark)
+    kinds = {c: edges.schema[c].dataType.simpleString() for c in (key, "weight")}
+    path = scratch_dir(spark, "graphs")
+    edges.select(key, "a", "b", "weight").mapInArrow(
+        _packs, f"`{key}` {kinds[key]}, words array<string>, a array<int>, b array<int>, "
+        f"weight array<{kinds['weight']}>, even boolean").write.option("compression", "zstd").parquet(path)
+    packs = spark.read.parquet(path)
+    other = cut_lineage(packs.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min("even").alias("_even"))
+                        .where("_n > 1 or not _even").select("_k"))
+
+    def in_rows(rows):
+        return rows.select(key, "words", "a", "b", "weight").mapInArrow(
+            _pack_ranks(iterations, damping), f"`{key}` {kinds[key]}, word string, rank double")
+
+    if other.isEmpty():
+        return in_rows(packs)
+    same = F.col(key).eqNullSafe(F.col("_k"))
+    joined = _joined_pagerank(_unpacked_edges(packs.join(other, same, "left_semi"), key), key, iterations, damping)
+    return in_rows(packs.join(other, same, "left_anti")).unionByName(joined)
+
+
+def _joined_pagerank(edges: DataFrame, key: str, iterations: int, damping: float) -> DataFrame:
+    """``word_pagerank`` of any edge table, an aggregation per iteration."""
     out_w = edges.groupBy(key, "a").agg(F.sum("weight").alias("out_w"))
     trans = (edges.join(out_w, [key, "a"])
              .select(key, "a", "b", (F.col("weight") / F.col("out_w")).alias("p")))

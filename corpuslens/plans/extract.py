@@ -197,7 +197,7 @@ _SQL_PAGERANK = (_SQL_ALLDOCS_EDGES + ", " + _sql_pagerank()
 
 @query("word_pagerank", _SQL_PAGERANK)
 def q_word_pagerank(spark, sf_dir):
-    """PageRank of any edge table, by joins."""
+    """PageRank of an edge table."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = TR.word_pagerank(TR.cooccurrence_edges(docs, "doc_id", "text"), "doc_id")
     return ranks.select("doc_id", "word", r6("rank").alias("rank"))

@@ -118,3 +118,23 @@ def test_edges_are_counted_in_the_row(spark):
         assert {(r.doc_id, r.a, r.b): r.weight for r in edges.collect()} == want(rows + more)
         if not more:
             assert "Exchange" not in edges._jdf.queryExecution().executedPlan().toString()
+
+
+def test_graphs_in_one_row_equal_the_joins(spark, monkeypatch):
+    """Graphs whose edges lie together shuffle none; scattered, large, one-way
+    and repeated ones, null keys and words give what the joins give."""
+    whole = [(k, x, y, w) for k in (1, 2, 3) for a, b, w in [("p", "q", 2), ("q", "r", k), ("p", "s", 1)]
+             for x, y in ((a, b), (b, a))]
+    odd = [(4, "p", "q", 1), (4, "q", "r", 2), (None, "p", "q", 1), (None, "q", "p", 1), (5, None, "q", 1), (5, "q", "p", 3),
+           (5, "p", "q", 1), (1, "q", "t", 1), (1, "t", "q", 1)]
+    def got(df):
+        return sorted((r.k, r.word, round(r["rank"], 12)) for r in df.collect())
+
+    for rows, least in ((whole, 200_000), (whole + odd, 200_000), (whole + odd, 2)):
+        monkeypatch.setattr(TR, "EDGES_PER_ROW", least)
+        monkeypatch.setattr(TR, "EDGES_AT_ONCE", min(least, 100_000))
+        edges = spark.createDataFrame(rows, "k long, a string, b string, weight long").coalesce(1)
+        ranks = TR.word_pagerank(edges, "k")
+        assert got(ranks) == got(TR._joined_pagerank(edges, "k", TR.ITERATIONS, TR.DAMPING))
+        if rows is whole:
+            assert "Exchange" not in ranks._jdf.queryExecution().executedPlan().toString()
