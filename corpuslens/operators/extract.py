@@ -51,8 +51,8 @@ def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     Words never cross a sentence boundary, so the document's counts are the
     counts of its whole text (blank texts have no words either way).
     """
-    tf = vectors.term_counts(docs, [key], text_col)
-    return tf.join(vectors.idf_table(docs, key, text_col), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    tf = vectors.document_counts(docs, key, text_col)
+    return vectors.with_idf(tf, vectors.idf_table(docs, key, text_col)).withColumn("w", F.col("tf") * F.col("idf"))
 
 
 def _cosines(found: pa.Array, n_words: np.ndarray, doc: np.ndarray, terms: pa.Array, idf: np.ndarray, docs: int) -> np.ndarray:

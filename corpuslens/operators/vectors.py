@@ -62,6 +62,56 @@ def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
             .mapInArrow(run, f"`{key}` {kind}, term string"))
 
 
+def row_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
+    """(keys, term, tf) of every row by itself, without a shuffle; rows with
+    the same keys are not added up.  A row's terms follow each other."""
+    bounded_batches(rows.sparkSession)
+    names = [*keys, "term", "tf"]
+    kinds = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(len(keys))
+            for i, j in W.blocks(pc.utf8_length(text).to_numpy().astype(np.int64)):
+                found, n, _ = W.words(*W.code_points(text.slice(i, j - i)), W.latin())
+                code, terms = W.numbered(found)
+                v = max(len(terms), 1)
+                pair, tf = np.unique(np.repeat(np.arange(j - i), n) * v + code, return_counts=True)
+                row, term = np.divmod(pair, v)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(pa.array(row + i)) for c in range(len(keys))],
+                     terms.take(pa.array(term)).cast(pa.string()), pa.array(tf.astype(np.int64))], names)
+
+    return (rows.select(*keys, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
+            .mapInArrow(run, ", ".join([*kinds, "term string", "tf bigint"])))
+
+
+def document_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, term, tf) of every document.  Only documents of several rows
+    are added up by a shuffle."""
+    often = cut_lineage(docs.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"))
+    if often.isEmpty():
+        return row_counts(docs, [key], text_col)
+    same = F.col(key).eqNullSafe(F.col("_k"))
+    added = (row_counts(docs.join(often, same, "left_semi"), [key], text_col)
+             .groupBy(key, "term").agg(F.sum("tf").alias("tf")))
+    return row_counts(docs.join(often, same, "left_anti"), [key], text_col).unionByName(added)
+
+
+#: terms that may be sent to every task
+FREQUENT = 1 << 18
+
+
+def with_idf(counts: DataFrame, idf: DataFrame) -> DataFrame:
+    """``counts`` with the idf of their terms: the most frequent terms (lowest
+    idf) are sent to the tasks, so only rows of the rare ones are shuffled."""
+    if idf.count() <= FREQUENT:
+        return counts.join(F.broadcast(idf), "term")
+    often = F.broadcast(cut_lineage(idf.orderBy("idf", "term").limit(FREQUENT)))
+    rare = counts.join(often.select("term"), "term", "left_anti").join(idf, "term")
+    return counts.join(often, "term").unionByName(rare)
+
+
 def dense_cosine(a, b) -> Column:
     """Cosine of two equal-length numeric arrays, as doubles; null on zero norm."""
     a = F.col(a) if isinstance(a, str) else a

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators import extract, latent, vectors
 from corpuslens.plans.registry import query, r6
+from corpuslens.session import cut_lineage, scratch_dir
 from corpuslens.sources.tables import read_table
 
 RANK, OVERSAMPLE, POWER_STEPS = 16, 8, 1
@@ -13,7 +14,10 @@ RANK, OVERSAMPLE, POWER_STEPS = 16, 8, 1
 
 def _trained(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    cells = extract.document_terms(docs, "doc_id", "text").select("doc_id", "term", "idf", "w")
+    path = scratch_dir(spark, "cells")
+    (extract.document_terms(docs, "doc_id", "text").select("doc_id", "term", "idf", "w")
+     .write.option("compression", "zstd").parquet(path))
+    cells = spark.read.parquet(path)
     encoder, strength = latent.fit(cells, "doc_id", RANK, OVERSAMPLE, POWER_STEPS)
     return docs, cells, encoder, strength
 
@@ -22,7 +26,7 @@ def _trained(spark, sf_dir):
 def q_dense_document_vectors(spark, sf_dir):
     """Every document's vector length and its share of the full TF-IDF length."""
     _, cells, encoder, strength = _trained(spark, sf_dir)
-    vec = latent.text_vectors(cells, ["doc_id"], encoder, len(strength))
+    vec = latent.text_vectors(cells, ["doc_id"], encoder, len(strength), latent.frequent_terms(cells))
     full = cells.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("full"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     return vec.join(full, "doc_id").select("doc_id", r6(norm).alias("norm"), r6(norm / F.col("full")).alias("kept"))
@@ -32,10 +36,12 @@ def q_dense_document_vectors(spark, sf_dir):
 def q_dense_sentence_cosine(spark, sf_dir):
     """Cosine of every sentence to its document, on trained dense vectors."""
     docs, cells, encoder, strength = _trained(spark, sf_dir)
-    whole = latent.text_vectors(cells, ["doc_id"], encoder, len(strength)).withColumnRenamed("vector", "whole")
-    tf = vectors.term_counts(extract.sentence_rows(docs, "doc_id", "text"), ["doc_id", "pos"], "sentence")
+    frequent = latent.frequent_terms(cells)
+    whole = latent.text_vectors(cells, ["doc_id"], encoder, len(strength), frequent).withColumnRenamed("vector", "whole")
+    tf = vectors.row_counts(extract.sentence_rows(docs, "doc_id", "text"), ["doc_id", "pos"], "sentence")
     weights = cells.select("term", "idf").dropDuplicates(["term"])
-    part = tf.join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    one = latent.text_vectors(part, ["doc_id", "pos"], encoder, len(strength))
+    # a term's weight is in its vector, so that the counts meet one table
+    scaled = encoder.join(weights, "term").select("term", F.transform("vector", lambda x: x * F.col("idf")).alias("vector"))
+    one = latent.text_vectors(tf.withColumnRenamed("tf", "w"), ["doc_id", "pos"], cut_lineage(scaled), len(strength), frequent)
     return one.join(whole, "doc_id").select("doc_id", F.col("pos").cast("bigint").alias("pos"),
                                             r6(vectors.dense_cosine("vector", "whole")).alias("cosine"))

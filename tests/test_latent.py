@@ -82,3 +82,23 @@ def test_centroids_of_ragged_and_null_vectors(spark):
     df = spark.createDataFrame(rows, "g string, v array<float>").repartition(3)
     got = {r.g: r.centroid for r in vectors.group_centroids(df, "g", "v").collect()}
     assert got["a"] == [2.0, 2.0, 5.0] and got["b"] == [7.0] and got[None] == [1.5]
+
+
+def test_rare_terms_are_joined_and_frequent_ones_sent(spark, monkeypatch):
+    """Which terms are frequent changes where a product is taken, not its result;
+    cells of frequent terms are not shuffled for a text's vector."""
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=(40, 9)) * (rng.random((40, 9)) < 0.6) * np.linspace(3, 1, 9)
+    cells, rows = _cells(spark, a).coalesce(2), []
+    for frequent in ([], ["t1", "t4", "nowhere"], [f"t{i}" for i in range(9)]):
+        encoder, values = latent.fit(cells, "k", 9, 9, 1, frequent)
+        assert np.allclose(values, np.linalg.svd(a, compute_uv=False))
+        vec = latent.text_vectors(cells, ["k"], encoder, len(values), frequent)
+        rows.append({r.k: np.linalg.norm(r.vector) for r in vec.collect()})
+        assert rows[-1] == pytest.approx({i: np.linalg.norm(x) for i, x in enumerate(a) if x.any()})
+    docs = spark.createDataFrame([(1, "b a a c"), (1, "a d"), (2, "a É é"), (None, "c"), (3, None)], "doc_id long, text string")
+    want = {(r.doc_id, r.term): (r.tf, r.w) for r in extract.document_terms(docs, "doc_id", "text").collect()}
+    assert {k: v[0] for k, v in want.items()} == {(1, "a"): 3, (1, "b"): 1, (1, "c"): 1, (1, "d"): 1, (2, "a"): 1, (2, "é"): 2,
+                                                  (None, "c"): 1}
+    monkeypatch.setattr(vectors, "FREQUENT", 2)
+    assert {(r.doc_id, r.term): (r.tf, r.w) for r in extract.document_terms(docs, "doc_id", "text").collect()} == want
