@@ -1,9 +1,10 @@
 """Extract-and-rank: candidate sentences (TextRank) ranked by cosine to their
 document, cut to several summary lengths from ONE ranking.
 
-Shape of the job: document frequencies of all terms -> weights of each
-document's terms, regrouped by document -> one join with the texts -> in each
-row: split, score (numpy, Arrow batches), sort, slice to every length.
+Shape of the job: document frequencies of all terms -> weights of the most
+frequent terms, sent to the tasks; those of each document's rare terms, if
+there are any, regrouped by document and joined with the texts -> in each row:
+split, score (numpy, Arrow batches), sort, slice to every length.
 """
 
 from __future__ import annotations
@@ -55,12 +56,15 @@ def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return vectors.with_idf(tf, vectors.idf_table(docs, key, text_col)).withColumn("w", F.col("tf") * F.col("idf"))
 
 
-def _cosines(found: pa.Array, n_words: np.ndarray, doc: np.ndarray, terms: pa.Array, idf: np.ndarray, docs: int) -> np.ndarray:
+def _cosines(found: pa.Array, n_words: np.ndarray, doc: np.ndarray, terms: pa.Array, idf: np.ndarray, docs: int,
+             often: dict[str, float]) -> np.ndarray:
     """TF-IDF cosine of every sentence to its document: ``n_words`` of the
-    words ``found`` are a sentence's, ``doc`` is its document."""
+    words ``found`` are a sentence's, ``doc`` is its document; ``terms`` have
+    ``idf``, frequent ones that of ``often``."""
     code, names = W.numbered(pa.concat_arrays([found, terms.cast(found.type)]))
     v = max(len(names), 1)
     weight = np.zeros(v)
+    weight[:len(names)] = [often.get(t, 0.0) for t in names.to_pylist()]
     weight[code[len(found):]] = idf
     code = code[:len(found)]
     pair, tf = np.unique(np.repeat(np.arange(len(n_words)), n_words) * v + code, return_counts=True)
@@ -81,16 +85,15 @@ def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), n
 
 
-def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.ndarray, limit: int):
+def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.ndarray, keyed: np.ndarray, limit: int, often):
     """Cosines of all sentences of some documents, and the kept positions of
     the longer ones."""
     flat, n_sents = _flat(sents)
     points, sizes = W.code_points(flat)
     doc = np.repeat(np.arange(len(sents)), n_sents)
     found, n_words, _ = W.words(points, sizes, W.latin())
-    known, n_known = _flat(terms)
-    cos = _cosines(found, n_words, doc, known, _flat(idf)[0].to_numpy(zero_copy_only=False), len(sents))
-    cos[n_known[doc] == 0] = np.nan  # a document without a key has no weights
+    cos = _cosines(found, n_words, doc, _flat(terms)[0], _flat(idf)[0].to_numpy(zero_copy_only=False), len(sents), often)
+    cos[~keyed[doc]] = np.nan  # a document without a key has no weights
     keep = [None] * len(sents)
     if longer.any():
         some = np.repeat(longer[doc], sizes)
@@ -105,18 +108,18 @@ def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.nd
     return cos, keep
 
 
-def _scorer(limit: int):
+def _scorer(limit: int, sent):
     """Column function over lower-cased sentences: per document, the cosines
     of its sentences and, where it is longer, the positions TextRank keeps."""
     @F.arrow_udf("struct<cos:array<double>,keep:array<int>>")
-    def score(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: pa.Array) -> pa.Array:
+    def score(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: pa.Array, keyed: pa.Array) -> pa.Array:
         flat, n_sents = _flat(sents)
         size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.utf8_length(flat), 0).to_numpy(zero_copy_only=False))])
         at = np.concatenate([[0], np.cumsum(n_sents)])
-        marked = pc.fill_null(longer, False).to_numpy(zero_copy_only=False).astype(bool)
+        marked, named = (pc.fill_null(x, False).to_numpy(zero_copy_only=False).astype(bool) for x in (longer, keyed))
         cos, keep = [np.zeros(0)], []
         for i, j in W.blocks(np.diff(size[at]).astype(np.int64)):
-            c, k = _block_scores(*(x.slice(i, j - i) for x in (sents, terms, idf)), marked[i:j], limit)
+            c, k = _block_scores(*(x.slice(i, j - i) for x in (sents, terms, idf)), marked[i:j], named[i:j], limit, sent.value)
             cos.append(c)
             keep += k
         lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(cos)))
@@ -128,21 +131,27 @@ def scored_documents(docs: DataFrame, key: str, text_col: str, limit: int | None
     """(key, carry..., sents, cos, keep): sentences, their cosines to the
     document (null without words), and the positions TextRank keeps (null: all).
 
-    One shuffle brings a document's text together with the weights of its
-    terms; everything about its sentences then happens in its row.
+    The weights of frequent terms are sent to the tasks.  Only if there are
+    rare ones, a shuffle brings a document's text together with theirs;
+    everything about its sentences then happens in its row.
     """
     bounded_batches(docs.sparkSession)
     idf = vectors.idf_table(docs, key, text_col)
-    weights = (vectors.distinct_terms(docs, key, text_col).join(idf, "term")
-               .groupBy(key).agg(F.collect_list(F.struct("term", "idf")).alias("_weights")))
-    rows = (docs.select(key, text_col, *[c for c in carry if c != text_col]).join(weights, key, "left")
-            .withColumn("sents", guarded_sentences(text_col)))
+    sent, every = vectors.sent_idf(idf)
+    rows = docs.select(key, text_col, *[c for c in carry if c != text_col])
+    if every:
+        rows = rows.withColumn("_weights", F.lit(None).cast("array<struct<term:string,idf:double>>"))
+    else:
+        weights = (vectors.distinct_terms(docs, key, text_col, sent).join(idf, "term")
+                   .groupBy(key).agg(F.collect_list(F.struct("term", "idf")).alias("_weights")))
+        rows = rows.join(weights, key, "left")
+    rows = rows.withColumn("sents", guarded_sentences(text_col))
     # only documents beyond the limit need a word graph
     longer = F.lit(False) if limit is None else F.size("sents") > limit
     no_terms = F.array().cast("array<string>"), F.array().cast("array<double>")
-    scored = rows.withColumn("_s", _scorer(limit or 0)(
+    scored = rows.withColumn("_s", _scorer(limit or 0, sent)(
         F.transform("sents", lambda s: F.lower(s)), F.coalesce("_weights.term", no_terms[0]),
-        F.coalesce("_weights.idf", no_terms[1]), longer))
+        F.coalesce("_weights.idf", no_terms[1]), longer, F.col(key).isNotNull()))
     cos = F.transform("_s.cos", lambda c: F.when(~F.isnan(c), c))
     return scored.select(key, *carry, "sents", cos.alias("cos"), F.col("_s.keep").alias("keep"))
 

@@ -56,6 +56,14 @@ def _block_counts(generated: pa.Array, reference: pa.Array, ns: Sequence[int], k
     return out
 
 
+def _differs(texts: pa.Array) -> np.ndarray:
+    """Which texts are not the one before them: summaries of several lengths
+    are one text where a document is short, and are counted once."""
+    out = np.ones(len(texts), bool)
+    out[1:] = pc.fill_null(pc.not_equal(texts.slice(1), texts.slice(0, max(len(texts) - 1, 0))), True).to_numpy(zero_copy_only=False)
+    return out
+
+
 def pair_counts(ns: Sequence[int], listed=None):
     """Column function over two lower-cased texts: clipped matches for each n,
     words of both, vowel groups, sentences and letters of the generated one,
@@ -65,6 +73,8 @@ def pair_counts(ns: Sequence[int], listed=None):
     @F.arrow_udf("struct<matched:array<bigint>," + ",".join(f"{c}:bigint" for c in names) + ">")
     def count(generated: pa.Array, reference: pa.Array) -> pa.Array:
         known = pa.array(list(listed.value), pa.large_string()) if listed is not None else None
+        new = _differs(generated) | _differs(reference)
+        generated, reference = (c.filter(pa.array(new)) for c in (generated, reference))
         size = [pc.fill_null(pc.utf8_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (generated, reference)]
         parts = [_block_counts(generated.slice(i, j - i), reference.slice(i, j - i), ns, known)
                  for i, j in W.blocks(size[0] + size[1])]
@@ -73,7 +83,8 @@ def pair_counts(ns: Sequence[int], listed=None):
         matched = np.stack([got[f"m{n}"] for n in ns], 1)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, matched.size + 1, len(ns)), pa.int32()), pa.array(matched.ravel()))
         plain = [pa.array(got[c]) if c in got else pa.nulls(len(lists), pa.int64()) for c in names]
-        return pa.StructArray.from_arrays([lists, *plain], ["matched", *names])
+        out = pa.StructArray.from_arrays([lists, *plain], ["matched", *names])
+        return out.take(pa.array(np.cumsum(new) - 1))
     return count
 
 

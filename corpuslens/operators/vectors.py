@@ -47,8 +47,9 @@ def idf_table(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return cut_lineage(df.select("term", idf.alias("idf")))
 
 
-def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, term), one row for each term of a document."""
+def distinct_terms(docs: DataFrame, key: str, text_col: str, without=None) -> DataFrame:
+    """(key, term), one row for each term of a document that isn't listed in
+    ``without`` (a broadcast)."""
     bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -56,7 +57,11 @@ def distinct_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
         for batch in batches:
             words = W.distinct(batch.column(1))
             row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), words.flatten()], [key, "term"])
+            found = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), words.flatten()], [key, "term"])
+            if without is not None:
+                code, terms = W.numbered(found.column(1))
+                found = found.filter(pa.array(np.array([t not in without.value for t in terms.to_pylist()], bool)[code]))
+            yield found
 
     return (docs.select(key, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
             .mapInArrow(run, f"`{key}` {kind}, term string"))
@@ -112,6 +117,15 @@ def with_idf(counts: DataFrame, idf: DataFrame) -> DataFrame:
     return counts.join(often, "term").unionByName(rare)
 
 
+def sent_idf(idf: DataFrame):
+    """The most frequent terms and their idf as a broadcast, and whether
+    these are all terms."""
+    rows = idf.orderBy("idf", "term").limit(FREQUENT + 1).toArrow()
+    some = rows.slice(0, FREQUENT)
+    sent = idf.sparkSession.sparkContext.broadcast(dict(zip(some.column("term").to_pylist(), some.column("idf").to_pylist())))
+    return sent, len(rows) <= FREQUENT
+
+
 def dense_cosine(a, b) -> Column:
     """Cosine of two equal-length numeric arrays, as doubles; null on zero norm."""
     a = F.col(a) if isinstance(a, str) else a

@@ -138,3 +138,33 @@ def test_graphs_in_one_row_equal_the_joins(spark, monkeypatch):
         assert got(ranks) == got(TR._joined_pagerank(edges, "k", TR.ITERATIONS, TR.DAMPING))
         if rows is whole:
             assert "Exchange" not in ranks._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weights_of_frequent_terms_are_sent(spark, monkeypatch):
+    """A ranking is the same whether a term's weight is sent or joined; if all
+    are sent, no text is shuffled."""
+    from corpuslens.operators import extract, vectors
+
+    rows = [(1, "Red blue red. Green sky! Blue."), (2, "red sun. Odd words here? Red blue."), (2, "Sun sun. Rain."),
+            (None, "red. blue sky."), (3, ""), (4, None), (5, "1 2. 3!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for most in (1 << 18, 3, 0):
+        monkeypatch.setattr(vectors, "FREQUENT", most)
+        scored = extract.scored_documents(docs, "doc_id", "text", 2)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (most < 1000)
+        got.append(sorted((str(r.doc_id), str(r.sents), r.keep, [x and round(x, 12) for x in r.cos]) for r in scored.collect()))
+    assert got[0] == got[1] == got[2]
+    assert [r[3] for r in got[0] if r[0] == "None"] == [[None, None]]
+
+
+def test_repeated_pairs_are_counted_once_each(spark):
+    from corpuslens.operators import overlap
+
+    rows = [(i, *p) for i, p in enumerate([("a b a", "a b"), ("a b a", "a b"), ("a b a", "a c"), (None, "a c"), (None, "a c"),
+                                           ("", "a c"), ("a b a", "a b")])]
+    pairs = spark.createDataFrame(rows, "k int, g string, r string").coalesce(1)
+    got = {(r.k, r.n): (r.matched, r.gen_total, r.ref_total) for r in overlap.ngram_overlap(pairs, "k", "g", "r").collect()}
+    assert [got[i, 1] for i in range(7)] == [(2, 3, 2), (2, 3, 2), (1, 3, 2), (0, 0, 2), (0, 0, 2), (0, 0, 2), (2, 3, 2)]
+    assert [got[i, 2][0] for i in range(7)] == [1, 1, 0, 0, 0, 0, 1]
