@@ -9,6 +9,7 @@ be lower-cased already (Spark does that), so both forms agree.
 from __future__ import annotations
 
 import functools
+import hashlib
 import sys
 import unicodedata
 
@@ -36,8 +37,9 @@ def letters() -> np.ndarray:
     return table
 
 
-#: stands behind every text, so that nothing runs across two of them
-_END = sys.maxunicode + 1
+#: stands behind every text, so that nothing runs across two of them; no
+#: word or sentence holds it
+_END = "\n"
 
 
 def _plain(texts) -> pa.Array:
@@ -50,16 +52,11 @@ def code_points(texts) -> tuple[np.ndarray, np.ndarray]:
     number of them with its mark."""
     texts = _plain(texts)
     sizes = pc.utf8_length(texts).to_numpy().astype(np.int64)
-    ends = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
-    body = texts.buffers()[2]
-    raw = (body.to_pybytes() if body is not None else b"")[ends[0]:ends[-1]] if len(texts) else b""
-    points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
-    out = np.full(len(points) + len(texts), _END, np.uint32)
-    stops = np.cumsum(sizes + 1)
-    held = np.ones(len(out), bool)
-    held[stops - 1] = False
-    out[held] = points
-    return out, sizes + 1
+    ended = pc.binary_join_element_wise(texts, pa.scalar("", texts.type), pa.scalar(_END, texts.type))
+    body = ended.buffers()[2] if len(texts) else None
+    stops = np.frombuffer(ended.buffers()[1], np.int64, len(texts) + 1, 8 * ended.offset) if len(texts) else [0]
+    raw = body.slice(stops[0], stops[-1] - stops[0]) if body is not None else b""
+    return np.frombuffer(str(raw, "utf-8").encode("utf-32-le"), np.uint32), sizes + 1
 
 
 def _runs(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +67,47 @@ def _runs(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+@functools.cache
+def _letter_numbers(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 64, sys.maxunicode + 2, np.uint64)
+
+
+#: an odd factor and its inverse modulo 2^64
+_FACTOR = 0x9E3779B97F4A7C15
+_BACK = pow(_FACTOR, -1, 1 << 64)
+#: longer words are hashed by themselves
+_LONG = 256
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    """1, factor, factor^2, ... modulo 2^64, ``n`` of them at least."""
+    return _some_powers(factor, max(1 << 21, 1 << int(n).bit_length()))
+
+
+@functools.lru_cache(2)
+def _some_powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+def word_numbers(points: np.ndarray, sizes: np.ndarray, table: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number for every run of code points of ``table``, in order,
+    and how many runs each text has.
+
+    Equal words have equal numbers.  That different ones differ is for the
+    caller to check on its vocabulary (``vectors.sent_idf`` does)."""
+    mark = table[points]
+    first, stop = _runs(mark)
+    upto = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(_letter_numbers(seed)[points] * _powers(_FACTOR, len(points))[:len(points)], out=upto[1:])
+    out = (upto[stop] - upto[first]) * _powers(_BACK, len(points))[first]
+    for i in np.flatnonzero(stop - first > _LONG):
+        word = points[first[i]:stop[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+    return out.view(np.int64), per_text(first, sizes)
+
+
 def words(points: np.ndarray, sizes: np.ndarray, table: np.ndarray, least: int = 1) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """All runs of at least ``least`` code points of ``table``, in order, as
     strings; how many each text has; and their code points."""
@@ -108,10 +146,13 @@ def vowel_groups(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def sentences(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How many ``segment.sentences`` every text has: runs without a mark
     that end in one or are not all spaces."""
-    inside = ~np.isin(points, [ord("."), ord("!"), ord("?"), ord("\n"), _END])
+    mark = np.zeros(128, bool)
+    mark[[ord(c) for c in ".!?"]] = True
+    marks = mark[np.minimum(points, 127)]
+    inside = ~marks & (points != ord("\n"))
     first, stop = _runs(inside)
     filled = np.concatenate([[0], np.cumsum(inside & (points != ord(" ")))])
-    kept = (filled[stop] > filled[first]) | np.isin(points[stop], [ord("."), ord("!"), ord("?")])
+    kept = (filled[stop] > filled[first]) | marks[stop]
     return per_text(first[kept], sizes)
 
 
@@ -121,6 +162,27 @@ def numbered(found: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return d.indices.to_numpy().astype(np.int64), d.dictionary
 
 
+_LOW = (1 << 32) - 1
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pairs of numbers below 2^31 as one number each."""
+    return (a.astype(np.int64) << 32) | b
+
+
+def parts(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pair >> 32, pair & _LOW
+
+
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order and how often each occurs."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    at = np.flatnonzero(new)
+    return values[at], np.diff(np.append(at, len(values)))
+
+
 #: code points that are worked on together
 BLOCK = 1 << 20
 
@@ -138,12 +200,11 @@ def blocks(sizes: np.ndarray, most: int | None = None):
 
 def distinct(lowered: pa.Array) -> pa.Array:
     """The distinct words of every text (null: none), as lists."""
-    parts = []
+    lists = []
     for i, j in blocks(pc.fill_null(pc.utf8_length(lowered), 0).to_numpy(zero_copy_only=False)):
         found, n, _ = words(*code_points(lowered.slice(i, j - i)), latin())
         code, names = numbered(found)
-        pair = np.unique(np.repeat(np.arange(j - i), n) * max(len(names), 1) + code)
-        row, code = np.divmod(pair, max(len(names), 1))
+        row, code = parts(counted(joined(np.repeat(np.arange(j - i), n), code))[0])
         at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
-        parts.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), names.take(pa.array(code)).cast(pa.string())))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+        lists.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), names.take(pa.array(code)).cast(pa.string())))
+    return pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.string()))

@@ -56,25 +56,24 @@ def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return vectors.with_idf(tf, vectors.idf_table(docs, key, text_col)).withColumn("w", F.col("tf") * F.col("idf"))
 
 
-def _cosines(found: pa.Array, n_words: np.ndarray, doc: np.ndarray, terms: pa.Array, idf: np.ndarray, docs: int,
-             often: dict[str, float]) -> np.ndarray:
+def _cosines(found: np.ndarray, n_words: np.ndarray, doc: np.ndarray, terms: np.ndarray, idf: np.ndarray, docs: int,
+             sent: vectors.SentWeights) -> np.ndarray:
     """TF-IDF cosine of every sentence to its document: ``n_words`` of the
     words ``found`` are a sentence's, ``doc`` is its document; ``terms`` have
-    ``idf``, frequent ones that of ``often``."""
-    code, names = W.numbered(pa.concat_arrays([found, terms.cast(found.type)]))
-    v = max(len(names), 1)
-    weight = np.zeros(v)
-    weight[:len(names)] = [often.get(t, 0.0) for t in names.to_pylist()]
+    ``idf``, the others what ``sent`` has (words and terms are numbers)."""
+    code, names = W.numbered(pa.array(np.concatenate([found, terms])))
+    weight = sent.find(names.to_numpy())[1]
     weight[code[len(found):]] = idf
     code = code[:len(found)]
-    pair, tf = np.unique(np.repeat(np.arange(len(n_words)), n_words) * v + code, return_counts=True)
-    at, term = np.divmod(pair, v)
-    whole, of = np.unique(doc[at] * v + term, return_inverse=True)
-    total = np.bincount(of, tf, len(whole)) * weight[whole % v]
-    w = tf * weight[term]
-    dot = np.bincount(at, w * total[of], len(n_words))
-    norm = np.sqrt(np.bincount(at, w * w, len(n_words)))
-    length = np.sqrt(np.bincount(whole // v, total * total, docs))
+    at = np.repeat(np.arange(len(n_words)), n_words)
+    of, whole = W.numbered(pa.array(W.joined(doc[at], code)))
+    whose, term = W.parts(whole.to_numpy())
+    total = np.bincount(of, minlength=len(term)) * weight[term]
+    dot = np.bincount(at, weight[code] * total[of], len(n_words))
+    pair, tf = W.counted(W.joined(at, of))
+    at, of = W.parts(pair)
+    norm = np.sqrt(np.bincount(at, (tf * weight[term[of]]) ** 2, len(n_words)))
+    length = np.sqrt(np.bincount(whose, total * total, docs))
     with np.errstate(invalid="ignore", divide="ignore"):
         return dot / (norm * length[doc])
 
@@ -85,27 +84,23 @@ def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), n
 
 
-def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.ndarray, keyed: np.ndarray, limit: int, often):
-    """Cosines of all sentences of some documents, and the kept positions of
-    the longer ones."""
+def _block_scores(sents: pa.Array, terms: pa.Array, idf: pa.Array, longer: np.ndarray, keyed: np.ndarray, limit: int,
+                  sent: vectors.SentWeights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cosines of all sentences of some documents; the kept positions of the
+    longer ones in a row, and how many each document has."""
     flat, n_sents = _flat(sents)
     points, sizes = W.code_points(flat)
     doc = np.repeat(np.arange(len(sents)), n_sents)
-    found, n_words, _ = W.words(points, sizes, W.latin())
-    cos = _cosines(found, n_words, doc, _flat(terms)[0], _flat(idf)[0].to_numpy(zero_copy_only=False), len(sents), often)
+    found, n_words = W.word_numbers(points, sizes, W.latin(), sent.seed)
+    rare = W.word_numbers(*W.code_points(_flat(terms)[0]), W.latin(), sent.seed)[0]
+    cos = _cosines(found, n_words, doc, rare, _flat(idf)[0].to_numpy(zero_copy_only=False), len(sents), sent)
     cos[~keyed[doc]] = np.nan  # a document without a key has no weights
-    keep = [None] * len(sents)
+    kept, n_kept = np.zeros(0, np.int64), np.zeros(len(sents), np.int64)
     if longer.any():
-        some = np.repeat(longer[doc], sizes)
-        tr, n_tr, _ = W.words(points[some], sizes[longer[doc]], W.letters(), textrank.LEAST_LETTERS)
-        code, _ = W.numbered(tr)
-        word = sent = 0
-        for d in np.flatnonzero(longer):
-            mine = n_tr[sent:sent + n_sents[d]]
-            sent += n_sents[d]
-            keep[d] = textrank.kept_positions(code[word:word + mine.sum()], mine, limit)
-            word += mine.sum()
-    return cos, keep
+        some = longer[doc]
+        tr, n_tr, _ = W.words(points[np.repeat(some, sizes)], sizes[some], W.letters(), textrank.LEAST_LETTERS)
+        kept, n_kept[longer] = textrank.kept_positions(W.numbered(tr)[0], n_tr, n_sents[longer], limit)
+    return cos, kept, n_kept
 
 
 def _scorer(limit: int, sent):
@@ -117,13 +112,14 @@ def _scorer(limit: int, sent):
         size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.utf8_length(flat), 0).to_numpy(zero_copy_only=False))])
         at = np.concatenate([[0], np.cumsum(n_sents)])
         marked, named = (pc.fill_null(x, False).to_numpy(zero_copy_only=False).astype(bool) for x in (longer, keyed))
-        cos, keep = [np.zeros(0)], []
+        got = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for i, j in W.blocks(np.diff(size[at]).astype(np.int64)):
-            c, k = _block_scores(*(x.slice(i, j - i) for x in (sents, terms, idf)), marked[i:j], named[i:j], limit, sent.value)
-            cos.append(c)
-            keep += k
-        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(cos)))
-        return pa.StructArray.from_arrays([lists, pa.array(keep, pa.list_(pa.int32()))], ["cos", "keep"])
+            got.append(_block_scores(*(x.slice(i, j - i) for x in (sents, terms, idf)), marked[i:j], named[i:j], limit, sent.value))
+        cos, kept, n_kept = (np.concatenate(x) for x in zip(*got))
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(cos))
+        keep = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_kept)]), pa.int32()), pa.array(kept, pa.int32()),
+                                        mask=pa.array(~marked))
+        return pa.StructArray.from_arrays([lists, keep], ["cos", "keep"])
     return score
 
 

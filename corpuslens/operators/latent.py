@@ -63,7 +63,7 @@ def _signs(cells: DataFrame, key: str, columns: int) -> DataFrame:
     return cells.groupBy(key).agg(*[F.sum(F.col("w") * bit[j]).alias(f"c{j}") for j in range(columns)])
 
 
-def frequent_terms(cells: DataFrame, most: int = vectors.FREQUENT) -> list[str]:
+def frequent_terms(cells: DataFrame, most: int = vectors.FREQUENT_WORDS) -> list[str]:
     """The terms of most cells: they are numbered, all others are joined."""
     n = cells.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("term is not null")
     return n.orderBy(F.desc("n"), "term").limit(most).select("term").toArrow().column(0).to_pylist()

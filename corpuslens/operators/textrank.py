@@ -27,7 +27,6 @@ Two executions of the same definition:
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -243,42 +242,64 @@ def _joined_pagerank(edges: DataFrame, key: str, iterations: int, damping: float
     return ranks.withColumnRenamed("r", "rank")
 
 
-def _graph(codes: np.ndarray, lookback: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Edges a, b, weight of the co-occurrence graph of one document, and its
-    number of words; ``codes`` number its words from 0."""
-    v = int(codes.max(initial=-1)) + 1
-    src, dst = [codes[:0]], [codes[:0]]
-    for d in range(1, lookback + 1):
-        a, b = codes[:-d], codes[d:]
-        keep = a != b
-        src.append(a[keep])
-        dst.append(b[keep])
-    pairs, weight = np.unique(np.concatenate(src + dst) * v + np.concatenate(dst + src), return_counts=True)
-    return pairs // max(v, 1), pairs % max(v, 1), weight, v
-
-
-def _ranks(a, b, weight, v: int, iterations: int, damping: float) -> tuple[np.ndarray, np.ndarray]:
-    """PageRank of one graph: its nodes and the rank of all ``v`` words."""
-    p = weight / np.bincount(a, weights=weight, minlength=v)[a]
-    nodes = np.unique(a)
-    n = float(len(nodes))
-    r = np.zeros(v)
-    r[nodes] = 1.0 / max(n, 1.0)
+def _ranks(node: np.ndarray, doc: np.ndarray, lookback: int, iterations: int, damping: float) -> tuple[np.ndarray, np.ndarray]:
+    """PageRank of the co-occurrence graphs of some documents whose words
+    follow each other: which words have edges, and the ranks of all.
+
+    ``node`` numbers the words from 0, those of each document by themselves;
+    ``doc`` is a word's document.  An edge weighs as often as its words stand
+    near each other, so a word's sum over its edges is one over the places
+    beside its own, and no table of edges is made.
+    """
+    v = int(node.max(initial=-1)) + 1
+    near = [((node[d:] != node[:-d]) & (doc[d:] == doc[:-d])).astype(float) for d in range(1, lookback + 1)]
+
+    def beside(x):
+        out = np.zeros(len(node))
+        for d, m in enumerate(near, 1):
+            out[d:] += m * x[:-d]
+            out[:-d] += m * x[d:]
+        return out
+
+    weight = np.bincount(node, beside(np.ones(len(node))), v)
+    met = weight > 0
+    of = np.zeros(v, np.int64)
+    of[node] = doc
+    n = np.maximum(np.bincount(of[met], minlength=int(of.max(initial=-1)) + 1)[of], 1).astype(float)
+    r = met / n
+    start = met * (1.0 - damping) / n
+    share = np.divide(1.0, weight, out=np.zeros(v), where=met)
     for _ in range(iterations):
-        s = np.bincount(b, weights=p * r[a], minlength=v)
-        nxt = np.zeros(v)
-        nxt[nodes] = (1.0 - damping) / max(n, 1.0) + damping * s[nodes]
-        r = nxt
-    return nodes, r
+        r = start + damping * np.bincount(node, beside((r * share)[node]), v)
+    return met, r
 
 
 def _graph_ranks(words, lookback: int, iterations: int, damping: float):
     """PageRank of one document's co-occurrence graph: (words, ranks)."""
     if len(words) < 2:
         return [], []
-    coded = pa.array(words, pa.string()).dictionary_encode()
-    nodes, r = _ranks(*_graph(coded.indices.to_numpy().astype(np.int64), lookback), iterations, damping)
-    return coded.dictionary.take(pa.array(nodes)).to_pylist(), r[nodes].tolist()
+    code, names = wordruns.numbered(pa.array(words, pa.string()))
+    met, r = _ranks(code, np.zeros(len(code), np.int64), lookback, iterations, damping)
+    return names.filter(pa.array(met)).to_pylist(), r[met].tolist()
+
+
+def _row_ranks(lookback: int, iterations: int, damping: float):
+    """Arrow function: (key, words) rows -> (key, word, rank), some documents
+    at a time."""
+    def run(batches):
+        for batch in batches:
+            keys, lists = batch.column(0), batch.column(1)
+            n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, j in wordruns.blocks(n, WORDS_AT_ONCE):
+                code, names = wordruns.numbered(lists.slice(i, j - i).flatten())
+                doc = np.repeat(np.arange(j - i), n[i:j])
+                node, pairs = wordruns.numbered(pa.array(wordruns.joined(doc, code)))
+                met, r = _ranks(node, doc, lookback, iterations, damping)
+                of, word = wordruns.parts(pairs.to_numpy()[met])
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(i, j - i).take(pa.array(of)), names.take(pa.array(word)), pa.array(r[met])],
+                    [batch.schema.field(0).name, "word", "rank"])
+    return run
 
 
 def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame | None = None,
@@ -289,31 +310,23 @@ def doc_word_ranks(docs: DataFrame, key: str, text_col: str, stop: DataFrame | N
     fw = _filtered_words(docs, [key], text_col, stop)
     key_type = fw.schema[key].dataType.simpleString()
 
-    def run(batches):
-        for pdf in batches:
-            keys, words, ranks = [], [], []
-            for k, w in zip(pdf[key].to_numpy(), pdf["words"]):
-                ws, rs = _graph_ranks(list(w) if w is not None else [], lookback, iterations, damping)
-                keys += [k] * len(ws)
-                words += ws
-                ranks += rs
-            if keys:  # an empty object column does not convert to an Arrow string array
-                yield pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "word": words,
-                                    "rank": pd.Series(ranks, dtype="float64")})
-
-    return fw.mapInPandas(run, f"{key} {key_type}, word string, rank double")
-
-
-def kept_positions(codes: np.ndarray, sizes: np.ndarray, limit: int, lookback: int = LOOKBACK, iterations: int = ITERATIONS,
-                   damping: float = DAMPING) -> list[int]:
-    """1-based positions of the ``limit`` best sentences of one document.
-
-    ``codes`` number the words of all its sentences in a row, ``sizes`` is how
-    many of them each sentence has."""
-    _, codes = np.unique(codes, return_inverse=True)
-    _, rank = _ranks(*_graph(codes.astype(np.int64), lookback), iterations, damping)
-    v = max(len(rank), 1)
-    at, word = np.divmod(np.unique(np.repeat(np.arange(len(sizes)), sizes) * v + codes), v)
-    scores = [round(s, SCORE_DIGITS) for s in np.bincount(at, rank[word], len(sizes)).tolist()]
-    order = sorted(range(len(scores)), key=lambda i: (-scores[i], i))
-    return sorted(i + 1 for i in order[:limit])
+    return fw.mapInArrow(_row_ranks(lookback, iterations, damping), f"`{key}` {key_type}, word string, rank double")
+
+
+def kept_positions(codes: np.ndarray, sizes: np.ndarray, docs: np.ndarray, limit: int, lookback: int = LOOKBACK,
+                   iterations: int = ITERATIONS, damping: float = DAMPING) -> tuple[np.ndarray, np.ndarray]:
+    """1-based positions of the ``limit`` best sentences of each document, in
+    order, and how many each document has.
+
+    ``codes`` number the words of all sentences in a row, ``sizes`` is how
+    many of them each sentence has, ``docs`` how many sentences a document."""
+    doc = np.repeat(np.arange(len(docs)), docs)
+    at = np.repeat(np.arange(len(sizes)), sizes)
+    node, _ = wordruns.numbered(pa.array(wordruns.joined(doc[at], codes)))
+    _, rank = _ranks(node, doc[at], lookback, iterations, damping)
+    sent, word = wordruns.parts(wordruns.counted(wordruns.joined(at, node))[0])
+    score = np.round(np.bincount(sent, rank[word], len(sizes)), SCORE_DIGITS)
+    order = np.lexsort((-score, doc))  # stable: equal scores stay in order
+    first = np.cumsum(docs) - docs
+    kept = np.sort(order[np.arange(len(order)) - first[doc] < limit])
+    return kept - first[doc[kept]] + 1, np.minimum(docs, limit)

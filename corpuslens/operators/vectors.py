@@ -13,6 +13,7 @@ document-frequency table.  Common terms are hot keys there; see
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -42,14 +43,50 @@ def idf_table(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     the partition of a term that most documents have.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    df = distinct_terms(docs, key, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    df = document_frequencies(docs, text_col).groupBy("term").agg(F.sum("n").alias("doc_freq"))
     idf = F.ln((F.lit(1.0) + n_docs.cast("double")) / (F.lit(1.0) + F.col("doc_freq").cast("double"))) + F.lit(1.0)
     return cut_lineage(df.select("term", idf.alias("idf")))
 
 
+#: rows of counts that a worker holds before they are added up
+COUNTS_HELD = 1 << 19
+
+
+def document_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
+    """(term, n): in how many of some rows a term occurs; a term's ``n`` add
+    up to that of all rows."""
+    bounded_batches(docs.sparkSession)
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            text = batch.column(0)
+            for i, j in W.blocks(pc.utf8_length(text).to_numpy().astype(np.int64)):
+                found, n, _ = W.words(*W.code_points(text.slice(i, j - i)), W.latin())
+                code, terms = W.numbered(found)
+                _, term = W.parts(W.counted(W.joined(np.repeat(np.arange(j - i), n), code))[0])
+                held.append(pa.table([terms.cast(pa.string()), pa.array(np.bincount(term, minlength=len(terms)))], ["term", "n"]))
+                rows += len(terms)
+                if rows > COUNTS_HELD:
+                    held = [_added_up(held)]
+                    rows = len(held[0])
+                    if rows > COUNTS_HELD // 2:
+                        yield from held[0].to_batches(10_000)
+                        held, rows = [], 0
+        if rows:
+            yield from _added_up(held).to_batches(10_000)
+
+    return docs.select(F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t")).mapInArrow(run, "term string, n bigint")
+
+
+def _added_up(held: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(held).group_by("term", use_threads=False).aggregate([("n", "sum")])
+    return pa.table([sums.column("term"), sums.column("n_sum")], ["term", "n"]).combine_chunks()
+
+
 def distinct_terms(docs: DataFrame, key: str, text_col: str, without=None) -> DataFrame:
-    """(key, term), one row for each term of a document that isn't listed in
-    ``without`` (a broadcast)."""
+    """(key, term), one row for each term of a document that isn't found in
+    ``without`` (a broadcast of ``SentWeights``)."""
     bounded_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -60,7 +97,7 @@ def distinct_terms(docs: DataFrame, key: str, text_col: str, without=None) -> Da
             found = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), words.flatten()], [key, "term"])
             if without is not None:
                 code, terms = W.numbered(found.column(1))
-                found = found.filter(pa.array(np.array([t not in without.value for t in terms.to_pylist()], bool)[code]))
+                found = found.filter(pa.array(~without.value.find(_numbers(terms, without.value.seed))[0][code]))
             yield found
 
     return (docs.select(key, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
@@ -103,27 +140,79 @@ def document_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return row_counts(docs.join(often, same, "left_anti"), [key], text_col).unionByName(added)
 
 
-#: terms that may be sent to every task
-FREQUENT = 1 << 18
+#: terms that may be sent to every task: as numbers of ten bytes, as words
+FREQUENT, FREQUENT_WORDS = 1 << 23, 1 << 18
 
 
 def with_idf(counts: DataFrame, idf: DataFrame) -> DataFrame:
     """``counts`` with the idf of their terms: the most frequent terms (lowest
     idf) are sent to the tasks, so only rows of the rare ones are shuffled."""
-    if idf.count() <= FREQUENT:
+    most = min(FREQUENT, FREQUENT_WORDS)
+    if idf.count() <= most:
         return counts.join(F.broadcast(idf), "term")
-    often = F.broadcast(cut_lineage(idf.orderBy("idf", "term").limit(FREQUENT)))
+    often = F.broadcast(cut_lineage(idf.orderBy("idf", "term").limit(most)))
     rare = counts.join(often.select("term"), "term", "left_anti").join(idf, "term")
     return counts.join(often, "term").unionByName(rare)
 
 
+class SentWeights(NamedTuple):
+    """The idf of terms, found by their numbers."""
+    seed: int
+    keys: np.ndarray  # numbers of terms, ascending
+    level: np.ndarray  # which of ``values`` is a term's
+    values: np.ndarray
+    rest: float  # the idf of all other terms
+
+    def find(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether terms are listed, and their idf (``rest`` if not)."""
+        if not len(self.keys):
+            return np.zeros(len(numbers), bool), np.full(len(numbers), self.rest)
+        at = np.minimum(np.searchsorted(self.keys, numbers), len(self.keys) - 1)
+        hit = self.keys[at] == numbers
+        return hit, np.where(hit, self.values[self.level[at]], self.rest)
+
+
+def _numbers(terms: pa.Array, seed: int) -> np.ndarray:
+    return W.word_numbers(*W.code_points(terms), W.latin(), seed)[0]
+
+
+#: sets of letter numbers that are tried
+SEEDS = 8
+
+
 def sent_idf(idf: DataFrame):
-    """The most frequent terms and their idf as a broadcast, and whether
-    these are all terms."""
-    rows = idf.orderBy("idf", "term").limit(FREQUENT + 1).toArrow()
-    some = rows.slice(0, FREQUENT)
-    sent = idf.sparkSession.sparkContext.broadcast(dict(zip(some.column("term").to_pylist(), some.column("idf").to_pylist())))
-    return sent, len(rows) <= FREQUENT
+    """Weights of the most frequent terms as a broadcast, and whether these
+    and one idf for the rest are the weights of all terms.
+
+    Terms are sent as 64-bit numbers.  Whether these tell all terms of the
+    table apart is counted; if not, other letter numbers are taken.
+    """
+    bounded_batches(idf.sparkSession)
+
+    def numbered(seed):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(_numbers(b.column(0), seed)), b.column(1)], ["number", "idf"])
+        return idf.select("term", "idf").mapInArrow(run, "number bigint, idf double")
+
+    # one row for each document frequency
+    sizes = idf.groupBy("idf").agg(F.count(F.lit(1)).alias("n")).orderBy("idf").toArrow()
+    levels, n = (sizes.column(c).to_numpy() for c in ("idf", "n"))
+    for seed in range(SEEDS):
+        if numbered(seed).select(F.count_distinct("number")).first()[0] == n.sum():
+            break
+    else:
+        raise RuntimeError(f"{SEEDS} sets of letter numbers don't tell the terms apart")
+    whole = int(np.searchsorted(np.cumsum(n), FREQUENT, "right"))
+    every = whole + 1 >= len(levels)
+    rest = float(levels[whole]) if every and whole < len(levels) else 0.0
+    numbers, values = np.zeros(0, np.int64), np.zeros(0)
+    if whole:
+        rows = numbered(seed).where(F.col("idf") <= float(levels[whole - 1])).toArrow()
+        numbers, values = (rows.column(c).to_numpy() for c in ("number", "idf"))
+    order = np.argsort(numbers)
+    level = np.searchsorted(levels, values[order]).astype(np.min_scalar_type(max(len(levels), 1)))
+    return idf.sparkSession.sparkContext.broadcast(SentWeights(seed, numbers[order], level, levels, rest)), every
 
 
 def dense_cosine(a, b) -> Column:

@@ -20,7 +20,7 @@ from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.evaluation import (RUN_PREFIX, _round_doubles, _sql_categories, _sql_normalized, _sql_report,
                                          corpus_report, rank_report, sql_pairs_select)
 from corpuslens.plans.registry import query
-from corpuslens.session import scratch_dir
+from corpuslens.session import cut_lineage, scratch_dir
 from corpuslens.sources import reports, sinks
 from corpuslens.sources.tables import read_table
 
@@ -240,7 +240,8 @@ def q_leaderboard_rank(spark, sf_dir):
 
 # -- two-method comparison -----------------------------------------------------
 def method_pair(spark, sf_dir):
-    rep = methods_report(spark, sf_dir)
+    # a row per method; cut, or every side of a comparison would evaluate the corpus again
+    rep = cut_lineage(methods_report(spark, sf_dir))
     long = reshape.metrics_long(rep, "model", schema.METRICS)
     a = long.where(F.col("model") == NAME_A).select("metric", F.col("value").alias("a"))
     b = long.where(F.col("model") == NAME_B).select("metric", F.col("value").alias("b"))

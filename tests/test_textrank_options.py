@@ -168,3 +168,51 @@ def test_repeated_pairs_are_counted_once_each(spark):
     got = {(r.k, r.n): (r.matched, r.gen_total, r.ref_total) for r in overlap.ngram_overlap(pairs, "k", "g", "r").collect()}
     assert [got[i, 1] for i in range(7)] == [(2, 3, 2), (2, 3, 2), (1, 3, 2), (0, 0, 2), (0, 0, 2), (0, 0, 2), (2, 3, 2)]
     assert [got[i, 2][0] for i in range(7)] == [1, 1, 0, 0, 0, 0, 1]
+
+
+def test_terms_of_one_frequency_need_no_join(spark, monkeypatch):
+    """If all terms beyond those sent are in equally many documents, their
+    weight is known and no text is shuffled."""
+    from corpuslens.operators import extract, vectors
+
+    rows = [(1, "Red blue red. Green sky! Blue."), (2, "red sun. Odd words here? Red blue."), (2, "Sun sun. Rain."), (3, "red. blue sky.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for most in (1 << 18, 4, 3):
+        monkeypatch.setattr(vectors, "FREQUENT", most)
+        scored = extract.scored_documents(docs, "doc_id", "text", 2)
+        assert ("Exchange" in scored._jdf.queryExecution().executedPlan().toString()) == (most == 3)
+        got.append(sorted((str(r.sents), r.keep, [x and round(x, 12) for x in r.cos]) for r in scored.collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_document_frequencies_are_added_up(spark, monkeypatch):
+    from corpuslens.operators import vectors
+
+    monkeypatch.setattr(vectors, "COUNTS_HELD", 3)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a", "b C", None, "", "c a. d", "É é a"])], "k long, t string").coalesce(1)
+    got = vectors.document_frequencies(docs, "t").groupBy("term").sum("n").collect()
+    assert {r[0]: r[1] for r in got} == {"a": 3, "b": 2, "c": 2, "d": 1, "é": 1} and len(got) == 5
+
+
+def test_ranks_of_documents_in_small_parts(spark, monkeypatch):
+    """Documents ranked together give what each gives alone."""
+    texts = ["alpha beta gamma alpha delta beta", "solo", "", None, "one two one two three", "solo solo", "alpha one", None]
+    docs = spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts)], "k long, t string").coalesce(1)
+    got = []
+    for most in (100_000, 4):
+        monkeypatch.setattr(TR, "WORDS_AT_ONCE", most)
+        got.append(sorted((str(r.k), r.word, round(r["rank"], 12)) for r in TR.doc_word_ranks(docs, "k", "t").collect()))
+    alone = [(str(i if i else None), w, round(r, 12)) for i, t in enumerate(texts)
+             for w, r in zip(*TR._graph_ranks((t or "").split(), TR.LOOKBACK, TR.ITERATIONS, TR.DAMPING))]
+    assert got[0] == got[1] == sorted(alone)
+    assert "MapInArrow" in TR.doc_word_ranks(docs, "k", "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_comparison_evaluates_the_corpus_once(spark):
+    """The report is a row per method; its sides are read, not computed again."""
+    from corpuslens.plans import catalog
+
+    for name in ("metric_intersect", "pairwise_wins", "pairwise_long", "metric_bars"):
+        plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan

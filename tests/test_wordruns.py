@@ -62,3 +62,17 @@ def test_batches_are_bounded(spark, work):
      "ranks": lambda: textrank.doc_word_ranks(docs, "doc_id", "text"),
      "phrases": lambda: phrases.phrase_ranked(docs, "doc_id", "text")}[work]()
     assert 0 < int(spark.conf.get(setting)) <= 500
+
+
+def test_numbers_tell_words_apart():
+    a, b = "a", "b"
+    for _ in range(11):  # words that a sum of powers of any odd number can't tell apart
+        a, b = a + b, b + a
+    texts = [*(t or "" for t in TEXTS), a, b, f"{a} {b}", "ab", "ba", "ab ba a b aa"]
+    texts = [t.lower() for t in texts]
+    points, sizes = W.code_points(pa.array(texts))
+    found, n, _ = W.words(points, sizes, W.latin())
+    for seed in (0, 1):
+        numbers, m = W.word_numbers(points, sizes, W.latin(), seed)
+        assert m.tolist() == n.tolist() and len(set(numbers.tolist())) == len(set(found.to_pylist()))
+        assert len(set(zip(numbers.tolist(), found.to_pylist()))) == len(set(found.to_pylist()))
