@@ -79,16 +79,17 @@ _BACK = pow(_FACTOR, -1, 1 << 64)
 _LONG = 256
 
 
-def _powers(factor: int, n: int) -> np.ndarray:
-    """1, factor, factor^2, ... modulo 2^64, ``n`` of them at least."""
-    return _some_powers(factor, max(1 << 21, 1 << int(n).bit_length()))
+#: powers that this worker has worked out
+_POWERS: dict[int, np.ndarray] = {}
 
 
-@functools.lru_cache(2)
-def _some_powers(factor: int, n: int) -> np.ndarray:
-    out = np.full(n, factor, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+def _powers(factor: int, n: int) -> np.ndarray:
+    """1, factor, factor^2, ... modulo 2^64, ``n`` of them."""
+    if len(_POWERS.get(factor, ())) < n:
+        out = np.full(-(-n // (1 << 17)) << 17, factor, np.uint64)
+        out[0] = 1
+        _POWERS[factor] = np.cumprod(out)
+    return _POWERS[factor][:n]
 
 
 def word_numbers(points: np.ndarray, sizes: np.ndarray, table: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +101,7 @@ def word_numbers(points: np.ndarray, sizes: np.ndarray, table: np.ndarray, seed:
     mark = table[points]
     first, stop = _runs(mark)
     upto = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(_letter_numbers(seed)[points] * _powers(_FACTOR, len(points))[:len(points)], out=upto[1:])
+    np.cumsum(_letter_numbers(seed)[points] * _powers(_FACTOR, len(points)), out=upto[1:])
     out = (upto[stop] - upto[first]) * _powers(_BACK, len(points))[first]
     for i in np.flatnonzero(stop - first > _LONG):
         word = points[first[i]:stop[i]].tobytes()
@@ -183,8 +184,9 @@ def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[at], np.diff(np.append(at, len(values)))
 
 
-#: code points that are worked on together
-BLOCK = 1 << 20
+#: code points that are worked on together; a worker's arrays are some
+#: hundred bytes for each
+BLOCK = 1 << 18
 
 
 def blocks(sizes: np.ndarray, most: int | None = None):
