@@ -124,36 +124,41 @@ def words(points: np.ndarray, sizes: np.ndarray, table: np.ndarray, least: int =
     long = stop - first
     text = points[mark]
     body = text.tobytes().decode("utf-32-le").encode()
-    wide = 1 + (text > 0x7F) + (text > 0x7FF).astype(np.int64) + (text > 0xFFFF)
-    at = np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])[np.concatenate([[0], np.cumsum(long)])]
+    at = np.concatenate([[0], np.cumsum(long)])
+    # UTF-8 takes a byte more for every code point beyond each of these
+    at = at + sum(np.searchsorted(np.flatnonzero(text > most), at) for most in (0x7F, 0x7FF, 0xFFFF))
     found = pa.LargeStringArray.from_buffers(len(long), pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(body))
     return found, per_text(first, sizes), long
 
 
-def per_text(places: np.ndarray, sizes: np.ndarray, weights=None) -> np.ndarray:
-    """How many of ``places`` (their weights) lie in each text."""
-    of = np.searchsorted(np.cumsum(sizes), places, "right")
-    return np.bincount(of, weights, len(sizes)).astype(np.int64)
+def per_text(places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many of ``places`` (in order) lie in each text."""
+    return np.diff(np.searchsorted(places, np.cumsum(sizes)), prepend=0).astype(np.int64)
+
+
+@functools.cache
+def _marked(chars: str) -> np.ndarray:
+    """Which code points are one of ``chars``."""
+    table = np.zeros(sys.maxunicode + 2, bool)
+    table[[ord(c) for c in chars]] = True
+    return table
 
 
 def vowel_groups(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """``segment.vowel_groups`` of every text."""
-    table = np.zeros(128, bool)
-    table[[ord(c) for c in "aeiouy"]] = True
-    first, _ = _runs(table[np.minimum(points, 127)])
+    first, _ = _runs(_marked("aeiouy")[points])
     return per_text(first, sizes)
 
 
 def sentences(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How many ``segment.sentences`` every text has: runs without a mark
     that end in one or are not all spaces."""
-    mark = np.zeros(128, bool)
-    mark[[ord(c) for c in ".!?"]] = True
-    marks = mark[np.minimum(points, 127)]
-    inside = ~marks & (points != ord("\n"))
+    inside = ~_marked(".!?\n")[points]
     first, stop = _runs(inside)
-    filled = np.concatenate([[0], np.cumsum(inside & (points != ord(" ")))])
-    kept = (filled[stop] > filled[first]) | marks[stop]
+    kept = (points[first] != ord(" ")) | (points[stop] != ord("\n"))
+    if not kept.all():
+        filled = np.concatenate([[0], np.cumsum(inside & (points != ord(" ")))])
+        kept |= filled[stop] > filled[first]
     return per_text(first[kept], sizes)
 
 

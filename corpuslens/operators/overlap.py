@@ -21,25 +21,39 @@ from corpuslens.operators.normalize import row_mean
 from corpuslens.session import bounded_batches
 
 
-def _block_counts(generated: pa.Array, reference: pa.Array, ns: Sequence[int], known: pa.Array | None) -> dict[str, np.ndarray]:
-    """Counts of every pair of two arrays of lower-cased texts."""
-    rows = len(generated)
-    points, sizes = W.code_points(generated)
-    gw, n_gen, long = W.words(points, sizes, W.latin())
+def _block_counts(generated: pa.Array, reference: pa.Array, sizes: np.ndarray, chain: np.ndarray, ns: Sequence[int],
+                  known: pa.Array | None) -> dict[str, np.ndarray]:
+    """Counts of every row of some chains of lower-cased texts.
+
+    ``generated`` and ``reference`` have one row a chain.  The rows, in order,
+    are the first ``sizes`` code points of the text of their ``chain``, the
+    last one all of it, and a new line follows where a row stops.  So no word
+    and no sentence is in two parts, and what a part has is added up."""
+    rows = len(sizes)
+    first = np.diff(chain, prepend=-1) > 0
+    part = sizes - np.where(first, 0, np.roll(sizes, 1)) + np.append(first[1:], True)[:rows]
+    points, _ = W.code_points(generated)
+    gw, n_gen, long = W.words(points, part, W.latin())
     rw, n_ref, _ = W.words(*W.code_points(reference), W.latin())
     code, names = W.numbered(pa.concat_arrays([gw, rw]))
     code, v = (code[:len(gw)], code[len(gw):]), max(len(names), 1)
-    row = np.repeat(np.arange(rows), n_gen), np.repeat(np.arange(rows), n_ref)
-    left = [np.repeat(np.cumsum(n), n) - np.arange(n.sum()) for n in (n_gen, n_ref)]  # words to the end of the text
-    out = {"n_words": n_gen, "n_ref": n_ref, "n_vowels": W.vowel_groups(points, sizes), "n_sents": W.sentences(points, sizes),
-           "n_letters": np.bincount(row[0], long, rows).astype(np.int64)}
+    of_word = np.repeat(np.arange(rows), n_gen)
+
+    def added(found):
+        upto = np.cumsum(found)
+        return (upto - (upto - found)[first][chain]).astype(np.int64)
+
+    n_whole = np.bincount(chain, n_gen, len(n_ref)).astype(np.int64)
+    left = [np.repeat(np.cumsum(n), n) - np.arange(n.sum()) for n in (n_whole, n_ref)]  # words to the end of the text
+    out = {"n_words": added(n_gen), "n_ref": n_ref[chain], "n_vowels": added(W.vowel_groups(points, part)),
+           "n_sents": added(W.sentences(points, part)), "n_letters": added(np.bincount(of_word, long, rows))}
     if known is not None:
         strange = ~pc.is_in(names, value_set=known).to_numpy(zero_copy_only=False).astype(bool)
-        out["missing"] = np.bincount(row[0], strange[code[0]], rows).astype(np.int64)
+        out["missing"] = added(np.bincount(of_word, strange[code[0]], rows))
     # a match of n words is one of n - 1 words and one more, so only the
-    # places of shorter matches are looked at; numbers of grams are per pair
+    # places of shorter matches are looked at; numbers of grams are per chain
     place = [np.arange(len(c)) for c in code]
-    gram = list(row)
+    gram = [chain[of_word], np.repeat(np.arange(len(n_ref)), n_ref)]
     for n in range(1, max(ns) + 1):
         for side in (0, 1):
             keep = left[side][place[side]] >= n
@@ -49,10 +63,12 @@ def _block_counts(generated: pa.Array, reference: pa.Array, ns: Sequence[int], k
         at = np.minimum(np.searchsorted(grams, key[0]), max(len(grams) - 1, 0))
         met = grams[at] == key[0] if len(grams) else np.zeros(len(at), bool)
         place[0], gram[0] = place[0][met], at[met]
+        # of a gram's places as many count as the reference has, the first ones
+        order = np.argsort(gram[0], kind="stable")
         c_gen = np.bincount(gram[0], minlength=len(grams))
-        of = np.zeros(len(grams), np.int64)
-        of[gram[1]] = row[1][place[1]]
-        out[f"m{n}"] = np.bincount(of, np.minimum(c_gen, c_ref), rows).astype(np.int64)
+        nth = np.arange(len(order)) - np.repeat(np.cumsum(c_gen) - c_gen, c_gen)
+        clipped = order[nth < np.repeat(c_ref, c_gen)]
+        out[f"m{n}"] = added(np.bincount(of_word[place[0][clipped] + n - 1], minlength=rows))
     return out
 
 
@@ -64,6 +80,17 @@ def _differs(texts: pa.Array) -> np.ndarray:
     return out
 
 
+def _goes_on(generated: pa.Array, reference: pa.Array) -> np.ndarray:
+    """Which texts are the one before them, a new line and more, with the same
+    reference: a summary begins with the shorter ones of the document."""
+    out = np.zeros(len(generated), bool)
+    for i in np.flatnonzero(~_differs(reference)):
+        one, two = (generated[int(k)].as_buffer() or pa.py_buffer(b"") for k in (i - 1, i))
+        out[i] = (one.size < two.size and two.slice(one.size, 1).to_pybytes() == b"\n"
+                  and two.slice(0, one.size).equals(one))
+    return out
+
+
 def pair_counts(ns: Sequence[int], listed=None):
     """Column function over two lower-cased texts: clipped matches for each n,
     words of both, vowel groups, sentences and letters of the generated one,
@@ -76,8 +103,15 @@ def pair_counts(ns: Sequence[int], listed=None):
         new = _differs(generated) | _differs(reference)
         generated, reference = (c.filter(pa.array(new)) for c in (generated, reference))
         size = [pc.fill_null(pc.utf8_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (generated, reference)]
-        parts = [_block_counts(generated.slice(i, j - i), reference.slice(i, j - i), ns, known)
-                 for i, j in W.blocks(size[0] + size[1])]
+        # texts that go on are counted once, with the places where they stop
+        chain = np.cumsum(~_goes_on(generated, reference)) - 1
+        last = np.flatnonzero(np.diff(chain, append=len(chain)))
+        stop = last + 1
+        start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
+        whole = generated.take(pa.array(last)), reference.take(pa.array(last))
+        parts = [_block_counts(*(c.slice(i, j - i) for c in whole), size[0][start[i]:stop[j - 1]],
+                               chain[start[i]:stop[j - 1]] - i, ns, known)
+                 for i, j in W.blocks((size[0] + size[1])[last])]
         got = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64)
                for c in [*names, *[f"m{n}" for n in ns]] if c != "missing" or known is not None}
         matched = np.stack([got[f"m{n}"] for n in ns], 1)

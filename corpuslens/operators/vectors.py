@@ -167,7 +167,10 @@ class SentWeights(NamedTuple):
         """Whether terms are listed, and their idf (``rest`` if not)."""
         if not len(self.keys):
             return np.zeros(len(numbers), bool), np.full(len(numbers), self.rest)
-        at = np.minimum(np.searchsorted(self.keys, numbers), len(self.keys) - 1)
+        # looked up in order, so that neighbours share what is in the cache
+        order = np.argsort(numbers)
+        at = np.empty(len(numbers), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, numbers[order]), len(self.keys) - 1)
         hit = self.keys[at] == numbers
         return hit, np.where(hit, self.values[self.level[at]], self.rest)
 
