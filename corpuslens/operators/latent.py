@@ -146,7 +146,8 @@ def _per_text(packs: DataFrame, keys: Sequence[str], dense: DataFrame, frequent:
             w, row = b.column(n_keys + 1).flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(n)), n)
             met = known[code]
             code, w, row = code[met], w[met], row[met]
-            sums = [pa.array(np.bincount(row, w * matrix[code, j], len(n))) for j in range(len(names))]
+            # without any of them, bincount gives whole numbers
+            sums = [pa.array(np.bincount(row, w * matrix[code, j], len(n)).astype(float)) for j in range(len(names))]
             some = pa.array(np.bincount(row, minlength=len(n)) > 0)
             yield pa.RecordBatch.from_arrays([*b.columns[:n_keys], *sums], [*keys, *names]).filter(some)
 

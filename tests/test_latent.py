@@ -102,3 +102,12 @@ def test_rare_terms_are_joined_and_frequent_ones_sent(spark, monkeypatch):
                                                   (None, "c"): 1}
     monkeypatch.setattr(vectors, "FREQUENT", 2)
     assert {(r.doc_id, r.term): (r.tf, r.w) for r in extract.document_terms(docs, "doc_id", "text").collect()} == want
+
+
+def test_a_batch_without_frequent_terms_has_sums_of_the_same_kind(spark):
+    """Rows of rare terms only come first, some thousand of them, then one of a frequent term."""
+    rows = [(i, f"r{i}", 2.0) for i in range(3000)] + [(3000, "often", 3.0)]
+    cells = spark.createDataFrame(rows, "k long, term string, w double").coalesce(1)
+    encoder = spark.createDataFrame([(t, [1.0, 0.5]) for t in ("often", "r0", "r2999")], "term string, vector array<double>")
+    got = {r.k: r.vector for r in latent.text_vectors(cells, ["k"], encoder, 2, ["often"]).collect()}
+    assert got == {3000: [3.0, 1.5], 0: [2.0, 1.0], 2999: [2.0, 1.0]}
