@@ -57,15 +57,15 @@ def _sql_starters() -> str:
 
 @query("abbreviation_scores", f"with {_sql_rows()}, {_sql_abbreviations()} select * from abb")
 def q_abbreviation_scores(spark, sf_dir):
-    return M.abbreviation_scores(M.token_rows(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
+    return M.abbreviation_scores(M.token_counts(read_table(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
 @query("sentence_starters", f"with {_sql_rows()}, {_sql_abbreviations()}, {_sql_starters()} "
        "select word, s::bigint as n_starts, c::bigint as n_all, score, starter from sta")
 def q_sentence_starters(spark, sf_dir):
-    rows = M.token_rows(read_table(spark, sf_dir, "documents"), "doc_id", "text")
-    known = M.abbreviation_scores(rows).where("abbreviation").select("base")
-    return M.starter_scores(rows, known).select("word", "n_starts", "n_all", "score", "starter")
+    counts = M.token_counts(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    known = M.abbreviation_scores(counts).where("abbreviation").select("base")
+    return M.starter_scores(counts, known).select("word", "n_starts", "n_all", "score", "starter")
 
 
 def _sql_split() -> str:

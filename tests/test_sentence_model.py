@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import pytest
 
 from corpuslens.operators import sentence_model as M
@@ -66,3 +69,44 @@ def test_texts_are_not_shuffled_for_the_statistics(spark):
     plan = rows.groupBy("base").count()._jdf.queryExecution().executedPlan().toString()
     exchange = plan[plan.index("Exchange"):]
     assert "partial_count" in exchange
+
+
+ODD = ["Dr. Σοφός ΟΔΟΣ. “Quote.” (Ende.) 'ΟΔΟΣ'. İstanbul. a.b.c. U.S. x! y?) z.\u2028 w,\u2028 q!\x85 3.\u2028 12. Then é. É.  b.",
+       "one.\n\nTwo..\tthree . . ... ,;: (\"') !? dr.\r\nEnd.\x0bnext\x0cpage 𝒜. 𐐀𐐁. x", "dr. dr. Smith! the The\n", " \n", "", None, "last."]
+
+
+def test_counts_of_one_pass_equal_those_of_token_rows(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(ODD * 3)), "doc_id long, text string").repartition(2)
+    rows = M.token_rows(docs, "doc_id", "text").collect()
+    word = re.compile(r"[^\W\d_]+(\.[^\W\d_]+)*[\x85\u2028\u2029]?")
+    is_word = lambda x: x is not None and bool(word.fullmatch(x))
+    core = {r.token: r.core for r in rows}
+    want, sure = Counter(), Counter()
+    for r in rows:
+        if is_word(r.base):
+            want[r.base, r.dotted] += 1
+        if re.search(r"[!?][\x85\u2028\u2029]?\Z", r.token) or r.dotted and is_word(r.base):
+            following = core.get(r.next)
+            sure[r.base if r.dotted and is_word(r.base) else None, following if is_word(following) else None] += 1
+    monkeypatch.setattr(M, "token_rows", None)
+    monkeypatch.setattr(M, "TEXT_AT_ONCE", 40)
+    got, pairs = Counter(), Counter()
+    for r in M.token_counts(docs, "doc_id", "text").collect():
+        got += Counter({(r.base, True): r.n_dotted, (r.base, False): r.n_plain})
+        pairs += Counter({(r.base, r.word): r.n_sure})
+    assert got == want and pairs == sure
+    assert M.learned_lists(docs, "doc_id", "text")[0].count() >= 0
+
+
+def test_lists_too_long_to_be_sent_are_joined(spark, learned, monkeypatch):
+    texts = [*ODD, "Dr. Smith paid. See cf. page 2. The rest, e.g. this, is old! He saw the dr. The man sleeps."]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[-1]), (7, "See cf. page 3. The dr. The end.")], "doc_id long, text string")
+
+    def cut():
+        return sorted(map(str, M.split_learned(docs, "doc_id", "text", *learned).select("doc_id", "text", "sentences").collect()))
+
+    sent = cut()
+    monkeypatch.setattr(M, "LIST_BYTES", 0)
+    assert cut() == sent
+    # the lists belong to rows with a key
+    assert any("'See cf. page 2.'" in r for r in sent) and any("doc_id=None" in r and "'See cf.'" in r for r in sent)
