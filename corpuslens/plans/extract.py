@@ -11,7 +11,7 @@ from corpuslens.options import CANDIDATE_LIMIT, SUMMARY_LENGTHS, Variant, varian
 from corpuslens.plans import sqlfrag as q
 from corpuslens.plans.registry import query, r6
 from corpuslens.session import scratch_dir
-from corpuslens.sources import publish
+from corpuslens.sources import publish, sinks
 from corpuslens.sources.tables import corpus, read_table
 
 TR = textrank
@@ -249,8 +249,9 @@ def q_extract_fanout(spark, sf_dir):
     """One write for all lengths, partitioned by length; read back."""
     long = extract.extract_long(_wide(spark, sf_dir, EXTRACT))
     path = scratch_dir(spark, "extract-fanout")
-    long.write.mode("overwrite").partitionBy("n_sentences").parquet(path)
-    back = spark.read.parquet(path)
+    texts = ["article", "summary", "transformed"]
+    sinks.write_variants(long, path, texts, "n_sentences")
+    back = sinks.read_variants(spark, path, texts)
     return back.select("doc_id", "article", "summary", F.col("n_sentences").cast("int").alias("n_sentences"), "transformed")
 
 

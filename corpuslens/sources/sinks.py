@@ -54,6 +54,24 @@ def read_submission(spark: SparkSession, path: str, schema) -> DataFrame:
             .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
 
 
+def write_variants(df: DataFrame, path: str, text_cols: Sequence[str], partition_col: str) -> None:
+    """One write of all variants, a folder for each.
+
+    A row's texts lie side by side, as a map by column name, so that Parquet
+    compresses them together: what one text repeats of another costs little.
+    """
+    texts = F.create_map(*[x for c in text_cols for x in (F.lit(c), F.col(c))])
+    rest = [c for c in df.columns if c not in text_cols]
+    (df.select(*rest, texts.alias("texts")).write.mode("overwrite").partitionBy(partition_col)
+     .option("compression", "zstd").parquet(path))
+
+
+def read_variants(spark: SparkSession, path: str, text_cols: Sequence[str]) -> DataFrame:
+    """What ``write_variants`` wrote, with a column for each text again."""
+    back = spark.read.parquet(path)
+    return back.select(*[c for c in back.columns if c != "texts"], *[F.col("texts").getItem(c).alias(c) for c in text_cols])
+
+
 def write_ranking_report(ranked: DataFrame, path: str, order_col: str = "score",
                          tie_col: str = "model") -> None:
     """The ranking as CSV, in order within and over its part files."""
