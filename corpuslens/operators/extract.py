@@ -46,14 +46,17 @@ def sentence_rows(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     return ex.select(key, (F.col("pos") + 1).alias("pos"), "sentence")
 
 
-def document_terms(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, term, tf, idf, w) of every document.
+def document_terms(docs: DataFrame, key: str, text_col: str, weights=None) -> DataFrame:
+    """(key, term, tf, idf, w) of every document; ``weights`` is the idf table
+    and what ``sent_idf`` made of it, found if not given.
 
     Words never cross a sentence boundary, so the document's counts are the
     counts of its whole text (blank texts have no words either way).
     """
-    tf = vectors.document_counts(docs, key, text_col)
-    return vectors.with_idf(tf, vectors.idf_table(docs, key, text_col)).withColumn("w", F.col("tf") * F.col("idf"))
+    if weights is None:
+        idf = vectors.idf_table(docs, key, text_col)
+        weights = idf, *vectors.sent_idf(idf)
+    return vectors.document_weights(docs, key, text_col, *weights).withColumn("w", F.col("tf") * F.col("idf"))
 
 
 def _cosines(found: np.ndarray, n_words: np.ndarray, doc: np.ndarray, terms: np.ndarray, idf: np.ndarray, docs: int,

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.operators import vectors
-from corpuslens.session import bounded_batches, cut_lineage, scratch_dir, ship_package
+from corpuslens.session import bounded_batches, cut_lineage, release, remove_folder, scratch_dir, ship_package
 
 RANK, OVERSAMPLE, POWER_STEPS = 32, 16, 2
 #: a hash has 64 bits, one for each column of the sketch
@@ -46,6 +46,8 @@ MOST_COLUMNS = 64
 FLOOR = 1e-12
 #: cells that a worker packs together, and sums that it hands on together
 CELLS_AT_ONCE = 100_000
+#: a table of dense rows is sent to every task up to this size
+SENT_BYTES = 32 << 20
 
 
 def _names(n: int) -> list[str]:
@@ -76,14 +78,17 @@ def _packed(cells: DataFrame, keys: Sequence[str], frequent: list[str]) -> DataF
     bounded_batches(spark)
     sent, n_keys = spark.sparkContext.broadcast(frequent), len(keys)
 
-    def pack(batches, number):
-        cells = pa.Table.from_batches(batches).combine_chunks()
+    def pack(cells, number, more):
+        """The packs, and the cells of the last key if more may follow."""
         new = np.zeros(len(cells), bool)
         new[0] = True
         for c in range(n_keys):
             code = cells.column(c).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
             new[1:] |= code[1:] != code[:-1]
         first = np.flatnonzero(new)
+        left = cells.slice(first[-1] if more else len(cells))
+        if more:
+            cells, new, first = cells.slice(0, first[-1]).combine_chunks(), new[:first[-1]], first[:-1]
         run = np.cumsum(new) - 1
         term = cells.column(n_keys).combine_chunks().dictionary_encode()
         numbers = np.array([number.get(t, -1) for t in term.dictionary.to_pylist()], np.int32)
@@ -97,19 +102,22 @@ def _packed(cells: DataFrame, keys: Sequence[str], frequent: list[str]) -> DataF
         return pa.RecordBatch.from_arrays(
             [*[cells.column(c).combine_chunks().take(pa.array(first)) for c in range(n_keys)],
              lists(pa.array(code), known), lists(w, known), lists(cells.column(n_keys).combine_chunks(), ~known), lists(w, ~known)],
-            [*keys, "code", "w", "term", "rare"])
+            [*keys, "code", "w", "term", "rare"]), left
 
     def run(batches):
         number = {t: i for i, t in enumerate(sent.value)}
-        held, rows = [], 0
+        held, rows, goal = [], 0, CELLS_AT_ONCE
         for b in batches:
             held.append(b)
             rows += b.num_rows
-            if rows >= CELLS_AT_ONCE:
-                yield pack(held, number)
-                held, rows = [], 0
+            if rows >= goal:
+                done, left = pack(pa.Table.from_batches(held).combine_chunks(), number, True)
+                if len(done):
+                    yield done
+                held, rows = left.to_batches(), len(left)
+                goal = max(CELLS_AT_ONCE, 2 * rows)
         if rows:
-            yield pack(held, number)
+            yield pack(pa.Table.from_batches(held).combine_chunks(), number, False)[0]
 
     kinds = [f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys]
     return (cells.where("term is not null").select(*keys, "term", F.col("w").cast("double").alias("w")).where("w is not null")
@@ -126,9 +134,10 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False), n
 
 
-def _per_text(packs: DataFrame, keys: Sequence[str], dense: DataFrame, frequent: list[str]) -> DataFrame:
+def _per_text(packs: DataFrame, keys: Sequence[str], dense: DataFrame, frequent: list[str], together: bool = False) -> DataFrame:
     """A Z: sum of weight times the ``dense`` row of the term, per key.  Texts
-    without a term of ``dense`` give no row."""
+    without a term of ``dense`` give no row.  If a text's cells are
+    ``together`` in one pack, those without rare terms are not shuffled."""
     spark, names, n_keys = packs.sparkSession, _columns(dense), len(keys)
     order = _numbered(spark, frequent)
     got = dense.join(order, "term").select("code", *names).toArrow()
@@ -152,9 +161,23 @@ def _per_text(packs: DataFrame, keys: Sequence[str], dense: DataFrame, frequent:
             yield pa.RecordBatch.from_arrays([*b.columns[:n_keys], *sums], [*keys, *names]).filter(some)
 
     kinds = [f"`{k}` {packs.schema[k].dataType.simpleString()}" for k in keys]
-    parts = packs.select(*keys, "code", "w").mapInArrow(run, ", ".join([*kinds, *[f"{c} double" for c in names]]))
-    rare = _rare(packs, *keys).join(dense, "term").select(*keys, *[(F.col("w") * F.col(c)).alias(c) for c in names])
-    return parts.unionByName(rare).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    def parts(packs):
+        return packs.select(*keys, "code", "w").mapInArrow(run, ", ".join([*kinds, *[f"{c} double" for c in names]]))
+
+    open_ones = packs
+    if together:
+        # they are read twice
+        path = scratch_dir(spark, "open")
+        packs.where("size(term) > 0").write.option("compression", "zstd").parquet(path)
+        open_ones = spark.read.parquet(path)
+    rare = _rare(open_ones, *keys).join(dense, "term").select(*keys, *[(F.col("w") * F.col(c)).alias(c) for c in names])
+    added = parts(open_ones).unionByName(rare).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    return parts(packs.where("size(term) = 0")).unionByName(added) if together else added
+
+
+def sized(dense: DataFrame, columns: int) -> DataFrame:
+    """A written table of dense rows, sent to every task if its counted size allows."""
+    return F.broadcast(dense) if dense.count() * 8 * (columns + 3) <= SENT_BYTES else dense
 
 
 def _numbered(spark, frequent: list[str]) -> DataFrame:
@@ -166,6 +189,7 @@ def _numbered(spark, frequent: list[str]) -> DataFrame:
 def _per_term(packs: DataFrame, key: str, dense: DataFrame, frequent: list[str]) -> DataFrame:
     """A' Q: sum of weight times the ``dense`` row of the key, per term."""
     spark, names, most = packs.sparkSession, _columns(dense), len(frequent)
+    dense = sized(dense, len(names))
     def run(batches):
         total, met = np.zeros((len(names), most)), np.zeros(most, bool)
         for b in batches:
@@ -256,12 +280,20 @@ def fit(cells: DataFrame, key: str, rank: int = RANK, oversample: int = OVERSAMP
     _packed(cells, [key], frequent).write.option("compression", "zstd").parquet(path)
     packs = spark.read.parquet(path)
     basis = _orthonormal(cut_lineage(_signs(cells, key, columns)))
+    release(spark)
     for _ in range(power_steps if basis is not None else 0):
         onto_terms = cut_lineage(_per_term(packs, key, basis, frequent))
+        release(spark)
         basis = _orthonormal(cut_lineage(_per_text(packs, [key], onto_terms, frequent)))
+        onto_terms = None
+        release(spark)
     if basis is None:
+        remove_folder(spark, path)
         return spark.createDataFrame([], "term string, vector array<double>"), np.zeros(0)
     projected = cut_lineage(_per_term(packs, key, basis, frequent))
+    packs = basis = None
+    remove_folder(spark, path)
+    release(spark)
     values, directions = _spectrum(_inner_products(projected))
     values, directions = values[:rank], directions[:, :rank]
     right = _times(projected, directions / np.sqrt(values))
@@ -269,12 +301,13 @@ def fit(cells: DataFrame, key: str, rank: int = RANK, oversample: int = OVERSAMP
 
 
 def text_vectors(cells: DataFrame, keys: Sequence[str], encoder: DataFrame, dimensions: int,
-                 frequent: list[str] | None = None) -> DataFrame:
+                 frequent: list[str] | None = None, together: bool = False) -> DataFrame:
     """(keys, vector) of the texts in ``cells(keys, term, w)``; cells of
-    ``frequent`` terms (found if not given) are not shuffled."""
+    ``frequent`` terms (found if not given) are not shuffled.  ``together``:
+    all cells of a text follow each other in one partition."""
     if not dimensions:
         return cells.join(encoder, "term").select(*keys, "vector")
     frequent = frequent_terms(cells) if frequent is None else frequent
     dense = encoder.select("term", *[F.get("vector", F.lit(j)).alias(f"c{j}") for j in range(dimensions)])
-    sums = _per_text(_packed(cells, keys, frequent), keys, dense, frequent)
+    sums = _per_text(_packed(cells, keys, frequent), keys, dense, frequent, together)
     return sums.select(*keys, F.array(*_names(dimensions)).alias("vector"))

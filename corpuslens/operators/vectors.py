@@ -104,11 +104,12 @@ def distinct_terms(docs: DataFrame, key: str, text_col: str, without=None) -> Da
             .mapInArrow(run, f"`{key}` {kind}, term string"))
 
 
-def row_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
+def row_counts(rows: DataFrame, keys: Sequence[str], text_col: str, sent=None) -> DataFrame:
     """(keys, term, tf) of every row by itself, without a shuffle; rows with
-    the same keys are not added up.  A row's terms follow each other."""
+    the same keys are not added up.  A row's terms follow each other.  With
+    ``sent`` (a broadcast of ``SentWeights``) there is also their idf."""
     bounded_batches(rows.sparkSession)
-    names = [*keys, "term", "tf"]
+    names = [*keys, "term", "tf"] + ["idf"] * (sent is not None)
     kinds = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
 
     def run(batches):
@@ -120,24 +121,45 @@ def row_counts(rows: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame
                 v = max(len(terms), 1)
                 pair, tf = np.unique(np.repeat(np.arange(j - i), n) * v + code, return_counts=True)
                 row, term = np.divmod(pair, v)
+                idf = [] if sent is None else [pa.array(sent.value.find(_numbers(terms, sent.value.seed))[1][term])]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c).take(pa.array(row + i)) for c in range(len(keys))],
-                     terms.take(pa.array(term)).cast(pa.string()), pa.array(tf.astype(np.int64))], names)
+                     terms.take(pa.array(term)).cast(pa.string()), pa.array(tf.astype(np.int64)), *idf], names)
 
     return (rows.select(*keys, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"))
-            .mapInArrow(run, ", ".join([*kinds, "term string", "tf bigint"])))
+            .mapInArrow(run, ", ".join([*kinds, "term string", "tf bigint", *["idf double"] * (sent is not None)])))
 
 
-def document_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, term, tf) of every document.  Only documents of several rows
-    are added up by a shuffle."""
+def by_rows(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key no other row has, and all others (None: there are none)."""
     often = cut_lineage(docs.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"))
     if often.isEmpty():
-        return row_counts(docs, [key], text_col)
+        return docs, None
     same = F.col(key).eqNullSafe(F.col("_k"))
-    added = (row_counts(docs.join(often, same, "left_semi"), [key], text_col)
-             .groupBy(key, "term").agg(F.sum("tf").alias("tf")))
-    return row_counts(docs.join(often, same, "left_anti"), [key], text_col).unionByName(added)
+    return docs.join(often, same, "left_anti"), docs.join(often, same, "left_semi")
+
+
+def document_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, term, tf) of every document.  Only documents of several rows
+    are added up by a shuffle."""
+    once, several = by_rows(docs, key)
+    if several is None:
+        return row_counts(once, [key], text_col)
+    return row_counts(once, [key], text_col).unionByName(_added_counts(several, key, text_col))
+
+
+def _added_counts(docs: DataFrame, key: str, text_col: str) -> DataFrame:
+    return row_counts(docs, [key], text_col).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+
+
+def document_weights(docs: DataFrame, key: str, text_col: str, idf: DataFrame, sent, every: bool) -> DataFrame:
+    """(key, term, tf, idf) of every document.  If ``sent_idf`` knows the
+    weights of all terms, they are looked up where the terms are counted."""
+    if not every:
+        return with_idf(document_counts(docs, key, text_col), idf)
+    once, several = by_rows(docs, key)
+    found = row_counts(once, [key], text_col, sent)
+    return found if several is None else found.unionByName(with_idf(_added_counts(several, key, text_col), idf))
 
 
 #: terms that may be sent to every task: as numbers of ten bytes, as words

@@ -6,20 +6,43 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators import extract, latent, vectors
 from corpuslens.plans.registry import query, r6
-from corpuslens.session import cut_lineage, scratch_dir
+from corpuslens.session import cut_lineage, release, scratch_dir
 from corpuslens.sources.tables import read_table
 
 RANK, OVERSAMPLE, POWER_STEPS = 16, 8, 1
 
 
-def _trained(spark, sf_dir):
+def _fitted(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_dir(spark, "cells")
-    (extract.document_terms(docs, "doc_id", "text").select("doc_id", "term", "idf", "w")
+    idf = vectors.idf_table(docs, "doc_id", "text")
+    weights = idf, *vectors.sent_idf(idf)
+    (extract.document_terms(docs, "doc_id", "text", weights).select("doc_id", "term", "idf", "w")
      .write.option("compression", "zstd").parquet(path))
     cells = spark.read.parquet(path)
     encoder, strength = latent.fit(cells, "doc_id", RANK, OVERSAMPLE, POWER_STEPS)
-    return docs, cells, encoder, strength
+    return docs, cells, encoder, strength, weights
+
+
+def _trained(spark, sf_dir):
+    return _fitted(spark, sf_dir)[:4]
+
+
+def _sentence_vectors(docs, encoder, dimensions, frequent, weights):
+    """(doc_id, pos, vector) of every sentence."""
+    keys, (idf, sent, every) = ["doc_id", "pos"], weights
+
+    def vectors_of(rows, together):
+        sentences = extract.sentence_rows(rows, "doc_id", "text")
+        tf = vectors.row_counts(sentences, keys, "sentence", sent) if every else vectors.with_idf(
+            vectors.row_counts(sentences, keys, "sentence"), idf)
+        cells = tf.select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        return latent.text_vectors(cells, keys, encoder, dimensions, frequent, together and every)
+
+    # sentences of documents that have several rows are added up
+    once, several = vectors.by_rows(docs, "doc_id")
+    found = vectors_of(once, True)
+    return found if several is None else found.unionByName(vectors_of(several, False))
 
 
 @query("dense_document_vectors")
@@ -35,13 +58,11 @@ def q_dense_document_vectors(spark, sf_dir):
 @query("dense_sentence_cosine")
 def q_dense_sentence_cosine(spark, sf_dir):
     """Cosine of every sentence to its document, on trained dense vectors."""
-    docs, cells, encoder, strength = _trained(spark, sf_dir)
+    docs, cells, encoder, strength, weights = _fitted(spark, sf_dir)
     frequent = latent.frequent_terms(cells)
     whole = latent.text_vectors(cells, ["doc_id"], encoder, len(strength), frequent).withColumnRenamed("vector", "whole")
-    tf = vectors.row_counts(extract.sentence_rows(docs, "doc_id", "text"), ["doc_id", "pos"], "sentence")
-    weights = cells.select("term", "idf").dropDuplicates(["term"])
-    # a term's weight is in its vector, so that the counts meet one table
-    scaled = encoder.join(weights, "term").select("term", F.transform("vector", lambda x: x * F.col("idf")).alias("vector"))
-    one = latent.text_vectors(tf.withColumnRenamed("tf", "w"), ["doc_id", "pos"], cut_lineage(scaled), len(strength), frequent)
+    whole = latent.sized(cut_lineage(whole), len(strength))
+    release(spark)
+    one = _sentence_vectors(docs, encoder, len(strength), frequent, weights)
     return one.join(whole, "doc_id").select("doc_id", F.col("pos").cast("bigint").alias("pos"),
                                             r6(vectors.dense_cosine("vector", "whole")).alias("cosine"))

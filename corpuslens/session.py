@@ -8,6 +8,7 @@ which is the case for local tests and ``bench.py``.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -110,6 +111,13 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have shuffle files and checkpoints of frames that nothing refers to any
+    more removed now; Spark finds them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: rows of an Arrow batch: whole texts are rows here, and Spark's default of
 #: 10,000 of them lets a worker's memory grow with the input
 BATCH_ROWS = 500

@@ -111,3 +111,29 @@ def test_a_batch_without_frequent_terms_has_sums_of_the_same_kind(spark):
     encoder = spark.createDataFrame([(t, [1.0, 0.5]) for t in ("often", "r0", "r2999")], "term string, vector array<double>")
     got = {r.k: r.vector for r in latent.text_vectors(cells, ["k"], encoder, 2, ["often"]).collect()}
     assert got == {3000: [3.0, 1.5], 0: [2.0, 1.0], 2999: [2.0, 1.0]}
+
+
+def test_texts_without_rare_terms_are_not_shuffled(spark, monkeypatch):
+    """Cells of a text stay in one pack, however few a worker packs together."""
+    monkeypatch.setattr(latent, "CELLS_AT_ONCE", 3)
+    rows = [(i, f"t{j}", float(i + j + 1)) for i in range(40) for j in range(9 if i % 7 == 0 else 2)]
+    cells = spark.createDataFrame(rows, "k long, term string, w double").coalesce(1)
+    encoder = spark.createDataFrame([(f"t{j}", [1.0 + j, float(j * j)]) for j in range(8)], "term string, vector array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        packs = latent._packed(cells, ["k"], ["t0", "t1"])
+        assert packs.count() == 40
+        want = {r.k: r.vector for r in latent.text_vectors(cells, ["k"], encoder, 2, ["t0", "t1"]).collect()}
+        got = {r.k: r.vector for r in latent.text_vectors(cells, ["k"], encoder, 2, ["t0", "t1"], True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and len(got) == 40 and got[1] == [2.0 * 1 + 3.0 * 2, 3.0 * 1]
+
+
+def test_idf_is_looked_up_where_terms_are_counted(spark):
+    docs = spark.createDataFrame([(1, "b a a c"), (1, "a d"), (2, "a É é"), (None, "c"), (3, None)], "doc_id long, text string")
+    idf = vectors.idf_table(docs, "doc_id", "text")
+    sent, every = vectors.sent_idf(idf)
+    rows = vectors.document_weights(docs, "doc_id", "text", idf, sent, every).select("doc_id", "term", "tf", "idf").collect()
+    other = vectors.document_weights(docs, "doc_id", "text", idf, sent, False).select("doc_id", "term", "tf", "idf").collect()
+    assert every and sorted(map(str, rows)) == sorted(map(str, other)) and len(rows) == 7
